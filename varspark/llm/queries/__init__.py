@@ -1,8 +1,8 @@
 """The registered queries of this subpackage: ``queries()`` and ``oracle_sql()``."""
 
-from . import mixing, packing, media, lines  # noqa: I001
+from . import lines, media, mixing, packing, quality
 
-_MODULES = (mixing, packing, media, lines)
+_MODULES = (mixing, packing, media, quality, lines)
 
 
 def queries() -> dict:
