@@ -1,8 +1,8 @@
 """The registered queries of this subpackage: ``queries()`` and ``oracle_sql()``."""
 
-from . import lines, media, mixing, packing, quality
+from . import html, lines, media, mixing, packing, quality
 
-_MODULES = (mixing, packing, media, quality, lines)
+_MODULES = (mixing, packing, media, html, quality, lines)
 
 
 def queries() -> dict:
