@@ -37,10 +37,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "left") -> DataFrame:
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "left", most: int = BROADCAST_ROWS) -> DataFrame:
     """Join with a table that is usually small: it is counted, and broadcast only up to
-    ``BROADCAST_ROWS`` rows; beyond, an ordinary join (AQE splits skewed keys)."""
-    if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    ``most`` rows; beyond, an ordinary join (AQE splits skewed keys)."""
+    if small.limit(most + 1).count() <= most:
         small = F.broadcast(small)
     return big.join(small, on, how)
 
