@@ -1,8 +1,8 @@
 """The registered queries of this subpackage: ``queries()`` and ``oracle_sql()``."""
 
-from . import html, jaccard, lines, media, mixing, packing, quality
+from . import ann, html, jaccard, lines, media, mixing, packing, quality
 
-_MODULES = (mixing, packing, media, html, quality, jaccard, lines)
+_MODULES = (mixing, packing, media, html, quality, jaccard, ann, lines)
 
 
 def queries() -> dict:
