@@ -1,8 +1,8 @@
 """The registered queries of this subpackage: ``queries()`` and ``oracle_sql()``."""
 
-from . import ann, html, jaccard, lines, lm, media, mixing, packing, quality
+from . import ann, edits, html, jaccard, lines, lm, media, mixing, packing, quality
 
-_MODULES = (mixing, packing, media, html, quality, jaccard, ann, lines, lm)
+_MODULES = (mixing, packing, media, html, quality, jaccard, edits, ann, lines, lm)
 
 
 def queries() -> dict:
