@@ -52,3 +52,24 @@ def width(spark: SparkSession) -> int:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def tidy(run):
+    """A function for mapInArrow that gives freed memory back when its task ends: workers are kept
+    between tasks, and what they hold counts against their executor."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+
+            import pyarrow as pa
+
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except AttributeError:  # another C library
+                pass
+
+    return wrapped

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import join_small, stage, width
+from .common import join_small, stage, tidy, width
 from .components import components
 from .textvec import U, mix, shingles, texts
 
@@ -134,7 +134,7 @@ def _index(percent: int, k: int, buckets: int):
                     for i in np.flatnonzero(np.diff(edge)).tolist():
                         o, s = owner[edge[i] : edge[i + 1]], sig[edge[i] : edge[i + 1]]
                         head = np.flatnonzero(np.r_[True, o[1:] != o[:-1]])
-                        n = np.diff(np.r_[head, len(o)]).astype(np.int32)
+                        n = np.diff(np.r_[head, len(o)]).astype(np.uint32)
                         rows.append((i, _INDEX, len(head), role, _pack(own[o[head]], identity[o[head]], n, s)))
                 rows.append((int(identity[0] % U(buckets)), _SETS, len(t), 0, _pack(own, size.astype(np.int64), identity, spare[0].astype(np.int64), spare[1].astype(np.int64))))
                 yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()))], ["bucket", "kind", "n", "role", "data"])
@@ -163,7 +163,7 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _rows(_SET, *x)
                 continue
             head = np.frombuffer(data, np.int64, 2 * n)
-            count = np.frombuffer(data, np.int32, n, 16 * n)
+            count = np.frombuffer(data, np.uint32, n, 16 * n)
             owners.append(np.repeat(head[:n], count))
             identities.append(np.repeat(head[n:], count))
             sigs.append(np.frombuffer(data, U, -1, 20 * n) if 20 * n % 8 == 0 else np.frombuffer(data[20 * n :], U))
@@ -189,25 +189,41 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sig, owner, role = sig[at], owner[at], role[at]
     start = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]]) if len(sig) else np.zeros(0, np.int64)
     n = np.diff(np.r_[start, len(sig)])
+    if len(start):  # sets of the upper band alone meet in their own scheme
+        mine = np.repeat(np.minimum.reduceat(role, start) == 0, n)
+        sig, owner, role = sig[mine], owner[mine], role[mine]
+        start = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]]) if len(sig) else np.zeros(0, np.int64)
+        n = np.diff(np.r_[start, len(sig)])
     size = np.repeat(n, n)
     head = np.repeat(start, n)
-    pairs = []
     place = np.arange(len(sig)) - head
+    left, right, shared = [], [], []
     for d in range(1, SHORT):  # all pairs of short lists
         i = np.flatnonzero((size <= SHORT) & (place + d < size))
-        pairs.append((owner[i], owner[i + d]))
-    long = np.flatnonzero((size > SHORT) & (place > 0))
-    pairs += [(owner[head[long]], owner[long]), (owner[long - 1], owner[long])]
-    a, b = (np.concatenate(x) for x in zip(*pairs))
-    a, b = np.minimum(a, b), np.maximum(a, b)
-    keep = a != b
-    p = np.unique(np.stack([a[keep], b[keep]]), axis=1)
-    for i in range(0, p.shape[1], 200_000):
-        yield _rows(_PAIR, *p[:, i : i + 200_000])
+        i = i[(role[i] == 0) | (role[i + d] == 0)]
+        left.append(i)
+        right.append(i + d)
+        shared.append(np.ones(len(i), np.int64))
+    long = np.flatnonzero((size > SHORT) & (place > 0))  # of others the first, and neighbours
+    left += [head[long], long - 1]
+    right += [long, long]
+    shared += [np.zeros(2 * len(long), np.int64)]
+    i, j, shared = map(np.concatenate, (left, right, shared))
+    keep = owner[i] != owner[j]
+    i, j, shared = i[keep], j[keep], shared[keep]
+    pair = np.lexsort((role[j], role[i], owner[j], owner[i]))
+    a, b, roles, shared = owner[i][pair], owner[j][pair], (2 * role[i] + role[j])[pair].astype(np.int64), shared[pair]
+    first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (roles[1:] != roles[:-1])]) if len(a) else np.zeros(0, np.int64)
+    if len(first):
+        times = np.diff(np.r_[first, len(a)])
+        short_ = np.add.reduceat(shared, first)
+        for x in range(0, len(first), 200_000):
+            f = slice(x, x + 200_000)
+            yield _rows(_PAIR, a[first[f]], b[first[f]], roles[first[f]], short_[f], (times - short_)[f])
     member = np.flatnonzero(size > SHORT)
-    for i in range(0, len(member), 200_000):
-        j = member[i : i + 200_000]
-        yield _rows(_MEMBER, sig[j], owner[j], role[j])
+    for x in range(0, len(member), 200_000):
+        i = member[x : x + 200_000]
+        yield _rows(_MEMBER, sig[i], owner[i], role[i])
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
@@ -221,7 +237,7 @@ def sets_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, k: int)
                 edge = np.searchsorted(doc, np.arange(len(t) + 1))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(t.first, len(t)), pa.array([h[x:y].tobytes() for x, y in zip(edge[:-1], edge[1:])], pa.binary())], ["doc", "shingles"])
 
-    return some.mapInArrow(run, "doc long, shingles binary")
+    return some.mapInArrow(tidy(run), "doc long, shingles binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -243,7 +259,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             ok = np.array(ok, bool)
             yield pa.RecordBatch.from_arrays([pa.array(b.column(i).to_numpy()[ok]) for i in (0, 1)], ["a", "b"])
 
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
+    return both.select("a", "b", "x", "y").mapInArrow(tidy(run), "a long, b long").distinct()
 
 
 def _neighbourhoods(percent: int, k: int, single: bool):
@@ -279,10 +295,11 @@ def _neighbourhoods(percent: int, k: int, single: bool):
 
 
 def _followed(open_: DataFrame, sets: DataFrame, comp: DataFrame, percent: int, k: int, single: bool) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs between components among the sets of ``open_`` (doc, role) that looked up too
-    little, by the cheapest sufficient allocation; and those for which all of it is too little."""
+    """Groups (hub, doc, component) that hold all similar sets of different components among those of
+    ``open_`` (doc, role), which looked up too little before: by the cheapest sufficient allocation; and
+    those sets for which all of it is too little."""
     rows = join_small(sets, open_.select("doc").distinct(), "doc", "left_semi").mapInArrow(
-        _neighbourhoods(percent, k, single), "doc long, role int, need long, segment long, deletion boolean, sig long"
+        tidy(_neighbourhoods(percent, k, single)), "doc long, role int, need long, segment long, deletion boolean, sig long"
     )
     rows = join_small(join_small(rows, open_, ["doc", "role"], "left_semi"), comp, "doc", "left")
     rows = stage(rows.withColumn("component", F.coalesce("component", "doc")), "neighbourhoods")
@@ -300,10 +317,70 @@ def _followed(open_: DataFrame, sets: DataFrame, comp: DataFrame, percent: int,
     units = stage(units.withColumn("at", F.row_number().over(order)).filter("at <= need").select("doc", "role", "need", "segment", "unit"), "allocation")
     short = units.groupBy("doc", "role").agg(F.count("*").alias("n"), F.max("need").alias("need")).filter("n < need").select("doc", "role")
     chosen = units.groupBy("doc", "role", "segment").agg(F.max("unit").alias("unit"))
-    probes = rows.join(chosen, ["doc", "role", "segment"]).filter("unit = 2 or not deletion").select("sig", "doc", "component").distinct()
-    index = rows.select("sig", F.col("doc").alias("other"), F.col("component").alias("theirs")).distinct()
-    pairs = probes.join(lists.filter("mixed").select("sig"), "sig").join(index, "sig").filter("component <> theirs")
-    return pairs.select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).distinct(), short
+    taken = rows.join(chosen, ["doc", "role", "segment"]).filter("unit = 2 or not deletion").select("sig").distinct()
+    shared = rows.join(lists.filter("mixed").select("sig"), "sig").join(taken, "sig").select("sig", "doc", "component")
+    # lists come together under their most frequent member: near copies share it in most lists
+    fame = shared.groupBy("doc").agg(F.count("*").alias("fame"))
+    shared = stage(shared.join(fame, "doc"), "shared-lists")
+    hubs = shared.groupBy("sig").agg(F.max(F.struct("fame", F.negative("doc").alias("less"))).alias("h")).select("sig", F.negative("h.less").alias("hub"))
+    group = stage(shared.join(hubs, "sig").select("hub", "doc", "component").distinct(), "hub-groups")
+    return group, short
+
+
+def _blocks_linked(percent: int):
+    """Two blocks of sets -> a link for each pair of components that similar sets connect."""
+
+    def run(table: pa.Table) -> pa.Table:
+        found = []
+        doc, component, side = (table[c].to_numpy() for c in ("doc", "component", "side"))
+        sets = [np.frombuffer(x.as_buffer(), U) for x in table["shingles"]]
+        size = np.array([len(x) for x in sets], np.int64)
+        first, second = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        if len(first) and len(second) and (component != component[0]).any():
+            items = np.concatenate(sets)
+            owner = np.repeat(np.arange(len(sets)), size)
+            _, item, times = np.unique(items, return_inverse=True, return_counts=True)
+            kept = np.flatnonzero(times > 1)  # what one set alone holds is in no intersection
+            place = np.full(len(times), -1)
+            place[kept] = np.arange(len(kept))
+            item = place[item]
+            common = np.zeros((len(first), len(second)), np.float32)
+            row, column = np.full(len(sets), -1), np.full(len(sets), -1)
+            row[first], column[second] = np.arange(len(first)), np.arange(len(second))
+            for a in range(0, len(kept), 4096):
+                on = np.flatnonzero((item >= a) & (item < a + 4096))
+                x, y = np.zeros((len(first), 4096), np.float32), np.zeros((len(second), 4096), np.float32)
+                i = on[row[owner[on]] >= 0]
+                x[row[owner[i]], item[i] - a] = 1
+                i = on[column[owner[on]] >= 0]
+                y[column[owner[i]], item[i] - a] = 1
+                common += x @ y.T
+            both = common.astype(np.int64)
+            i, j = np.nonzero(100 * both >= percent * (size[first][:, None] + size[second][None, :] - both))
+            i, j = first[i], second[j]
+            i, j = i[component[i] != component[j]], j[component[i] != component[j]]
+            if len(i):
+                _, one = np.unique(np.stack([component[i], component[j]]), axis=1, return_index=True)
+                found = [(int(doc[p]), int(doc[q])) for p, q in zip(i[one], j[one])]
+        return pa.table({"a": pa.array([min(f) for f in found], pa.int64()), "b": pa.array([max(f) for f in found], pa.int64())})
+
+    return run
+
+
+def linked_groups(group: DataFrame, sets: DataFrame, percent: int, block: int = 512) -> DataFrame:
+    """Links (a, b) between components within groups (hub, doc, component): one for each pair of
+    components and blocks, at least.  A group of any size is compared block by block, so a task holds two
+    blocks, and pairs are never rows."""
+    sizes = group.groupBy("hub").agg(F.count("*").alias("n"), (F.min("component") != F.max("component")).alias("mixed"))
+    g = join_small(group, sizes.filter("mixed"), "hub", "inner", 500_000)
+    g = g.withColumn("blocks", F.ceil(F.col("n") / block)).withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")))
+    # each block meets itself and every other one: (low, high), as side 0, 1 or 2 (both)
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    g = g.select("hub", "doc", "component", "own", other)
+    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    g = g.select("doc", "component", "hub", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), side.alias("side"))
+    whole = g.join(sets, "doc")
+    return whole.groupBy("hub", "low", "high").applyInArrow(_blocks_linked(percent), "a long, b long").distinct()
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -321,25 +398,35 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     spark = docs.sparkSession
     n = width(spark)
     base = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    index = base.mapInArrow(_index(percent, k, 4 * n), "bucket int, kind int, n int, role int, data binary")
-    found = stage(index.repartition(n, "bucket").mapInArrow(_lists, _FOUND), "jaccard-lists")
+    index = base.mapInArrow(tidy(_index(percent, k, n)), "bucket int, kind int, n int, role int, data binary")
+    found = stage(index.repartition(n, "bucket").mapInArrow(tidy(_lists), _FOUND), "jaccard-lists")
 
     sets = found.filter(F.col("kind") == _SET).select(F.col("a").alias("doc"), F.col("b").alias("n_shingles"), F.col("c").alias("identity"), F.col("d").alias("spare0"), F.col("e").alias("spare1"))
     classes = sets.filter("n_shingles > 0").groupBy("identity", "n_shingles").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
     classes = stage(classes.filter("first <> last").drop("last"), "jaccard-classes")
 
-    pairs = stage(found.filter(F.col("kind") == _PAIR).select("a", "b").distinct(), "jaccard-pairs")
+    spare = sets.filter("n_shingles > 0").select("doc", F.explode(F.array(F.struct(F.lit(0).alias("role"), F.col("spare0").alias("spare")), F.struct(F.lit(1).alias("role"), F.col("spare1").alias("spare")))).alias("s")).select("doc", "s.*")
+    members = found.filter(F.col("kind") == _MEMBER).select(F.col("a").alias("sig"), F.col("b").alias("doc"), F.col("c").cast("int").alias("role"))
+    long = members.groupBy("doc", "role").agg(F.count("*").alias("long"))
+    # similar sets share at least so many short lists; where that is none or less, the set's links
+    # are not all found in short lists
+    least = spare.join(long, ["doc", "role"], "left").select("doc", "role", "spare", (F.col("spare") + 1 - F.coalesce("long", F.lit(0))).alias("least"))
+    pairs = found.filter(F.col("kind") == _PAIR).groupBy("a", "b", "c").agg(F.sum("d").alias("short"), F.sum("e").alias("near"))
+    for x, role in (("a", F.floor(F.col("c") / 2)), ("b", F.col("c") % 2)):
+        own = least.select(F.col("doc").alias(x), F.col("role").alias("role"), F.col("least").alias(f"least_{x}"), F.col("spare").alias(f"spare_{x}"))
+        pairs = pairs.withColumn("role", role.cast("int")).join(own, [x, "role"]).drop("role")
+    enough = [(F.col(f"least_{x}") < 1) | (F.col("short") >= F.col(f"least_{x}")) for x in "ab"]
+    likely = (F.col("least_a") >= 1) | (F.col("least_b") >= 1) | (F.col("short") + F.col("near") > F.greatest(F.lit(0), F.least("spare_a", "spare_b")))
+    pairs = stage(pairs.filter(enough[0] & enough[1] & likely).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-pairs")
     in_pairs = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
     shingle_sets = stage(sets_of(docs, in_pairs, id_col, text_col, k), "jaccard-sets")
     links = stage(verified(pairs, shingle_sets, percent), "jaccard-links")
     comp = components(links).select(F.col("node").alias("doc"), "component")
 
     # sets whose short lists are too few: long lists within one component make up for it
-    members = found.filter(F.col("kind") == _MEMBER).select(F.col("a").alias("sig"), F.col("b").alias("doc"), F.col("c").cast("int").alias("role"))
     member = join_small(members, comp, "doc", "left", 500_000).withColumn("component", F.coalesce("component", "doc"))
     mixed = member.groupBy("sig").agg((F.min("component") != F.max("component")).alias("mixed"))
     costly = member.join(mixed.filter("mixed"), "sig").groupBy("doc", "role").agg(F.count("*").alias("n"))
-    spare = sets.filter("n_shingles > 0").select("doc", F.explode(F.array(F.struct(F.lit(0).alias("role"), F.col("spare0").alias("spare")), F.struct(F.lit(1).alias("role"), F.col("spare1").alias("spare")))).alias("s")).select("doc", "s.*")
     open_ = spare.join(costly, ["doc", "role"], "left").filter(F.col("spare") < F.coalesce("n", F.lit(0))).select("doc", "role").distinct()
     # of equal sets one stands for all
     same = sets.join(classes, ["identity", "n_shingles"]).filter("doc <> first").select("doc").distinct()
@@ -350,7 +437,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             break
         open_sets = stage(sets_of(docs, open_.select("doc").distinct(), id_col, text_col, k), "jaccard-sets")
         extra, open_ = _followed(open_, open_sets, comp, percent, k, single)
-        more.append(stage(verified(stage(extra, "jaccard-pairs"), open_sets, percent), "jaccard-links"))
+        more.append(stage(linked_groups(extra, open_sets, percent), "jaccard-links"))
     for x in more:
         links = links.unionByName(x)
     if more and any(x.limit(1).count() for x in more):

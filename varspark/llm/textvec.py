@@ -57,7 +57,7 @@ class Texts:
         return len(self.offsets) - 1
 
 
-def texts(column: pa.Array, most: int = 1 << 22) -> Iterator[Texts]:
+def texts(column: pa.Array, most: int = 1 << 20) -> Iterator[Texts]:
     """Cut an Arrow string column into runs of whole texts of about ``most`` bytes together
     (a longer text comes alone).  A null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
