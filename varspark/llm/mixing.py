@@ -56,11 +56,10 @@ def targets(sources: DataFrame, cap: float = 3.0, weights: tuple[float, ...] = (
         n, capped, left = s.agg(
             F.count_if(over), F.sum(F.when(over, F.col("most"))), F.sum(F.when(~over, F.col("weight")))
         ).first()
-        new = (total - (capped or 0.0)) / left if left else share
-        if share is not None and (not left or new <= share):
+        new = (total - (capped or 0.0)) / left if left else 0.0
+        if share is not None and new <= share:
             break
         share = new
-    share = 0.0 if share is None else share
     return s.select("source", "key", "source_size", F.least("most", F.col("weight") * share).alias("target"))
 
 
