@@ -12,20 +12,23 @@ from varspark.llm import jaccard, linededup, mixing, packing, quality
 from varspark.llm.common import join_small, stage, table
 from varspark.llm.queries.quality import LEAST_SCORE
 
-#: Too little of the corpus is a text of its own for SQL to score it; the tests use brute force.
+#: The classifier and the random draws cannot be written in SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
-    scored = quality.classify(docs, table(spark, sf_dir, "labels"))
-    return scored.filter(F.col("score") >= LEAST_SCORE).select(*docs.columns)
+    whole = docs.select(F.struct(*docs.columns).alias("__row"), "doc_id", "text")  # whatever else its columns are named
+    scored = quality.classify(whole, table(spark, sf_dir, "labels"))
+    return scored.filter(F.col("score") >= LEAST_SCORE).select("__row.*")
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that an earlier document holds go; n_chars follows the text."""
-    kept = linededup.apply_bitmaps(docs, stage(linededup.keep_bitmaps(docs), "line-bitmaps"))
-    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    whole = docs.select(F.struct(*docs.columns).alias("__row"), "doc_id", "text")
+    kept = linededup.apply_bitmaps(whole, stage(linededup.keep_bitmaps(whole), "line-bitmaps"))
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return kept.select(*(new.get(c, F.col(f"__row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def similar_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -156,7 +156,8 @@ def edit(text: str, tree: Tree, at: int, delete: int, insert: str, counter: Coun
 
 def token_trees(docs: DataFrame, text_col: str = "text", vocabulary: str | None = None, pattern: str | None = None) -> DataFrame:
     """``docs`` with n_tokens and token_tree (the sums of the leaves).  Null and empty texts have no
-    tokens; rows are kept one to one."""
+    tokens; rows are kept one to one, and columns of these names are replaced."""
+    docs = docs.drop("n_tokens", "token_tree")
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,6 +179,7 @@ def apply_edits(docs: DataFrame, edits_col: str = "edits", text_col: str = "text
     fields change nothing.  The text, n_tokens and token_tree are new; n_edits and reencoded_chars are
     added.  A null text is an empty one once something is inserted.
     """
+    docs = docs.drop("n_edits", "reencoded_chars")
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

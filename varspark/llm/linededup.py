@@ -132,8 +132,8 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``text_col`` reduced to the lines its bitmap keeps (joined by a line feed;
-    null becomes empty), and with n_lines and n_dropped."""
-    some = bitmaps.filter("n_dropped > 0").dropDuplicates([id_col, "rid"]).select(F.col(id_col).alias("__id"), F.col("rid").alias("__rid"), "keep_bitmap", "n_dropped")
+    null becomes empty), and with n_lines and n_dropped (columns of these names are replaced)."""
+    some = bitmaps.filter("n_dropped > 0").dropDuplicates([id_col, "rid"]).select(F.col(id_col).alias("__id"), F.col("rid").alias("__rid"), F.col("keep_bitmap").alias("__keep"), F.col("n_dropped").alias("__dropped"))
     kept = docs.join(some, (docs[id_col] == some["__id"]) & (F.xxhash64(docs[text_col]) == some["__rid"]), "left")
 
     @F.udf("string", useArrow=True)
@@ -145,9 +145,9 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
         return "\n".join(x for x, keep in zip(lines, bits) if keep)
 
     whole = F.coalesce(docs[text_col], F.lit(""))
-    text = F.when(F.col("keep_bitmap").isNull(), whole).otherwise(reduced(docs[text_col], "keep_bitmap"))
+    text = F.when(F.col("__keep").isNull(), whole).otherwise(reduced(docs[text_col], "__keep"))
     return kept.select(
-        *(text.alias(c) if c == text_col else docs[c] for c in docs.columns),
+        *(text.alias(c) if c == text_col else docs[c] for c in docs.columns if c not in ("n_lines", "n_dropped")),
         F.size(F.split(whole, "\n", -1)).cast("long").alias("n_lines"),
-        F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
+        F.coalesce("__dropped", F.lit(0)).cast("long").alias("n_dropped"),
     )

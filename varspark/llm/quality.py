@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import tidy
 from .textvec import U, Texts, mix, texts
 
 BUCKETS = 1 << 15
@@ -115,8 +115,8 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """BUCKETS x DIM word vectors of a whole corpus: 8 MB, whatever the corpus's size."""
     spark = docs.sparkSession
     few = 4 * spark.sparkContext.defaultParallelism  # fewer tasks, fewer partial matrices
-    parts = docs.select(text_col).coalesce(few).mapInArrow(_contexts, "block int, sums binary")
-    whole = parts.repartition(BUCKETS // _BLOCK, "block").mapInArrow(_sum_blocks, "block int, sums binary")
+    parts = docs.select(text_col).coalesce(few).mapInArrow(tidy(_contexts), "block int, sums binary")
+    whole = parts.repartition(BUCKETS // _BLOCK, "block").mapInArrow(tidy(_sum_blocks), "block int, sums binary")
     c = np.zeros((BUCKETS // _BLOCK, _BLOCK * DIM))
     for r in whole.collect():
         c[r["block"]] = np.frombuffer(r["sums"], "<i8")
@@ -221,7 +221,7 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, id_col: str =
                 x, n = pooled(t, sent.value)
                 yield pa.RecordBatch.from_arrays([*(b.column(i).slice(t.first, len(t)) for i in range(3)), pa.array([r.tobytes() for r in x], pa.binary()), pa.array(n)], ["id", "label", "fold", "x", "n"])
 
-    got = rows.mapInArrow(run, "id long, label int, fold int, x binary, n long").toArrow().to_pydict()
+    got = rows.mapInArrow(tidy(run), "id long, label int, fold int, x binary, n long").toArrow().to_pydict()
     order = np.lexsort((np.array(got["x"], object), np.array(got["label"], int), np.array(got["id"], int))) if got["id"] else []
     x = np.array([np.frombuffer(got["x"][i], np.float32) for i in order]).reshape(-1, DIM)
     y, f, n = (np.array([got[c][i] for i in order], int) for c in ("label", "fold", "n"))
@@ -232,8 +232,9 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, id_col: str =
 
 
 def score(docs: DataFrame, vectors: np.ndarray, net: Network, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``score``, by the text alone."""
+    """``docs`` with ``score``, by the text alone; a column of that name is replaced."""
     sent = docs.sparkSession.sparkContext.broadcast((vectors, net))
+    docs = docs.drop("score")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = names.index(text_col)
@@ -243,7 +244,7 @@ def score(docs: DataFrame, vectors: np.ndarray, net: Network, text_col: str = "t
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.concatenate(found) if found else np.zeros(0))], [*names, "score"])
 
     names = docs.columns
-    return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", score double")
+    return docs.mapInArrow(tidy(run), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
