@@ -157,7 +157,9 @@ def pack(
     done = stage(docs.select(id_col, text_col).mapInArrow(first, schema), "pieces-0")
     result, level = done.filter("sequence_id is not null"), 1
     left = done.filter("sequence_id is null").drop("sequence_id", "offset")
+    tasks = 1 << 40
     while n := -(-left.count() // _OVER):
+        n = tasks = min(n, max(1, tasks // 2))  # fewer each time, whatever could be completed
         done = stage(left.repartition(n).mapInArrow(again(level, n == 1), schema), f"pieces-{level}")
         result = result.unionByName(done.filter("sequence_id is not null"))
         left = done.filter("sequence_id is null").drop("sequence_id", "offset")
