@@ -26,15 +26,24 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     This cuts the lineage as a checkpoint does, so that a lost executor costs a few tasks and
-    not the whole job, and it keeps the columns of the result prunable.
+    not the whole job, and it keeps the columns of the result prunable.  ``batch``: rows of an Arrow batch
+    while ``df`` is computed, where rows are large.
     """
-    path = f"{shared_dir(df.sparkSession)}/varspark/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/varspark/{name}-{uuid.uuid4().hex}"
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        if batch is not None:
+            spark.conf.set(setting, str(batch))
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(setting, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left", most: int = BROADCAST_ROWS) -> DataFrame:

@@ -32,6 +32,8 @@ SHORT = 10
 #: Segments of a scheme, as a multiple of the H + 1 that must not be empty.
 _SPARE = 1.12
 _SALT = U(0x632BE59BD9B4E019)
+#: Rows of an Arrow batch of texts or sets.
+_BATCH = 1000
 
 
 def most_errors(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -399,7 +401,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     n = width(spark)
     base = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     index = base.mapInArrow(tidy(_index(percent, k, n)), "bucket int, kind int, n int, role int, data binary")
-    found = stage(index.repartition(n, "bucket").mapInArrow(tidy(_lists), _FOUND), "jaccard-lists")
+    found = stage(index.repartition(n, "bucket").mapInArrow(tidy(_lists), _FOUND), "jaccard-lists", _BATCH)
 
     sets = found.filter(F.col("kind") == _SET).select(F.col("a").alias("doc"), F.col("b").alias("n_shingles"), F.col("c").alias("identity"), F.col("d").alias("spare0"), F.col("e").alias("spare1"))
     classes = sets.filter("n_shingles > 0").groupBy("identity", "n_shingles").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
@@ -419,8 +421,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     likely = (F.col("least_a") >= 1) | (F.col("least_b") >= 1) | (F.col("short") + F.col("near") > F.greatest(F.lit(0), F.least("spare_a", "spare_b")))
     pairs = stage(pairs.filter(enough[0] & enough[1] & likely).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-pairs")
     in_pairs = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
-    shingle_sets = stage(sets_of(docs, in_pairs, id_col, text_col, k), "jaccard-sets")
-    links = stage(verified(pairs, shingle_sets, percent), "jaccard-links")
+    shingle_sets = stage(sets_of(docs, in_pairs, id_col, text_col, k), "jaccard-sets", _BATCH)
+    links = stage(verified(pairs, shingle_sets, percent), "jaccard-links", _BATCH)
     comp = components(links).select(F.col("node").alias("doc"), "component")
 
     # sets whose short lists are too few: long lists within one component make up for it
@@ -435,9 +437,9 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     for single in (False, True):
         if not open_.limit(1).count():
             break
-        open_sets = stage(sets_of(docs, open_.select("doc").distinct(), id_col, text_col, k), "jaccard-sets")
+        open_sets = stage(sets_of(docs, open_.select("doc").distinct(), id_col, text_col, k), "jaccard-sets", _BATCH)
         extra, open_ = _followed(open_, open_sets, comp, percent, k, single)
-        more.append(stage(linked_groups(extra, open_sets, percent), "jaccard-links"))
+        more.append(stage(linked_groups(extra, open_sets, percent), "jaccard-links", _BATCH))
     for x in more:
         links = links.unionByName(x)
     if more and any(x.limit(1).count() for x in more):

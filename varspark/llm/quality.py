@@ -86,7 +86,7 @@ def tokens(t: Texts) -> tuple[np.ndarray, np.ndarray]:
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = None
     for b in batches:
-        for t in texts(b.column(0), 1 << 21):
+        for t in texts(b.column(0), 1 << 20):
             doc, bucket = tokens(t)
             if not len(doc):
                 continue
@@ -169,14 +169,14 @@ def fit(x: np.ndarray, y: np.ndarray, calibrate: np.ndarray, hidden: int = 32, e
     x, y = x.astype(np.float64), y.astype(np.float64)
     net = Network(x.mean(0) if len(x) else np.zeros(DIM), np.ones(x.shape[1]), np.zeros((x.shape[1], hidden)), np.zeros(hidden), np.zeros(hidden), 0.0)
     share = y.mean() if len(y) else 0.5
-    if not 0 < share < 1:
+    if not len(y) or not 0 < share < 1:
         net.b2 = 30.0 * (2 * share - 1)
         return net
     rng = np.random.Generator(np.random.PCG64(seed))
     net.scale = 1 / np.maximum(x.std(0), 1e-3)
     w = [rng.normal(0, x.shape[1] ** -0.5, (x.shape[1], hidden)), np.zeros(hidden), rng.normal(0, hidden**-0.5, hidden), np.array(np.log(share / (1 - share)))]
     m, v, step = [np.zeros_like(a) for a in w], [np.zeros_like(a) for a in w], 0
-    train = np.flatnonzero(~calibrate) if 0 < y[~calibrate].mean() < 1 else np.arange(len(y))
+    train = np.flatnonzero(~calibrate) if len(set(y[~calibrate])) == 2 else np.arange(len(y))
     z = (x - net.mean) * net.scale
     for _ in range(epochs):
         for rows in np.array_split(rng.permutation(train), max(1, len(train) // 128)):
