@@ -34,6 +34,8 @@ _SPARE = 1.12
 _SALT = U(0x632BE59BD9B4E019)
 #: Rows of an Arrow batch of texts or sets.
 _BATCH = 1000
+#: Bytes of a run of texts whose shingles are held together.
+_RUN = 1 << 19
 
 
 def most_errors(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -110,7 +112,7 @@ def _index(percent: int, k: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
-            for t in texts(b.column(1)):
+            for t in texts(b.column(1), _RUN):
                 doc, h = shingles(t, k)
                 own = ids[t.first : t.first + len(t)].astype(np.int64)
                 size = np.bincount(doc, minlength=len(t))
@@ -234,7 +236,7 @@ def sets_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, k: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for t in texts(b.column(1)):
+            for t in texts(b.column(1), _RUN):
                 doc, h = shingles(t, k)
                 edge = np.searchsorted(doc, np.arange(len(t) + 1))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(t.first, len(t)), pa.array([h[x:y].tobytes() for x, y in zip(edge[:-1], edge[1:])], pa.binary())], ["doc", "shingles"])

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stage, width
+from .common import stage, tidy, width
 
 #: The white space that is stripped from a line's ends to get its key.
 STRIPPED = " \t\n\x0b\x0c\r"
@@ -91,7 +91,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(doc, rid, pos) of each line whose key a document with a smaller id holds as well."""
     keys = stage(line_keys(docs, id_col, text_col, min_chars), "line-keys")
     ranges = keys.repartitionByRange(width(docs.sparkSession), *_ORDER).sortWithinPartitions(*_ORDER)
-    seen = stage(ranges.select(*_ORDER, "rid").mapInArrow(_stream, _SEEN), "line-ranges")
+    seen = stage(ranges.select(*_ORDER, "rid").mapInArrow(tidy(_stream), _SEEN), "line-ranges")
     first = seen.filter(F.col("kind") == _BORDER).groupBy("h1", "h2").agg(F.min("doc").alias("holder"))
     late = seen.filter(F.col("kind") == _HEAD).join(first, ["h1", "h2"]).filter("doc <> holder")
     return seen.filter(F.col("kind") == _DROP).select("doc", "rid", "pos").unionByName(late.select("doc", "rid", "pos"))

@@ -18,12 +18,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import stage, tidy
 from .pretokens import encoder
 from .textvec import texts
 
 #: Pieces that one task takes over from others.
 _OVER = 15_000
+#: Bytes of a run of texts that are encoded together, and rows of an Arrow batch of texts.
+_RUN, _BATCH = 1 << 19, 1000
 _FIXED = ["start", "length", "ids_crc32", "doc_tokens"]
 
 
@@ -127,7 +129,7 @@ def pack(
         fill, enc = _Filler(capacity, 0), encoder(vocabulary, pattern)
         for b in batches:
             column = b.column(1)
-            for t in texts(column, 1 << 21):
+            for t in texts(column, _RUN):
                 part = column.slice(t.first, len(t)).to_pylist()
                 ids, off = enc.encode([x or "" for x in part])
                 n = np.diff(off) + 1
@@ -154,13 +156,13 @@ def pack(
 
         return run
 
-    done = stage(docs.select(id_col, text_col).mapInArrow(first, schema), "pieces-0")
+    done = stage(docs.select(id_col, text_col).mapInArrow(tidy(first), schema), "pieces-0", _BATCH)
     result, level = done.filter("sequence_id is not null"), 1
     left = done.filter("sequence_id is null").drop("sequence_id", "offset")
     tasks = 1 << 40
     while n := -(-left.count() // _OVER):
         n = tasks = min(n, max(1, tasks // 2))  # fewer each time, whatever could be completed
-        done = stage(left.repartition(n).mapInArrow(again(level, n == 1), schema), f"pieces-{level}")
+        done = stage(left.repartition(n).mapInArrow(tidy(again(level, n == 1)), schema), f"pieces-{level}")
         result = result.unionByName(done.filter("sequence_id is not null"))
         left = done.filter("sequence_id is null").drop("sequence_id", "offset")
         level = min(level + 1, 7)

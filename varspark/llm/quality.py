@@ -25,6 +25,8 @@ _NONZERO = 4
 _BLOCK = 512  # buckets in one row of partial sums
 #: Labelled rows that the network is fitted on at most.
 MOST_LABELS = 20_000
+#: Bytes of a run of texts whose tokens are held together.
+_RUN = 1 << 19
 
 _CLASS = np.full(256, 1, np.uint8)  # letters, and all bytes of other scripts
 _CLASS[[32, 9, 10, 11, 12, 13]] = 0
@@ -86,7 +88,7 @@ def tokens(t: Texts) -> tuple[np.ndarray, np.ndarray]:
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = None
     for b in batches:
-        for t in texts(b.column(0), 1 << 20):
+        for t in texts(b.column(0), _RUN):
             doc, bucket = tokens(t)
             if not len(doc):
                 continue
@@ -217,7 +219,7 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, id_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for t in texts(b.column(3), 1 << 20):
+            for t in texts(b.column(3), _RUN):
                 x, n = pooled(t, sent.value)
                 yield pa.RecordBatch.from_arrays([*(b.column(i).slice(t.first, len(t)) for i in range(3)), pa.array([r.tobytes() for r in x], pa.binary()), pa.array(n)], ["id", "label", "fold", "x", "n"])
 
@@ -240,7 +242,7 @@ def score(docs: DataFrame, vectors: np.ndarray, net: Network, text_col: str = "t
         at = names.index(text_col)
         for b in batches:
             vectors, net = sent.value
-            found = [net.score(means(*pooled(t, vectors), net.usual)) for t in texts(b.column(at), 1 << 20)]
+            found = [net.score(means(*pooled(t, vectors), net.usual)) for t in texts(b.column(at), _RUN)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.concatenate(found) if found else np.zeros(0))], [*names, "score"])
 
     names = docs.columns
