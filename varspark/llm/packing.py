@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stage, tidy
-from .pretokens import encoder
+from .pretokens import encoder, release
 from .textvec import texts
 
 #: Pieces that one task takes over from others.
@@ -127,24 +127,27 @@ def pack(
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fill, enc = _Filler(capacity, 0), encoder(vocabulary, pattern)
-        for b in batches:
-            column = b.column(1)
-            for t in texts(column, _RUN):
-                part = column.slice(t.first, len(t)).to_pylist()
-                ids, off = enc.encode([x or "" for x in part])
-                n = np.diff(off) + 1
-                upto = np.cumsum(n) - n
-                all_ids = np.full(len(ids) + len(n), end_id, "<i4")
-                all_ids[np.arange(len(ids)) + np.repeat(np.arange(len(n)), n - 1)] = ids
-                doc, start, length = cuts(n, capacity)
-                raw, a = memoryview(all_ids).cast("B"), (upto[doc] + start) * 4
-                crc = [zlib.crc32(raw[x:y]) for x, y in zip(a.tolist(), (a + 4 * length).tolist())]
-                columns = [b.column(0).slice(t.first, len(t)).take(pa.array(doc)), pa.array(start), pa.array(length), pa.array(crc, pa.int64()), pa.array(n[doc])]
-                if with_ids:
-                    where = np.repeat(upto[doc] + start - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
-                    columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32)), pa.array(all_ids[where])))
-                yield from fill.add(pa.Table.from_arrays(columns, names))
-        yield from fill.rest()
+        try:
+            for b in batches:
+                column = b.column(1)
+                for t in texts(column, _RUN):
+                    part = column.slice(t.first, len(t)).to_pylist()
+                    ids, off = enc.encode([x or "" for x in part])
+                    n = np.diff(off) + 1
+                    upto = np.cumsum(n) - n
+                    all_ids = np.full(len(ids) + len(n), end_id, "<i4")
+                    all_ids[np.arange(len(ids)) + np.repeat(np.arange(len(n)), n - 1)] = ids
+                    doc, start, length = cuts(n, capacity)
+                    raw, a = memoryview(all_ids).cast("B"), (upto[doc] + start) * 4
+                    crc = [zlib.crc32(raw[x:y]) for x, y in zip(a.tolist(), (a + 4 * length).tolist())]
+                    columns = [b.column(0).slice(t.first, len(t)).take(pa.array(doc)), pa.array(start), pa.array(length), pa.array(crc, pa.int64()), pa.array(n[doc])]
+                    if with_ids:
+                        where = np.repeat(upto[doc] + start - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+                        columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32)), pa.array(all_ids[where])))
+                    yield from fill.add(pa.Table.from_arrays(columns, names))
+            yield from fill.rest()
+        finally:  # workers are kept between tasks, and the table is large
+            release()
 
     def again(level: int, last: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

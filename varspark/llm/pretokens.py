@@ -184,3 +184,8 @@ def encoder(path: str | None = None, pattern: str | None = None) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path, pattern)
     return _encoders[path]
+
+
+def release() -> None:
+    """Forgets the encoders of this Python worker."""
+    _encoders.clear()
