@@ -74,7 +74,11 @@ def needed(size: np.ndarray, band: np.ndarray, role: int, percent: int) -> np.nd
     else:
         partner = np.where(band > 0, last[np.maximum(band - 1, 0)], 1)
         partner = np.minimum(partner, size)
-    return np.maximum(most_errors(size, partner, percent), 0) + 1
+    # H falls by 1 where the least intersection steps up, and never over two steps: the largest H
+    # is at the largest partner or at the one before
+    most = np.maximum(most_errors(size, partner, percent), 0)
+    before = np.where(100 * (partner - 1) >= percent * size, most_errors(size, partner - 1, percent), 0)
+    return np.maximum(most, before) + 1
 
 
 def _subsets(doc: np.ndarray, h: np.ndarray, size: np.ndarray, role: int, percent: int):
