@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from varspark.llm import jaccard
+from varspark.llm import jaccard, mixing
 
 
 def test_needed_covers_every_partner():
@@ -31,3 +31,13 @@ def test_jaccard_of_short_texts_in_neighbouring_bands(spark):
             rows += [(a, " ".join(words[: small + 4])), (a + 1, " ".join(words))]
     got = jaccard.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len(got) == len(rows) and all(r.component_id == r.doc_id // 2 * 2 for r in got)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
+def test_mixing_passes_over_what_does_not_fit(spark, seed):
+    """Source a: one document of 20,000 words and 200 of 100; its target is 36,000 of 40,000 words."""
+    sized = [(i, "a", 20_000 if i == 0 else 100) for i in range(201)] + [(1000 + i, "b", 100) for i in range(680)]
+    d = spark.createDataFrame(sized, "doc_id long, source string, n int").withColumn("text", F.expr("repeat('w ', n)")).drop("n")
+    plan = mixing.mix(d, seed=seed).filter("source = 'a'").groupBy().agg(F.first("target").alias("t"), F.sum("taken").alias("n"), F.first("source_size").alias("s")).first()
+    assert plan.t == pytest.approx(36_000) and plan.s == 40_000
+    assert abs(plan.n - plan.t) <= 50

@@ -63,6 +63,25 @@ def targets(sources: DataFrame, cap: float = 3.0, weights: tuple[float, ...] = (
     return s.select("source", "key", "source_size", F.least("most", F.col("weight") * share).alias("target"))
 
 
+def _cut(docs: DataFrame, gap: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` (key, id, row, size, rank, bin) with ``drawn``, true for the lowest ranks of each key whose words
+    stay within its gap (key, gap), of the documents that are not longer than the gap; and the gaps left."""
+    at = join_small(docs, gap, "key", "inner").withColumn("words", F.when(F.col("size") <= F.col("gap"), F.col("size")).otherwise(0))
+    hist = at.groupBy("key", "bin").agg(F.sum("words").alias("words"))
+    upto = F.sum("words").over(Window.partitionBy("key").orderBy("bin"))
+    edge = join_small(hist, gap, "key", "inner").withColumn("upto", upto).filter("upto > gap")
+    edge = edge.groupBy("key").agg(F.min("bin").alias("edge"), F.min_by(F.col("upto") - F.col("words"), "bin").alias("before"))
+    edge = stage(edge, "mix-edges")
+    at = join_small(at, edge, "key", "left")
+    run = F.sum("words").over(Window.partitionBy("key").orderBy("rank", "id", "row")) + F.col("before")
+    inside = stage(at.filter(F.col("bin") == F.col("edge")).withColumn("run", run).select("row", (F.col("run") <= F.col("gap")).alias("in")), "mix-edge")
+    drawn = (F.col("words") > 0) & F.coalesce("in", F.col("bin") < F.coalesce("edge", F.lit(_BINS)))
+    done = stage(join_small(at, inside, "row", "left").withColumn("drawn", drawn).select(*docs.columns, "drawn"), "mix-drawn")
+    spent = done.filter("drawn").groupBy("key").agg(F.sum("size").alias("spent"))
+    left = join_small(gap, stage(spent, "mix-spent"), "key", "left").select("key", (F.col("gap") - F.coalesce("spent", F.lit(0))).alias("gap"))
+    return done, stage(left, "mix-gap")
+
+
 def mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -77,8 +96,10 @@ def mix(
     Result, one row for each row of ``docs``: ``id_col``, ``source_col``, rid (hash of the text),
     size (words), source_size, target, expected (copies), copies (long), taken (words).  Expected
     copies are proportional to the logarithm of the size and at most ``cap``; their words add up to
-    the target.  The budget is spent by whole documents only; what is missing after the last
-    rank that fits is closed by up to three more documents, each the best fit for the gap.
+    the target.  The budget is spent by whole documents only.  After the last rank that fits, the
+    gap takes its best fit, then goes on down the ranks with all documents that still fit, and so
+    on until none does; each round at least halves the gap.  One document that is too long may
+    close what is left, where that comes closer to the target.
 
     Null texts have size 0 and are never taken; null sources are one source, the last; rows
     without an id take part as others do.  Repeated rows are drawn one by one.  Draws depend on
@@ -114,35 +135,27 @@ def mix(
     d = d.withColumn("rank", F.when(F.col("pi") > 0, odds / (1 + odds)))
     d = d.withColumn("bin", F.least(F.floor(F.col("rank") * _BINS), F.lit(_BINS - 1)))
 
-    hist = d.groupBy("key", "bin").agg(F.sum(F.col("whole") * F.col("size")).alias("sure"), F.sum("size").alias("words"))
-    hist = stage(hist, "mix-bins")
-    left = join_small(hist.groupBy("key").agg(F.sum("sure").alias("sure")), goal.select("key", "target"), "key", "inner")
-    left = left.select("key", (F.col("target") - F.col("sure")).alias("budget"))
-    upto = F.sum("words").over(Window.partitionBy("key").orderBy("bin"))
-    edge = join_small(hist.filter("bin is not null"), left, "key", "inner").withColumn("upto", upto).filter("upto > budget")
-    edge = edge.groupBy("key").agg(F.min("bin").alias("edge"), F.min_by(F.col("upto") - F.col("words"), "bin").alias("before"))
-    edge = stage(left.join(edge, "key", "left"), "mix-edges")
-
-    d = join_small(d, edge, "key", "left")
-    at_edge = d.filter(F.col("bin") == F.col("edge"))
-    run = F.sum("size").over(Window.partitionBy("key").orderBy("rank", "id", "row")) + F.col("before")
-    inside = stage(at_edge.withColumn("run", run).select("row", "run", (F.col("run") <= F.col("budget")).alias("in")), "mix-edge")
-    d = stage(d.join(inside, "row", "left").withColumn("drawn", F.coalesce("in", F.col("bin") < F.coalesce("edge", F.lit(_BINS)), F.lit(False))), "mix-drawn")
-
-    spent = d.filter("drawn").groupBy("key").agg(F.sum("size").alias("spent"))
-    gap = edge.join(spent, "key", "left").select("key", (F.col("budget") - F.coalesce("spent", F.lit(0))).alias("gap"))
-    rest = stage(d.filter((F.col("pi") > 0) & ~F.col("drawn")).select("key", "size", "rank", "row"), "mix-rest")
-    closing = []  # the documents that fill the gap: for each source one in each round
-    for last in (False, False, True):
-        best = join_small(rest, gap, "key", "inner").withColumn("miss", F.abs(F.col("gap") - F.col("size")))
-        best = best.filter(F.col("miss") < F.col("gap") if last else F.col("size") <= F.col("gap"))
-        best = stage(best.groupBy("key").agg(F.min(F.struct("miss", "rank", "row", "size")).alias("b")).select("key", "b.row", "b.size"), "mix-closing")
-        gap = gap.join(best.select("key", "size"), "key", "left").select("key", (F.col("gap") - F.coalesce("size", F.lit(0))).alias("gap"))
-        rest = rest.join(F.broadcast(best.select("row")) if best.count() <= BROADCAST_ROWS else best.select("row"), "row", "left_anti")
-        closing.append(best.select("row"))
-    closing = reduce(DataFrame.unionByName, closing).withColumn("closes", F.lit(True))
-    copies = (F.col("whole") + F.when(F.col("drawn") | F.col("closes").isNotNull(), 1).otherwise(0)).cast("long")
-    d = join_small(d, closing, "row", "left").withColumn("copies", copies)
+    sure = stage(d.groupBy("key").agg(F.sum(F.col("whole") * F.col("size")).alias("sure")), "mix-sure")
+    gap = stage(join_small(sure, goal.select("key", "target"), "key", "inner").select("key", (F.col("target") - F.col("sure")).alias("gap")), "mix-gap")
+    rest, gap = _cut(d.filter("pi > 0").select("key", "id", "row", "size", "rank", "bin"), gap)
+    taken = [rest.filter("drawn").select("row")]
+    # what no document of the gap's size or less can close is closed by a longer one, of less than twice the gap
+    near = lambda: join_small(rest.filter("not drawn").drop("drawn"), gap, "key", "inner").filter("size < 2 * gap")
+    while True:
+        open_ = stage(near(), "mix-rest")
+        fits = open_.filter("size <= gap")
+        if not fits.limit(1).count():
+            break
+        best = stage(fits.groupBy("key").agg(F.min(F.struct(F.col("gap") - F.col("size"), "rank", "row", "size")).alias("b")).select("key", "b.row", "b.size"), "mix-best")
+        taken.append(best.select("row"))
+        gap = stage(join_small(gap, best.select("key", "size"), "key", "left").select("key", (F.col("gap") - F.coalesce("size", F.lit(0))).alias("gap")), "mix-gap")
+        open_ = join_small(open_.drop("gap"), best.select("key", F.col("row").alias("best")), "key", "left").filter(~F.col("row").eqNullSafe(F.col("best"))).drop("best")
+        rest, gap = _cut(open_, gap)
+        taken.append(rest.filter("drawn").select("row"))
+    last = open_.groupBy("key").agg(F.min(F.struct(F.col("size") - F.col("gap"), "rank", "row")).alias("b")).select("b.row")
+    drawn = reduce(DataFrame.unionByName, [*taken, last]).withColumn("drawn", F.lit(True))
+    copies = (F.col("whole") + F.when(F.col("drawn"), 1).otherwise(0)).cast("long")
+    d = join_small(d, drawn, "row", "left").withColumn("copies", copies)
     return d.select(
         F.col("id").alias(id_col), F.col("source").alias(source_col), "rid", "size", "source_size", "target", "expected", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
