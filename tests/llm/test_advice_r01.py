@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from varspark.llm import jaccard, mixing
+from varspark.llm import html, jaccard, mixing
 
 
 def test_needed_covers_every_partner():
@@ -41,3 +41,12 @@ def test_mixing_passes_over_what_does_not_fit(spark, seed):
     plan = mixing.mix(d, seed=seed).filter("source = 'a'").groupBy().agg(F.first("target").alias("t"), F.sum("taken").alias("n"), F.first("source_size").alias("s")).first()
     assert plan.t == pytest.approx(36_000) and plan.s == 40_000
     assert abs(plan.n - plan.t) <= 50
+
+
+def test_blocks_lose_no_article_to_open_elements():
+    for before in '<svg class="i"/>', '<object data="a"/>', "<select-menu>x</select-menu>", "<button-bar>", "<button>", "<select>", '<iframe src="x">', "<svg>", "<object>":
+        page = f"<div>{before}<p>Article</p></div><div><button>Send</button><select><option>1</select><iframe></iframe><svg><title>t</title></svg><object></object></div>"
+        found = [b.text for b in html.blocks(page)]
+        assert "Article" in found and not {"Send", "1", "t"} & set(found), before
+    assert [b.text for b in html.blocks("<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds<svg><g>no</g></svg>.</p>")] == ["So x=1 holds ."]
+    assert [b.text for b in html.blocks("<svg><svg>a</svg>b</svg><p>c</p><script>d</p>")] == ["c"]

@@ -26,18 +26,45 @@ _PATH, _WORDS, _MEASURES, _HIDDEN = 160, 32, 8, 16
 _INPUT = _PATH + _WORDS + _MEASURES
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|math|iframe|object|select|textarea|button|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*(?:>|\Z)|\Z)"
     r"|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.S | re.I,
 )
+#: Left out with all they hold, if they are closed; of those that nest in themselves the closed ones.
+_LEFT_OUT = frozenset("noscript template svg iframe object select button".split())
+_NESTS = frozenset("template svg object".split())
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
-_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+_INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr "
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom menclose mfenced maction msub msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr mlabeledtr mtd semantics annotation annotation-xml".split()
+)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Tags that end an open tag of the same name, and how far up they look for it.
 _CLOSES_ITSELF = frozenset("p li dt dd tr td th option".split())
 
 
+def _left_out(tags: list[re.Match]) -> dict[int, int]:
+    """Places of opening tags whose elements are left out, and of the tags that close them."""
+    ends: dict[int, int] = {}
+    waiting: dict[str, list[int]] = {}
+    for i, m in enumerate(tags):
+        name = m[3].lower() if m[3] else ""
+        if name not in _LEFT_OUT:
+            continue
+        places = waiting.setdefault(name, [])
+        if m[2]:
+            if places:
+                ends[places.pop()] = i
+        elif m[4].endswith("/"):
+            ends[i] = i
+        else:
+            if name not in _NESTS:  # one that opens in another shows that the other is not closed
+                places.clear()
+            places.append(i)
+    return ends
+
+
 @dataclass
 class Block:
     path: tuple[str, ...]  # features of the open tags, outermost first
@@ -61,7 +88,13 @@ def blocks(html: str) -> list[Block]:
             parts.clear()
         linked = 0
 
-    for m in _TAG.finditer(html):
+    tags = list(_TAG.finditer(html))
+    ends = _left_out(tags)
+    upto = -1  # the tag that ends what is left out
+    for k, m in enumerate(tags):
+        if k <= upto:
+            at = m.end()
+            continue
         if m.start() > at:
             parts.append(html[at : m.start()])
             if in_link:
@@ -72,6 +105,10 @@ def blocks(html: str) -> list[Block]:
             if m[1]:
                 parts.append(" ")
             continue
+        if k in ends:
+            upto = ends[k]
+            parts.append(" ")
+            continue
         name = name.lower()
         if name in _INLINE:
             if name == "a":
@@ -402,7 +439,7 @@ def main_text(pages: DataFrame, labeller: Labeller, html_col: str = "html", leas
 
     The whole of each page is read, whatever its length.  Null, empty and untagged pages are cut and
     labelled like others (null as empty, so the text is empty); repeated rows give equal texts; unclosed and unknown tags
-    do no harm; a column ``text`` of the pages is replaced.  Scripts, styles, comments of the markup, and controls of forms are never text.
+    do no harm; a column ``text`` of the pages is replaced.  Scripts, styles, comments of the markup, and closed controls of forms are never text.
     """
     sent = pages.sparkSession.sparkContext.broadcast(labeller)
     pages = pages.drop("text") if html_col != "text" else pages.withColumnRenamed("text", "html")
