@@ -50,3 +50,10 @@ def test_blocks_lose_no_article_to_open_elements():
         assert "Article" in found and not {"Send", "1", "t"} & set(found), before
     assert [b.text for b in html.blocks("<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds<svg><g>no</g></svg>.</p>")] == ["So x=1 holds ."]
     assert [b.text for b in html.blocks("<svg><svg>a</svg>b</svg><p>c</p><script>d</p>")] == ["c"]
+
+
+def test_features_read_the_whole_block():
+    same = "some words of one opening " * 20
+    a, b, c = (html.features([html.Block(("t:p",), same + rest, 0)])[0] for rest in ("alpha beta gamma " * 50, "delta omega kappa " * 50, "alp, bet. gamma; " * 50))
+    assert (a[html._PATH : html._PATH + html._WORDS] != b[html._PATH : html._PATH + html._WORDS]).any() and c[-6] > a[-6]
+    assert a[html._PATH : html._PATH + html._WORDS].sum() == pytest.approx(1)

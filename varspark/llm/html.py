@@ -158,12 +158,11 @@ def features(page: list[Block]) -> np.ndarray:
     for i, b in enumerate(page):
         for f in set(b.path):
             x[i, _hash(f) % _PATH] = 1
-        words = b.text[:400].lower().split()  # the vector samples long blocks; the text stays whole
-        for w in words[:24]:
-            x[i, _PATH + _hash(w) % _WORDS] += 1 / max(4, min(24, len(words)))
+        words = b.text.lower().split()
+        x[i, _PATH : _PATH + _WORDS] = np.bincount([_hash(w) % _WORDS for w in words], minlength=_WORDS) / max(4, len(words))
         k = len(b.text)
         x[i, -_MEASURES:] = (
-            np.log1p(k) / 8, min(1.0, b.linked / k), sum(b.text[:400].count(c) for c in ".,;!?") / max(1, min(400, k)) * 10, float(k < 40), float(k > 160), i / n, (n - i) / n, len(b.path) / 10,
+            np.log1p(k) / 8, min(1.0, b.linked / k), sum(b.text.count(c) for c in ".,;!?") / max(1, k) * 10, float(k < 40), float(k > 160), i / n, (n - i) / n, len(b.path) / 10,
         )
     return x
 
