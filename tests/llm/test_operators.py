@@ -376,30 +376,33 @@ def test_chi_square_quantile():
     assert ann.chi_square_quantile(0.5, 2) == pytest.approx(2 * math.log(2), abs=1e-6)
 
 
-@pytest.mark.parametrize("frequent", [5, 100000])
-def test_backoff_scores(docs, local, frequent):
+@pytest.mark.parametrize("order, chunk", [(1, 1 << 23), (2, 100), (3, 1 << 23), (3, 2000), (4, 500)])
+def test_backoff_scores(docs, local, order, chunk):
     texts_ = [(r["doc_id"], WORD.findall(lowered(r["text"]))) for r in local]
-    uni, bi = Counter(), Counter()
+    seen = Counter()
     for _, w in texts_:
-        uni.update(w)
-        bi.update(zip(w, w[1:]))
-    total = sum(uni.values())
+        seen.update(tuple(w[i : i + k]) for k in range(1, order + 1) for i in range(len(w) - k + 1))
+    total = sum(n for g, n in seen.items() if len(g) == 1)
     want = defaultdict(lambda: [0, 0, 0])
     for i, w in texts_:
         want[i]
-        for k, x in enumerate(w):
-            if k == 0:
-                s = uni[x] / total
-            elif bi[w[k - 1], x] >= 2:
-                s = bi[w[k - 1], x] / uni[w[k - 1]]
-            else:
-                s = 0.4 * (uni[x] / total)
-                want[i][1] += 1
+        for at, x in enumerate(w):
+            longest = min(order, at + 1)
+            for k in range(longest, 0, -1):
+                gram = tuple(w[at - k + 1 : at + 1])
+                if k == 1 or seen[gram] >= 2:
+                    break
+            s = 0.4 ** (longest - k) * (seen[gram] / (seen[gram[:-1]] if k > 1 else total))
             want[i][0] += 1
+            want[i][1] += k < longest
             want[i][2] += round(math.log(s) * 1e6)
-    got = lm.backoff_scores(docs, frequent=frequent).collect()
+    got = lm.backoff_scores(docs, order=order, chunk=chunk).collect()
     assert {r.doc_id: [r.n_words, r.n_backoff, round(r.log_score * 1e6)] for r in got} == dict(want)
-    assert lm.backoff_scores(docs.limit(0)).count() == 0
+    assert lm.backoff_scores(docs.limit(0), order=order).count() == 0
+    if order == 3:
+        counts = lm.ngram_counts(docs)
+        assert Counter((r.k, r.n) for r in counts.collect()) == Counter((len(g), n) for g, n in seen.items())
+        assert counts.count() == counts.select("k", "gram").distinct().count() and lm.ngram_counts(docs.limit(0)).count() == 0
 
 
 def test_edits(spark, docs, local):

@@ -1,10 +1,9 @@
-"""Stupid-backoff scores of documents by bigrams, as joins and sums.
+"""Stupid-backoff scores of documents: n-gram count tables, joined to the documents' n-grams.
 
-Count tables are partitioned by hash.  Each bigram occurrence goes, packed with others of its
-batch, to the partition of its count: that of its first word, where the word's own count is met
-as well; or, if the first word is one of the most frequent (whose counts every task knows), that
-of the bigram, so that no frequent word fills a partition.  Occurrences that back off to a word
-that is not frequent are joined to the unigram table.  Scores are summed per document.
+Texts are cut into chunks of about 8 MB.  A chunk's n-grams are exploded and counted where they are, so that
+an n-gram, however frequent, leaves a chunk once for each order.  These (n-gram, n) rows, packed by the
+range of the n-gram's hash, meet in the count tables, one range at a time; the tables' totals are joined back to
+the chunks by the same rows, and a chunk's words are scored from them and summed by document.
 """
 
 from __future__ import annotations
@@ -16,13 +15,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, width
+from .common import stage, tidy, width
 from .textvec import U, mix, texts, words
 
-#: Frequent words that every task knows: a broadcast of at most this many counts.
-FREQUENT = 100_000
+#: Bytes of text in a chunk (a longer text is a chunk of its own).
+CHUNK = 1 << 23
 _BASE = U(0x9E3779B97F4A7C15)
-_END = U(1)  # follows a document's last word
+_CHUNKS = "chunk long, tokens long, data binary"
+_ROWS = "chunk long, k int, bucket int, n int, data binary"
 
 
 def micro(x: np.ndarray) -> np.ndarray:
@@ -30,206 +30,238 @@ def micro(x: np.ndarray) -> np.ndarray:
     return np.rint(np.log(x) * 1e6).astype(np.int64)
 
 
-def _edges(bucket: np.ndarray, buckets: int) -> np.ndarray:
-    return np.searchsorted(bucket, np.arange(buckets + 1))
+def _squeezed(x: np.ndarray) -> bytes:
+    return pa.compress(x.tobytes(), "zstd", asbytes=True)
 
 
-def _unigrams(buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [words(t, True).hash for t in texts(b.column(1))]
-            if not found:
-                continue
-            h, n = np.unique(np.concatenate(found), return_counts=True)
-            bucket = (h % U(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            h, n, edge = h[order], n[order], _edges(bucket[order], buckets)
-            full = np.flatnonzero(np.diff(edge)).tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([h[edge[i] : edge[i + 1]].tobytes() + n[edge[i] : edge[i + 1]].tobytes() for i in full], pa.binary())], ["bucket", "data"])
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of unsigned numbers as bytes: by planes, which are compressed."""
+    parts = []
+    for x in arrays:
+        wide = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
+        planes = x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :wide]
+        data = _squeezed(np.ascontiguousarray(planes.T))
+        parts += [np.array([len(x), wide, len(data)], "<i8").tobytes(), data]
+    return b"".join(parts)
 
-    return run
 
+def _unpacked(raw: bytes) -> list[np.ndarray]:
+    found, at = [], 0
+    while at < len(raw):
+        n, wide, size = np.frombuffer(raw, "<i8", 3, at).tolist()
+        at += 24
+        planes = np.frombuffer(pa.decompress(raw[at : at + size], n * wide, "zstd", asbytes=True), np.uint8).reshape(wide, n)
+        x = np.zeros((n, 8), np.uint8)
+        x[:, :wide] = planes.T
+        found.append(x.reshape(-1).view("<u8"))
+        at += size
+    return found
 
-def _summed(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(h, kind="stable")
-    h, n = h[order], n[order]
-    first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
-    return h[first], np.add.reduceat(n, first) if len(h) else n
 
+def _batches(rows: list[tuple], names: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    fields = [f.split() for f in names.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, (_, t) in zip(zip(*rows), fields)], [f for f, _ in fields])
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    data = [np.frombuffer(x, np.int64).reshape(2, -1) for b in batches for x in b.column(1).to_pylist()]
-    if data:
-        h, n = _summed(*np.concatenate(data, 1))
-        for i in range(0, len(h), 500_000):
-            yield pa.RecordBatch.from_arrays([pa.array(h[i : i + 500_000]), pa.array(n[i : i + 500_000])], ["word", "n"])
 
+def _chunked(most: int):
+    """(id, text) -> chunks: ids, words of each document, the words' hashes and each word's place among them."""
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, n) over all of ``docs`` (id, text): hashes of words with A-Z lower-cased."""
-    n = width(docs.sparkSession)
-    parts = docs.mapInArrow(_unigrams(2 * n), "bucket int, data binary")
-    return stage(parts.repartition(n, "bucket").mapInArrow(_count_words, "word long, n long"), "word-counts")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
+        task = TaskContext.get()
+        first = (task.partitionId() if task else 0) << 32
+        number, size, held = 0, 0, []
 
-class Frequent:
-    """Counts of the most frequent words, and of all words together."""
+        def closed():
+            ids, counts, hashes = (np.concatenate(x) for x in zip(*held))
+            known, code, often = np.unique(hashes, return_inverse=True, return_counts=True)
+            place = np.empty(len(known), np.int64)
+            place[np.argsort(-often, kind="stable")] = np.arange(len(known))  # frequent words have small numbers
+            words_ = np.empty(len(known), U)
+            words_[place] = known
+            return _batches([(first + number, len(hashes), _packed(ids.view(U), counts, words_, place[code]))], _CHUNKS)
 
-    def __init__(self, word: np.ndarray, n: np.ndarray, total: int):
-        order = np.argsort(word)
-        self.word, self.n, self.total = word[order], n[order], total
+        for b in batches:
+            ids = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for t in texts(b.column(1)):
+                w = words(t, True)
+                held.append((ids[t.first : t.first + len(t)], np.bincount(w.doc, minlength=len(t)), w.hash))
+                size += len(t.data)
+                if size >= most:
+                    yield closed()
+                    number, size, held = number + 1, 0, []
+        if held:
+            yield closed()
 
-    def place(self, word: np.ndarray) -> np.ndarray:
-        """Where each word is in the table, or -1."""
-        if not len(self.word):
-            return np.full(len(word), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.word, word), len(self.word) - 1)
-        return np.where(self.word[at] == word, at, -1)
+    return run
+
+
+def grams(hashes: np.ndarray, place: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k-grams that end at each word, and whether the document has as many words there (``place``: from 0)."""
+    h = hashes
+    for _ in range(k - 1):
+        h = np.concatenate([hashes[:1], mix(h[:-1] * _BASE + hashes[1:])])
+    return h, place >= k - 1
 
 
-def _bigrams(sent, buckets: int):
-    """Texts -> packed bigram occurrences by bucket, and each document's first word and size."""
+def _opened(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    ids, counts, known, code = _unpacked(raw)
+    counts = counts.astype(np.int64)
+    place = np.arange(len(code)) - np.repeat(np.cumsum(counts) - counts, counts)
+    return ids.view(np.int64), counts, known[code.astype(np.int64)], place
+
+
+def _own(order: int, buckets: int):
+    """Chunks -> their own counts: for each order and range of hashes the n-grams in order, and how often each is there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent: Frequent = sent.value
         for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
-            a_all, c_all, d_all = [], [], []
-            for t in texts(b.column(1)):
-                w = words(t, True)
-                if len(w.hash):
-                    follows = np.full(len(w.hash), _END, U)
-                    same = w.doc[1:] == w.doc[:-1]
-                    follows[:-1][same] = w.hash[1:][same]
-                    first = np.r_[True, ~same]
-                    # a document's first word: a bigram of its start, which always backs off
-                    a_all += [np.full(int(first.sum()), U(0)), w.hash]
-                    c_all += [w.hash[first], follows]
-                    d_all += [w.doc[first] + t.first, w.doc + t.first]
-            if not a_all:
-                continue
-            a, c, d = np.concatenate(a_all), np.concatenate(c_all), np.concatenate(d_all).astype(np.uint32)
-            known = frequent.place(a) >= 0
-            keep = ~(known & (c == _END))  # only needed to count a word that is not frequent
-            a, c, d, known = a[keep], c[keep], d[keep], known[keep]
-            by = np.where(known | (a == 0), mix(a * _BASE + c), a)
-            bucket = ((by >> U(33)) % U(buckets)).astype(np.int64)
-            order = np.lexsort((a, bucket))
-            a, c, d, edge = a[order], c[order], d[order], _edges(bucket[order], buckets)
-            code = frequent.place(c)
-            rows = []
-            for i in np.flatnonzero(np.diff(edge)).tolist():
-                s = slice(edge[i], edge[i + 1])
-                head = np.flatnonzero(np.r_[True, a[s][1:] != a[s][:-1]])
-                rare, back = np.unique(c[s][code[s] < 0], return_inverse=True)
-                codes = code[s].astype(np.uint32)
-                codes[code[s] < 0] = back + len(frequent.word)
-                docs, place = np.unique(d[s], return_inverse=True)
-                place = place.astype(np.uint16 if len(docs) < 1 << 16 else np.uint32)
-                sizes = (len(head), len(rare), len(docs), len(codes), place.itemsize)
-                data = [np.array(sizes, np.int64), a[s][head], rare, ids[docs].astype(np.int64), np.diff(np.r_[head, len(codes)]).astype(np.uint32), codes, place]
-                rows.append((i, b"".join(x.tobytes() for x in data)))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "data"])
+            for chunk, raw in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
+                _, _, hashes, place = _opened(raw)
+                for k in range(1, order + 1):
+                    h, there = grams(hashes, place, k)
+                    h, n = np.unique(h[there], return_counts=True)
+                    if not len(h):
+                        continue
+                    bucket = ((h >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
+                    head = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+                    step = np.diff(h, prepend=h[:1])
+                    step[head] = 0
+                    wide = max(1, (int(step.max()).bit_length() + 7) // 8)
+                    step = step.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :wide]
+                    few, rows = np.minimum(n, 255).astype(np.uint8), []
+                    for i, j in zip(head.tolist(), np.append(head[1:], len(h)).tolist()):
+                        many = n[i:j][few[i:j] == 255]
+                        data = bytes([wide]) + h[i : i + 1].tobytes() + step[i:j].tobytes() + few[i:j].tobytes() + many.astype("<i8").tobytes()
+                        rows.append((chunk, k, int(bucket[i]), j - i, data))
+                    yield _batches(rows, _ROWS)
 
     return run
 
 
-_PART = "kind int, doc long, word long, micro long, words long, backed long"
-_SUM, _ASK = 0, 1
+def _counted(raw: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    wide = raw[0]
+    step = np.zeros((n, 8), np.uint8)
+    step[:, :wide] = np.frombuffer(raw, np.uint8, n * wide, 9).reshape(n, wide)
+    h = step.reshape(-1).view("<u8")
+    h[0] = np.frombuffer(raw, "<u8", 1, 1)[0]
+    few = np.frombuffer(raw, np.uint8, n, 9 + n * wide).astype(np.int64)
+    few[few == 255] = np.frombuffer(raw, "<i8", offset=9 + n * (wide + 1))
+    return np.cumsum(h, dtype=U), few
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], by: tuple[str, ...]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Rows in runs of equal ``by``, of partitions that are sorted by it."""
+    last, held = None, []
+    for b in batches:
+        columns = [b.column(n).to_pylist() for n in b.schema.names]
+        keys = zip(*(columns[b.schema.names.index(c)] for c in by))
+        for key, row in zip(keys, zip(*columns)):
+            if key != last and held:
+                yield last, held
+                held = []
+            last = key
+            held.append(row)
+    if held:
+        yield last, held
+
 
+def _totals(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The count table of one range: n-grams, their totals, the place in it of each row's n-grams, the rows' edges."""
+    got = [_counted(r[4], r[3]) for r in rows]
+    known, at = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
+    total = np.bincount(at, np.concatenate([g[1] for g in got]), len(known)).astype(np.int64)
+    return known, total, at, np.cumsum([0, *(len(g[0]) for g in got)])
 
-def _per_document(doc, value, words_, backed) -> tuple[np.ndarray, ...]:
-    order = np.argsort(doc, kind="stable")
-    doc = doc[order]
-    first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
-    return doc[first], *(np.add.reduceat(x[order], first) if len(doc) else x for x in (value, words_, backed))
 
+def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Count tables, joined to the rows that they were summed from: each chunk gets its n-grams' totals."""
+    for (bucket, k), rows in _grouped(batches, ("bucket", "k")):
+        _, total, at, edge = _totals(rows)
+        yield _batches([(r[0], k, bucket, r[3], _packed(total[at[i:j]])) for r, i, j in zip(rows, edge, edge[1:])], _ROWS)
 
-def _score(sent, min_count: int, backoff: float):
-    """One partition's bigrams -> sums by document; and, for words whose count is elsewhere, how often a
-    document backs off to them."""
 
+def _table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for (_, k), rows in _grouped(batches, ("bucket", "k")):
+        known, total, _, _ = _totals(rows)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(known), k, np.int32)), pa.array(known.view(np.int64)), pa.array(total)], ["k", "gram", "n"])
+
+
+def _scored(order: int, min_count: int, backoff: float, total: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent: Frequent = sent.value
-        a, c, d = [], [], []
-        for b in batches:
-            for raw in b.column(1).to_pylist():
-                heads, rares, docs, n, item = np.frombuffer(raw, np.int64, 5).tolist()
-                at = 40
-                parts = []
-                for kind, count in ((U, heads), (U, rares), (np.int64, docs), (np.uint32, heads), (np.uint32, n), (np.uint16 if item == 2 else np.uint32, n)):
-                    parts.append(np.frombuffer(raw, kind, count, at))
-                    at += parts[-1].nbytes
-                head, rare, ids, run_, code, place = parts
-                a.append(np.repeat(head, run_))
-                c.append(np.concatenate([frequent.word, rare])[code])
-                d.append(ids[place])
-        if not a:
-            return
-        a, c, d = np.concatenate(a), np.concatenate(c), np.concatenate(d)
-        pair = mix(a * _BASE + c)
-        order = np.argsort(pair, kind="stable")
-        first = np.flatnonzero(np.r_[True, pair[order][1:] != pair[order][:-1]])
-        n = np.empty(len(pair), np.int64)
-        size = np.diff(np.r_[first, len(pair)])
-        n[order] = np.repeat(size, size)
-        order = np.argsort(a, kind="stable")
-        first = np.flatnonzero(np.r_[True, a[order][1:] != a[order][:-1]])
-        size = np.diff(np.r_[first, len(a)])
-        context = np.empty(len(a), np.int64)
-        context[order] = np.repeat(size, size)
-        at = frequent.place(a)
-        context = np.where(at >= 0, frequent.n[at] if len(frequent.n) else 0, context)
-        real = c != _END
-        seen = real & (n >= min_count) & (a != 0)
-        back = real & ~seen
-        word = frequent.place(c)
-        ready = back & (word >= 0)
-        value = np.zeros(len(a), np.int64)
-        value[seen] = micro(n[seen] / context[seen])
-        share = frequent.n[word[ready]] / frequent.total
-        value[ready] = micro(np.where(a[ready] == 0, 1.0, backoff) * share)
-        doc, total, k, backed = _per_document(d[real], value[real], np.ones(int(real.sum()), np.int64), (back & (a != 0))[real].astype(np.int64))
-        zero = np.zeros(len(doc), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(zero.astype(np.int32)), *map(pa.array, (doc, zero, total, k, backed))], ["kind", "doc", "word", "micro", "words", "backed"])
-        ask = np.flatnonzero(back & (word < 0))
-        for i in range(0, len(ask), 500_000):
-            j = ask[i : i + 500_000]
-            # ``words`` says here whether the word starts its document
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(j), np.int32)), *map(pa.array, (d[j], c[j].view(np.int64), np.zeros(len(j), np.int64), (a[j] == 0).astype(np.int64), np.zeros(len(j), np.int64)))], ["kind", "doc", "word", "micro", "words", "backed"])
+        for _, rows in _grouped(batches, ("chunk",)):
+            ids, counts, hashes, place = _opened(rows[0][4])
+            seen: list[np.ndarray] = []
+            for k in range(1, order + 1):
+                h, there = grams(hashes, place, k)
+                n = np.zeros(len(h), np.int64)
+                own = [_unpacked(r[4])[0] for r in rows if r[1] == k]
+                if own:
+                    n[there] = np.concatenate(own).astype(np.int64)[np.unique(h[there], return_inverse=True)[1]]
+                seen.append(n)
+            steps = np.zeros(len(hashes))
+            share = np.zeros(len(hashes))
+            for k in range(order, 1, -1):
+                on = (share == 0) & (place >= k - 1)
+                hit = np.flatnonzero(on & (seen[k - 1] >= min_count))
+                share[hit] = backoff ** steps[hit] * (seen[k - 1][hit] / seen[k - 2][hit - 1])
+                steps[on] += 1
+                steps[hit] -= 1
+            rest = share == 0
+            share[rest] = backoff ** steps[rest] * (seen[0][rest] / max(1, total))
+            sums = np.zeros((2, len(ids)), np.int64)
+            full = counts > 0
+            if full.any():
+                head = (np.cumsum(counts) - counts)[full]
+                sums[:, full] = [np.add.reduceat(micro(share), head), np.add.reduceat((steps > 0).astype(np.int64), head)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, sums[0], counts, sums[1])], ["doc", "micro", "words", "backed"])
 
     return run
 
 
-def backoff_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_count: int = 2, backoff: float = 0.4, frequent: int = FREQUENT) -> DataFrame:
-    """Each document's score under the bigram counts of all documents.
+def _own_counts(chunks: DataFrame, order: int, tokens: int) -> DataFrame:
+    """The chunks' own counts, dealt by range of hashes; about a million n-grams of an order are in a range."""
+    n = width(chunks.sparkSession)
+    own = chunks.mapInArrow(tidy(_own(order, max(4 * n, tokens >> 20))), _ROWS)
+    return own.repartition(n, "bucket").sortWithinPartitions("bucket", "k")
+
+
+def _staged(docs: DataFrame, most: int = CHUNK) -> tuple[DataFrame, int]:
+    chunks = stage(docs.mapInArrow(tidy(_chunked(most)), _CHUNKS), "lm-chunks", batch=1000)
+    return chunks, chunks.agg(F.sum("tokens")).first()[0] or 0
+
+
+def ngram_counts(docs: DataFrame, text_col: str = "text", order: int = 3) -> DataFrame:
+    """(k, gram, n): how often each n-gram of 1 to ``order`` words is in all of ``docs``, by its hash."""
+    chunks, tokens = _staged(docs.select(F.lit(0).cast("long").alias("id"), F.col(text_col).alias("text")))
+    return stage(_own_counts(chunks, order, tokens).mapInArrow(tidy(_table), "k int, gram long, n long"), "lm-counts", batch=8)
+
+
+def backoff_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_count: int = 2, backoff: float = 0.4, order: int = 3, chunk: int = CHUNK) -> DataFrame:
+    """Each document's score under the counts of n-grams of up to ``order`` words of all documents.
 
-    Words have A-Z lower-cased.  A word after another scores c(pair) / c(first) if the pair was seen
-    ``min_count`` times, else ``backoff`` * c(word) / all words; a document's first word scores
-    c(word) / all words.  Result, one row for each id: ``id_col``, n_words, n_backoff, log_score (sum of
-    natural logarithms, each rounded to millionths), mean_log_score (null without words).
+    Words have A-Z lower-cased.  A word scores c(n-gram) / c(its first n - 1 words) by the longest n-gram that ends
+    there within its document and was seen ``min_count`` times, times ``backoff`` for each longer one that was not;
+    single words score c(word) / all words.  Result, one row for each id: ``id_col``, n_words, n_backoff (words that
+    backed off), log_score (sum of natural logarithms, each rounded to millionths), mean_log_score (null without words).
 
     Null and empty texts have no words and score 0.  Rows without an id count for the corpus and
     are scored together under a null id.  Rows of one id are scored together.  Texts of any
     length are read whole; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    n = width(spark)
+    if order < 1:
+        raise ValueError("order must be at least 1")
     none = F.lit(-(2**63))  # stands for a null id
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), none).alias("id"), F.col(text_col).alias("text"))
-    counts = word_counts(base)
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    top = counts.orderBy(F.desc("n"), "word").limit(frequent).toArrow()
-    known = Frequent(top["word"].to_numpy().view(U), top["n"].to_numpy(), total)
-    sent = spark.sparkContext.broadcast(known)
-    grams = base.mapInArrow(_bigrams(sent, 2 * n), "bucket int, data binary")
-    parts = stage(grams.repartition(n, "bucket").mapInArrow(_score(sent, min_count, backoff), _PART), "lm-parts")
-    asked = parts.filter(F.col("kind") == _ASK).groupBy("word", "doc", F.col("words").alias("first")).count()
-    share = F.when(F.col("first") == 1, 1.0).otherwise(backoff) * (F.col("n") / F.lit(float(max(1, total))))
-    rest = asked.join(counts, "word").select("doc", (F.col("count") * F.rint(F.log(share) * 1e6).cast("long")).alias("micro"), F.lit(0).cast("long").alias("words"), F.lit(0).cast("long").alias("backed"))
-    sums = parts.filter(F.col("kind") == _SUM).select("doc", "micro", "words", "backed").unionByName(rest)
-    sums = sums.unionByName(base.select(F.col("id").alias("doc"), *(F.lit(0).cast("long").alias(x) for x in ("micro", "words", "backed"))))
-    sums = sums.groupBy("doc").agg(*(F.sum(x).alias(x) for x in ("micro", "words", "backed")))
+    chunks, tokens = _staged(base, chunk)
+    answers = _own_counts(chunks, order, tokens).mapInArrow(tidy(_answers), _ROWS)
+    zero = F.lit(0).cast("int")
+    own = chunks.select("chunk", zero.alias("k"), zero.alias("bucket"), zero.alias("n"), "data")
+    joined = own.unionByName(answers).repartition(width(docs.sparkSession), "chunk").sortWithinPartitions("chunk", "k", "bucket")
+    parts = stage(joined.mapInArrow(tidy(_scored(order, min_count, backoff, tokens)), "doc long, micro long, words long, backed long"), "lm-scores", batch=8)
+    sums = parts.groupBy("doc").agg(*(F.sum(x).alias(x) for x in ("micro", "words", "backed")))
     log = F.col("micro") / 1e6
     return sums.select(
         F.when(F.col("doc") != none, F.col("doc")).alias(id_col),
