@@ -45,9 +45,11 @@ def test_stars(spark):
 
 
 def test_spliceai_fields(spark):
-    info = "SpliceAI=A|GENE1|0.10|0.20|0.30|0.40|5|6|7|8,A|GENE2|0.15|0.25|0.35|0.05|9|10|11|12"
+    info = "SpliceAI=T|ONE|0.01|0.62|0.07|0.33|-4|15|2|9,T|TWO|0.44|0.21|0.08|0.02|7|-1|30|6"
     v = value(spark, X.spliceai_info(F.lit(info)))
-    assert tuple(v) == (0.15, 0.25, 0.35, 0.40, 9, 10, 11, 12, 0.40)
+    assert tuple(v) == (0.44, 0.62, 0.08, 0.33, 7, 15, 30, 9, 0.62)
+    assert value(spark, X.spliceai_info(F.lit(info), F.lit("C"))) is None
+    assert value(spark, X.spliceai_info(F.lit(info), F.lit(None).cast("string")))["ds_ag"] == 0.44
 
 
 def test_flatten_ragged(spark):
@@ -59,9 +61,9 @@ def test_flatten_ragged(spark):
 
 
 def test_flatten_and_pack_are_inverse(spark):
-    df = spark.createDataFrame([(1, "a||b", "x"), (2, "", ""), (3, "|", "y|z")], "k int, a string, b string")
+    df = spark.createDataFrame([(1, "a||b", "x"), (2, "", ""), (3, "|", "y|z")], "_row_id int, a string, b string")
     long = S.explode_slots(df, a1="a", b1="b")
-    assert rows(S.pack_slots(long, {"a": "a1"}), "k", "a") == [(1, "a||b"), (2, ""), (3, "|")]
+    assert rows(S.pack_slots(long, {"a": "a1"}), "_row_id", "a") == [(1, "a||b"), (2, ""), (3, "|")]
 
 
 def test_clinvar_slots(spark):
@@ -105,10 +107,15 @@ def test_ranges_with_open_bounds(spark):
 
 
 def test_haplotypes(spark):
-    df = spark.createDataFrame([(1, "c.[1A>G;3G>T]", "ATGCC"), (2, "c.[1A>G;4C>T]", "ATGCC"), (3, "c.1A>G", "ATGCC"), (4, None, None)], "k int, nt string, target string")
-    out = M.rewrite_haplotypes(df, "nt", "target")
+    df = spark.createDataFrame([(1, "c.[7C>A;9T>C]", "AAACCCCGTTTT"), (2, "c.[7C>A;10T>C]", "AAACCCCGTTTT"), (3, "c.7C>A", "AAACCCCGTTTT"), (4, None, None), (5, "NM_7.1:c.[7c>a;8G>T]", ""), (6, "NM_7.1:c.[7C>A;9T>C]", ""), (7, "NM_7.1:c.[7C>A;12T>A]", ""), (8, "c.[7C>A;9T>C]", "")], "k int, nt string, target string")
+    own = [("", "AAACCCCGTTTT", x, f"NM_1.1:c.{x}") for x in ("7C>A", "9T>C", "10T>C")]
+    mapping = spark.createDataFrame([*own, ("NM_7.1", None, "7C>A", "NM_7.1:c.7C>A"), ("NM_7.1", "", "8G>T", "NM_7.1:c.8G>T"), ("NM_7.1", "", "9T>C", "NM_7.1:c.9T>C"), ("NM_7.1", "", "12T>A", "NM_7.1:c.12+1T>A")], "accession string, target string, component string, mapped_c string")
+    out = M.rewrite_haplotypes(df, mapping, "nt", "target")
     assert out.columns == ["k", "orig_raw_hgvs_nt", "nt", "target"]
-    assert rows(out.filter("k < 4"), "k", "nt") == [(1, "c.1_3delinsGTT"), (2, "c.[1A>G;4C>T]"), (3, "c.1A>G")]
+    got = dict(rows(out, "k", "nt"))
+    # 6: the base between is not known; 7: a component is not mapped to a plain substitution; 8: no target sequence
+    assert got == {1: "c.7_9delinsAGC", 2: "c.[7C>A;10T>C]", 3: "c.7C>A", 4: None, 5: "NM_7.1:c.7_8delinsAT", 6: "NM_7.1:c.[7C>A;9T>C]", 7: "NM_7.1:c.[7C>A;12T>A]", 8: "c.[7C>A;9T>C]"}
+    assert dict(rows(out, "k", "orig_raw_hgvs_nt")) == dict(rows(df, "k", "nt"))
 
 
 def test_upsert_and_errors(spark):
@@ -130,11 +137,97 @@ def test_merge_misses_are_blank(spark):
     assert sorted(r.score for r in T.merge_columns(base, extra, ["id"], ["key"], ["score"], order="o").collect()) == ["", "", "1.5"]
 
 
-def test_dense_ids_do_not_depend_on_partitions(spark):
-    df = spark.range(1000)
-    for n in (1, 7):
-        ids = T.with_row_id(df.repartition(n), ["id"])
-        assert ids.filter("id <> _row_id").count() == 0
+ORDERS = "/root/testdata/sf0.1/orders.parquet"
+SETTINGS = [{}, {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2m"}, {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}]
+
+
+@pytest.fixture(params=SETTINGS, ids=["default", "64 small", "64 apart"])
+def settings(spark, request):
+    before = {k: spark.conf.get(k) for k in request.param}
+    for k, v in request.param.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_dense_ids_of_wide_rows(spark, settings):
+    df = spark.read.parquet(ORDERS)
+    for d in (df, df.groupBy("o_orderkey").agg(*(F.first(c).alias(c) for c in df.columns if c != "o_orderkey"))):
+        ids = T.with_row_id(d, ["o_orderkey"])
+        n = df.count()
+        got = ids.agg(F.count("*"), F.countDistinct("_row_id"), F.min("_row_id"), F.max("_row_id"), F.countDistinct("o_orderkey")).first()
+        assert tuple(got) == (n, n, 0, n - 1, n)
+        pairs = ids.select("_row_id", "o_orderkey").toPandas().sort_values("_row_id")
+        assert pairs["o_orderkey"].is_monotonic_increasing
+    assert T.with_row_id(df.limit(0), ["o_orderkey"]).count() == 0
+
+
+def test_runs_over_partitions(spark, settings):
+    d = spark.read.parquet(ORDERS).select("o_orderkey", "o_orderpriority", "o_orderstatus").withColumn("o_orderpriority", F.when(F.col("o_orderkey") % 11 > 0, F.substring("o_orderpriority", 1, 1)))
+    for within in (None, ["o_orderstatus"]):
+        got = T.contiguous_runs(d, "o_orderpriority", "o_orderkey", within).toPandas().sort_values([*(within or []), "o_orderkey"])
+        keys = got["o_orderpriority"].fillna("")
+        for _, g in got.assign(k=keys).groupby("o_orderstatus") if within else [(0, got.assign(k=keys))]:
+            want = (g["k"] != g["k"].shift()).cumsum()
+            assert (g["run"] == want).all()
+    assert T.contiguous_runs(d.limit(0), "o_orderpriority", "o_orderkey").count() == 0
+
+
+def test_calibration_behind_a_shuffle(spark, settings):
+    df = spark.read.parquet(ORDERS).groupBy("o_orderkey").agg(F.first("o_orderdate").alias("o_orderdate"), F.first("o_custkey").alias("c"))
+    df = df.select("*", F.concat(F.lit("s"), (F.col("o_orderkey") % 50).cast("string"), F.lit("#"), F.col("o_orderkey").cast("string")).alias("urn"), (F.col("o_orderkey") % 1000).cast("string").alias("score"))
+    cals = spark.createDataFrame([(f"s{i}", 0, f"c{i}", f"t{i}", i % 2 == 0, True, False) for i in range(50)], "score_set string, ordinal int, calibration string, title string, `primary` boolean, investigator boolean, research_only boolean")
+    ranges = spark.createDataFrame([(f"c{i}", k, "low" if k == 0 else "high", None if k == 0 else 10.0 * i, 10.0 * i if k == 0 else None, None, None) for i in range(50) for k in (0, 1)], "calibration string, ordinal int, label string, low double, high double, low_in boolean, high_in boolean")
+    out = A.annotate_calibration(df, cals, ranges, "urn", "score", "m", "http://x")
+    i = F.col("o_orderkey") % 50
+    want = F.when(F.col("o_orderkey") % 1000 < 10 * i, "low").otherwise("high")
+    ok = (F.col("`m.primary_calibration.functional_class`") == want) & (F.col("`m.investigator_provided_calibration.functional_class`") == want) & (F.col("`m.primary_calibration.name`") == F.concat(F.lit("t"), i.cast("string")))
+    assert out.count() == df.count() and out.filter(~ok).count() == 0
+
+
+def test_steps_behind_a_shuffle(spark, settings):
+    """Rows without a key: ids are staged, so that both branches of a step see the same."""
+    df = spark.read.parquet(ORDERS).groupBy("o_orderkey").agg(F.first("o_comment" if "o_comment" in spark.read.parquet(ORDERS).columns else "o_orderpriority").alias("x"))
+    df = df.select("o_orderkey", "x", *(F.concat(F.lit(p), F.col("o_orderkey").cast("string"), F.lit("||"), F.lit(p), (F.col("o_orderkey") + 1).cast("string")).alias(n) for n, p in (("h", "H:"), ("v", "V"), ("i", "C"))))
+    e = spark.read.parquet(ORDERS).select(F.col("o_orderkey").alias("record"), F.concat(F.lit("u"), F.col("o_orderkey").cast("string")).alias("uuid"), F.array(F.concat(F.lit("H:"), F.col("o_orderkey").cast("string"))).alias("hgvs"), F.lit("").alias("variation_id"), F.lit("").alias("caid"))
+    out = A.annotate_evidence(df, e, "h", "v", "i", ["uuid"])
+    keys = e.select("record")
+    next_ = F.when(F.col("record").isNotNull(), F.concat(F.lit("u"), (F.col("o_orderkey") + 1).cast("string"))).otherwise("")
+    want = out.join(keys, F.col("record") == F.col("o_orderkey") + 1, "left").withColumn("want", F.concat(F.lit("u"), F.col("o_orderkey").cast("string"), F.lit("||"), next_))
+    assert out.count() == df.count() and want.filter("`clingen_evidence_repository.uuid` <> want").count() == 0
+
+
+def test_blank_keys_are_dealt_out(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        long = spark.range(100_000).select(F.col("id").alias("_row_id"), F.lit(0).alias("_slot"), F.lit("").alias("k"))
+        table = spark.range(10).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v"))
+        n = S.lookup(long, table, ["k"]).groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(n) == 64 and max(r["count"] for r in n) < 2500
+    finally:
+        for k, v in {"spark.sql.adaptive.enabled": "true", "spark.sql.autoBroadcastJoinThreshold": before, "spark.sql.shuffle.partitions": "4"}.items():
+            spark.conf.set(k, v)
+
+
+def test_chain_equals_single_annotations(spark):
+    df = spark.createDataFrame([(1, "CA1||CA2", "NC_000001.11:g.5A>G|", "NM_1.1:c.7del"), (2, None, "", "a|b|c|d"), (3, "CA2", "x", "")], "k int, ids string, g string, c string")
+    bridge = spark.createDataFrame([("CA1", "401", "1"), ("CA2", "402", "2")], "caid string, variation_id string, allele_id string")
+    summary = spark.createDataFrame([("1", "Benign", "practice guideline", "")], "allele_id string, clinical_significance string, review_status string, last_review_date string")
+    revel = spark.createDataFrame([("1", 5, "A", "G", "0.5")], "chrom string, pos long, ref string, alt string, score string")
+    from varspark.operators import coordinates as C
+    from varspark.plans.pipeline import pipeline
+
+    steps = [*C.coordinate_steps("g", "c", "ids"), A.clinvar_step(bridge, summary, "ids"), A.missense_step(revel=revel, g_col="g")]
+    chained = pipeline(df, steps, key=["k"])
+    single = C.add_coordinates(df, "g", "c", "ids")
+    single = A.annotate_missense(A.annotate_clinvar(single, bridge, summary, "ids"), revel=revel, g_col="g")
+    assert chained.columns == single.columns
+    assert sorted(map(str, chained.collect())) == sorted(map(str, single.collect()))
+    assert rows(chained, "k", "g_start", "`revel.score`") == [(1, "5|", "0.5000|"), (2, "", ""), (3, "", "")]
 
 
 def test_argmax_keeps_the_first_of_ties(spark):
@@ -162,8 +255,68 @@ def test_text_sources(spark, tmp_path):
     c = tmp_path / "cal.json"
     c.write_text('{"score_set":"s","calibrations":[{"urn":"u","title":"t","primary":true,"functionalClassifications":[{"id":1,"label":"low","range":[null,0.5]}]}]}')
     cals, ranges = io.read_calibrations(spark, str(c))
-    out = A.annotate_calibration(spark.createDataFrame([("s#1", "0.2")], "urn string, score string"), cals, ranges, "urn", "score")
-    assert rows(out, "primary_calibration", "primary_class") == [("u", "low")]
+    out = A.annotate_calibration(spark.createDataFrame([("s#1", "0.2")], "urn string, score string"), cals, ranges, "urn", "score", "m", "http://x")
+    assert rows(out, *(f"`m.primary_calibration.{k}`" for k in ("urn", "name", "url", "functional_class"))) == [("u", "t", "http://x/score-sets/s", "low")]
+    g = tmp_path / "given.json"
+    g.write_text('{"calibration":"u","classes":[{"functionalClassificationId":1,"variants":[{"urn":"s#1"},{"urn":null}]},{"functionalClassificationId":null,"variants":[{"urn":"s#2"}]},{"functionalClassificationId":2,"variants":[{"urn":"s#1"}]}]}\n')
+    assert rows(io.read_assignments(spark, str(g)), "calibration", "urn", "class_id") == [("u", "s#1", 2)]
+    c.write_text('{"score_set":"s","calibrations":[{"urn":"u","title":"t","primary":true,"functionalClassifications":[{"id":1,"label":"one"},{"id":2,"label":"two"}]}]}')
+    cals, ranges = io.read_calibrations(spark, str(c))
+    given = io.read_assignments(spark, str(g))
+    out = A.annotate_calibration(spark.createDataFrame([("s#1", "0.2"), ("s#2", "0.2"), (None, None)], "urn string, score string"), cals, ranges, "urn", "score", "m", "http://x", given)
+    assert rows(out.filter("urn is not null"), "urn", "`m.primary_calibration.functional_class`", "`m.investigator_provided_calibration.urn`") == [("s#1", "two", ""), ("s#2", "", "")]
+    am = tmp_path / "am.tsv"
+    am.write_text("# x\n#CHROM\tPOS\nchr1\t5\tA\tG\thg38\tP1\tT1\tV\t0.25\tbenign\n")
+    assert rows(io.read_alphamissense(spark, str(am)), "chrom", "pos", "score", "class") == [("chr1", 5, "0.25", "benign")]
+    e = tmp_path / "repo.tsv"
+    e.write_text('Uuid\tNote\n u1 \t"two words"\nu2\t\n')
+    assert rows(io.read_evidence(spark, str(e)).na.fill(""), "Uuid", "Note") == [("u1", "two words"), ("u2", "")]
+    e.write_text('Uuid\tNote\nu1\t"two\nlines"\n')
+    assert rows(io.read_evidence(spark, str(e), multiline=True), "Uuid", "Note") == [("u1", "two\nlines")]
+    r = tmp_path / "registry.json"
+    r.write_text('{"@id":"http://x/CA5","genomicAlleles":[{"referenceGenome":"GRCh38","chromosome":"3","coordinates":[{"start":6,"end":7,"referenceAllele":"A","allele":"C"}],"hgvs":["NC_000003.12:g.7A>C"]}],"externalRecords":{"ClinVarVariations":[{"variationId":"9"}]}}\n{"@id":"_:CA"}\n')
+    assert rows(io.read_registry(spark, str(r)).na.fill("").na.fill(0), "id", "chrom", "pos", "g", "clinvar_variation") == [("", "", 0, "", ""), ("CA5", "chr3", 7, "NC_000003.12:g.7A>C", "9")]
+    f = spark.createDataFrame([("CA1", 3)], "CAID string, ac long")
+    f.write.parquet(str(tmp_path / "caid"))
+    assert rows(io.read_frequency_table(spark, str(tmp_path / "caid")), "caid", "ac") == [("CA1", 3)]
+    d.write_text("#chr\tpos(1-based)\tref\talt\n1\t5\tA\tG\n")
+    with pytest.warns(UserWarning, match="MutPred2_score"):
+        assert io.read_dbnsfp(spark, str(d)) is None
+
+
+def test_sink_orders(spark, tmp_path):
+    df = spark.range(50).select(F.col("id").alias("_row_id"), (F.col("id") * 2).cast("string").alias("v")).repartition(5)
+    for mode in ("no", "index", "groups"):
+        io.write_table(df, str(tmp_path / mode), ",", preserve_order=mode, single=True)
+    text = ["v", *(str(2 * i) for i in range(50))]
+    one = lambda mode: next((tmp_path / mode).glob("part*")).read_text().split()
+    assert one("index") == text and one("groups") == text and sorted(one("no")) == sorted(text)
+    with pytest.raises(ValueError):
+        io.write_table(df, str(tmp_path / "x"), preserve_order="other")
+    with pytest.raises(ValueError):
+        io.write_table(df.drop("_row_id"), str(tmp_path / "x"), preserve_order="index")
+
+
+def test_protein_forms(spark):
+    for text, want in {"NP_1.1:p.Leu5=": ("5", "5", "L", "L"), "p.(Leu5_Pro7dup)": ("5", "7", "L_P", "L_PL_P"), "p.Leu5fs": ("5", "5", "L", "fs"), "p.Leu5": ("5", "5", "L", None), "p.Leu5_Pro7insAla": ("5", "7", None, None), "p.Leu5delinsPro": ("5", "5", "L", "P"), "p.?": (None,) * 4, None: (None,) * 4}.items():
+        assert tuple(value(spark, X.parse_protein(F.lit(text).cast("string")))) == want
+
+
+def test_only_stages_where_folders_are_shared(spark, monkeypatch):
+    from varspark import staging
+
+    class Other:
+        master = "spark://x"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Other
+        conf = spark.conf
+
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, k, d=None: d)
+    with pytest.raises(RuntimeError):
+        staging.shared_dir(Session)
+
 
 
 def test_frequency_cache(spark, tmp_path):

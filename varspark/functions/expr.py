@@ -168,7 +168,8 @@ def dash_to_blank(c: Column) -> Column:
 
 
 def fmt4(c: Column) -> Column:
-    return F.format_string("%.4f", c)
+    """Four decimals; null stays null."""
+    return F.when(c.isNotNull(), F.format_string("%.4f", c))
 
 
 # --- HGVS ------------------------------------------------------------------------------------
@@ -198,50 +199,73 @@ def normalize_protein(c: Column) -> Column:
 
 
 _POS = r"([*-]?\d+(?:[+-]\d+)?)(?:_([*-]?\d+(?:[+-]\d+)?))?"
+_LETTERS = "[ACGTNacgtn]"
+# start, stop | ref > alt | del ref ins alt | del, dup or inv, ref | ins alt | =
+_NUCLEOTIDE = rf"^(?:.*:)?[cgnm]\.{_POS}(?:({_LETTERS}+)>({_LETTERS}+)|(del)({_LETTERS}*)ins({_LETTERS}+)|(del|dup|inv)({_LETTERS}*)|ins({_LETTERS}+)|(=))$"
+# first, position | last, position | edit
+_PROTEIN = r"^([A-Za-z*]{1,3})(\d+)(?:_([A-Za-z*]{1,3})(\d+))?(.*)$"
+
+
+def groups(c: Column, pattern: str, n: int) -> Column:
+    """The ``n`` groups of a pattern that spans the text, as an array, with one pass of it; null without a match."""
+    parts = F.split(F.regexp_replace(c, pattern, "\u0001".join(f"${i}" for i in range(1, n + 1))), "\u0001", -1)
+    return F.when(F.size(parts) == n, parts)
+
+
+def once(c: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is read there."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
+def nucleotide_groups(hgvs: Column) -> Column:
+    return groups(trim_key(hgvs), _NUCLEOTIDE, 11)
+
+
+def nucleotide_change(p: Column) -> Column:
+    """struct(start, stop, ref, alt, kind) of ``nucleotide_groups``; nulls without a match."""
+    at = lambda i: F.get(p, F.lit(i))
+    up = lambda i: F.upper(at(i))
+    sub, delins, kind, named, ins = at(2) != "", at(4) != "", at(7), up(8), at(9) != ""
+    bare = named == ""
+    ref = F.when(sub, up(2)).when(delins, up(5)).when(ins | (at(10) != ""), "").otherwise(named)
+    alt = (
+        F.when(sub, up(3)).when(delins, up(6)).when(ins, up(9)).when(kind == "dup", F.when(bare, "dup").otherwise(F.concat(named, named)))
+        .when(kind == "inv", F.when(bare, "inv").otherwise(reverse_complement(named))).otherwise("")
+    )
+    what = F.when(sub, "sub").when(delins, "delins").when(ins, "ins").when(kind != "", kind).otherwise("=")
+    on = lambda v: F.when(p.isNotNull(), v)
+    stop = F.when(at(1) == "", at(0)).otherwise(at(1))
+    return F.struct(at(0).alias("start"), stop.alias("stop"), on(ref).alias("ref"), on(alt).alias("alt"), on(what).alias("kind"))
 
 
 def parse_nucleotide(hgvs: Column) -> Column:
     """struct(start, stop, ref, alt) of a genomic or coding change; nulls if it has no such form."""
-    change = F.regexp_extract(trim_key(hgvs), r"^(?:.*:)?[cgnm]\.(.*)$", 1)
-    start = F.regexp_extract(change, f"^{_POS}", 1)
-    stop = F.regexp_extract(change, f"^{_POS}", 2)
-    body = F.regexp_replace(change, f"^{_POS}", "")
-    letters = lambda p, g=1: F.upper(F.regexp_extract(body, p, g))
-    forms = [
-        (r"^([ACGTNacgtn]+)>([ACGTNacgtn]+)$", lambda p: (letters(p), letters(p, 2))),
-        (r"^del([ACGTNacgtn]*)ins([ACGTNacgtn]+)$", lambda p: (letters(p), letters(p, 2))),
-        (r"^del([ACGTNacgtn]*)$", lambda p: (letters(p), F.lit(""))),
-        (r"^dup([ACGTNacgtn]*)$", lambda p: (letters(p), F.when(letters(p) == "", "dup").otherwise(F.concat(letters(p), letters(p))))),
-        (r"^ins([ACGTNacgtn]+)$", lambda p: (F.lit(""), letters(p))),
-        (r"^inv([ACGTNacgtn]*)$", lambda p: (letters(p), F.when(letters(p) == "", "inv").otherwise(reverse_complement(letters(p))))),
-        (r"^=$", lambda p: (F.lit(""), F.lit(""))),
-    ]
-    found = F.when(start == "", F.lit(None))
-    ref = alt = ok = found
-    for pattern, parts in forms:
-        r, a = parts(pattern)
-        on = body.rlike(pattern)
-        ref, alt, ok = ref.when(on, r), alt.when(on, a), ok.when(on, True)
-    return F.struct(
-        F.when(ok, start).alias("start"), F.when(ok, F.when(stop == "", start).otherwise(stop)).alias("stop"), ref.alias("ref"), alt.alias("alt")
+    return once(nucleotide_groups(hgvs), nucleotide_change).dropFields("kind")
+
+
+def protein_groups(hgvs: Column) -> Column:
+    change = F.regexp_replace(F.regexp_extract(trim_key(hgvs), r"^(?:.*:)?p\.(.*)$", 1), r"^\((.*)\)$", "$1")
+    return groups(change, _PROTEIN, 5)
+
+
+def protein_change(p: Column) -> Column:
+    """struct(start, stop, ref, alt) of ``protein_groups``; what follows an unknown edit is null."""
+    at = lambda i: F.get(p, F.lit(i))
+    edit, ranged = at(4), at(2) != ""
+    first = aa3to1(at(0))
+    known = F.when(ranged, F.concat_ws("_", first, aa3to1(at(2)))).otherwise(first)
+    ins, fs, sub = edit.startswith("ins") & ~ranged, edit.startswith("fs") & ~ranged, edit.rlike(r"^[A-Za-z*]{1,3}$") & ~ranged
+    alt = (
+        F.when(edit == "=", known).when(edit.startswith("delins"), aa3to1(F.substr(edit, F.lit(7)))).when(edit.startswith("del"), "").when(edit.startswith("dup"), F.concat(known, known))
+        .when(ins, aa3to1(F.substr(edit, F.lit(4)))).when(fs, "fs").when(sub, aa3to1(edit))
     )
+    ref = F.when(ins, "").when(~ranged | alt.isNotNull(), known)
+    return F.struct(at(1).alias("start"), F.when(ranged, at(3)).otherwise(at(1)).alias("stop"), ref.alias("ref"), alt.alias("alt"))
 
 
 def parse_protein(hgvs: Column) -> Column:
     """struct(start, stop, ref, alt) of a protein change in one-letter codes; nulls for other forms."""
-    change = F.regexp_replace(F.regexp_extract(trim_key(hgvs), r"^(?:.*:)?p\.(.*)$", 1), r"[()]", "")
-    form = r"^([A-Za-z]{3}|\*)(\d+)(?:_([A-Za-z]{3}|\*)(\d+))?(delins|del|dup|ins|fs|=|[A-Za-z]{3}|\*)?(.*)$"
-    part = [F.regexp_extract(change, form, i) for i in range(7)]
-    first, last, kind = aa3to1(part[1]), aa3to1(part[3]), part[5]
-    ranged = part[3] != ""
-    ref = F.when(ranged, F.concat_ws("_", first, last)).otherwise(first)
-    new = F.array_join(F.transform(F.regexp_extract_all(part[6], F.lit("([A-Z][a-z]{2}|\\*)"), 1), aa3to1), "")
-    alt = (
-        F.when(kind == "del", "").when(kind == "delins", new).when(kind == "dup", F.when(ranged, "dup").otherwise(F.concat(first, first)))
-        .when(kind == "ins", new).when(kind == "fs", "fs").when(kind == "=", ref).otherwise(aa3to1(kind))
-    )
-    ok = (part[0] != "") & (kind != "")
-    return F.struct(F.when(ok, part[2]).alias("start"), F.when(ok, F.when(ranged, part[4]).otherwise(part[2])).alias("stop"), F.when(ok, ref).alias("ref"), F.when(ok, alt).alias("alt"))
+    return once(protein_groups(hgvs), protein_change)
 
 
 _INTRONIC = r"^[*-]?\d+[+-]\d+$"
@@ -261,11 +285,12 @@ def spans_intron(start: Column, stop: Column) -> Column:
 
 def snv_of(hgvs: Column, build: str = "grch38") -> Column:
     """struct(chrom, pos, ref, alt) of a single-base genomic substitution on a known accession, else null."""
-    form = r"^(NC_\d+\.\d+):g\.(\d+)([ACGT])>([ACGT])$"
-    v = trim_key(hgvs)
-    chrom = nc_to_chrom(F.regexp_extract(v, form, 1), build)
-    parts = F.struct(chrom.alias("chrom"), F.regexp_extract(v, form, 2).try_cast("long").alias("pos"), F.regexp_extract(v, form, 3).alias("ref"), F.regexp_extract(v, form, 4).alias("alt"))
-    return F.when(chrom.isNotNull(), parts)
+    return once(groups(trim_key(hgvs), r"^(NC_\d+\.\d+):g\.(\d+)([ACGT])>([ACGT])$", 4), lambda p: snv_parts(p, build))
+
+
+def snv_parts(p: Column, build: str) -> Column:
+    chrom, (pos, ref, alt) = nc_to_chrom(F.get(p, F.lit(0)), build), (F.get(p, F.lit(i)) for i in (1, 2, 3))
+    return F.when(chrom.isNotNull(), F.struct(chrom.alias("chrom"), pos.try_cast("long").alias("pos"), ref.alias("ref"), alt.alias("alt")))
 
 
 def haplotype_components(hgvs: Column) -> Column:
@@ -281,11 +306,11 @@ def _field(i: int):
 
 def spliceai_info(info: Column, alt: Column | None = None) -> Column:
     """Largest value of each field over the entries of ``SpliceAI=``: struct(ds_ag, ds_al, ds_dg, ds_dl, dp_ag, dp_al, dp_dg, dp_dl,
-    max); null without a usable entry.  With ``alt`` only that allele's entries count."""
+    max); null without a usable entry.  With ``alt`` (where it is not null) only that allele's entries count."""
     entries = F.split(F.regexp_extract(info, r"SpliceAI=([^;\s]+)", 1), ",")
     fields = F.filter(F.transform(entries, lambda e: F.split(e, r"\|", -1)), lambda f: F.size(f) >= 10)
     if alt is not None:
-        fields = F.filter(fields, lambda f: F.get(f, 0) == alt)
+        fields = F.filter(fields, lambda f: alt.isNull() | (F.get(f, 0) == alt))
     numbers = F.transform(fields, lambda f: F.transform(F.slice(f, 3, 8), lambda x: x.try_cast("double")))
     numbers = F.filter(numbers, lambda f: F.forall(f, lambda x: x.isNotNull() & ~F.isnan(x)))
     names = ["ds_ag", "ds_al", "ds_dg", "ds_dl", "dp_ag", "dp_al", "dp_dg", "dp_dl"]

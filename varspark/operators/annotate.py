@@ -1,4 +1,4 @@
-"""Annotation joins over candidate lists."""
+"""Annotation joins over candidate lists: each a step of the list kernel, and a function that runs the step alone."""
 
 from __future__ import annotations
 
@@ -7,36 +7,58 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import first_non_blank, is_blank, max_of_list, nc_to_chrom, normalize_caid, score_set_of, snv_of, spliceai_info, split_slots, stars, strip_gene_symbol, trim_key
+from ..functions.expr import first_non_blank, fmt4, groups, is_blank, max_of_list, nc_to_chrom, normalize_caid, score_set_of, snv_of, spliceai_info, stars, strip_gene_symbol, trim_key
+from .mapping import bases_of, validate_id_prefix
 from .rank import ALLELE, argmax, frequency, max_score, number, ordered_distinct_concat, severity_rank
-from .slots import ROW, SLOT, WIDE, explode_slots, lookup_slots, pack_slots
+from .slots import ROW, SLOT, Step, annotate, explode_slots, keyed, lookup
 
 
-def resolve_allele_ids(df: DataFrame, registry: DataFrame, c_col: str = "mapped_hgvs_c", g_col: str = "mapped_hgvs_g", out: str = "dna_clingen_allele_id", existing: str | None = None, raw_nt: str | None = None) -> DataFrame:
+def allele_id_step(registry: DataFrame, c_col: str = "mapped_hgvs_c", g_col: str = "mapped_hgvs_g", out: str = "dna_clingen_allele_id", existing: str | None = None, raw_nt: str | None = None) -> Step:
     """Allele id of each slot by its c. string, else by its g. string; ``registry`` has (hgvs, id).  A DNA row of one slot
     with an id of its own keeps it."""
     ids = registry.filter(~F.col("id").startswith("_:")).groupBy("hgvs").agg(F.min("id").alias("id"))
-    long = explode_slots(df, c=c_col, g=g_col)
-    for c in "cg":
-        got = ids.select(F.col("hgvs").alias(c), F.col("id").alias(f"{c}_id"))
-        long = long.withColumn(c, F.nullif(F.col(c), F.lit(""))).join(got, c, "left")
-    packed = pack_slots(long, {out: F.coalesce("c_id", "g_id")})
-    if existing is None:
-        return packed
-    own = trim_key(F.col(existing))
-    keep = (own != "") & ~F.contains(own, F.lit("|")) & ~is_blank(F.col(raw_nt)) & ~F.contains(F.col(out), F.lit("|"))
-    return packed.withColumn(out, F.when(keep, own).otherwise(F.col(out)))
-
-
-def annotate_clinvar(df: DataFrame, bridge: DataFrame, summary: DataFrame, ids_col: str = "dna_clingen_allele_id", ns: str = "clinvar", version: str = "202601") -> DataFrame:
+
+    def apply(long: DataFrame) -> DataFrame:
+        for c in "cg":
+            long = lookup(long, ids.select(F.col("hgvs").alias(c), F.col("id").alias(f"{c}_id")), [c])
+        return long
+
+    def own(df: DataFrame) -> DataFrame:
+        i = trim_key(F.col(existing))
+        keep = (i != "") & ~F.contains(i, F.lit("|")) & ~is_blank(F.col(raw_nt)) & ~F.contains(F.col(out), F.lit("|"))
+        return df.withColumn(out, F.when(keep, i).otherwise(F.col(out)))
+
+    return Step({"c": c_col, "g": g_col}, apply, {out: F.coalesce("c_id", "g_id")}, after=None if existing is None else own)
+
+
+def resolve_allele_ids(df: DataFrame, registry: DataFrame, c_col: str = "mapped_hgvs_c", g_col: str = "mapped_hgvs_g", out: str = "dna_clingen_allele_id", existing: str | None = None, raw_nt: str | None = None, key: list[str] | None = None) -> DataFrame:
+    return annotate(df, allele_id_step(registry, c_col, g_col, out, existing, raw_nt), key=key)
+
+
+def add_allele_ids(df: DataFrame, registry: DataFrame, out: str = "dna_clingen_allele_id", existing: str = "clingen_allele_id", raw_nt: str = "raw_hgvs_nt", key: list[str] | None = None, check: bool = True) -> DataFrame:
+    """Ids of all candidates; a row whose own id has the wrong prefix is an error (``check``), reported by its row id (a
+    number: ``key`` may name one column)."""
+    rows = keyed(df, key)
+    if check:
+        validate_id_prefix(rows, existing, raw_nt, ROW)
+    out_rows = resolve_allele_ids(rows, registry, out=out, existing=existing, raw_nt=raw_nt)
+    return out_rows if ROW in df.columns else out_rows.drop(ROW)
+
+
+def clinvar_step(bridge: DataFrame, summary: DataFrame, ids_col: str = "dna_clingen_allele_id", ns: str = "clinvar", version: str = "202601") -> Step:
     """Six columns by slot: ids of the variation and allele, significance, review status, its stars, last review.
     ``bridge``: (caid, variation_id, allele_id); ``summary``: (allele_id, clinical_significance, review_status, last_review_date)."""
     table = bridge.join(summary.withColumn("stars", stars(F.col("review_status"))), "allele_id", "left")
     names = ["variation_id", "allele_id", "clinical_significance", "review_status", "stars", "last_review_date"]
-    return lookup_slots(df, {"caid": ids_col}, table, ["caid"], {f"{ns}.{version}.{c}": c for c in names})
+    return Step({"caid": ids_col}, lambda long: lookup(long, table, ["caid"]), {f"{ns}.{version}.{c}": c for c in names})
+
+
+def annotate_clinvar(df: DataFrame, bridge: DataFrame, summary: DataFrame, ids_col: str = "dna_clingen_allele_id", ns: str = "clinvar", version: str = "202601", key: list[str] | None = None) -> DataFrame:
+    return annotate(df, clinvar_step(bridge, summary, ids_col, ns, version), key=key)
 
 
 _FREQUENCY = ["allele_count", "allele_number", "allele_frequency", "minor_allele_frequency", "faf95_max", "faf95_max_ancestry"]
+COORDINATES = ("mapped_hgvs_g_chromosome", "mapped_hgvs_g_start", "mapped_hgvs_g_ref", "mapped_hgvs_g_alt")
 
 
 def _with_frequency(freq: DataFrame) -> DataFrame:
@@ -44,104 +66,161 @@ def _with_frequency(freq: DataFrame) -> DataFrame:
     return f.withColumn("allele_frequency", F.col("_f.af")).withColumn("minor_allele_frequency", F.col("_f.maf")).drop("_f")
 
 
-def annotate_frequency(df: DataFrame, freq: DataFrame, mode: str = "coordinates", prefix: str = "gnomad.v4_1", ids_col: str = "dna_clingen_allele_id", coordinates: tuple[str, ...] = ("mapped_hgvs_g_chromosome", "mapped_hgvs_g_start", "mapped_hgvs_g_ref", "mapped_hgvs_g_alt")) -> DataFrame:
-    """Six frequency columns by slot: by allele (chrom, pos, ref, alt), or by ``caid`` (also where a coordinate column
-    is missing)."""
+def frequency_step(freq: DataFrame, mode: str = "coordinates", prefix: str = "gnomad.v4_1", ids_col: str = "dna_clingen_allele_id", coordinates: tuple[str, ...] = COORDINATES) -> Step:
+    """Six frequency columns by slot: by allele (chrom, pos, ref, alt), or by ``caid``."""
     values = {f"{prefix}.{c}": c for c in _FREQUENCY}
     table = _with_frequency(freq)
-    if mode == "coordinates" and all(c in df.columns for c in coordinates):
-        def typed(long):
-            long = long.withColumn("pos", F.col("pos").try_cast("long")).withColumn("chrom", F.regexp_replace("chrom", "^chr", ""))
-            complete = reduce(lambda a, b: a & b, (F.col(c) != "" for c in ("chrom", "ref", "alt")))
-            return long.withColumn("pos", F.when(complete, F.col("pos")))
+    if mode != "coordinates":
+        return Step({"caid": ids_col}, lambda long: lookup(long.withColumn("caid", normalize_caid(F.col("caid"))), table, ["caid"]), values)
+
+    def apply(long: DataFrame) -> DataFrame:
+        typed = long.withColumn("pos", F.col("pos").try_cast("long")).withColumn("chrom", F.regexp_replace("chrom", "^chr", ""))
+        return lookup(typed, table, ALLELE)
+
+    return Step(dict(zip(ALLELE, coordinates)), apply, values)
 
-        return lookup_slots(df, dict(zip(ALLELE, coordinates)), table, ALLELE, values, typed)
-    return lookup_slots(df, {"caid": ids_col}, table, ["caid"], values, lambda long: long.withColumn("caid", normalize_caid(F.col("caid"))))
+
+def annotate_frequency(df: DataFrame, freq: DataFrame, mode: str = "coordinates", prefix: str = "gnomad.v4_1", ids_col: str = "dna_clingen_allele_id", coordinates: tuple[str, ...] = COORDINATES, key: list[str] | None = None) -> DataFrame:
+    """As ``frequency_step``; by ``caid`` also where a coordinate column is missing."""
+    if any(c not in df.columns for c in coordinates):
+        mode = "caid"
+    return annotate(df, frequency_step(freq, mode, prefix, ids_col, coordinates), key=key)
 
 
 def id_to_coords(df: DataFrame, ids_col: str, coordinates: dict[str, str]) -> DataFrame:
     """(caid, chrom, pos, ref, alt) from the rows' own slots, one allele for each id."""
-    long = explode_slots(df, caid=ids_col, **coordinates)
+    rows = df.withColumn(ROW, F.lit(0))  # the rows' ids are not used
+    long = explode_slots(rows, caid=ids_col, **coordinates)
     long = long.withColumn("caid", normalize_caid(F.col("caid"))).withColumn("pos", F.col("pos").try_cast("long"))
     long = long.filter("caid <> '' and chrom <> '' and pos is not null and ref <> '' and alt <> ''")
     return long.groupBy("caid").agg(F.min(F.struct(*ALLELE)).alias("a")).select("caid", "a.*")
 
 
-_SPLICE = ["ds_ag", "ds_al", "ds_dg", "ds_dl", "dp_ag", "dp_al", "dp_dg", "dp_dl", "max"]
-
-
-def annotate_spliceai(df: DataFrame, scores: DataFrame, g_col: str = "mapped_hgvs_g", build: str = "grch38", shapes: bool = False) -> DataFrame:
+_SPLICE = {**{c: c for c in ("ds_ag", "ds_al", "ds_dg", "ds_dl", "dp_ag", "dp_al", "dp_dg", "dp_dl")}, "max_delta_score": "max"}
+# accession | start, stop | ref > alt | kind, bases
+_GENOMIC = r"^(NC_\d+\.\d+):g\.(\d+)(?:_(\d+))?(?:([ACGTacgt]+)>([ACGTacgt]+)|(delins|del|dup|ins)([ACGTacgt]*))$"
+
+
+def hgvs_g_to_vcf(long: DataFrame, g: str = "g", build: str = "grch38", chunks: DataFrame | None = None, size: int = 0) -> DataFrame:
+    """Adds chrom, pos, ref and alt of genomic strings, and what a shape needs: _kind, _len and _seq.  ``ref`` and ``alt`` of
+    substitutions are in the string; those of deletions, insertions and duplications (with the base before them as anchor)
+    are read from ``chunks`` and null where bases are unknown.  Other text has null chrom."""
+    part = [F.get("_p", F.lit(i)) for i in range(7)]
+    start = part[1].try_cast("long")
+    stop, kind, seq, sub = F.coalesce(part[2].try_cast("long"), start), part[5], F.upper(part[6]), part[3] != ""
+    ranged = part[2] != ""
+    # fixed forms: no range of a substitution, one of an insertion; bases only where something is inserted
+    ok = F.when(sub, ~ranged).when(kind == "ins", ranged & (seq != "")).when(kind == "delins", seq != "").otherwise(seq == "")
+    chrom = F.when(ok, nc_to_chrom(part[0], build))
+    out = long.withColumn("_p", groups(F.col(g), _GENOMIC, 7))
+    out = out.select("*", chrom.alias("chrom"), part[0].alias("_acc"), start.alias("_start"), stop.alias("_stop"), F.when(sub, "sub").otherwise(kind).alias("_kind"), seq.alias("_seq"), F.upper(part[3]).alias("_ref"), F.upper(part[4]).alias("_alt"))
+    k = F.col("_kind")
+    padded = k.isin("del", "dup")
+    pos = F.when(padded, F.col("_start") - 1).otherwise(F.col("_start"))
+    out = out.withColumn("pos", F.when(F.col("chrom").isNotNull(), pos)).withColumn("_len", F.col("_stop") - F.col("_start") + 1)
+    if chunks is None:
+        b = F.lit(None).cast("string")
+    else:
+        end = F.when(k == "ins", F.col("_start")).otherwise(F.col("_stop"))
+        out, b = bases_of(out, "_acc", F.when((k != "sub") & (F.col("pos") > 0), F.col("pos")), end, chunks, size), F.upper("bases")
+    first = F.substring(b, 1, 1)
+    ref = F.when(k == "sub", F.col("_ref")).when(k == "dup", first).otherwise(b)
+    alt = F.when(k == "sub", F.col("_alt")).when(k == "del", first).when(k == "ins", F.concat(b, "_seq")).when(k == "dup", b).when(b.isNotNull(), F.col("_seq"))
+    gone = {"_p", "_acc", "_start", "_stop", "_ref", "_alt", "bases"}
+    return out.select(*(c for c in out.columns if c not in gone), F.when(F.col("chrom").isNotNull(), ref).alias("ref"), F.when(F.col("chrom").isNotNull(), alt).alias("alt"))
+
+
+def spliceai_step(scores: DataFrame, g_col: str = "mapped_hgvs_g", build: str = "grch38", chunks: DataFrame | None = None, size: int = 0) -> Step:
     """Nine columns by slot from ``scores`` (file_rank, line, chrom, pos, ref, alt, info): the first file, bare chromosome
-    before ``chr``, first line.  ``shapes``: deletions, insertions and duplications match by position and allele lengths."""
-    s = scores.withColumn("_chr", F.col("chrom").startswith("chr").cast("int")).withColumn("chrom", F.regexp_replace("chrom", "^chr", ""))
-    order = F.struct("file_rank", "_chr", "line")
-    exact = s.withColumn("_i", spliceai_info(F.col("info"), F.col("alt"))).groupBy(*ALLELE).agg(F.min_by("_i", order).alias("_i"))
-    long = explode_slots(df, g=g_col).withColumn("v", snv_of(F.col("g"), build))
-    long = long.select("*", *(F.col(f"v.{c}").alias(c) for c in ALLELE)).join(exact, ALLELE, "left")
-    if shapes:
-        long = long.drop(*ALLELE).withColumn("_first", F.col("_i")).drop("_i")
-        form = r"^(NC_\d+\.\d+):g\.(\d+)(?:_(\d+))?(delins|del|dup|ins)([ACGT]*)$"
-        part = [F.regexp_extract("g", form, i) for i in range(6)]
-        start, stop, kind, seq = part[2].try_cast("long"), F.coalesce(part[3].try_cast("long"), part[2].try_cast("long")), part[4], part[5]
-        anchor = F.when(kind.isin("del", "delins"), start - 1).when(kind.isin("ins", "dup"), F.when(kind == "ins", start).otherwise(start - 1))
-        wanted = long.filter(part[0] != "").select(ROW, SLOT, nc_to_chrom(part[1], build).alias("chrom"), F.when(kind == "delins", start).otherwise(anchor).alias("pos"), kind.alias("kind"), (stop - start + 1).alias("len"), seq.alias("seq"))
-        info = s.select("chrom", "pos", F.col("ref").alias("r"), F.col("alt").alias("a"), "info", order.alias("_o"))
-        n, m = F.length("r"), F.length("a")
-        fits = (
-            ((F.col("kind") == "del") & (n == F.col("len") + 1) & (m == 1))
-            | ((F.col("kind") == "ins") & (F.col("a") == F.concat("r", "seq")))
-            | ((F.col("kind") == "delins") & (n == F.col("len")) & (F.col("a") == F.col("seq")))
-            | ((F.col("kind") == "dup") & (m == n + F.col("len")))
-        )
-        hit = wanted.join(info, ["chrom", "pos"]).filter(fits).groupBy(ROW, SLOT).agg(F.min_by(spliceai_info(F.col("info")), "_o").alias("_shape"))
-        long = long.join(hit, [ROW, SLOT], "left").withColumn("_i", F.coalesce("_first", "_shape"))
-    return pack_slots(long, {f"spliceai.{c}": F.col(f"_i.{c}") for c in _SPLICE})
-
-
-def annotate_missense(df: DataFrame, revel: DataFrame | None = None, alphamissense: DataFrame | None = None, dbnsfp: DataFrame | None = None, g_col: str = "mapped_hgvs_g", build: str = "grch38") -> DataFrame:
+    before ``chr``, first line.  Alleles match exactly where they are known (entries of that allele count); deletions,
+    insertions and duplications without reference bases (``chunks`` of ``size``) match by position and allele lengths."""
+    info = scores.select(F.regexp_replace("chrom", "^chr", "").alias("chrom"), "pos", F.col("ref").alias("r"), F.col("alt").alias("a"), "info", F.struct("file_rank", F.col("chrom").startswith("chr").cast("int").alias("chr"), "line").alias("_o"))
+    k, n, m = F.col("_kind"), F.length("r"), F.length("a")
+    exact = F.col("ref").isNotNull()
+    fits = (
+        F.when(exact, (F.col("r") == F.col("ref")) & (F.col("a") == F.col("alt")))
+        .when(k == "del", (n == F.col("_len") + 1) & (m == 1)).when(k == "ins", (n == 1) & (F.col("a") == F.concat("r", "_seq")))
+        .when(k == "delins", (n == F.col("_len")) & (F.col("a") == F.col("_seq"))).when(k == "dup", (n == 1) & (m == F.col("_len") + 1))
+    )
+
+    def apply(long: DataFrame) -> DataFrame:
+        wanted = hgvs_g_to_vcf(long, "g", build, chunks, size)
+        apart = F.concat(F.lit("\u0000"), F.xxhash64(ROW, SLOT).cast("string"))  # slots without a place are dealt out
+        left = wanted.withColumn("chrom", F.coalesce("chrom", apart))
+        joined = left.join(info, (left["chrom"] == info["chrom"]) & (left["pos"] == info["pos"]) & fits, "left").drop(info["chrom"], info["pos"])
+        best = F.min_by(F.struct("info", F.when(exact, F.col("alt")).alias("alt")), "_o").alias("_hit")
+        one = joined.groupBy(ROW, SLOT).agg(*(F.first(c).alias(c) for c in long.columns if c not in (ROW, SLOT)), best)
+        return one.withColumn("_i", spliceai_info(F.col("_hit.info"), F.col("_hit.alt")))
+
+    return Step({"g": g_col}, apply, {f"spliceai.{c}": fmt4(F.col(f"_i.{f}")) for c, f in _SPLICE.items()})
+
+
+def annotate_spliceai(df: DataFrame, scores: DataFrame, g_col: str = "mapped_hgvs_g", build: str = "grch38", chunks: DataFrame | None = None, size: int = 0, key: list[str] | None = None) -> DataFrame:
+    return annotate(df, spliceai_step(scores, g_col, build, chunks, size), key=key)
+
+
+def missense_step(revel: DataFrame | None = None, alphamissense: DataFrame | None = None, dbnsfp: DataFrame | None = None, g_col: str = "mapped_hgvs_g", build: str = "grch38") -> Step:
     """Scores of single-base slots; columns exist for the tables given.  MutPred2 is one value a row: the largest."""
     if revel is None and alphamissense is None and dbnsfp is None:
         raise ValueError("no score table given")
-    long = explode_slots(df, g=g_col).withColumn("v", snv_of(F.col("g"), build)).select("*", *(F.col(f"v.{c}").alias(c) for c in ALLELE))
-    values, row_values = {}, {}
+    tables, values, row_values = [], {}, {}
     if revel is not None:
-        long = long.join(max_score(revel).withColumnRenamed("score", "revel"), ALLELE, "left")
-        values["revel.score"] = "revel"
+        tables.append(max_score(revel).withColumnRenamed("score", "revel"))
+        values["revel.score"] = fmt4(F.col("revel"))
     if alphamissense is not None:
         am = argmax(alphamissense.withColumn("chrom", F.regexp_replace("chrom", "^chr", "")), ALLELE, "score", "line", "class")
-        long = long.join(am.withColumnRenamed("score", "am").withColumnRenamed("class", "am_class"), ALLELE, "left")
-        values |= {"alphamissense.score": "am", "alphamissense.class": "am_class"}
+        tables.append(am.withColumnRenamed("score", "am").withColumnRenamed("class", "am_class"))
+        values |= {"alphamissense.score": fmt4(F.col("am").cast("double")), "alphamissense.class": "am_class"}
     if dbnsfp is not None:
-        db = dbnsfp.withColumn("chrom", F.regexp_replace("chrom", "^chr", "")).groupBy(*ALLELE).agg(F.max(max_of_list(F.col("mutpred2_score"))).alias("mutpred2"))
-        long = long.join(db, ALLELE, "left")
-        row_values["mutpred2.score"] = F.max("mutpred2")
-    return pack_slots(long, values, **row_values)
-
-
-def annotate_evidence(df: DataFrame, evidence: DataFrame, hgvs_col: str, variation_col: str, caid_col: str, fields: list[str], keys: tuple[str, ...] = ("hgvs", "clinvar", "caid")) -> DataFrame:
-    """Records of an evidence repository by slot, found by up to three keys and merged in their order, each uuid once;
-    ``warnings`` for keys that disagree.  ``evidence``: (record, hgvs array, variation_id, caid, uuid, and ``fields``)."""
-    long = explode_slots(df, hgvs=hgvs_col, clinvar=variation_col, caid=caid_col)
-    long = long.filter(F.col(SLOT) < F.size(split_slots(F.col(f"{WIDE}.`{hgvs_col}`")))).withColumn("hgvs", strip_gene_symbol(F.col("hgvs")))
-    by = {
-        "hgvs": evidence.select(F.explode(F.array_distinct("hgvs")).alias("k"), "record").withColumn("k", strip_gene_symbol(F.col("k"))).distinct(),
-        "clinvar": evidence.select(F.col("variation_id").alias("k"), "record").filter("k <> ''"),
-        "caid": evidence.select(F.col("caid").alias("k"), "record").filter("k <> ''"),
-    }
-    hits = reduce(DataFrame.unionByName, (long.filter(F.col(k) != "").select(ROW, SLOT, F.col(k).alias("k"), F.lit(i).alias("rank"), F.lit(k).alias("key")).join(by[k], "k").drop("k") for i, k in enumerate(keys)))
-    hits = hits.join(evidence.select("record", "uuid", *fields), "record")
-    once = hits.groupBy(ROW, SLOT, "uuid").agg(F.min(F.struct("rank", "record", *fields)).alias("p")).select(ROW, SLOT, "p.*")
-    merged = once.groupBy(ROW, SLOT).agg(*(ordered_distinct_concat(F.struct("rank", "record"), F.col(f)).alias(f"f_{f}") for f in fields))
-    found = hits.groupBy(ROW, SLOT).agg(*(F.collect_set(F.when(F.col("key") == k, F.col("uuid"))).alias(f"u_{k}") for k in keys))
-    out = long.join(merged, [ROW, SLOT], "left").join(found, [ROW, SLOT], "left")
-    none = F.array().cast("array<string>")
-    u = {k: F.coalesce(F.col(f"u_{k}"), none) for k in keys}
-    hit_n = sum(((F.size(u[k]) > 0).cast("int") for k in keys), F.lit(0))
-    apart = [F.when((F.size(u[a]) > 0) & (F.size(u[b]) > 0) & ~F.arrays_overlap(u[a], u[b]), F.lit(f"non-overlapping results for keys '{a}' and '{b}'")) for i, a in enumerate(keys) for b in keys[i + 1 :]]
-    missed = F.sort_array(F.array_compact(F.array(*(F.when((F.size(u[k]) == 0) & (F.col(k) != ""), F.lit(f"'{k}'")) for k in keys))))
-    one = F.when((hit_n == 1) & (F.size(missed) > 0) & F.lit(len(keys) > 1), F.concat(F.lit("found via "), reduce(lambda c, k: c.when(F.size(u[k]) > 0, F.lit(f"'{k}'")), keys, F).otherwise(""), F.lit(" but not "), F.array_join(missed, ", ")))
-    warnings = F.when(hit_n > 1, F.array_join(F.array_compact(F.array(*apart, F.lit(None).cast("string"))), "; ")).otherwise(F.coalesce(one, F.lit("")))
-    return pack_slots(out, {f"clingen_evidence_repository.{f}": f"f_{f}" for f in fields} | {"clingen_evidence_repository.warnings": warnings})
+        tables.append(dbnsfp.withColumn("chrom", F.regexp_replace("chrom", "^chr", "")).groupBy(*ALLELE).agg(F.max(max_of_list(F.col("mutpred2_score"))).alias("mutpred2")))
+        row_values["mutpred2.score"] = ("mutpred2", lambda c: fmt4(F.max(c)))
+
+    def apply(long: DataFrame) -> DataFrame:
+        long = long.withColumn("v", snv_of(F.col("g"), build)).select("*", *(F.col(f"v.{c}").alias(c) for c in ALLELE)).drop("v")
+        return reduce(lambda d, t: lookup(d, t, ALLELE), tables, long)
+
+    return Step({"g": g_col}, apply, values, row_values)
+
+
+def annotate_missense(df: DataFrame, revel: DataFrame | None = None, alphamissense: DataFrame | None = None, dbnsfp: DataFrame | None = None, g_col: str = "mapped_hgvs_g", build: str = "grch38", key: list[str] | None = None) -> DataFrame:
+    return annotate(df, missense_step(revel, alphamissense, dbnsfp, g_col, build), key=key)
+
+
+_SOURCE = "clingen_evidence_repository"
+
+
+def evidence_step(evidence: DataFrame, hgvs_col: str, variation_col: str, caid_col: str, fields: list[str], keys: tuple[str, ...] = ("hgvs", "clinvar", "caid")) -> Step:
+    """Records of an evidence repository by slot of ``hgvs_col``, found by up to three keys and merged in their order, each uuid
+    once; ``warnings`` for keys that disagree.  ``evidence``: (record, hgvs array, variation_id, caid, uuid, and ``fields``)."""
+    key_of = {"hgvs": F.transform("hgvs", strip_gene_symbol), "clinvar": F.array("variation_id"), "caid": F.array("caid")}
+    ranked = F.array(*(F.struct(F.lit(i).alias("rank"), F.array_distinct(key_of[k]).alias("k")) for i, k in enumerate(keys)))
+    by = evidence.select("record", "uuid", *fields, F.explode(ranked).alias("_k")).select("record", "uuid", *fields, F.col("_k.rank").alias("rank"), F.explode("_k.k").alias("k")).filter("k <> ''")
+
+    def apply(long: DataFrame) -> DataFrame:
+        long = long.withColumn("hgvs", strip_gene_symbol(F.col("hgvs")))
+        asked = long.select(ROW, SLOT, F.posexplode(F.array(*keys)).alias("rank", "k")).filter("k <> ''")
+        hits = asked.join(by, ["rank", "k"])
+        once = hits.groupBy(ROW, SLOT, "uuid").agg(F.min(F.struct("rank", "record", *fields)).alias("p"), F.collect_set("rank").alias("ranks"))
+        merged = once.groupBy(ROW, SLOT).agg(
+            *(ordered_distinct_concat(F.struct("p.rank", "p.record"), F.col(f"p.{f}")).alias(f"f_{f}") for f in fields),
+            *(F.collect_set(F.when(F.array_contains("ranks", i), F.col("uuid"))).alias(f"u_{k}") for i, k in enumerate(keys)),
+        )
+        out = long.join(merged, [ROW, SLOT], "left")
+        none = F.array().cast("array<string>")
+        u = {k: F.coalesce(F.col(f"u_{k}"), none) for k in keys}
+        hit_n = sum(((F.size(u[k]) > 0).cast("int") for k in keys), F.lit(0))
+        apart = [F.when((F.size(u[a]) > 0) & (F.size(u[b]) > 0) & ~F.arrays_overlap(u[a], u[b]), F.lit(f"non-overlapping results for keys '{a}' and '{b}'")) for i, a in enumerate(keys) for b in keys[i + 1 :]]
+        missed = F.sort_array(F.array_compact(F.array(*(F.when((F.size(u[k]) == 0) & (F.col(k) != ""), F.lit(f"'{k}'")) for k in keys))))
+        one = F.when((hit_n == 1) & (F.size(missed) > 0) & F.lit(len(keys) > 1), F.concat(F.lit("found via "), reduce(lambda c, k: c.when(F.size(u[k]) > 0, F.lit(f"'{k}'")), keys, F).otherwise(""), F.lit(" but not "), F.array_join(missed, ", ")))
+        warnings = F.when(hit_n > 1, F.array_join(F.array_compact(F.array(*apart, F.lit(None).cast("string"))), "; ")).otherwise(F.coalesce(one, F.lit("")))
+        return out.withColumn("_warnings", warnings)
+
+    values = {f"{_SOURCE}.{f}": f"f_{f}" for f in fields} | {f"{_SOURCE}.warnings": "_warnings"}
+    return Step({"hgvs": hgvs_col, "clinvar": variation_col, "caid": caid_col}, apply, values, sized_by=("hgvs",))
+
+
+def annotate_evidence(df: DataFrame, evidence: DataFrame, hgvs_col: str, variation_col: str, caid_col: str, fields: list[str], keys: tuple[str, ...] = ("hgvs", "clinvar", "caid"), key: list[str] | None = None) -> DataFrame:
+    return annotate(df, evidence_step(evidence, hgvs_col, variation_col, caid_col, fields, keys), key=key)
 
 
 def pick_calibrations(calibrations: DataFrame) -> DataFrame:
@@ -153,16 +232,33 @@ def pick_calibrations(calibrations: DataFrame) -> DataFrame:
     return main.withColumn("role", F.lit("primary")).unionByName(own.withColumn("role", F.lit("investigator")))
 
 
+def _classes(ranges: DataFrame) -> DataFrame:
+    """(calibration, classes): the classes of a calibration in their order; a document's worth each."""
+    names = ["ordinal", "label", "low", "high", "low_in", "high_in", *(c for c in ("id",) if c in ranges.columns)]
+    return ranges.groupBy("calibration").agg(F.sort_array(F.collect_list(F.struct(*names))).alias("classes"))
+
+
+def _in_range(c: Column, s: Column) -> Column:
+    above = c["low"].isNull() | (s > c["low"]) | ((s == c["low"]) & F.coalesce(c["low_in"], F.lit(True)))
+    below = c["high"].isNull() | (s < c["high"]) | ((s == c["high"]) & F.coalesce(c["high_in"], F.lit(False)))
+    return above & below
+
+
+def _label_by_range(classes: Column, s: Column) -> Column:
+    return F.when(s.isNotNull(), F.get(F.filter(classes, lambda c: F.coalesce(_in_range(c, s), F.lit(False))), F.lit(0))["label"])
+
+
+def _label_by_id(classes: Column, class_id: Column) -> Column:
+    return F.get(F.filter(classes, lambda c: c["id"] == class_id), F.lit(0))["label"]
+
+
 def classify_by_range(scores: DataFrame, ranges: DataFrame) -> DataFrame:
-    """``scores`` (calibration, score text) with label: the first range of the calibration that holds the score.  ``ranges``: (calibration,
-    ordinal, label, low, high, low_in, high_in), null bounds are open, bounds default to low in and high out."""
-    s = number(F.col("score"))
-    above = F.col("low").isNull() | (F.col("_s") > F.col("low")) | ((F.col("_s") == F.col("low")) & F.coalesce("low_in", F.lit(True)))
-    below = F.col("high").isNull() | (F.col("_s") < F.col("high")) | ((F.col("_s") == F.col("high")) & F.coalesce("high_in", F.lit(False)))
-    rows = scores.withColumn("_id", F.monotonically_increasing_id()).withColumn("_s", s)
-    joined = rows.join(ranges, (rows["calibration"] == ranges["calibration"]) & above & below, "left").drop(ranges["calibration"])
-    best = joined.groupBy("_id").agg(*(F.any_value(c).alias(c) for c in scores.columns), F.min_by("label", "ordinal").alias("label"))
-    return best.select(*scores.columns, F.coalesce("label", F.lit("")).alias("label"))
+    """``scores`` (calibration, score text) with label: the first range of the calibration that holds the score, empty if none does.
+    ``ranges``: (calibration, ordinal, label, low, high, low_in, high_in), null bounds are open, bounds default to low in and
+    high out.  A calibration's ranges travel as one array, so that rows are neither multiplied nor joined back."""
+    rows = scores.drop("label").join(_classes(ranges), "calibration", "left")
+    label = _label_by_range(F.col("classes"), number(F.col("score")))
+    return rows.select(*(c for c in scores.columns if c != "label"), F.coalesce(label, F.lit("")).alias("label"))
 
 
 def classify_by_assignment(scores: DataFrame, assigned: DataFrame, labels: DataFrame) -> DataFrame:
@@ -170,36 +266,79 @@ def classify_by_assignment(scores: DataFrame, assigned: DataFrame, labels: DataF
     return scores.join(assigned, ["calibration", "urn"], "left").join(labels, ["calibration", "class_id"], "left").withColumn("label", F.coalesce("label", F.lit(""))).drop("class_id")
 
 
-def annotate_calibration(df: DataFrame, calibrations: DataFrame, ranges: DataFrame, urn_col: str, score_col: str) -> DataFrame:
-    """Two groups of columns (primary, investigator): calibration and class of the score."""
-    rows = df.withColumn("_row", F.monotonically_increasing_id()).withColumn("score_set", score_set_of(F.col(urn_col)))
-    picked = pick_calibrations(calibrations)
-    out = rows
-    for role in ("primary", "investigator"):
-        own = picked.filter(F.col("role") == role).select("score_set", "calibration")
-        got = rows.select("_row", "score_set", F.col(score_col).cast("string").alias("score")).join(own, "score_set")
-        got = classify_by_range(got, ranges).select("_row", F.col("calibration").alias(f"{role}_calibration"), F.col("label").alias(f"{role}_class"))
-        out = out.join(got, "_row", "left")
-    new = [f"{r}_{c}" for r in ("primary", "investigator") for c in ("calibration", "class")]
-    return out.drop("_row", "score_set").fillna("", new)
-
-
-def annotate_consequence(df: DataFrame, vep: DataFrame, recoded: DataFrame, cols: list[str], ns: str = "vep", keep_existing: bool = False, access_date: Column | None = None) -> DataFrame:
+def annotate_calibration(df: DataFrame, calibrations: DataFrame, ranges: DataFrame, urn_col: str, score_col: str, ns: str, site: str, assigned: DataFrame | None = None) -> DataFrame:
+    """Eight columns ``ns``.{primary,investigator_provided}_calibration.{urn,name,url,functional_class}: the score set's calibrations
+    by role, and the class of the row.  ``calibrations``: (score_set, ordinal, calibration, title, primary, investigator,
+    research_only); ``ranges`` as in ``classify_by_range``, with the class's ``id``.  A calibration whose first class has no
+    range takes the class from ``assigned`` (calibration, urn, class_id).  Rows without a score set, a calibration or a class
+    have empty columns.  Each row is joined by its values, so no row id is needed."""
+    names = [c for c in df.columns if not c.startswith(f"{ns}.")]
+    parts = ranges if "id" in ranges.columns else ranges.withColumn("id", F.lit(None).cast("int"))
+    whole = parts if "ranged" in parts.columns else parts.withColumn("ranged", F.lit(True))
+    first = whole.groupBy("calibration").agg(F.min_by("ranged", "ordinal").alias("by_range"))
+    titles = calibrations.select("calibration", *(["title"] if "title" in calibrations.columns else [])).dropDuplicates(["calibration"])
+    known = titles.join(_classes(whole.filter("ranged")).withColumnRenamed("classes", "ranges"), "calibration", "left").join(first, "calibration", "left")
+    known = known.join(parts.groupBy("calibration").agg(F.sort_array(F.collect_list(F.struct("ordinal", "id", "label"))).alias("ids")), "calibration", "left")
+    if "title" not in known.columns:
+        known = known.withColumn("title", F.lit(""))
+    picked = pick_calibrations(calibrations).join(known, "calibration")
+    roles = {"primary": "primary", "investigator": "investigator_provided"}
+    sets = picked.groupBy("score_set").agg(*(F.max_by(F.struct("calibration", "title", "by_range", "ranges", "ids"), F.when(F.col("role") == r, 1)).alias(f"_{r}") for r in roles))
+    urn = trim_key(F.col(urn_col))
+    score = number(trim_key(F.col(score_col).cast("string")))
+    out = df.select(*(F.col(f"`{c}`") for c in names), score_set_of(urn).alias("_set"), urn.alias("_urn"), score.alias("_score"))
+    out = out.join(sets.withColumnRenamed("score_set", "_set"), "_set", "left")
+    given = None if assigned is None else assigned.groupBy("calibration", "urn").agg(F.max("class_id").alias("class_id"))
+    new = []
+    for r, long_name in roles.items():
+        p = F.col(f"_{r}")
+        label = F.when(p["by_range"], _label_by_range(p["ranges"], F.col("_score")))
+        if given is not None:
+            out = out.withColumn(f"_c_{r}", F.when(~p["by_range"], p["calibration"]))
+            right = given.select(F.col("calibration").alias(f"_c_{r}"), F.col("urn").alias(f"_u_{r}"), F.col("class_id").alias(f"_id_{r}"))
+            out = out.withColumn(f"_u_{r}", F.when(~p["by_range"], F.col("_urn")).otherwise(F.concat(F.lit("\u0000"), F.col("_urn")))).withColumn(f"_c_{r}", F.coalesce(f"_c_{r}", F.lit("")))
+            out = out.join(right, [f"_c_{r}", f"_u_{r}"], "left")
+            label = F.when(~p["by_range"], _label_by_id(p["ids"], F.col(f"_id_{r}"))).otherwise(label)
+        there = p["calibration"].isNotNull()
+        values = {"urn": p["calibration"], "name": p["title"], "url": F.when(there, F.concat(F.lit(f"{site}/score-sets/"), F.col("_set"))), "functional_class": label}
+        new += [F.coalesce(v, F.lit("")).alias(f"{ns}.{long_name}_calibration.{c}") for c, v in values.items()]
+    return out.select(*(F.col(f"`{c}`") for c in names), *new)
+
+
+def consequence_step(vep: DataFrame, recoded: DataFrame, cols: list[str], ns: str = "vep", access_date: Column | None = None) -> Step:
     """Consensus of the slots' consequences: from ``vep`` (hgvs, consequence), or for strings that are not in it the most severe
-    of their ``recoded`` ones (hgvs, genomic)."""
-    out = f"{ns}.consequence"
-    had = out in df.columns and keep_existing
-    base = df.withColumn("_in", first_non_blank(*(F.col(c) for c in cols)))
+    of their ``recoded`` ones (hgvs, genomic).  Slots are those of the first of ``cols`` that is not blank."""
     table = vep.groupBy("hgvs").agg(F.min("consequence").alias("consequence"))
     genomic = table.select(F.col("hgvs").alias("genomic"), "consequence")
     rank = severity_rank(F.col("consequence"))
     other = recoded.join(table.select("hgvs"), "hgvs", "left_anti").join(genomic, "genomic").filter(rank.isNotNull()).groupBy("hgvs").agg(F.min_by("consequence", rank).alias("worst"))
-    long = explode_slots(base, hgvs="_in").withColumn("hgvs", F.nullif("hgvs", F.lit(""))).join(table, "hgvs", "left").join(other, "hgvs", "left")
-    value = F.coalesce("consequence", "worst", F.lit(""))
-    known = F.collect_set(F.nullif(value, F.lit("")))
-    packed = pack_slots(long, {"_all": value}, _known=known).drop("_in")
-    differs = F.size("_known") > 1
-    new = {out: F.when(F.size("_known") == 1, F.get("_known", F.lit(0))).otherwise(""), f"{ns}.error": F.when(differs, F.concat(F.lit("Discrepant VEP mutational consequences across DNA candidates: "), "_all")).otherwise(""), f"{ns}.access_date": access_date if access_date is not None else F.date_format(F.current_date(), "yyyy-MM-dd")}
-    if had:
-        new = {c: F.when(is_blank(F.col(f"`{out}`")), v).otherwise(F.col(f"`{c}`") if c in df.columns else F.lit("")) for c, v in new.items()}
-    return packed.select(*(F.col(f"`{c}`") for c in df.columns if c not in new), *(v.alias(c) for c, v in new.items()))
+
+    def apply(long: DataFrame) -> DataFrame:
+        found = lookup(lookup(long, table, ["hgvs"]), other, ["hgvs"])
+        return found.withColumn("_c", F.coalesce("consequence", "worst", F.lit("")))
+
+    def after(df: DataFrame) -> DataFrame:
+        known = F.filter("_known", lambda x: x != "")
+        differs = F.concat(F.lit("Discrepant VEP mutational consequences across DNA candidates: "), "_all")
+        new = {f"{ns}.consequence": F.when(F.size(known) == 1, F.get(known, F.lit(0))).otherwise(""), f"{ns}.error": F.when(F.size(known) > 1, differs).otherwise(""), f"{ns}.access_date": access_date if access_date is not None else F.date_format(F.current_date(), "yyyy-MM-dd")}
+        old = [c for c in df.columns if c not in new and c not in ("_in", "_all", "_known")]
+        return df.select(*(F.col(f"`{c}`") for c in old), *(v.alias(c) for c, v in new.items()))
+
+    return Step({"hgvs": "_in"}, apply, {"_all": "_c"}, {"_known": ("_c", F.collect_set)}, before=lambda df: df.withColumn("_in", first_non_blank(*(F.col(c) for c in cols))), after=after)
+
+
+def annotate_consequence(df: DataFrame, vep: DataFrame, recoded: DataFrame, cols: list[str], ns: str = "vep", keep_existing: bool = False, access_date: Column | None = None, key: list[str] | None = None) -> DataFrame:
+    """As ``consequence_step``; with ``keep_existing`` only rows whose consequence is blank are annotated, the others
+    pass by."""
+    step = consequence_step(vep, recoded, cols, ns, access_date)
+    out = f"{ns}.consequence"
+    if out not in df.columns or not keep_existing:
+        return annotate(df, step, key=key)
+    rows = keyed(df, key)
+    blank = is_blank(F.col(f"`{out}`"))
+    fresh = annotate(rows.filter(blank), step)
+    had = rows.filter(~blank)
+    for c in (f"{ns}.error", f"{ns}.access_date"):
+        had = had if c in had.columns else had.withColumn(c, F.lit(""))
+    both = fresh.unionByName(had)
+    return both if ROW in df.columns else both.drop(ROW)

@@ -5,29 +5,110 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import accession_of, chromosome_of, join_slots, parse_nucleotide, parse_protein, spans_intron, split_slots, touches_intron
-from .mapping import fetch_ref_bases
+from ..functions.expr import accession_of, chromosome_of, nucleotide_change, nucleotide_groups, parse_nucleotide, protein_change, protein_groups, reverse_complement, spans_intron, touches_intron
+from .mapping import bases_of, fetch_ref_bases
+from .slots import Step, annotate
 
+_PARTS = ("start", "stop", "ref", "alt")
 
-def add_coordinates(df: DataFrame, g: str = "mapped_hgvs_g", c: str = "mapped_hgvs_c", p: str = "mapped_hgvs_p") -> DataFrame:
+
+def _parsed(long: DataFrame, column: str, found, change) -> DataFrame:
+    """``_v``: the change of each slot, from the groups of one pattern; the projections stay apart, so that the
+    pattern runs once a slot."""
+    long = long.withColumn("_p", F.when(F.contains(F.col(column), F.lit(":")), found(F.col(column))))
+    return long.withColumn("_v", F.when(F.col("_p").isNotNull(), change(F.col("_p")))).drop("_p")
+
+
+def haplotype_span(components: Column, bases: Column | None = None, bases_start: Column | None = None) -> Column:
+    """struct(start, stop, ref, alt) of ``components`` (array of changes with numeric positions): the whole span; what no
+    component says is filled with ``bases`` (which start at ``bases_start``).  Null where that is not known."""
+    lo, hi = F.array_min(F.transform(components, lambda x: x["s"])), F.array_max(F.transform(components, lambda x: x["e"]))
+    at = lambda text, start, p: F.substr(text, (p - start + 1).cast("int"), F.lit(1))
+
+    def said(part: str, p: Column) -> Column:
+        hits = F.filter(components, lambda x: (p >= x["s"]) & (p < x["s"] + F.length(x[part])))
+        return F.element_at(F.transform(hits, lambda x: at(x[part], x["s"], p)), -1)
+
+    span = F.sequence(lo, hi)
+    last = lambda part, p: F.when(F.exists(components, lambda x: (p >= x["s"]) & (p < x["s"] + F.length(x[part]))), said(part, p))
+    ref, alt = F.transform(span, lambda p: last("ref", p)), F.transform(span, lambda p: last("alt", p))
+    if bases is not None:
+        gaps = F.exists(ref, lambda x: x.isNull())
+        fill = lambda texts: F.zip_with(texts, span, lambda x, p: F.coalesce(x, F.when(F.length(bases) >= p - bases_start + 1, at(bases, bases_start, p))))
+        ref, alt = F.when(gaps, fill(ref)).otherwise(ref), F.when(gaps, fill(alt)).otherwise(alt)
+    whole = ~F.exists(ref, lambda x: x.isNull()) & ~F.exists(alt, lambda x: x.isNull())
+    return F.when(whole, F.struct(lo.cast("string").alias("start"), hi.cast("string").alias("stop"), F.array_join(ref, "").alias("ref"), F.array_join(alt, "").alias("alt")))
+
+
+def _components(hgvs: Column) -> Column:
+    """The changes of ``acc:g.[a;b]`` with positions as numbers; null if there are none or one is not of known form."""
+    inner = F.regexp_extract(hgvs, r"^[^:]+:g\.\[([^\]]+)\]$", 1)
+    texts = F.filter(F.transform(F.split(inner, ";"), lambda x: F.trim(x)), lambda x: x != "")
+    parts = F.transform(texts, lambda x: parse_nucleotide(F.concat(F.lit("g."), x)))
+    typed = F.transform(parts, lambda v: F.struct(v["start"].try_cast("long").alias("s"), v["stop"].try_cast("long").alias("e"), v["ref"].alias("ref"), v["alt"].alias("alt")))
+    ok = (F.size(typed) > 0) & F.forall(typed, lambda v: v["s"].isNotNull() & v["e"].isNotNull() & (v["e"] >= v["s"]) & v["ref"].isNotNull())
+    return F.when(ok, typed)
+
+
+def _genomic(chunks: DataFrame | None, size: int):
+    def apply(long: DataFrame) -> DataFrame:
+        long = _parsed(long, "x", nucleotide_groups, nucleotide_change).withColumn("_c", F.when(F.contains(F.col("x"), F.lit(":g.[")), _components(F.col("x"))))
+        if chunks is None:
+            whole = F.when(F.col("_c").isNotNull(), haplotype_span(F.col("_c")))
+            return long.withColumn("_h", whole).withColumn("_v", F.struct(*(F.coalesce(F.col(f"_v.{k}"), F.col(f"_h.{k}")).alias(k) for k in _PARTS))).drop("_h", "_c")
+        v = {k: F.col(f"_v.{k}") for k in (*_PARTS, "kind")}
+        start, stop = v["start"].try_cast("long"), v["stop"].try_cast("long")
+        lo, hi = F.array_min(F.transform("_c", lambda x: x["s"])), F.array_max(F.transform("_c", lambda x: x["e"]))
+        blank = (v["ref"] == "") & v["kind"].isin("del", "dup", "inv")
+        cut = v["alt"] == ""
+        genomic = F.col("x").rlike(r"^[^:]+:\s*g\.")
+        need = genomic & (blank | cut) & start.isNotNull() & stop.isNotNull() & (stop >= start)
+        # one lookup serves all: the span and, where there is one, the base before it
+        first = F.when(need, F.greatest(start - 1, F.lit(1))).otherwise(lo)
+        long = long.withColumns({"_first": first, "_last": F.when(need, stop).otherwise(hi), "_acc": accession_of(F.col("x"))})
+        long = bases_of(long, "_acc", F.col("_first"), F.col("_last"), chunks, size)
+        b, at = F.col("bases"), F.col("_first")
+        own = F.when(b.isNotNull(), F.substr(b, (start - at + 1).cast("int"), (stop - start + 1).cast("int")))
+        ref = F.when(genomic & blank, F.coalesce(own, v["ref"])).otherwise(v["ref"])
+        alt = F.when((v["kind"] == "inv") & (v["alt"] == "inv") & (ref != ""), reverse_complement(ref)).otherwise(v["alt"])
+        anchored = genomic & cut & (start > 1) & b.isNotNull()
+        anchor = F.substring(b, 1, 1)
+        whole = F.struct(
+            F.when(anchored, (start - 1).cast("string")).otherwise(v["start"]).alias("start"), v["stop"].alias("stop"),
+            F.when(anchored, F.concat(anchor, F.when(ref != "", ref).otherwise(own))).otherwise(ref).alias("ref"), F.when(anchored, anchor).otherwise(alt).alias("alt"),
+        )
+        span = F.when(F.col("_c").isNotNull(), haplotype_span(F.col("_c"), b, at))
+        long = long.withColumn("_h", span).withColumn("_w", whole)
+        return long.withColumn("_v", F.struct(*(F.coalesce(F.col(f"_w.{k}"), F.col(f"_h.{k}")).alias(k) for k in _PARTS)))
+
+    return apply
+
+
+def coordinate_steps(g: str = "mapped_hgvs_g", c: str = "mapped_hgvs_c", p: str = "mapped_hgvs_p", chunks: DataFrame | None = None, size: int = 0, slot_flags: bool = False) -> list[Step]:
     """For each list the chromosome (g, p) or transcript (c), start, stop, ref and alt of its slots, and two flags of the
-    row: whether a c. change touches or spans an intron."""
-    new: dict[str, Column] = {}
-    for col, parse, first in ((g, parse_nucleotide, "chromosome"), (c, parse_nucleotide, "transcript"), (p, parse_protein, "chromosome")):
-        s = split_slots(F.col(f"`{col}`"))
-        where = chromosome_of if first == "chromosome" else (lambda a: a)
-        new[f"{col}_{first}"] = join_slots(F.transform(s, _place(where)))
-        parts = F.transform(s, parse)
-        for part in ("start", "stop", "ref", "alt"):
-            new[f"{col}_{part}"] = join_slots(parts.getField(part))
-    coding = F.transform(split_slots(F.col(f"`{c}`")), parse_nucleotide)
-    new["touches_intronic_region"] = F.exists(coding, lambda x: touches_intron(x["start"], x["stop"])).cast("string")
-    new["spans_intron"] = F.exists(coding, lambda x: spans_intron(x["start"], x["stop"])).cast("string")
-    return df.withColumns(new)
-
-
-def _place(where):
-    return lambda x: where(accession_of(x))
+    row (of each slot with ``slot_flags``): whether a c. change touches or spans an intron.  With reference bases (``chunks`` of ``size``) blank refs of genomic
+    deletions, duplications and inversions are read, deletions get the base before them, and gaps of ``g.[a;b]`` are filled."""
+    named = lambda col: {f"{col}_{k}": F.col(f"_v.{k}") for k in _PARTS}
+    place = chromosome_of(accession_of(F.col("x")))
+
+    def coding(long: DataFrame) -> DataFrame:
+        long = _parsed(long, "x", nucleotide_groups, nucleotide_change)
+        start, stop = F.col("_v.start"), F.col("_v.stop")
+        return long.withColumns({"_touches": touches_intron(start, stop), "_spans": spans_intron(start, stop)})
+
+    some = lambda flag: F.coalesce(F.bool_or(flag), F.lit(False)).cast("string")
+    flags = {"touches_intronic_region": "_touches", "spans_intron": "_spans"}
+    by_slot = {k: F.when(F.col("x") != "", F.col(v)) for k, v in flags.items()} if slot_flags else {}
+    by_row = {} if slot_flags else {k: (v, some) for k, v in flags.items()}
+    return [
+        Step({"x": g}, _genomic(chunks, size), {f"{g}_chromosome": place, **named(g)}),
+        Step({"x": c}, coding, {f"{c}_transcript": accession_of(F.col("x")), **named(c), **by_slot}, by_row),
+        Step({"x": p}, lambda long: _parsed(long, "x", protein_groups, protein_change), {f"{p}_chromosome": place, **named(p)}),
+    ]
+
+
+def add_coordinates(df: DataFrame, g: str = "mapped_hgvs_g", c: str = "mapped_hgvs_c", p: str = "mapped_hgvs_p", chunks: DataFrame | None = None, size: int = 0, key: list[str] | None = None) -> DataFrame:
+    return annotate(df, *coordinate_steps(g, c, p, chunks, size), key=key)
 
 
 def vcf_anchor(alleles: DataFrame, chunks: DataFrame, size: int) -> DataFrame:

@@ -6,9 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import accession_of, append_error, has_hgvs, haplotype_components, is_blank, is_protein, is_transcript, normalize_protein, transcript_sort_key, trim_key
+from .slots import ROW, keyed
 from .tables import last_wins
 
 
+def _col(c: str) -> Column:
+    return F.col(f"`{c}`")
+
+
 def classify_input(nt: Column, pro: Column) -> Column:
     """1: nucleotide string with an accession; 2: without; 3: protein only; null: neither."""
     return F.when(has_hgvs(nt), F.when(F.contains(nt, F.lit(":")), 1).otherwise(2)).when(has_hgvs(pro), 3)
@@ -46,6 +51,12 @@ def keep_existing(new: Column, old: Column) -> Column:
     return F.when(is_blank(old), new).otherwise(old)
 
 
+def split_existing(df: DataFrame, col: str) -> tuple[DataFrame, DataFrame]:
+    """(rows that still need ``col``, rows that have it): only the first are to be annotated, then both are united."""
+    blank = is_blank(_col(col))
+    return df.filter(blank), df.filter(~blank)
+
+
 def read_targets(targets: DataFrame, name_col: str, order: str) -> DataFrame:
     """The last row of each name that is not blank."""
     if name_col not in targets.columns:
@@ -62,14 +73,15 @@ def join_targets(df: DataFrame, targets: DataFrame, name_col: str, fill: list[st
     return out.select(*(F.when(is_blank(F.col(c)), value(c)).otherwise(F.col(c)).alias(c) if c in fill else F.col(c) for c in df.columns), *(value(c).alias(c) for c in more))
 
 
-def reuse_existing(df: DataFrame, prior: DataFrame, order: str, nt: str, pro: str, extra: tuple[str, ...] = (), mapped: tuple[str, ...] = ("mapped_hgvs_g", "mapped_hgvs_c", "mapped_hgvs_p", "mapping_error")) -> tuple[DataFrame, DataFrame]:
-    """(rows with the first earlier result of their key, rows still to do)."""
+def reuse_existing(df: DataFrame, prior: DataFrame, order: str, nt: str, pro: str, extra: tuple[str, ...] = (), mapped: tuple[str, ...] = ("mapped_hgvs_g", "mapped_hgvs_c", "mapped_hgvs_p", "mapping_error"), useful: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(rows with the first earlier result of their key, rows still to do).  Earlier rows count if one of ``useful`` (all of
+    ``mapped`` by default) is not blank."""
     keys = ["_k0", "_k1", *(f"_k{i + 2}" for i in range(len(extra)))]
     key = lambda: [trim_key(F.col(nt)).alias("_k0"), normalize_protein(trim_key(F.col(pro))).alias("_k1"), *(trim_key(F.col(c)).alias(f"_k{i + 2}") for i, c in enumerate(extra))]
-    useful = F.lit(False)
-    for c in mapped:
-        useful = useful | ~is_blank(F.col(c))
-    old = prior.filter(useful).select(F.col(order).alias("_o"), *key(), *(F.col(c).alias(f"_m_{c}") for c in mapped))
+    some = F.lit(False)
+    for c in useful or mapped:
+        some = some | ~is_blank(F.col(c))
+    old = prior.filter(some).select(F.col(order).alias("_o"), *key(), *(F.col(c).alias(f"_m_{c}") for c in mapped))
     old = old.groupBy(*keys).agg(F.min(F.struct("_o", *(f"_m_{c}" for c in mapped))).alias("p"))
     rows = df.select("*", *key())
     hit = rows.join(old, keys).select(*(c for c in df.columns if c not in mapped), *(F.col(f"p._m_{c}").alias(c) for c in mapped))
@@ -102,15 +114,20 @@ def ensembl_to_refseq(df: DataFrame, xrefs: DataFrame, tx_col: str) -> DataFrame
     return out.select(*df.columns, F.coalesce("_nm", tx_col).alias("refseq"))
 
 
+def _no_data(hgvs: Column) -> Column:
+    return F.concat(F.lit("ClinGen returned no data for '"), hgvs, F.lit("'"))
+
+
 def join_accessioned(df: DataFrame, assays: DataFrame, registry: DataFrame, nt_col: str) -> DataFrame:
-    """Strings with an accession: raw -> assay string -> registry record (hgvs, g, c, p, id)."""
+    """Strings with an accession: raw -> assay string -> registry record (hgvs, g, c, p, id).  The c. string falls back to the
+    raw one, also where the registry has no record."""
     a = df.join(assays.select(F.col("raw").alias("_raw"), "assay"), df[nt_col] == F.col("_raw"), "left")
     r = a.join(registry.select(F.col("hgvs").alias("_h"), "g", "c", "p", "id"), F.coalesce("assay", nt_col) == F.col("_h"), "left")
     found = F.col("_h").isNotNull()
     g = F.coalesce(F.col("g"), F.when(F.col("assay").startswith("NC_"), F.col("assay")), F.lit(""))
     return r.select(
-        *df.columns, F.when(found, g).otherwise("").alias("mapped_hgvs_g"), F.when(found, F.coalesce("c", nt_col)).otherwise("").alias("mapped_hgvs_c"), F.coalesce("p", F.lit("")).alias("mapped_hgvs_p"),
-        F.coalesce("id", F.lit("")).alias("clingen_allele_id"), F.when(found, "").otherwise(F.concat(F.lit("ClinGen returned no data for "), F.coalesce("assay", nt_col))).alias("mapping_error"),
+        *df.columns, F.when(found, g).otherwise("").alias("mapped_hgvs_g"), F.coalesce("c", nt_col).alias("mapped_hgvs_c"), F.coalesce("p", F.lit("")).alias("mapped_hgvs_p"),
+        F.coalesce("id", F.lit("")).alias("clingen_allele_id"), F.when(found, "").otherwise(_no_data(F.coalesce("assay", nt_col))).alias("mapping_error"),
     )
 
 
@@ -121,7 +138,7 @@ def join_mapped_groups(df: DataFrame, results: DataFrame, registry: DataFrame, r
     has, found = ~is_blank(F.col("assay")), F.col("_h").isNotNull()
     as_p = F.contains(F.col("assay"), F.lit(":p.")) | F.col("assay").startswith("p.")
     blank = F.lit("")
-    error = F.when(~is_blank(F.col("_e")), F.col("_e")).when(has & ~found, F.concat(F.lit("ClinGen returned no data for "), "assay")).otherwise(blank)
+    error = F.when(~is_blank(F.col("_e")), F.col("_e")).when(has & ~found, _no_data(F.col("assay"))).otherwise(blank)
     p = F.when(found, F.coalesce("p", F.when(F.col("id").startswith("PA"), F.col("assay")), blank)).when(has & as_p, F.col("assay")).otherwise(blank)
     return r.select(
         *df.columns, F.when(found, F.coalesce("g", blank)).when(has & ~as_p, F.col("assay")).otherwise(blank).alias("mapped_hgvs_g"), F.coalesce("c", blank).alias("mapped_hgvs_c"), p.alias("mapped_hgvs_p"),
@@ -129,6 +146,78 @@ def join_mapped_groups(df: DataFrame, results: DataFrame, registry: DataFrame, r
     )
 
 
+#: What mapping adds to a row (names are fixed values).
+MAPPED = ["mapped_hgvs_g", "mapped_hgvs_c", "mapped_hgvs_p", "mapping_error", "mapping_warnings", "dna_vrs_digest", "protein_vrs_digest", "strand", "clingen_allele_id"]
+
+
+def _dealt(on: Column, key: Column, *by: str) -> Column:
+    """A join key where ``on`` holds; elsewhere text that matches nothing and differs by row, so that it gathers nowhere."""
+    return F.when(on & key.isNotNull(), key).otherwise(F.concat(F.lit("\u0000"), F.xxhash64(*by).cast("string")))
+
+
+def map_variants(
+    df: DataFrame, assays: DataFrame, results: DataFrame, registry: DataFrame, alignments: DataFrame, targets: DataFrame | None = None, existing: DataFrame | None = None,
+    match_cols: tuple[str, ...] = (), order: str = "line", nt: str = "raw_hgvs_nt", pro: str = "raw_hgvs_pro", sequence: str = "target_sequence", group_by: str = "target_sequence",
+    target_name: str = "target_name", drop: tuple[str, ...] = (),
+) -> DataFrame:
+    """Each row with its mapped g., c. and p. strings, error, warnings, digests, strand and allele id; one row for each of ``df``.
+
+    Blank cells are filled from ``targets`` (unique by ``target_name``); one-letter protein strings are spelled out; rows with an
+    earlier result in ``existing`` (first by ``order``, same strings and ``match_cols``) take it.  Strings with an accession go by
+    ``assays`` (raw, assay) to ``registry`` (hgvs, g, c, p, id), their strand by ``alignments`` (tx_ac, strand, method).  Others need
+    a target sequence and take ``results`` of the external mapper, unique by (target, nt, pro) with assay, error,
+    dna_vrs_digest, protein_vrs_digest and strand; ``target`` is ``group_by`` or else the sequence.  Rows without a usable
+    string, without a sequence or without a result have an error.  Null cells are empty; ``drop`` columns go at the end."""
+    rows = df
+    if targets is not None:
+        rows = join_targets(rows, targets, target_name, [c for c in targets.columns if c in df.columns and c != target_name])
+    wanted = [c for c in (nt, pro, sequence, group_by) if c not in rows.columns]
+    rows = rows.withColumns({c: F.lit("") for c in dict.fromkeys(wanted)})
+    spelled = F.when(is_blank(_col(pro)), _col(pro)).otherwise(normalize_protein(_col(pro)))
+    rows = rows.withColumn(pro, spelled)
+    names = [c for c in rows.columns if c not in MAPPED and c not in wanted]
+    done = None
+    if existing is not None:
+        old = existing.withColumns({c: F.lit("") for c in MAPPED if c not in existing.columns})
+        done, rows = reuse_existing(rows, old, order, nt, pro, match_cols, tuple(MAPPED), useful=tuple(MAPPED[:4]))
+    raw, seq = trim_key(_col(nt)), trim_key(_col(sequence))
+    group = F.coalesce(F.nullif(trim_key(_col(group_by)), F.lit("")), seq)
+    by = rows.columns
+    r = rows.withColumns({"_kind": classify_input(_col(nt), _col(pro)), "_raw": raw, "_seq": seq, "_group": group})
+    one, many = F.coalesce(F.col("_kind") == 1, F.lit(False)), F.coalesce(F.col("_kind") > 1, F.lit(False)) & (F.col("_seq") != "")
+    a = assays.groupBy(F.col("raw").alias("_ka")).agg(F.min("assay").alias("_assay1"))
+    r = r.withColumn("_ka", _dealt(one, F.col("_raw"), *by)).join(a, "_ka", "left")
+    kept = {"assay": "_assay2", "error": "_error2", "dna_vrs_digest": "_dna", "protein_vrs_digest": "_pro", "strand": "_strand2"}
+    m = results.select(F.col("target").alias("_kt"), trim_key(F.col("nt")).alias("_kn"), trim_key(F.col("pro")).alias("_kp"), *(F.col(c).cast("string").alias(n) for c, n in kept.items()), F.lit(True).alias("_has"))
+    r = r.withColumns({"_kt": _dealt(many, F.col("_group"), *by), "_kn": F.col("_raw"), "_kp": trim_key(_col(pro))}).join(m, ["_kt", "_kn", "_kp"], "left")
+    failed = ~is_blank(F.col("_error2"))
+    hgvs = F.when(one, F.coalesce("_assay1", "_raw")).when(many & ~failed, F.nullif(trim_key(F.col("_assay2")), F.lit("")))
+    r = r.withColumn("_assay", hgvs).withColumn("_kh", _dealt(F.lit(True), F.col("_assay"), *by))
+    r = r.join(registry.select(F.col("hgvs").alias("_kh"), *(F.col(c).alias(f"_r{c}") for c in ("g", "c", "p", "id")), F.lit(True).alias("_found")), "_kh", "left")
+    found, assay, none = F.col("_found").isNotNull(), F.col("_assay"), F.lit(None).cast("string")
+    as_p, mapped = F.contains(assay, F.lit(":p.")) | assay.startswith("p."), many & ~failed & assay.isNotNull()
+    g = F.when(one & found, F.coalesce("_rg", F.when(assay.startswith("NC_"), assay))).when(mapped & found, F.col("_rg")).when(mapped & ~as_p, assay)
+    c = F.when(one, F.coalesce("_rc", "_raw")).when(mapped, F.col("_rc"))
+    p = F.when(found, F.coalesce("_rp", F.when(mapped & F.col("_rid").startswith("PA"), assay))).when(mapped & as_p, assay)
+    need = F.concat(F.lit("target_sequence is required for case "), F.col("_kind").cast("string"), F.lit(f" but column '{sequence}' is missing or blank"))
+    error = (
+        F.when(F.col("_kind").isNull(), "No usable HGVS variant data in this row").when(one & ~found, _no_data(assay)).when((F.col("_kind") > 1) & (F.col("_seq") == ""), need)
+        .when(many & failed, F.col("_error2")).when(many & assay.isNull(), "No HGVS string produced by mapper").when(many & ~found, _no_data(assay))
+    )
+    r = r.withColumns({"_g": g, "_c": c, "_p": p, "_e": error})
+    tx = accession_of(F.col("_c"))
+    strands = alignments.filter("method = 'splign'").groupBy(F.col("tx_ac").alias("_tx")).agg(F.min("strand").cast("string").alias("_strand1"))
+    r = r.withColumn("_tx", _dealt(one & (tx != ""), tx, *by)).join(strands, "_tx", "left")
+    strand = F.when(one, F.col("_strand1")).when(many, F.col("_strand2"))
+    digest = lambda c: F.when(mapped, F.col(c))
+    new = dict(zip(MAPPED, [F.col("_g"), F.col("_c"), F.col("_p"), F.col("_e"), none, digest("_dna"), digest("_pro"), strand, F.when(found, F.col("_rid"))]))
+    out = r.select(*map(_col, names), *(F.coalesce(v, F.lit("")).alias(k) for k, v in new.items()))
+    if done is not None:
+        out = out.unionByName(done.select(*map(_col, names), *(F.coalesce(F.col(k).cast("string"), F.lit("")).alias(k) for k in MAPPED)))
+    out = ensure_outcome(out, ["mapped_hgvs_g", "mapped_hgvs_c", "mapped_hgvs_p", "dna_vrs_digest", "protein_vrs_digest"])
+    return out.drop(*drop)
+
+
 def join_reverse_candidates(df: DataFrame, candidates: DataFrame, errors: DataFrame, p_col: str, level: str = "level") -> DataFrame:
     """Candidate lists of protein rows, by (transcript, hgvs_p); rows without any get an error."""
     on = [F.col("transcript"), F.col(p_col)]
@@ -165,24 +254,62 @@ def fetch_ref_bases(spans: DataFrame, chunks: DataFrame, size: int) -> DataFrame
     return spans.join(got, ["accession", "start", "stop"], "left")
 
 
+def bases_of(df: DataFrame, accession: str, start: Column, stop: Column, chunks: DataFrame, size: int) -> DataFrame:
+    """``df`` with ``bases`` of each row's span; null where the span is null or the reference does not cover it.  Spans are
+    looked up once each, and rows without one are dealt out by their content."""
+    rows = df.withColumns({"_bs": start, "_be": stop})
+    whole = F.col("_bs").isNotNull() & F.col("_be").isNotNull() & (F.col("_bs") > 0) & (F.col("_be") >= F.col("_bs"))
+    spans = rows.filter(whole).select(F.col(accession).alias("accession"), F.col("_bs").alias("start"), F.col("_be").alias("stop")).distinct()
+    got = fetch_ref_bases(spans, chunks, size).select(F.col("accession").alias("_ba"), F.col("start").alias("_bs"), F.col("stop").alias("_be"), "bases")
+    apart = F.concat(F.lit("\u0000"), F.xxhash64(*df.columns).cast("string"))
+    rows = rows.withColumn("_ba", F.when(whole, F.col(accession)).otherwise(apart)).join(got, ["_ba", "_bs", "_be"], "left")
+    return rows.drop("_ba", "_bs", "_be")
+
+
 def compose_delins(df: DataFrame, components: str, target: str) -> DataFrame:
-    """``composed``: the change of several substitutions in one codon as ``c.S_EdelinsX``; null if they are not in one."""
-    pos = F.transform(components, lambda x: F.regexp_extract(x, r"^(\d+)", 1).cast("int"))
-    lo, hi = F.array_min(pos), F.array_max(pos)
-    one_codon = F.floor((lo - 1) / 3) == F.floor((hi - 1) / 3)
-    base = lambda p: F.coalesce(F.get(F.transform(F.filter(components, lambda x: F.regexp_extract(x, r"^(\d+)", 1).cast("int") == p), lambda x: F.regexp_extract(x, r">([ACGTN])$", 1)), F.lit(0)), F.upper(F.substring(F.col(target), p, F.lit(1))))
-    alt = F.array_join(F.transform(F.sequence(lo, hi), base), "")
-    ref = F.upper(F.substring(F.col(target), lo, hi - lo + 1))
-    ok = one_codon & (F.length(F.col(target)) >= hi) & (ref != alt)
-    return df.withColumn("composed", F.when(ok, F.concat(F.lit("c."), lo.cast("string"), F.when(lo == hi, "").otherwise(F.concat(F.lit("_"), hi.cast("string"))), F.lit("delins"), alt)))
-
-
-def rewrite_haplotypes(df: DataFrame, nt_col: str, target: str) -> DataFrame:
-    """Intra-codon haplotypes become one delins; the original string is kept before them in ``orig_raw_hgvs_nt``."""
+    """``composed``: the change of several substitutions in one codon as ``c.S_EdelinsX``; null if they are not in one.  Bases
+    between them come from ``target``, which is only needed there."""
+    typed = F.transform(components, lambda x: F.struct(F.regexp_extract(x, r"^(\d+)", 1).cast("int").alias("p"), F.regexp_extract(x, r"^\d+([ACGTN])>", 1).alias("r"), F.regexp_extract(x, r">([ACGTN])$", 1).alias("a")))
+    rows = df.withColumn("_t", typed).withColumn("_s", F.upper(F.trim(F.coalesce(F.col(target), F.lit("")))))
+    pos = F.transform("_t", lambda x: x["p"])
+    rows = rows.withColumns({"_lo": F.array_min(pos), "_hi": F.array_max(pos)})
+    one_codon = F.floor((F.col("_lo") - 1) / 3) == F.floor((F.col("_hi") - 1) / 3)
+
+    def base(part: str):
+        # the last of several components at one place counts
+        own = lambda p: F.filter("_t", lambda x: x["p"] == p)
+        between = lambda p: F.when(F.substr("_s", p, F.lit(1)).rlike("^[ACGTN]$"), F.substr("_s", p, F.lit(1)))
+        return lambda p: F.when(F.size(own(p)) > 0, F.element_at(F.transform(own(p), lambda x: x[part]), -1)).otherwise(between(p))
+
+    span = F.sequence("_lo", "_hi")
+    rows = rows.withColumns({"_alt": F.when(one_codon, F.transform(span, base("a"))), "_ref": F.when(one_codon, F.transform(span, base("r")))})
+    known = ~F.exists("_alt", lambda x: x.isNull())
+    alt, ref = F.array_join("_alt", ""), F.array_join("_ref", "")
+    where = F.concat(F.lit("c."), F.col("_lo").cast("string"), F.when(F.col("_lo") == F.col("_hi"), "").otherwise(F.concat(F.lit("_"), F.col("_hi").cast("string"))))
+    return rows.withColumn("composed", F.when(known & (ref != alt), F.concat(where, F.lit("delins"), alt))).drop("_t", "_s", "_lo", "_hi", "_alt", "_ref")
+
+
+def rewrite_haplotypes(df: DataFrame, mapping: DataFrame, nt_col: str = "raw_hgvs_nt", target: str = "target_sequence", orig: str = "orig_raw_hgvs_nt", key: list[str] | None = None) -> DataFrame:
+    """Intra-codon haplotypes become one delins; the original string is kept before them in ``orig``.
+
+    ``mapping``: (accession, target, component, mapped_c), with accession null or empty for strings without one, which are
+    mapped by their target sequence (null or empty for those with one).  Every component must be mapped to a plain
+    substitution, else the row is left as it is; so are rows whose bases between the components are not known."""
+    rows = keyed(df, key)
     parts = haplotype_components(F.col(nt_col))
-    out = compose_delins(df.withColumn("_parts", parts), "_parts", target)
-    prefix = F.regexp_extract(F.col(nt_col), r"^([^:]+:)", 1)
-    names = [c for c in df.columns]
+    acc = F.regexp_extract(trim_key(F.col(nt_col)), r"^([^:]+):", 1)
+    seq = trim_key(F.col(target))
+    asked = rows.select(ROW, acc.alias("_a"), F.when(acc == "", seq).otherwise("").alias("_s"), F.posexplode(parts).alias("_i", "_x"))
+    asked = asked.filter((F.col("_a") != "") | (F.col("_s") != ""))
+    blank = lambda c: F.coalesce(F.col(c), F.lit(""))
+    table = mapping.select(blank("accession").alias("_a"), blank("target").alias("_s"), F.col("component").alias("_x"), "mapped_c").dropDuplicates(["_a", "_s", "_x"])
+    plain = F.upper(F.regexp_extract(trim_key(F.col("mapped_c")), r"^(?:[^:]+:)?c\.(\d+[ACGTNacgtn]>[ACGTNacgtn])$", 1))
+    got = asked.join(table, ["_a", "_s", "_x"], "left").withColumn("_m", F.nullif(plain, F.lit("")))
+    mapped = got.groupBy(ROW).agg(F.every(F.col("_m").isNotNull()).alias("_ok"), F.array_sort(F.collect_list(F.struct("_i", "_m"))).alias("_l"))
+    found = mapped.select(ROW, F.when(F.col("_ok"), F.col("_l._m")).alias("_parts"))
+    out = compose_delins(rows.join(found, ROW, "left"), "_parts", target)
+    names = [c for c in df.columns if c != orig]
     i = names.index(nt_col)
+    prefix = F.when(acc == "", "").otherwise(F.concat(acc, F.lit(":")))
     new = F.when(F.col("composed").isNotNull(), F.concat(prefix, F.col("composed"))).otherwise(F.col(nt_col)).alias(nt_col)
-    return out.select(*names[:i], F.col(nt_col).alias("orig_raw_hgvs_nt"), new, *names[i + 1 :])
+    return out.select(*map(_col, names[:i]), F.col(nt_col).alias(orig), new, *map(_col, names[i + 1 :]))

@@ -1,50 +1,132 @@
-"""The candidate-list kernel: explode once, join on the long layer, pack once."""
+"""The candidate-list kernel: explode once, join on the long layer, pack once.
+
+The long layer has one row for each slot: the row's id, the slot's number and its values, never
+the wide row.  Ids must be the same whenever the frame is evaluated, so they are a key of the table or staged.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import is_blank, join_slots, split_slots, zip_slots
+from ..functions.expr import is_blank, join_slots, trim_key
+from ..staging import stage
+
+ROW, SLOT = "_row_id", "_slot"
+
+
+def _col(c: str) -> Column:
+    return F.col(f"`{c}`")
+
 
-ROW, SLOT, WIDE = "_row_id", "_slot", "_wide"
+def keyed(df: DataFrame, key: list[str] | None = None) -> DataFrame:
+    """``df`` with a row id: its own, or ``key`` (columns that are unique together), or else numbers that are staged
+    with the rows."""
+    if ROW in df.columns:
+        return df
+    if key:
+        return df.withColumn(ROW, _col(key[0]) if len(key) == 1 else F.struct(*map(_col, key)))
+    return stage(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
+def _lists(c: str) -> Column:
+    return F.split(F.coalesce(_col(c), F.lit("")), r"\|", -1)
 
 
 def explode_slots(df: DataFrame, **lists: str) -> DataFrame:
-    """One row for each slot: the wide row (as a struct), its id, the slot's number and the slots of
-    ``lists`` (name=column), aligned by index and filled with empty ones."""
-    if ROW not in df.columns:
-        df = df.withColumn(ROW, F.monotonically_increasing_id())
-    slots = zip_slots(**{k: split_slots(F.col(f"`{c}`")) for k, c in lists.items()})
-    wide = F.struct(*(F.col(f"`{c}`") for c in df.columns if c != ROW)).alias(WIDE)
-    return df.select(ROW, wide, F.posexplode(slots).alias(SLOT, "_s")).select(ROW, WIDE, SLOT, "_s.*")
-
-
-def pack_slots(long: DataFrame, values: dict[str, Column | str], **row_values: Column) -> DataFrame:
-    """The wide rows with one candidate list for each of ``values`` (nulls are empty slots), and aggregates of
-    a row's slots (``row_values``).  Columns of these names are replaced."""
+    """(row id, slot's number, slots of ``lists``: name=column): lists are aligned by index and short ones filled with
+    empty slots."""
+    split = df.select(ROW, *(_lists(c).alias(k) for k, c in lists.items()))
+    long = split.select(ROW, F.posexplode(F.arrays_zip(*lists)).alias(SLOT, "_s"))
+    return long.select(ROW, SLOT, *(trim_key(F.col("_s").getField(k)).alias(k) for k in lists))
+
+
+def pack_slots(long: DataFrame, values: Mapping[str, Column | str], row_values: Mapping[str, Column] | None = None, sizes: Mapping[str, Column] | None = None) -> DataFrame:
+    """(row id, one candidate list for each of ``values``, aggregates ``row_values``).  Nulls are empty slots; of a list
+    with one of ``sizes`` only so many slots are kept."""
     named = {k: F.col(v) if isinstance(v, str) else v for k, v in values.items()}
-    names = list(named)
-    packed = F.array_sort(F.collect_list(F.struct(SLOT, *(named[k].cast("string").alias(f"v{i}") for i, k in enumerate(names)))))
-    rows = long.groupBy(ROW).agg(F.any_value(WIDE).alias(WIDE), packed.alias("_p"), *(v.alias(f"_r{i}") for i, v in enumerate(row_values.values())))
-    new = {k: join_slots(F.col(f"_p.v{i}")) for i, k in enumerate(names)} | {k: F.col(f"_r{i}") for i, k in enumerate(row_values)}
-    fields = [f.name for f in long.schema[WIDE].dataType.fields]
-    kept = [new[c].alias(c) if c in new else F.col(f"{WIDE}.`{c}`").alias(c) for c in fields]
-    return rows.select(*kept, *(v.alias(k) for k, v in new.items() if k not in fields))
-
-
-def lookup_slots(df: DataFrame, lists: dict[str, str], table: DataFrame, on: list[str], values: dict[str, str], key: Callable | None = None) -> DataFrame:
-    """Annotates every slot from ``table`` (unique by ``on``): ``values`` maps new columns to its columns.
-    ``key`` may rework the long rows first; empty keys never match."""
-    long = explode_slots(df, **lists)
-    if key is not None:
-        long = key(long)
-    for c in on:
-        if dict(long.dtypes)[c] == "string":
-            long = long.withColumn(c, F.nullif(F.col(c), F.lit("")))
-    return pack_slots(long.join(table, on, "left"), values)
+    row_values, sizes = row_values or {}, sizes or {}
+    packed = F.array_sort(F.collect_list(F.struct(SLOT, *(v.cast("string").alias(f"v{i}") for i, v in enumerate(named.values())))))
+    rows = long.groupBy(ROW).agg(packed.alias("_p"), *(F.max(v).alias(f"_n{k}") for k, v in sizes.items()), *(v.alias(f"_r{i}") for i, v in enumerate(row_values.values())))
+    part = lambda k, c: F.slice(c, 1, F.col(f"`_n{k}`")) if k in sizes else c
+    lists = (join_slots(part(k, F.col(f"_p.v{i}"))).alias(k) for i, k in enumerate(named))
+    return rows.select(ROW, *lists, *(F.col(f"_r{i}").alias(k) for i, k in enumerate(row_values)))
+
+
+def attach(df: DataFrame, packed: DataFrame) -> DataFrame:
+    """``df`` with the packed columns of its rows; columns of these names are replaced in place."""
+    new = [c for c in packed.columns if c != ROW]
+    short = packed.select(ROW, *(_col(c).alias(f"_new{i}") for i, c in enumerate(new)))
+    at = {c: F.col(f"_new{i}").alias(c) for i, c in enumerate(new)}
+    joined = df.join(short, ROW, "left")
+    return joined.select(*(at.get(c, _col(c)) for c in df.columns), *(v for c, v in at.items() if c not in df.columns))
+
+
+def lookup(long: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
+    """Left join to a table that is unique by ``on``, the first of which is text.  Slots without a whole key match
+    nothing; they are dealt out by their own number, not gathered as one null key."""
+    kinds = dict(long.dtypes)
+    whole = reduce(lambda a, b: a & b, (F.coalesce(F.col(c) != "", F.lit(False)) if kinds[c] == "string" else F.col(c).isNotNull() for c in on))
+    apart = F.concat(F.lit("\u0000"), F.xxhash64(ROW, SLOT).cast("string"))
+    return long.withColumn(on[0], F.when(whole, F.col(on[0])).otherwise(apart)).join(table, on, "left")
+
+
+@dataclass(frozen=True)
+class Step:
+    """An annotation of slots.  ``apply`` gets the long layer with the slots of ``lists`` (name -> list column, or one that
+    an earlier step of the chain made) and adds columns.  ``values`` of them become list columns; ``row_values`` (column of
+    the long layer, aggregate) become columns of the row.  A list has as many slots as the longest of ``sized_by`` (all
+    of ``lists`` by default).  ``before`` and ``after`` work on the wide rows."""
+
+    lists: Mapping[str, str]
+    apply: Callable[[DataFrame], DataFrame]
+    values: Mapping[str, Column | str] = field(default_factory=dict)
+    row_values: Mapping[str, tuple[str, Callable[[Column], Column]]] = field(default_factory=dict)
+    sized_by: tuple[str, ...] = ()
+    before: Callable[[DataFrame], DataFrame] | None = None
+    after: Callable[[DataFrame], DataFrame] | None = None
+
+
+def annotate(df: DataFrame, *steps: Step, key: list[str] | None = None) -> DataFrame:
+    """Runs steps over one long layer: lists are exploded once and packed once, however many steps there are.
+
+    ``key``: columns that identify a row; without them (and without a row id) the rows are staged with one.  A
+    null or empty list is one empty slot; repeated rows stay apart unless ``key`` makes them one."""
+    rows = keyed(df, key)
+    for s in steps:
+        rows = s.before(rows) if s.before else rows
+    read, made = {}, set()  # list column -> its name in the long layer; lists that steps make
+    for s in steps:
+        for c in s.lists.values():
+            if c not in made:
+                read.setdefault(c, f"_l{len(read)}")
+        made |= set(s.values)
+    size = {c: F.col(f"_n{i}") for i, c in enumerate(read)}
+    split = rows.select(ROW, *(_lists(c).alias(k) for c, k in read.items()))
+    split = split.select("*", *(F.size(k).alias(f"_n{i}") for i, k in enumerate(read.values())))
+    long = split.select(ROW, *size.values(), F.posexplode(F.arrays_zip(*read.values())).alias(SLOT, "_s"))
+    long = long.select(ROW, SLOT, *size.values(), *(trim_key(F.col("_s").getField(k)).alias(k) for k in read.values()))
+    at, totals = dict(read), {}
+    for i, s in enumerate(steps):
+        base = long.columns
+        found = s.apply(long.withColumns({k: F.col(at[c]) for k, c in s.lists.items()}))
+        values = {c: (F.col(v) if isinstance(v, str) else v).alias(f"_v{i}_{j}") for j, (c, v) in enumerate(s.values.items())}
+        sums = {c: F.col(v).alias(f"_w{i}_{j}") for j, (c, (v, _)) in enumerate(s.row_values.items())}
+        long = found.select(*base, *values.values(), *sums.values())
+        by = [size[s.lists[k]] for k in (s.sized_by or s.lists)]
+        size |= dict.fromkeys(values, F.greatest(*by) if len(by) > 1 else by[0])
+        at |= {c: f"_v{i}_{j}" for j, c in enumerate(values)}
+        totals |= {c: how(F.col(f"_w{i}_{j}")) for j, (c, (_, how)) in enumerate(s.row_values.items())}
+    lists = [c for s in steps for c in s.values]
+    packed = pack_slots(long, {c: at[c] for c in lists}, totals, {c: size[c] for c in lists})
+    out = attach(rows, packed.select(ROW, *(_col(c) for s in steps for c in (*s.values, *s.row_values))))
+    for s in steps:
+        out = s.after(out) if s.after else out
+    return out if ROW in df.columns else out.drop(ROW)
 
 
 #: Columns that hold candidate lists, besides those with these prefixes (fixed values).
@@ -64,7 +146,7 @@ def detect_list_columns(df: DataFrame) -> list[str]:
 def has_candidates(df: DataFrame, cols: list[str]) -> Column:
     test = F.lit(False)
     for c in cols:
-        test = test | ~is_blank(F.col(f"`{c}`"))
+        test = test | ~is_blank(_col(c))
     return test
 
 
@@ -73,8 +155,7 @@ def flatten_candidates(df: DataFrame, cols: list[str] | None = None) -> DataFram
     cols = detect_list_columns(df) if cols is None else cols
     if not cols:
         raise ValueError("no candidate-list columns")
-    short = {f"c{i}": c for i, c in enumerate(cols)}
-    long = explode_slots(df.filter(has_candidates(df, cols)), **short)
-    names = [c for c in df.columns if c != ROW]
-    back = {c: k for k, c in short.items()}
-    return long.select(*(F.col(back[c]).alias(c) if c in back else F.col(f"{WIDE}.`{c}`").alias(c) for c in names))
+    short = {c: f"_l{i}" for i, c in enumerate(cols)}
+    split = df.filter(has_candidates(df, cols)).select("*", *(_lists(c).alias(k) for c, k in short.items()))
+    long = split.select(*(_col(c) for c in df.columns if c not in short), F.explode(F.arrays_zip(*short.values())).alias("_s"))
+    return long.select(*(trim_key(F.col("_s").getField(short[c])).alias(c) if c in short else _col(c) for c in df.columns))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import is_blank, trim_key
+from ..staging import stage
 
 ROW = "_row_id"
 
@@ -117,13 +118,25 @@ def replace_rows(tables: list[DataFrame], keys: list[str], order: str) -> DataFr
     return best.select(F.col("_at").alias("_place"), "_p.row.*")
 
 
+def _before(counts: DataFrame) -> DataFrame:
+    """(_part, _before): what all earlier partitions hold; ``counts`` has a row for each partition."""
+    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select("_part", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
+
+
+def _sorted(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """The rows sorted by range and staged with ``_at`` (partition and place in it), so that each later evaluation sees them
+    where they were."""
+    return stage(df.orderBy(*map(_col, order)).withColumn("_at", F.monotonically_increasing_id()), name)
+
+
 def with_row_id(df: DataFrame, order: list[str]) -> DataFrame:
-    """Dense ids from 0 in the given order, over many partitions: sorted by range, counted by partition."""
-    s = df.orderBy(*map(_col, order)).withColumn("_at", F.monotonically_increasing_id())
+    """Dense ids from 0 in the given order, over many partitions: sorted by range once, counted by partition.  Rows of
+    equal order get ids in an arbitrary but fixed order; an empty table gives none."""
+    s = _sorted(df.drop(ROW), order, "sorted")
     part = F.shiftright("_at", 33)
-    counts = s.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    out = s.withColumn("_part", part).join(F.broadcast(before.drop("_n")), "_part")  # a row for each partition
+    before = _before(s.groupBy(part.alias("_part")).agg(F.count("*").alias("_n")))
+    out = s.withColumn("_part", part).join(F.broadcast(before), "_part")  # a row for each partition of one exchange
     return out.withColumn(ROW, F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_part", "_before", "_at")
 
 
@@ -135,10 +148,33 @@ def slice_rows(df: DataFrame, skip: int = 0, limit: int | None = None, row_id: s
 
 
 def contiguous_runs(df: DataFrame, key: str, order: str, within: list[str] | None = None) -> DataFrame:
-    """Number of the run of equal keys that a row belongs to, from 1 (``run``)."""
-    w = Window.partitionBy(*(within or [])).orderBy(order)
-    new = F.coalesce((~_col(key).eqNullSafe(F.lag(_col(key)).over(w))).cast("int"), F.lit(1))
-    return df.withColumn("_new", F.when(F.row_number().over(w) == 1, 1).otherwise(new)).withColumn("run", F.sum("_new").over(w)).drop("_new")
+    """Number of the run of equal keys that a row belongs to, from 1 (``run``), over the whole table or ``within`` groups.
+
+    Rows are sorted by range and staged; a run's first row is marked within its partition, the borders of partitions are
+    compared by a row each, and marks are summed by partition, so that no task holds a group.  Null keys are equal."""
+    within = within or []
+    same = lambda a, b: reduce(lambda x, y: x & y, (a[f"_g{i}"].eqNullSafe(b[f"_g{i}"]) for i in range(len(within))), F.lit(True))
+    s = _sorted(df, [*within, order], "runs")
+    s = s.withColumn("_part", F.shiftright("_at", 33)).withColumn("_s", F.struct(_col(key).alias("_k"), *(_col(c).alias(f"_g{i}") for i, c in enumerate(within))))
+    w = Window.partitionBy("_part").orderBy("_at")
+    s = s.withColumn("_prev", F.lag("_s").over(w)).withColumn("_first", F.row_number().over(w) == 1)
+    ends = s.groupBy("_part").agg(F.max_by("_s", "_at").alias("_last"))
+    ends = ends.select(F.lead("_part").over(Window.orderBy("_part")).alias("_part"), "_last").filter("_part is not null")
+    # a row for each partition of one exchange: bounded, and so broadcast
+    s = s.join(F.broadcast(ends), "_part", "left").withColumn("_prev", F.when(F.col("_first"), F.col("_last")).otherwise(F.col("_prev")))
+    p, c = F.col("_prev"), F.col("_s")
+    start = p.isNull() | ~same(p, c)  # of a group
+    s = s.withColumn("_new", (start | ~p["_k"].eqNullSafe(c["_k"])).cast("long")).withColumn("_start", start)
+    s = stage(s.drop("_prev", "_first", "_last"), "run-marks")
+    up = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    s = s.withColumn("_run", F.sum("_new").over(up)).withColumn("_off", F.max(F.when(F.col("_start"), F.col("_run") - 1)).over(up))
+    parts = s.groupBy("_part").agg(F.sum("_new").alias("_n"), F.max("_off").alias("_o"))
+    before = _before(parts.select("_part", "_n")).join(parts.select("_part", "_o"), "_part")
+    carry = F.last(F.col("_before") + F.col("_o"), ignorenulls=True).over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    before = before.select("_part", "_before", carry.alias("_carry"))
+    out = s.join(F.broadcast(before), "_part")
+    begin = F.coalesce(F.col("_before") + F.col("_off"), F.col("_carry"), F.lit(0))
+    return out.select(*(_col(c) for c in df.columns if c != "run"), (F.col("_before") + F.col("_run") - begin).alias("run"))
 
 
 def group_rows(df: DataFrame, group: str, sequence: str, order: str) -> DataFrame:
@@ -148,3 +184,14 @@ def group_rows(df: DataFrame, group: str, sequence: str, order: str) -> DataFram
     return df.groupBy(key.alias("group_key")).agg(
         F.min(F.struct(_col(order), _col(sequence)))[sequence].alias("first_sequence"), (F.countDistinct(_col(sequence)) > 1).alias("sequences_differ"), F.count("*").alias("n_rows")
     )
+
+
+def run_report(df: DataFrame, **counted) -> DataFrame:
+    """One row: the number of rows, and of those for which each of ``counted`` (name=condition) holds; null conditions do
+    not.  An empty table counts 0."""
+    return df.agg(F.count("*").alias("n_rows"), *(F.count_if(c).alias(k) for k, c in counted.items()))
+
+
+def distinct_keys(df: DataFrame, col: str) -> DataFrame:
+    """The distinct trimmed values of a column that are not blank, as ``key``."""
+    return df.select(trim_key(_col(col)).alias("key")).filter("key <> ''").distinct()

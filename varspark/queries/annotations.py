@@ -8,6 +8,8 @@ from ..operators import annotate as A
 from ..operators import mapping as M
 from .base import packed, query, slots
 
+#: The variants' own key.
+_ROW = ["row_id"]
 _STARS = "case when review_status is null then null when review_status = 'practice guideline' then '4' when review_status = 'Reviewed by expert panel' then '3' when review_status like 'criteria%' then '1' when review_status like 'no assertion%' then '0' else '' end"
 
 
@@ -17,14 +19,14 @@ _STARS = "case when review_status is null then null when review_status = 'practi
 def c5(t):
     registry = t.sql("""select 'NM_' || cast(p_partkey % 300 as string) || '.1:c.' || cast(p_partkey as string) || 'A>G' as hgvs, 'CA' || cast(p_partkey as string) as id from {part} where p_size < 30
       union all select 'CA' || cast(p_partkey as string) as hgvs, 'CA0' || cast(p_partkey as string) as id from {part} where p_size < 40 union all select 'x' as hgvs, '_:CA' as id""")
-    return A.resolve_allele_ids(t.variants, registry, "c", "ids", "allele_ids").select("row_id", "allele_ids")
+    return A.resolve_allele_ids(t.variants, registry, "c", "ids", "allele_ids", key=_ROW).select("row_id", "allele_ids")
 
 
 @query("C6_annotate_clinvar", f"""select row_id, {packed('variation_id')} as variation_id, {packed('allele_id')} as allele_id, {packed('sig')} as significance, {packed('review')} as review, {packed('stars')} as stars
   from {slots('{variants}', s='ids')} v left join (select caid, variation_id, allele_id, case when p_size > 5 then clinical_significance end as sig, case when p_size > 5 then review_status end as review, case when p_size > 5 then {_STARS} end as stars from {{clinvar}}) c on c.caid = s group by 1""")
 def c6(t):
     c = t.clinvar
-    out = A.annotate_clinvar(t.variants, c.select("caid", "variation_id", "allele_id"), c.filter("p_size > 5").select("allele_id", "clinical_significance", "review_status", F.lit("").alias("last_review_date")), "ids")
+    out = A.annotate_clinvar(t.variants, c.select("caid", "variation_id", "allele_id"), c.filter("p_size > 5").select("allele_id", "clinical_significance", "review_status", F.lit("").alias("last_review_date")), "ids", key=_ROW)
     names = {"variation_id": "variation_id", "allele_id": "allele_id", "clinical_significance": "significance", "review_status": "review", "stars": "stars"}
     return out.select("row_id", *(F.col(f"`clinvar.202601.{k}`").alias(v) for k, v in names.items()))
 
@@ -35,7 +37,7 @@ _FREQ = "select 'CA' || cast(k as string) as caid, chrom, cast(pos as bigint) as
 @query("C7_frequency_by_coords", f"""select row_id, {packed('cast(allele_count as varchar)')} as ac, {packed('faf95_max_ancestry')} as ancestry, sum(allele_count / 64.0)::double as af_sum from {slots('{variants}', s_chrom='chroms', s_pos='starts', s_ref='refs', s_alt='alts')} v
   left join (select * from ({_FREQ}) where allele_number > 0) f on f.chrom = s_chrom and cast(f.pos as varchar) = s_pos and f.ref = s_ref and f.alt = s_alt group by 1""")
 def c7(t):
-    out = A.annotate_frequency(t.variants, t.sql(_FREQ).drop("caid"), coordinates=("chroms", "starts", "refs", "alts"))
+    out = A.annotate_frequency(t.variants, t.sql(_FREQ).drop("caid"), coordinates=("chroms", "starts", "refs", "alts"), key=_ROW)
     af = F.aggregate(F.transform(F.split("`gnomad.v4_1.allele_frequency`", r"\|"), lambda x: x.try_cast("double")), F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0)))
     return out.select("row_id", F.col("`gnomad.v4_1.allele_count`").alias("ac"), F.col("`gnomad.v4_1.faf95_max_ancestry`").alias("ancestry"), F.when(F.col("`gnomad.v4_1.allele_count`").rlike("[0-9]"), af).alias("af_sum"))
 
@@ -44,7 +46,7 @@ def c7(t):
 def c8(t):
     freq = t.sql(_FREQ).filter("alt = substr('ACGT', cast(1 + (cast(substr(caid, 3) as bigint) + 1) % 4 as int), 1)").select("caid", "allele_count", "allele_number", "faf95_max", "faf95_max_ancestry")
     df = t.variants.withColumn("padded", F.regexp_replace("ids", "CA", "CA00"))
-    return A.annotate_frequency(df, freq, mode="caid", ids_col="padded").select("row_id", F.col("`gnomad.v4_1.allele_count`").alias("ac"))
+    return A.annotate_frequency(df, freq, mode="caid", ids_col="padded", key=_ROW).select("row_id", F.col("`gnomad.v4_1.allele_count`").alias("ac"))
 
 
 @query("C9_id_to_coords", f"""select caid, a.chrom as chrom, a.pos as pos, a.ref as ref, a.alt as alt from (select s as caid, min(struct_pack(chrom := s_chrom, pos := cast(s_pos as bigint), ref := s_ref, alt := s_alt)) as a
@@ -56,24 +58,71 @@ def c9(t):
 _SPLICE = "select cast(k % 2 as int) as file_rank, cast(k as bigint) as line, case when k % 3 = 0 then 'chr' else '' end || chrom as chrom, cast(pos as bigint) as pos, ref, alt, 'SpliceAI=' || alt || '|G|0.' || cast(10 + p_size as string) || '|0.2|0.3|0.05|1|-2|3|' || cast(p_size as string) as info from {alleles}"
 
 
-@query("C10_spliceai_exact", f"""select row_id, {packed("cast((10 + p_size) / 100.0::double as varchar)")} as ds_ag, {packed("cast(case when p_size is not null then greatest((10 + p_size) / 100.0::double, 0.3) end as varchar)")} as ds_max
+_F4 = "printf('%.4f', {}::double)"
+
+
+@query("C10_spliceai_exact", f"""select row_id, {packed("case when p_size is not null then " + _F4.format("(10 + p_size) / 100.0") + " end")} as ds_ag, {packed("case when p_size is not null then " + _F4.format("greatest((10 + p_size) / 100.0, 0.3)") + " end")} as ds_max
   from {slots('{variants}', s_chrom='chroms', s_pos='starts', s_ref='refs', s_alt='alts')} v left join {{alleles}} f on f.chrom = s_chrom and cast(f.pos as varchar) = s_pos and f.ref = s_ref and f.alt = s_alt group by 1""")
 def c10(t):
-    out = A.annotate_spliceai(t.variants, t.sql(_SPLICE), "g")
-    return out.select("row_id", F.col("`spliceai.ds_ag`").alias("ds_ag"), F.col("`spliceai.max`").alias("ds_max"))
+    out = A.annotate_spliceai(t.variants, t.sql(_SPLICE), "g", key=_ROW)
+    return out.select("row_id", F.col("`spliceai.ds_ag`").alias("ds_ag"), F.col("`spliceai.max_delta_score`").alias("ds_max"))
 
 
-_DEL = "select l_orderkey, l_linenumber, l_partkey, l_suppkey, 'NC_000001.11:g.' || cast(l_partkey + 1 as string) || case when l_linenumber % 2 = 0 then 'del' else '_' || cast(l_partkey + 2 as string) || 'del' end as g from {lineitem}"
+# all shapes, against lines of right and wrong lengths: ``p_partkey % 7`` chooses a line's alleles
+_SHAPED = """select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_linenumber % 7 as kind, 'NC_000001.11:g.' || case l_linenumber % 7
+    when 0 then cast(l_partkey + 1 as string) || 'del' when 1 then cast(l_partkey + 1 as string) || '_' || cast(l_partkey + 2 as string) || 'del'
+    when 2 then cast(l_partkey as string) || '_' || cast(l_partkey + 1 as string) || 'insgt' when 3 then cast(l_partkey as string) || 'delinsTT' when 4 then cast(l_partkey + 1 as string) || '_' || cast(l_partkey + 2 as string) || 'dup'
+    when 5 then cast(l_partkey as string) || 'ac>t' else cast(l_partkey as string) || '_' || cast(l_partkey + 1 as string) || 'inv' end as g from {lineitem}"""
+_FORMS = "case p_partkey % 7 when 0 then 'AC' when 1 then 'ACG' when 5 then 'AC' else 'A' end as ref, case p_partkey % 7 when 2 then 'AGT' when 3 then 'TT' when 4 then 'AGG' when 5 then 'T' when 6 then 'CGT' else 'A' end as alt"
+_FIT = """(kind = 0 and length(ref) = 2 and length(alt) = 1) or (kind = 1 and length(ref) = 3 and length(alt) = 1) or (kind = 2 and length(ref) = 1 and alt = ref || 'GT')
+  or (kind = 3 and length(ref) = 1 and alt = 'TT') or (kind = 4 and length(ref) = 1 and length(alt) = 3) or (kind = 5 and ref = 'AC' and alt = 'T')"""
 
 
-@query("C11_spliceai_shapes", f"""select l_orderkey, l_linenumber, l_partkey, l_suppkey, case when (p.p_partkey % 2 = 0) = (l_linenumber % 2 = 0) then cast((10 + p.p_size) / 100.0::double as varchar) else '' end as ds_ag from ({_DEL}) d left join part p on p.p_partkey = d.l_partkey""")
+@query("C11_spliceai_shapes", f"""select l_orderkey, l_linenumber, l_partkey, l_suppkey, case when {_FIT} then printf('%.4f', (10 + p.p_size) / 100.0::double) else '' end as ds_ag from ({_SHAPED}) d left join (select p_partkey, p_size, {_FORMS} from part) p on p.p_partkey = d.l_partkey""")
 def c11(t):
-    lines = t.sql("select 0 as file_rank, p_partkey as line, '1' as chrom, p_partkey as pos, case when p_partkey % 2 = 0 then 'AC' else 'ACG' end as ref, 'A' as alt, 'SpliceAI=A|G|0.' || cast(10 + p_size as string) || '|0|0|0|1|2|3|4' as info from {part}")
-    out = A.annotate_spliceai(t.sql(_DEL), lines, "g", shapes=True)
+    lines = t.sql(f"select 0 as file_rank, p_partkey as line, '1' as chrom, p_partkey as pos, {_FORMS}, p_size from {{part}}")
+    info = F.concat(F.lit("SpliceAI="), "alt", F.lit("|G|0."), (10 + F.col("p_size")).cast("string"), F.lit("|0|0|0|1|2|3|4,ZZ|G|0.01|0|0|0|1|2|3|4"))
+    out = A.annotate_spliceai(t.sql(_SHAPED), lines.withColumn("info", info).drop("p_size"), "g")
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("`spliceai.ds_ag`").alias("ds_ag"))
 
 
-@query("C12_annotate_missense", f"""select row_id, {packed("cast(p_size::double as varchar)")} as revel, {packed("cast(p_size / 2.0::double as varchar)")} as am, {packed('p_brand')} as am_class, max(p_size)::double as mutpred2
+_PADS = "select l_orderkey, l_linenumber, l_partkey, l_suppkey, 100 + l_partkey as p, l_linenumber % 5 as kind from {lineitem}"
+_BASE = "substr('ACGTTGCA', cast(1 + (({0}) * 7 + 2) % 8 as int), 1)"
+_AT = [_BASE.format(f"p + {i}") if i >= 0 else _BASE.format(f"p - {-i}") for i in (-1, 0, 1)]
+
+
+@query("H13_hgvs_g_to_vcf", f"""with x as ({_PADS}) select l_orderkey, l_linenumber, l_partkey, l_suppkey, '1' as chrom, case when kind in (0, 3) then p - 1 else p end as pos,
+  case kind when 0 then {_AT[0]} || {_AT[1]} || {_AT[2]} when 1 then {_AT[1]} when 2 then {_AT[1]} || {_AT[2]} when 3 then {_AT[0]} else 'A' end as ref,
+  case kind when 0 then {_AT[0]} when 1 then {_AT[1]} || 'TT' when 2 then 'GGG' when 3 then {_AT[0]} || {_AT[1]} else 'CC' end as alt from x""")
+def h13(t):
+    from .expressions import genome
+
+    rows = t.sql(f"""select *, 'NC_000001.11:g.' || cast(p as string) || case kind when 0 then '_' || cast(p + 1 as string) || 'del' when 1 then '_' || cast(p + 1 as string) || 'instt'
+      when 2 then '_' || cast(p + 1 as string) || 'delinsGGG' when 3 then 'dup' else 'a>cc' end as g from ({_PADS})""")
+    out = A.hgvs_g_to_vcf(rows, chunks=genome(t, ["NC_000001.11"]), size=100)
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "chrom", "pos", "ref", "alt")
+
+
+@query("K8_spliceai_refseq", f"""with x as ({_PADS}), r as (select p_partkey, p_size, 100 + p_partkey - 1 as p0 from part)
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, case when kind in (0, 3) and p_size is not null and (p_partkey % 2 = 0) = (kind = 0) then printf('%.4f', (10 + p_size) / 100.0::double) else '' end as ds_ag
+  from x left join r on p_partkey = l_partkey""")
+def k8(t):
+    """Deletions and duplications by their exact alleles: every other line has the deletion's, the others the duplication's."""
+    from .expressions import genome
+
+    rows = t.sql(f"""select *, 'NC_000001.11:g.' || cast(p as string) || case kind when 0 then '_' || cast(p + 1 as string) || 'del' when 3 then 'dup' else 'inv' end as g from ({_PADS})""")
+    a, b, c = (_BASE.format(f"p_partkey + {i}") for i in (99, 100, 101))
+    lines = t.sql(f"""select 0 as file_rank, p_partkey as line, 'chr1' as chrom, 99 + p_partkey as pos, case when p_partkey % 2 = 0 then {a} || {b} || {c} else {a} end as ref,
+      case when p_partkey % 2 = 0 then {a} else {a} || {b} end as alt, p_size from {{part}}""")
+    entry = lambda alt, ds: F.concat(alt, F.lit("|G|0."), ds, F.lit("|0|0|0|1|2|3|4"))
+    info = F.concat(F.lit("SpliceAI="), entry(F.col("alt"), (10 + F.col("p_size")).cast("string")), F.lit(","), entry(F.lit("N"), F.lit("99")))
+    lines = lines.withColumn("info", info).drop("p_size")
+    wrong = lines.withColumns({"line": F.col("line") - 1000000, "ref": F.concat(F.lit("N"), F.substr("ref", F.lit(2)))})  # right lengths, other bases
+    out = A.annotate_spliceai(rows, wrong.unionByName(lines), "g", chunks=genome(t, ["NC_000001.11"]), size=100)
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("`spliceai.ds_ag`").alias("ds_ag"))
+
+
+@query("C12_annotate_missense", f"""select row_id, {packed("case when p_size is not null then " + _F4.format("p_size") + " end")} as revel, {packed("case when p_size is not null then " + _F4.format("p_size / 2.0") + " end")} as am, {packed('p_brand')} as am_class, case when max(p_size) is not null then printf('%.4f', max(p_size)::double) end as mutpred2
   from {slots('{variants}', s_chrom='chroms', s_pos='starts', s_ref='refs', s_alt='alts')} v left join {{alleles}} f on f.chrom = s_chrom and cast(f.pos as varchar) = s_pos and f.ref = s_ref and f.alt = s_alt group by 1""")
 def c12(t):
     a = t.sql("select chrom, cast(pos as bigint) as pos, ref, alt, p_size, p_brand, k as line from {alleles}")
@@ -82,7 +131,7 @@ def c12(t):
     am = a.select("chrom", "pos", "ref", "alt", (F.col("p_size") / 2).cast("string").alias("score"), F.col("p_brand").alias("class"), "line")
     am = am.unionByName(am.withColumn("class", F.lit("later")).withColumn("line", F.col("line") + 10**9))
     db = a.select("chrom", "pos", "ref", "alt", F.concat_ws(";", F.lit("."), F.col("p_size").cast("string"), F.lit("0.5")).alias("mutpred2_score"))
-    out = A.annotate_missense(t.variants, revel, am, db, "g")
+    out = A.annotate_missense(t.variants, revel, am, db, "g", key=_ROW)
     return out.select("row_id", F.col("`revel.score`").alias("revel"), F.col("`alphamissense.score`").alias("am"), F.col("`alphamissense.class`").alias("am_class"), F.col("`mutpred2.score`").alias("mutpred2"))
 
 
@@ -102,7 +151,7 @@ _HIT = _HIT.replace("@E", _EVIDENCE).replace("@S", slots(f"({_EKEYS})", s_h="hgv
 def _evidence(t):
     e = t.sql(_EVIDENCE)
     e = e.select("record", "uuid", "panel", F.when(F.col("p_size") < 30, F.array("expression")).otherwise(F.array().cast("array<string>")).alias("hgvs"), F.when(F.col("p_size") < 35, F.col("variation_id")).otherwise("").alias("variation_id"), F.when(F.col("p_size") < 40, F.col("caid")).otherwise("").alias("caid"))
-    return A.annotate_evidence(t.sql(_EKEYS), e, "hgvs_col", "variation_col", "caid_col", ["panel", "uuid"])
+    return A.annotate_evidence(t.sql(_EKEYS), e, "hgvs_col", "variation_col", "caid_col", ["panel", "uuid"], key=_ROW)
 
 
 @query("C13_annotate_evidence", _HIT + f""", merged as (select row_id, slot, string_agg(uuid, ' | ' order by o) as uuids from one group by 1, 2)
@@ -136,11 +185,24 @@ def _calibrations(t):
     return t.sql(_CALS.replace("primary_", "`primary`").replace(" as own", " as investigator").replace("as research,", "as research_only,"))
 
 
-@query("C15_annotate_calibration", _PICK + f""", j as (select c_custkey, s, m.cal as a, o.cal as b from rows_ left join main m using (score_set) left join own o using (score_set))
-select c_custkey, coalesce(a, '') as primary_calibration, coalesce({_LABEL.format('a')}, '') as primary_class, coalesce(b, '') as investigator_calibration, coalesce({_LABEL.format('b')}, '') as investigator_class from j""")
+_ROLES = {"primary": "a", "investigator_provided": "b"}
+_EIGHT = ", ".join(f"coalesce({v}, '') as {k}_urn, coalesce('T' || {v}, '') as {k}_name, case when {v} is not null then 'http://x/score-sets/' || score_set else '' end as {k}_url, coalesce(case when {v} like '%-0' then (select r_name from region where r_regionkey = c_custkey % 7 and c_custkey % 2 = 0) else {_LABEL.format(v)} end, '') as {k}_class" for k, v in _ROLES.items())
+
+
+@query("C15_annotate_calibration", _PICK + f""", j as (select c_custkey, score_set, s, m.cal as a, o.cal as b from rows_ left join main m using (score_set) left join own o using (score_set)) select c_custkey, {_EIGHT} from j""")
 def c15(t):
-    out = A.annotate_calibration(t.sql(_SCORED), _calibrations(t), t.sql(_RANGES), "urn", "score")
-    return out.select("c_custkey", *(f"{r}_{c}" for r in ("primary", "investigator") for c in ("calibration", "class")))
+    """Calibrations whose name ends in 0 have classes without ranges: their rows are classified by assignment."""
+    by_class = F.col("calibration").endswith("-0")
+    ranges = t.sql(_RANGES).filter(~by_class).select("*", F.lit(None).cast("int").alias("id"), F.lit(True).alias("ranged"))
+    cals = _calibrations(t).withColumn("title", F.concat(F.lit("T"), "calibration"))
+    classes = cals.filter(by_class).select("calibration").crossJoin(F.broadcast(t.region.select("r_regionkey", "r_name")))
+    none = {c: F.lit(None).cast("double") for c in ("low", "high")} | {c: F.lit(None).cast("boolean") for c in ("low_in", "high_in")}
+    classes = classes.select("calibration", F.col("r_regionkey").cast("int").alias("ordinal"), F.col("r_name").alias("label"), *(v.alias(c) for c, v in none.items()), F.col("r_regionkey").cast("int").alias("id"), F.lit(False).alias("ranged"))
+    rows = t.sql(_SCORED)
+    given = rows.filter("c_custkey % 2 = 0").select(F.concat(F.lit("cal"), F.regexp_extract("urn", "s:([0-9]+)#", 1), F.lit("-0")).alias("calibration"), "urn", (F.col("c_custkey") % 7).cast("int").alias("class_id"))
+    out = A.annotate_calibration(rows, cals, ranges.unionByName(classes), "urn", "score", "m", "http://x", given)
+    short = {"urn": "urn", "name": "name", "url": "url", "functional_class": "class"}
+    return out.select("c_custkey", *(F.col(f"`m.{r}_calibration.{c}`").alias(f"{r}_{v}") for r in _ROLES for c, v in short.items()))
 
 
 @query("C16_classify_by_range", f"with ranges as ({_RANGES}), r as (select c_custkey, 'cal' || c_nationkey || '-' || (c_custkey % 5) as calibration, c_acctbal as s from customer) select c_custkey, coalesce({_LABEL.format('r.calibration')}, '') as label from r")
@@ -165,7 +227,7 @@ _RECODED = "select 'CA' || cast(p_partkey as string) as hgvs, 'CA' || cast(p_par
 x as (select row_id, slot, coalesce(v.consequence, w.c, '') as c from {slots('{variants}', s='ids')} z left join vep v on v.hgvs = s left join worst w on w.hgvs = s)
 select row_id, case when count(distinct nullif(c, '')) = 1 then max(c) else '' end as consequence, case when count(distinct nullif(c, '')) > 1 then 'Discrepant VEP mutational consequences across DNA candidates: ' || string_agg(c, '|' order by slot) else '' end as error, '2024-01-01' as access_date from x group by 1""")
 def c18(t):
-    out = A.annotate_consequence(t.variants, t.sql(_VEP), t.sql(_RECODED), ["ids", "g"], access_date=F.lit("2024-01-01"))
+    out = A.annotate_consequence(t.variants, t.sql(_VEP), t.sql(_RECODED), ["ids", "g"], access_date=F.lit("2024-01-01"), key=_ROW)
     return out.select("row_id", *(F.col(f"`vep.{c}`").alias(c) for c in ("consequence", "error", "access_date")))
 
 
@@ -213,8 +275,8 @@ def c21(t):
 _REG = "select 'NC_1.1:g.' || cast(p_partkey as string) as hgvs, case when p_size > 10 then 'NC_9.9:g.' || cast(p_partkey as string) end as g, case when p_size > 20 then 'NM_1.1:c.' || cast(p_partkey as string) end as c, case when p_size > 30 then 'NP_1.1:p.' || cast(p_partkey as string) end as p, 'CA' || cast(p_partkey as string) as id, p_partkey, p_size from {part} where p_size > 3"
 
 
-@query("C22_join_mapping_results", f"""select o_orderkey, case when r.id is null then '' else coalesce(r.g, 'NC_1.1:g.' || o_custkey) end as mapped_hgvs_g, case when r.id is null then '' else coalesce(r.c, 'raw' || o_custkey) end as mapped_hgvs_c, coalesce(r.p, '') as mapped_hgvs_p, coalesce(r.id, '') as clingen_allele_id,
-  case when r.id is null then 'ClinGen returned no data for NC_1.1:g.' || o_custkey else '' end as mapping_error from orders left join ({_REG}) r on r.p_partkey = o_custkey""")
+@query("C22_join_mapping_results", f"""select o_orderkey, case when r.id is null then '' else coalesce(r.g, 'NC_1.1:g.' || o_custkey) end as mapped_hgvs_g, coalesce(r.c, 'raw' || o_custkey) as mapped_hgvs_c, coalesce(r.p, '') as mapped_hgvs_p, coalesce(r.id, '') as clingen_allele_id,
+  case when r.id is null then 'ClinGen returned no data for ' || chr(39) || 'NC_1.1:g.' || o_custkey || chr(39) else '' end as mapping_error from orders left join ({_REG}) r on r.p_partkey = o_custkey""")
 def c22(t):
     rows = t.orders.select("o_orderkey", F.concat(F.lit("raw"), F.col("o_custkey").cast("string")).alias("nt"))
     assays = t.sql("select distinct 'raw' || cast(o_custkey as string) as raw, 'NC_1.1:g.' || cast(o_custkey as string) as assay from {orders}")
@@ -223,7 +285,7 @@ def c22(t):
 
 @query("C23_join_mapped_groups", f"""with x as (select o_orderkey, o_custkey, case o_orderkey % 4 when 0 then null when 1 then 'NP_1.1:p.' || o_custkey else 'NC_1.1:g.' || o_custkey end as assay from orders)
 select o_orderkey, case when r.id is not null then coalesce(r.g, '') when assay like 'NC%' then assay else '' end as mapped_hgvs_g, coalesce(r.c, '') as mapped_hgvs_c, case when r.id is not null then coalesce(r.p, '') when assay like 'NP%' then assay else '' end as mapped_hgvs_p, coalesce(r.id, '') as clingen_allele_id,
-  case when assay is null then 'failed' when r.id is null then 'ClinGen returned no data for ' || assay else '' end as mapping_error from x left join ({_REG}) r on r.hgvs = x.assay""")
+  case when assay is null then 'failed' when r.id is null then 'ClinGen returned no data for ' || chr(39) || assay || chr(39) else '' end as mapping_error from x left join ({_REG}) r on r.hgvs = x.assay""")
 def c23(t):
     res = t.sql("select o_orderkey as row, case o_orderkey % 4 when 0 then null when 1 then 'NP_1.1:p.' || cast(o_custkey as string) else 'NC_1.1:g.' || cast(o_custkey as string) end as assay, case when o_orderkey % 4 = 0 then 'failed' else '' end as error from {orders}")
     return M.join_mapped_groups(t.orders.select("o_orderkey"), res, t.sql(_REG).drop("p_partkey", "p_size"), "o_orderkey")
@@ -241,15 +303,23 @@ def c24(t):
 _TARGET = "ATGGCCAAGTTTCCCGGGAAACCCTTTGGGATCGATCGGCTAGCATGCATG"
 
 
-@query("C25_rewrite_haplotypes", f"""with x as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, 1 + l_partkey % 40 as a, 1 + l_partkey % 40 + 1 + l_suppkey % 2 as b from lineitem),
-y as (select *, 'NM_1.1:c.[' || a || substr('{_TARGET}', a, 1) || '>T;' || b || substr('{_TARGET}', b, 1) || '>G]' as nt from x),
-z as (select *, substr('{_TARGET}', a, b - a + 1) as ref, 'T' || substr('{_TARGET}', a + 1, b - a - 1) || 'G' as alt, (a - 1) // 3 = (b - 1) // 3 as same from y)
-select l_orderkey, l_linenumber, l_partkey, l_suppkey, nt as orig_raw_hgvs_nt, case when same and ref <> alt then 'NM_1.1:c.' || a || '_' || b || 'delins' || alt else nt end as nt from z""")
+@query("C25_rewrite_haplotypes", f"""with x as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, 1 + l_partkey % 40 as a, 1 + l_partkey % 40 + 1 + l_suppkey % 2 as b, case when l_linenumber % 2 = 0 then 'NM_1.1:' else '' end as acc from lineitem),
+y as (select *, acc || 'c.[' || a || substr('{_TARGET}', a, 1) || '>T;' || b || substr('{_TARGET}', b, 1) || '>G]' as nt, acc <> '' and a % 7 = 0 or acc <> '' and b % 7 = 0 as unmapped, case when acc = '' then 3 else 0 end as d from x),
+z as (select *, substr('{_TARGET}', a, 1) || substr('{_TARGET}', a + 1 + d, b - a - 1) || substr('{_TARGET}', b, 1) as ref, 'T' || substr('{_TARGET}', a + 1 + d, b - a - 1) || 'G' as alt, (a - 1) // 3 = (b - 1) // 3 as same from y)
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, nt as orig_raw_hgvs_nt, case when same and ref <> alt and not unmapped then acc || 'c.' || (a + d) || '_' || (b + d) || 'delins' || alt else nt end as nt from z""")
 def c25(t):
-    rows = t.sql(f"select l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(1 + l_partkey % 40 as int) as a, cast(2 + l_partkey % 40 + l_suppkey % 2 as int) as b, '{_TARGET}' as target from {{lineitem}}")
+    """Strings with an accession keep their places, those of the target sequence move by one codon; places that 7 divides are
+    not mapped for the accession."""
+    rows = t.sql(f"""select l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(1 + l_partkey % 40 as int) as a, cast(2 + l_partkey % 40 + l_suppkey % 2 as int) as b,
+      case when l_linenumber % 2 = 0 then 'NM_1.1:' else '' end as acc, '{_TARGET}' as target from {{lineitem}}""")
     base = lambda c: F.substring(F.col("target"), F.col(c), F.lit(1))
-    nt = F.concat(F.lit("NM_1.1:c.["), F.col("a").cast("string"), base("a"), F.lit(">T;"), F.col("b").cast("string"), base("b"), F.lit(">G]"))
-    return M.rewrite_haplotypes(rows.withColumn("nt", nt), "nt", "target").drop("a", "b", "target")
+    nt = F.concat("acc", F.lit("c.["), F.col("a").cast("string"), base("a"), F.lit(">T;"), F.col("b").cast("string"), base("b"), F.lit(">G]"))
+    sites = t.sql(f"select distinct cast(1 + p_partkey % 42 as int) as p, '{_TARGET}' as target from {{part}}").withColumn("r", base("p"))
+    parts = sites.select("p", "r", "target", F.explode(F.array(F.lit("T"), F.lit("G"))).alias("x"))
+    hgvs = lambda p: F.concat(p.cast("string"), "r", F.lit(">"), "x")
+    own = parts.filter("p % 7 > 0").select(F.lit("NM_1.1").alias("accession"), F.lit("").alias("target"), hgvs(F.col("p")).alias("component"), F.concat(F.lit("NM_1.1:c."), hgvs(F.col("p"))).alias("mapped_c"))
+    moved = parts.select(F.lit("").alias("accession"), "target", hgvs(F.col("p")).alias("component"), F.concat(F.lit("NM_2.1:c."), hgvs(F.col("p") + 3)).alias("mapped_c"))
+    return M.rewrite_haplotypes(rows.withColumn("nt", nt), own.unionByName(moved), "nt", "target").drop("a", "b", "acc", "target")
 
 
 @query("C26_lookup_worklist", "select distinct l_partkey::varchar as key from lineitem where l_partkey not in (select p_partkey from part where case when p_size > 25 then p_size <= 50 - 0 and p_size * 3 <= 100 else p_size <= 1 end)")
@@ -267,3 +337,44 @@ def c27(t):
     chunks = t.sql("select distinct 'A' || cast(s_suppkey % 5 as string) as accession from {supplier}").select("accession", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(19).cast("long"))).alias("chunk"))
     seq = F.array_join(F.transform(F.sequence(F.col("chunk") * 100 + 1, F.col("chunk") * 100 + 100), lambda x: F.substring(F.lit("ACGTTGCA"), (1 + (x * 7 + 2) % 8).cast("int"), F.lit(1))), "")
     return M.fetch_ref_bases(spans, chunks.withColumn("seq", seq), 100)
+
+
+# mapping: strings with an accession, of a target sequence, protein strings, and unusable ones
+_MAPPED_IN = """select o_orderkey, case o_orderkey % 8 when 0 then 'raw:' || cast(o_custkey as string) when 1 then 'c.' || cast(o_custkey as string) || 'A>G' when 2 then '_wt' when 3 then ' ' when 4 then 'NC_1.1:g.' || cast(o_custkey as string) else 'c.5A>G' end as raw_hgvs_nt,
+  case o_orderkey % 8 when 2 then 'p.A' || cast(o_custkey as string) || 'G' when 3 then 'NA' else '' end as raw_hgvs_pro, case when o_orderkey % 8 = 5 then '' else 'SEQ' end as target_sequence, 'T' || cast(o_custkey % 3 as string) as target_name from {orders}"""
+
+
+@query("K2_map_variants", f"""with x as (select o.*, o_orderkey % 8 as k, c.o_custkey from ({_MAPPED_IN}) o join orders c using (o_orderkey)),
+done as (select o_custkey from orders where o_custkey % 10 = 0 group by 1),
+s as (select *, case when target_name = 'T0' and target_sequence = '' then 'TSEQ' else target_sequence end as seq, k = 1 and o_custkey % 10 = 0 as had from x),
+a as (select *, case when k = 0 then 'NC_1.1:g.' || o_custkey when k = 4 then raw_hgvs_nt when k = 1 and o_custkey % 3 = 0 then 'NC_1.1:g.' || o_custkey when k = 2 and o_custkey % 5 > 0 then 'NP_1.1:p.' || o_custkey end as assay, k = 1 and o_custkey % 3 = 1 as failed from s)
+select o_orderkey, case k when 2 then 'p.Ala' || o_custkey || 'Gly' when 3 then 'NA' else '' end as raw_hgvs_pro, seq as target_sequence,
+  case when had then 'G' || o_custkey when r.id is not null then coalesce(r.g, case when k in (0, 4) then assay end, '') when k = 1 and assay is not null then assay else '' end as mapped_hgvs_g,
+  case when had then '' when k in (0, 4) then coalesce(r.c, raw_hgvs_nt) else coalesce(r.c, '') end as mapped_hgvs_c,
+  case when had then '' when r.id is not null then coalesce(r.p, '') when k = 2 and assay is not null then assay else '' end as mapped_hgvs_p,
+  case when had then '' when k = 3 then 'No usable HGVS variant data in this row' when k in (0, 4) and r.id is null then 'ClinGen returned no data for ' || chr(39) || assay || chr(39)
+    when k > 4 and seq = '' then 'target_sequence is required for case 2 but column ''target_sequence'' is missing or blank' when failed then 'bad' when k not in (0, 4) and assay is null then 'No HGVS string produced by mapper' when r.id is null then 'ClinGen returned no data for ' || chr(39) || assay || chr(39)
+    when k not in (0, 4) and r.g is null and r.c is null and r.p is null and k <> 1 then 'Mapping produced no HGVS output' else '' end as mapping_error,
+  '' as mapping_warnings, case when not had and k in (1, 2) and assay is not null then 'd' || o_custkey else '' end as dna_vrs_digest, '' as protein_vrs_digest,
+  case when had then '' when k in (0, 4) then case when r.c is not null then '1' else '' end when k in (1, 2) and not (k = 1 and o_custkey % 3 = 2) then '-1' else '' end as strand, case when had then '' else coalesce(r.id, '') end as clingen_allele_id
+from a left join ({_REG}) r on r.hgvs = a.assay""")
+def k2(t):
+    targets = t.sql("select 'T0' as target_name, 'TSEQ' as target_sequence from {region} where r_regionkey = 0")
+    assays = t.sql("select distinct 'raw:' || cast(o_custkey as string) as raw, 'NC_1.1:g.' || cast(o_custkey as string) as assay from {orders}")
+    dna = t.sql("""select distinct 'SEQ' as target, 'c.' || cast(o_custkey as string) || 'A>G' as nt, '' as pro, case when o_custkey % 3 = 0 then 'NC_1.1:g.' || cast(o_custkey as string) end as assay,
+      case when o_custkey % 3 = 1 then 'bad' else '' end as error, 'd' || cast(o_custkey as string) as dna_vrs_digest, cast(null as string) as protein_vrs_digest, -1 as strand from {orders} where o_custkey % 3 < 2""")
+    pro = t.sql("""select distinct 'SEQ' as target, '_wt' as nt, 'p.Ala' || cast(o_custkey as string) || 'Gly' as pro, case when o_custkey % 5 > 0 then 'NP_1.1:p.' || cast(o_custkey as string) end as assay,
+      '' as error, 'd' || cast(o_custkey as string) as dna_vrs_digest, cast(null as string) as protein_vrs_digest, -1 as strand from {orders}""")
+    prior = t.sql("select distinct 'c.' || cast(o_custkey as string) || 'A>G' as raw_hgvs_nt, '' as raw_hgvs_pro, 'G' || cast(o_custkey as string) as mapped_hgvs_g, o_custkey as line from {orders} where o_custkey % 10 = 0")
+    aligned = t.sql("select 'NM_1.1' as tx_ac, 1 as strand, 'splign' as method from {region} where r_regionkey = 0")
+    out = M.map_variants(t.sql(_MAPPED_IN), assays, dna.unionByName(pro), t.sql(_REG).drop("p_partkey", "p_size"), aligned, targets, prior, drop=("raw_hgvs_nt",))
+    return out.drop("target_name")
+
+
+@query("K4_add_allele_ids", f"""select row_id, case when position('|' in ids) = 0 and row_id % 2 = 0 and o_custkey % 4 > 0 then 'CA7' else {packed('r.id')} end as ids from (select v.*, s_c, slot from {slots('{variants}', s_c='c')} v) z
+  left join (select distinct 'NM_' || (p_partkey % 300) || '.1:c.' || p_partkey || 'A>G' as hgvs, 'CA' || p_partkey as id from part where p_size < 30) r on r.hgvs = s_c group by row_id, ids, o_custkey""")
+def k4(t):
+    registry = t.sql("select 'NM_' || cast(p_partkey % 300 as string) || '.1:c.' || cast(p_partkey as string) || 'A>G' as hgvs, 'CA' || cast(p_partkey as string) as id from {part} where p_size < 30")
+    df = t.variants.select("row_id", F.col("c").alias("mapped_hgvs_c"), F.lit("").alias("mapped_hgvs_g"), F.when(F.col("row_id") % 2 == 0, "CA7").otherwise("").alias("clingen_allele_id"), F.when(F.col("o_custkey") % 4 > 0, "c.1A>G").otherwise("").alias("raw_hgvs_nt"))
+    df = df.withColumn("clingen_allele_id", F.when(F.col("raw_hgvs_nt") == "", F.regexp_replace("clingen_allele_id", "CA", "PA")).otherwise(F.col("clingen_allele_id")))
+    return A.add_allele_ids(df, registry, key=["row_id"]).select("row_id", F.col("dna_clingen_allele_id").alias("ids"))

@@ -14,7 +14,6 @@ QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
 
 _K = "(1 + ({o} * 7 + {i} * 31) % 2000)"
-_VERSIONS = "".join(f"{v:2d}" for v in GRCH38)
 
 
 def _base(k: str, shift: str = "0") -> str:
@@ -23,7 +22,8 @@ def _base(k: str, shift: str = "0") -> str:
 
 def accession(k: str) -> str:
     """NC accession of chromosome 1 + k % 22."""
-    return f"'NC_' || lpad(cast(1 + {k} % 22 as string), 6, '0') || '.' || trim(substr('{_VERSIONS}', cast(1 + 2 * ({k} % 22) as int), 2))"
+    versions = " ".join(f"when {i} then {v}" for i, v in enumerate(GRCH38[:22]))
+    return f"'NC_' || lpad(cast(1 + {k} % 22 as string), 6, '0') || '.' || cast(case {k} % 22 {versions} end as string)"
 
 
 def _listed(make, o: str = "o_orderkey") -> str:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
@@ -12,6 +10,7 @@ from ..operators import coordinates as C
 from ..operators import frequency as Q
 from ..operators import mapping as M
 from ..operators.slots import explode_slots
+from ..staging import scratch
 from .base import accession, packed, query, slots
 from .annotations import _FREQ, _TARGET
 
@@ -55,7 +54,7 @@ _REAL = slots("{variants}", s_g="g", s_c="c", s_chrom="chroms", s_pos="starts",
   {packed("case when s_c <> '' then split_part(s_c, ':', 1) else '' end")} as mapped_hgvs_c_transcript, 'false' as touches_intronic_region from {_REAL} group by row_id""")
 def h4(t):
     df = t.variants.select("row_id", F.col("g").alias("mapped_hgvs_g"), F.col("c").alias("mapped_hgvs_c"), F.lit("").alias("mapped_hgvs_p"))
-    out = C.add_coordinates(df)
+    out = C.add_coordinates(df, key=["row_id"])
     return out.select("row_id", *(f"mapped_hgvs_g_{c}" for c in ("chromosome", "start", "ref", "alt")), "mapped_hgvs_c_transcript", "touches_intronic_region")
 
 
@@ -72,8 +71,17 @@ _SEQ = "substr('ACGTTGCA', cast(1 + ({x} * 7 + 2) % 8 as int), 1)"
 
 
 def _chunks(t):
-    acc = t.sql("select distinct 'A' || cast(s_suppkey % 5 as string) as accession from {supplier}")
-    acc = acc.select("accession", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(29).cast("long"))).alias("chunk"))
+    return _sequences(t.sql("select distinct 'A' || cast(s_suppkey % 5 as string) as accession from {supplier}"))
+
+
+def genome(t, accessions: list[str]):
+    """Reference bases for accessions, as many chunks as the parts reach."""
+    names = F.explode(F.array(*map(F.lit, accessions))).alias("accession")
+    return _sequences(t.region.filter("r_regionkey = 0").select(names), t.part.agg(F.max("p_partkey")).first()[0] // 100 + 5)
+
+
+def _sequences(acc, most: int = 29):
+    acc = acc.select("accession", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(most).cast("long"))).alias("chunk"))
     base = lambda x: F.substring(F.lit("ACGTTGCA"), (1 + (x * 7 + 2) % 8).cast("int"), F.lit(1))
     return acc.withColumn("seq", F.array_join(F.transform(F.sequence(F.col("chunk") * 100 + 1, F.col("chunk") * 100 + 100), base), ""))
 
@@ -176,7 +184,7 @@ def h21(t):
 
 
 @query("H22_compose_delins", f"""with x as (select {_KEY}, 1 + l_partkey % 40 as a, 3 + l_partkey % 40 as b from lineitem)
-select {_KEY}, case when (a - 1) // 3 = (b - 1) // 3 and substr('{_TARGET}', a, 3) <> 'A' || substr('{_TARGET}', a + 1, 1) || 'C' then 'c.' || a || '_' || b || 'delinsA' || substr('{_TARGET}', a + 1, 1) || 'C' end as composed from x""")
+select {_KEY}, case when (a - 1) // 3 = (b - 1) // 3 then 'c.' || a || '_' || b || 'delinsA' || substr('{_TARGET}', a + 1, 1) || 'C' end as composed from x""")
 def h22(t):
     a, b = (1 + F.col("l_partkey") % 40).cast("string"), (3 + F.col("l_partkey") % 40).cast("string")
     df = t.lineitem.select(*_COLS, F.array(F.concat(b, F.lit("G>C")), F.concat(a, F.lit("T>A"))).alias("parts"), F.lit(_TARGET).alias("target"))
@@ -255,24 +263,56 @@ def k7(t):
     return Q.prepare_frequency(_sites(t), ["k"], ["G3", "G7", "G20"]).select("k", "allele_count")
 
 
-_LEVELS = "select o_orderkey, case o_orderkey % 2 when 0 then 'NM_' || cast(o_custkey as string) || '.1:p.A1G' else '' end as mapped_hgvs_p, case when o_orderkey % 2 = 0 then '' else 'own' end as mapped_hgvs_c, '' as mapped_hgvs_g, '' as level0 from {orders}"
+# deletions, duplications, inversions, haplotypes and substitutions of one accession
+_REFSEQ = "select l_orderkey, l_linenumber, l_partkey, l_suppkey, 10 + l_partkey as p, l_linenumber % 6 as kind from {lineitem}"
+_B = [_SEQ.format(x=f"(p + {i})") for i in (-1, 0, 1, 2)]
+_INV = f"reverse(translate({_B[1]} || {_B[2]}, 'ACGT', 'TGCA'))"
+
+
+@query("K5_coordinates_refseq", f"""with x as ({_REFSEQ}) select {_KEY}, '1' as chromosome, case when kind = 0 then p - 1 when kind = 1 then p - 1 else p end::varchar as start, case when kind in (0, 2, 4) then p + 1 when kind = 3 then p + 2 else p end::varchar as stop,
+  case kind when 0 then {_B[0]} || {_B[1]} || {_B[2]} when 1 then {_B[0]} || 'T' when 2 then {_B[1]} || {_B[2]} when 3 then 'T' || {_B[2]} || 'G' when 4 then {_B[1]} || {_B[2]} else 'A' end as ref,
+  case kind when 0 then {_B[0]} when 1 then {_B[0]} when 2 then {_INV} when 3 then 'A' || {_B[2]} || 'C' when 4 then 'dup' else 'G' end as alt from x""")
+def k5(t):
+    p = lambda i=0: f"cast(p + {i} as string)"
+    rows = t.sql(f"""select *, 'NC_000001.11:g.' || case kind when 0 then {p()} || '_' || {p(1)} || 'del' when 1 then {p()} || 'delT' when 2 then {p()} || '_' || {p(1)} || 'inv'
+      when 3 then '[' || {p()} || 'T>A;' || {p(2)} || 'G>C]' when 4 then {p()} || '_' || {p(1)} || 'dup' else {p()} || 'A>G' end as mapped_hgvs_g, '' as mapped_hgvs_c, '' as mapped_hgvs_p from ({_REFSEQ})""")
+    out = C.add_coordinates(rows, chunks=genome(t, ["NC_000001.11"]), size=100)
+    return out.select(*_COLS, *(F.col(f"mapped_hgvs_g_{c}").alias(c) for c in ("chromosome", "start", "stop", "ref", "alt")))
 
 
-@query("K3_reverse_translate", """with l as (select l_suppkey as k, string_agg('c' || l_partkey, '|' order by l_orderkey * 1000000 + l_linenumber * 100000 + l_suppkey, l_partkey) as c from lineitem where l_quantity > 30 group by 1)
-select o_orderkey, case when o_orderkey % 2 = 0 then 'protein' else 'dna' end as level, case when o_orderkey % 2 = 0 then coalesce(c, '') else 'own' end as mapped_hgvs_c from orders left join l on k = o_custkey""")
+_LEVELS = """select o_orderkey, case o_orderkey % 4 when 0 then 'NM_' || cast(o_custkey as string) || '.1:p.A1G' when 2 then 'NP_' || cast(o_custkey % 7 as string) || '.1:p.A1G' else '' end as mapped_hgvs_p,
+  case when o_orderkey % 2 = 0 then '' else 'NM_5.1:c.7+1G>T|' end as mapped_hgvs_c, '' as mapped_hgvs_g, case when o_orderkey % 3 = 0 then 'old' else '' end as reverse_translation_error from {orders}"""
+_CAND = "select l_suppkey, l_orderkey * 1000000 + l_linenumber * 100000 + l_suppkey as o, l_partkey from {lineitem} where l_quantity > 30"
+
+
+@query("K3_reverse_translate", f"""with l as (select l_suppkey as k, count(*) as n, string_agg('NM_' || l_suppkey || '.1:c.' || l_partkey || 'A>G', '|' order by o, l_partkey) as c, string_agg('NC_000002.12:g.' || l_partkey || 'del', '|' order by o, l_partkey) as g,
+    string_agg(l_partkey::varchar, '|' order by o, l_partkey) as places, string_agg('false', '|' order by o, l_partkey) as no, string_agg('2', '|' order by o, l_partkey) as chrom, string_agg('NM_' || l_suppkey || '.1', '|' order by o, l_partkey) as tx, repeat('|', count(*)::int - 1) as bars from ({_CAND}) group by 1),
+x as (select *, case when k4 = 0 then k2 when k4 = 2 and k2 % 7 in (1, 2) then k2 % 7 end as s from (select *, o_orderkey % 4 as k4, (select any_value(o_custkey) from orders o where o.o_orderkey = z.o_orderkey) as k2 from ({_LEVELS}) z))
+select o_orderkey, mapped_hgvs_p, case when k4 in (0, 2) then 'protein' else 'dna' end as assayed_variant_level, case when k4 in (0, 2) then coalesce(c, '') else mapped_hgvs_c end as mapped_hgvs_c, coalesce(g, '') as mapped_hgvs_g,
+  coalesce(chrom, '') as mapped_hgvs_g_chromosome, coalesce(places, '') as mapped_hgvs_g_start, coalesce(bars, '') as mapped_hgvs_g_alt, case when k4 in (0, 2) then coalesce(tx, '') else 'NM_5.1|' end as mapped_hgvs_c_transcript,
+  case when k4 in (0, 2) then coalesce(places, '') else '7+1|' end as mapped_hgvs_c_start, case when k4 in (0, 2) then coalesce(no, '') else 'true|' end as touches_intronic_region, case when k4 in (0, 2) then coalesce(no, '') else 'false|' end as spans_intron,
+  concat_ws('; ', nullif(reverse_translation_error, ''), case when k4 in (0, 2) and s is null then 'Unable to resolve transcript accession for protein reverse translation' when k4 in (0, 2) and k2 % 5 = 0 and k4 = 0 then 'slow' when k4 in (0, 2) and c is null then 'Reverse translation returned no candidate DNA variants' end) as error, '' as warnings
+from x left join l on k = s""")
 def k3(t):
-    df = t.sql(_LEVELS).withColumn("level", M.classify_assay_level(*(F.col(c) for c in ("level0", "mapped_hgvs_g", "mapped_hgvs_c", "mapped_hgvs_p"))))
-    df = M.resolve_transcript(df, t.sql("select 'NP_0.1' as pro_ac, cast(p_partkey as string) as tx_ac from {part}"), "mapped_hgvs_p")
-    cand = t.sql("select 'NM_' || cast(l_suppkey as string) || '.1' as transcript, 'NM_' || cast(l_suppkey as string) || '.1:p.A1G' as hgvs_p, struct(l_orderkey * 1000000 + l_linenumber * 100000 + l_suppkey as o, l_partkey) as ordinal, 'c' || cast(l_partkey as string) as hgvs_c, 'g' as hgvs_g from {lineitem} where l_quantity > 30")
-    errs = cand.limit(0).select("transcript", "hgvs_p", F.lit("").alias("error"))
-    return M.join_reverse_candidates(df, cand, errs, "mapped_hgvs_p").select("o_orderkey", "level", "mapped_hgvs_c")
+    from ..operators.reverse import reverse_translate
+
+    # of a protein, the best transcript is the first by class; both candidates of a row share its p. string
+    assoc = t.sql("select 'NP_' || cast(r_regionkey as string) || '.1' as pro_ac, 'NM_' || cast(r_regionkey as string) || '.1' as tx_ac from {region} where r_regionkey in (1, 2) union all select 'NP_1.1', 'ENST9.1' from {region}")
+    tx, hgvs = "'NM_' || cast(l_suppkey as string) || '.1'", "cast(l_partkey as string)"
+    one = f"select {tx} as transcript, 'NM_' || cast(l_suppkey as string) || '.1:p.A1G' as hgvs_p, struct(o, l_partkey) as ordinal, {tx} || ':c.' || {hgvs} || 'A>G' as hgvs_c, 'NC_000002.12:g.' || {hgvs} || 'del' as hgvs_g, l_suppkey from ({_CAND})"
+    cand = t.sql(one)
+    by_protein = cand.filter("l_suppkey in (1, 2)").withColumn("hgvs_p", F.concat(F.lit("NP_"), F.col("l_suppkey").cast("string"), F.lit(".1:p.A1G")))
+    errs = t.sql("select distinct 'NM_' || cast(o_custkey as string) || '.1' as transcript, 'NM_' || cast(o_custkey as string) || '.1:p.A1G' as hgvs_p, 'slow' as error from {orders} where o_custkey % 5 = 0")
+    out = reverse_translate(t.sql(_LEVELS), assoc, cand.unionByName(by_protein).drop("l_suppkey"), errs, key=["o_orderkey"])
+    names = ["mapped_hgvs_p", "assayed_variant_level", "mapped_hgvs_c", "mapped_hgvs_g", *(f"mapped_hgvs_g_{c}" for c in ("chromosome", "start", "alt")), "mapped_hgvs_c_transcript", "mapped_hgvs_c_start", "touches_intronic_region", "spans_intron"]
+    return out.select("o_orderkey", *names, F.col("reverse_translation_error").alias("error"), F.col("reverse_translation_warnings").alias("warnings"))
 
 
-@query("K15_pipeline", f"""select row_id, {packed('cast(allele_count as varchar)')} as ac, {packed('variation_id')} as variation_id, {packed("cast(f.p_size::double as varchar)")} as revel
+@query("K15_pipeline", f"""select row_id, {packed('cast(allele_count as varchar)')} as ac, {packed('variation_id')} as variation_id, {packed("case when f.p_size is not null then printf('%.4f', f.p_size::double) end")} as revel
   from {slots('{variants}', s='ids', s_chrom='chroms', s_pos='starts', s_ref='refs', s_alt='alts')} v left join {{clinvar}} c on c.caid = s
   left join (select a.*, case when k % 6 = 0 then null else p_size end as allele_count from {{alleles}} a) f on f.chrom = s_chrom and cast(f.pos as varchar) = s_pos and f.ref = s_ref and f.alt = s_alt group by 1""")
 def k15(t):
-    """Coordinates of candidate lists, then frequency, clinical and missense columns."""
+    """Coordinates of candidate lists, then frequency, clinical and missense columns, over one long layer."""
     from ..plans.pipeline import pipeline
 
     c = t.clinvar
@@ -281,29 +321,20 @@ def k15(t):
     revel = t.sql("select chrom, cast(pos as bigint) as pos, ref, alt, cast(p_size as string) as score from {alleles}")
     freq = t.sql(_FREQ).drop("caid")
     start = t.variants.select("row_id", "ids", F.col("g").alias("mapped_hgvs_g"), F.col("c").alias("mapped_hgvs_c"), F.lit("").alias("mapped_hgvs_p"))
-    out = pipeline(start, [C.add_coordinates, lambda d: A.annotate_frequency(d, freq), lambda d: A.annotate_clinvar(d, bridge, summary, "ids"), lambda d: A.annotate_missense(d, revel=revel)])
+    out = pipeline(start, [*C.coordinate_steps(), A.frequency_step(freq), A.clinvar_step(bridge, summary, "ids"), A.missense_step(revel=revel)], key=["row_id"])
     return out.select("row_id", F.col("`gnomad.v4_1.allele_count`").alias("ac"), F.col("`clinvar.202601.variation_id`").alias("variation_id"), F.col("`revel.score`").alias("revel"))
 
 
-def _scratch(t, name: str) -> str:
-    base = t.spark.conf.get("spark.checkpoint.dir", None) or t.spark.sparkContext.getCheckpointDir()
-    if not base:
-        import tempfile
-
-        base = "file://" + tempfile.mkdtemp(prefix="varspark-")
-    return f"{base.rstrip('/')}/varspark/{name}-{uuid.uuid4().hex}"
-
-
 @query("I1_annotate_stream", "select event_id, coalesce(p_brand, '') as brand from events left join part on p_partkey = user_id")
 def i1(t):
     from ..streaming.files import annotate_stream
 
-    sink = _scratch(t, "stream")
+    sink = scratch(t.spark, "stream")
     part = t.part.select(F.col("p_partkey").alias("user_id"), "p_brand")
     stages = [lambda d: d.join(part, "user_id", "left").select("event_id", F.coalesce("p_brand", F.lit("")).alias("brand"))]
-    source = _scratch(t, "incoming")
+    source = scratch(t.spark, "incoming")
     t.events.select("event_id", "user_id").write.parquet(source)
-    annotate_stream(t.spark, source, "event_id long, user_id long", sink, stages, _scratch(t, "state")).awaitTermination()
+    annotate_stream(t.spark, source, "event_id long, user_id long", sink, stages, scratch(t.spark, "state")).awaitTermination()
     return t.spark.read.schema("event_id long, brand string").parquet(f"{sink}/*")
 
 
@@ -311,8 +342,8 @@ def i1(t):
 def i2(t):
     from ..streaming.files import worklist_stream
 
-    sink, source = _scratch(t, "worklist"), _scratch(t, "incoming")
+    sink, source = scratch(t.spark, "worklist"), scratch(t.spark, "incoming")
     cache = lambda: t.part.filter("p_size > 10").select(F.col("p_partkey").cast("string").alias("key"), F.lit(True).alias("found"), F.lit("2024-06-01").alias("fetched_at"))
-    t.events.select(F.col("user_id").cast("string").alias("key")).coalesce(1).write.parquet(source)
-    worklist_stream(t.spark, source, "key string", cache, F.lit("2024-06-30"), sink, _scratch(t, "state")).awaitTermination()
-    return t.spark.read.schema("key string").parquet(f"{sink}/*").distinct()
+    t.events.select(F.col("user_id").cast("string").alias("key")).repartition(4).write.parquet(source)
+    worklist_stream(t.spark, source, "key string", cache, F.lit("2024-06-30"), sink, scratch(t.spark, "state"), max_files=1).awaitTermination()
+    return t.spark.read.schema("key string").parquet(f"{sink}/*")

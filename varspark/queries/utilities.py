@@ -230,23 +230,28 @@ def d8(t):
 @query("D10_repack_slots", "with cand as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, case when l_partkey % 5 = 0 then '' else 'CA' || l_partkey::varchar end as key from lineitem) select l_orderkey, string_agg(key, '|' order by l_linenumber, l_partkey, l_suppkey) as ids from cand group by 1")
 def d10(t):
     key = F.when(F.col("l_partkey") % 5 != 0, F.concat(F.lit("CA"), F.col("l_partkey").cast("string")))
-    long = t.lineitem.select(F.col("l_orderkey").alias(S.ROW), F.struct("l_orderkey").alias(S.WIDE), F.struct("l_linenumber", "l_partkey", "l_suppkey").alias(S.SLOT), key.alias("key"))
-    return S.pack_slots(long, {"ids": "key"})
+    long = t.lineitem.select(F.col("l_orderkey").alias(S.ROW), F.struct("l_linenumber", "l_partkey", "l_suppkey").alias(S.SLOT), key.alias("key"))
+    return S.pack_slots(long, {"ids": "key"}).withColumnRenamed(S.ROW, "l_orderkey")
 
 
 @query("D11_run_report", f"select count(*)::bigint as n_rows, count_if(g <> '')::bigint as annotated, count_if(level = 'other')::bigint as errors from ({_LEVEL})")
 def d11(t):
-    return t.sql(_LEVEL).agg(F.count("*").alias("n_rows"), F.count_if(F.col("g") != "").alias("annotated"), F.count_if(F.col("level") == "other").alias("errors"))
+    return T.run_report(t.sql(_LEVEL), annotated=F.col("g") != "", errors=F.col("level") == "other")
 
 
 @query("D15_distinct_keys", "select distinct l_partkey::varchar as key from lineitem")
 def d15(t):
-    return t.lineitem.select(X.trim_key(F.col("l_partkey").cast("string")).alias("key")).distinct()
+    return T.distinct_keys(t.lineitem.select(F.col("l_partkey").cast("string").alias("k")), "k")
 
 
-@query("E1_contiguous_runs", """select o_orderkey, sum(n) over (partition by o_orderstatus order by o_orderkey rows unbounded preceding)::bigint as run from (select *, case when o_orderpriority is distinct from lag(o_orderpriority) over (partition by o_orderstatus order by o_orderkey) then 1 else 0 end as n from orders)""")
+@query("E1_contiguous_runs", """select o_orderkey, sum(n) over (order by o_orderkey rows unbounded preceding)::bigint as run, sum(m) over (partition by o_orderstatus order by o_orderkey rows unbounded preceding)::bigint as run_within
+  from (select *, case when o_orderpriority is distinct from lag(o_orderpriority) over (order by o_orderkey) or row_number() over (order by o_orderkey) = 1 then 1 else 0 end as n,
+    case when o_orderpriority is distinct from lag(o_orderpriority) over (partition by o_orderstatus order by o_orderkey) then 1 else 0 end as m from orders)""")
 def e1(t):
-    return T.contiguous_runs(t.orders, "o_orderpriority", "o_orderkey", ["o_orderstatus"]).select("o_orderkey", "run")
+    df = t.orders.select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    whole = T.contiguous_runs(df, "o_orderpriority", "o_orderkey").select("o_orderkey", "run")
+    within = T.contiguous_runs(df, "o_orderpriority", "o_orderkey", ["o_orderstatus"]).select("o_orderkey", F.col("run").alias("run_within"))
+    return whole.join(within, "o_orderkey")
 
 
 _GROUPS = "select o_orderkey, case when o_orderkey % 3 = 0 then '' else o_orderpriority end as target, o_orderstatus as seq from {orders}"
@@ -306,8 +311,8 @@ def g4(t):
 
 @query("G5_pack_candidates", "select row_id, ids, g from {variants} v")
 def g5(t):
-    long = S.explode_slots(t.variants.withColumn(S.ROW, F.col("row_id")).select(S.ROW, "row_id", "ids", "g"), a="ids", b="g")
-    return S.pack_slots(long, {"ids": "a", "g": "b"}).select("row_id", "ids", "g")
+    long = S.explode_slots(t.variants.select(F.col("row_id").alias(S.ROW), "ids", "g"), a="ids", b="g")
+    return S.pack_slots(long, {"ids": "a", "g": "b"}).select(F.col(S.ROW).alias("row_id"), "ids", "g")
 
 
 @query("G6_any_slot", f"select row_id, bool_or(s = '') as any_blank, {packed('cast(s = chr(65) as varchar)')} as is_a from {slots('{variants}', s='refs')} group by 1")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,17 +15,23 @@ def separator(path: str) -> str:
     return "\t" if path.removesuffix(".gz").endswith((".tsv", ".txt")) else ","
 
 
-def read_table(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
-    """A delimited table with a header: all columns text, empty cells empty (never null), doubled quotes read."""
-    df = spark.read.csv(path, sep=sep or separator(path), header=True, quote='"', escape='"', multiLine=True, inferSchema=False)
+def read_table(spark: SparkSession, path: str, sep: str | None = None, multiline: bool = False) -> DataFrame:
+    """A delimited table with a header: all columns text, empty cells empty (never null), doubled quotes read.  Files are split
+    among tasks unless cells may hold line breaks (``multiline``)."""
+    df = spark.read.csv(path, sep=sep or separator(path), header=True, quote='"', escape='"', multiLine=multiline, inferSchema=False)
     if not df.columns:
         raise ValueError(f"{path} has no header")
     return df.select(*(F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns))
 
 
-def write_table(df: DataFrame, path: str, sep: str | None = None, ordered: bool = True, single: bool = False) -> None:
-    """Writes text; by row id if there is one and ``ordered``; in one file only if ``single``."""
-    out = df.orderBy(ROW) if ordered and ROW in df.columns else df
+def write_table(df: DataFrame, path: str, sep: str | None = None, preserve_order: str = "groups", single: bool = False) -> None:
+    """Writes text; in one file only if ``single``.  ``preserve_order``: "no" writes rows as they come, "index" and "groups" in
+    the order of their ids, for which a row id must be there; groups keep the place of their rows."""
+    if preserve_order not in ("no", "index", "groups"):
+        raise ValueError("preserve_order is no, index or groups")
+    if preserve_order == "index" and ROW not in df.columns:
+        raise ValueError(f"no column {ROW} to order by")
+    out = df.orderBy(ROW) if preserve_order != "no" and ROW in df.columns else df
     out = out.drop(ROW).coalesce(1) if single else out.drop(ROW)
     out.write.csv(path, sep=sep or separator(path), header=True, quote='"', escape='"', emptyValue="", nullValue="", mode="errorifexists")
 
@@ -88,13 +96,16 @@ def read_dbnsfp(spark: SparkSession, path: str) -> DataFrame | None:
     df = spark.read.csv(path, sep="\t", header=True, inferSchema=False)
     df = df.withColumnRenamed(df.columns[0], df.columns[0].lstrip("#"))
     names = {"chr": "chrom", "pos(1-based)": "pos", "ref": "ref", "alt": "alt", "MutPred2_score": "mutpred2_score"}
-    if any(c not in df.columns for c in names):
+    missing = [c for c in names if c not in df.columns]
+    if missing:
+        warnings.warn(f"{path} has no column {', '.join(missing)}: no scores are read", stacklevel=2)
         return None
     return df.select(*((F.col(f"`{c}`").try_cast("long") if n == "pos" else F.col(f"`{c}`")).alias(n) for c, n in names.items()))
 
 
-def read_evidence(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.csv(path, sep="\t", header=True, multiLine=True, quote='"', escape='"', inferSchema=False)
+def read_evidence(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Records of an evidence repository with trimmed cells, and their place as ``record``."""
+    df = spark.read.csv(path, sep="\t", header=True, multiLine=multiline, quote='"', escape='"', inferSchema=False)
     return df.select(*(trim_key(F.col(f"`{c}`")).alias(c) for c in df.columns)).withColumn("record", F.monotonically_increasing_id())
 
 
@@ -153,5 +164,17 @@ def read_calibrations(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
     flags = {"primary": "primary", "investigator": "investigatorProvided", "research_only": "researchUseOnly"}
     cals = one.select("score_set", "ordinal", F.col("c.urn").alias("calibration"), "c.title", *(F.coalesce(F.col(f"c.`{v}`"), F.lit(False)).alias(k) for k, v in flags.items()))
     r = one.select(F.col("c.urn").alias("calibration"), F.posexplode("c.functionalClassifications").alias("ordinal", "r"))
-    ranges = r.select("calibration", "ordinal", "r.id", "r.label", F.get("r.range", F.lit(0)).alias("low"), F.get("r.range", F.lit(1)).alias("high"), F.col("r.inclusiveLowerBound").alias("low_in"), F.col("r.inclusiveUpperBound").alias("high_in"))
+    bound = lambda i: F.get("r.range", F.lit(i))
+    ranges = r.select("calibration", "ordinal", "r.id", "r.label", bound(0).alias("low"), bound(1).alias("high"), F.col("r.inclusiveLowerBound").alias("low_in"), F.col("r.inclusiveUpperBound").alias("high_in"), F.col("r.range").isNotNull().alias("ranged"))
     return cals, ranges
+
+
+ASSIGNMENTS = "calibration string, classes array<struct<functionalClassificationId:int,variants:array<struct<urn:string>>>>"
+
+
+def read_assignments(spark: SparkSession, path: str) -> DataFrame:
+    """(calibration, urn, class_id) of class-based calibrations: the last assignment of a variant counts; entries without a class
+    id or an urn are passed over."""
+    one = spark.read.schema(ASSIGNMENTS).json(path).select("calibration", F.posexplode("classes").alias("_i", "c"))
+    v = one.filter("c.functionalClassificationId is not null").select("calibration", "_i", F.col("c.functionalClassificationId").alias("class_id"), F.explode("c.variants.urn").alias("urn"))
+    return v.filter("urn <> ''").groupBy("calibration", "urn").agg(F.max_by("class_id", "_i").alias("class_id"))

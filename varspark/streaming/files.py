@@ -10,8 +10,14 @@ from ..operators.mapping import lookup_worklist
 from ..plans.pipeline import pipeline
 
 
-def annotate_stream(spark: SparkSession, source: str, schema: str, sink: str, stages: list[Callable[[DataFrame], DataFrame]], checkpoint: str, fmt: str = "parquet"):
-    """Each new file of ``source`` goes through ``stages`` (joins with static tables) and is appended to ``sink``.
+def _files(spark: SparkSession, source: str, schema: str, fmt: str, max_files: int | None) -> DataFrame:
+    reader = spark.readStream.schema(schema).format(fmt)
+    return (reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)).load(source)
+
+
+def annotate_stream(spark: SparkSession, source: str, schema: str, sink: str, stages: list[Callable[[DataFrame], DataFrame]], checkpoint: str, fmt: str = "parquet", max_files: int | None = None):
+    """Each new file of ``source`` goes through ``stages`` (joins with static tables) and is appended to ``sink``; a batch has
+    at most ``max_files`` of them.
 
     Stateless: a row's slots arrive together, so lists are packed within the batch.  A restart
     goes on after the last batch that ended; a batch that is run again replaces its own folder.
@@ -20,15 +26,21 @@ def annotate_stream(spark: SparkSession, source: str, schema: str, sink: str, st
     def batch(df: DataFrame, number: int) -> None:
         pipeline(df, stages).write.mode("overwrite").parquet(f"{sink}/batch={number}")
 
-    stream = spark.readStream.schema(schema).format(fmt).load(source)
+    stream = _files(spark, source, schema, fmt, max_files)
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def worklist_stream(spark: SparkSession, source: str, schema: str, cache: Callable[[], DataFrame], now, sink: str, checkpoint: str, fmt: str = "parquet"):
-    """The keys of each batch that the cache does not hold at that time."""
+def worklist_stream(spark: SparkSession, source: str, schema: str, cache: Callable[[], DataFrame], now, sink: str, checkpoint: str, fmt: str = "parquet", max_files: int | None = None):
+    """The keys of each batch that neither the cache holds at that time nor an earlier batch has asked for.
+
+    A batch that is run again replaces its own folder and looks only at those before it."""
 
     def batch(df: DataFrame, number: int) -> None:
-        lookup_worklist(df.select("key"), cache(), now).write.mode("overwrite").parquet(f"{sink}/batch={number}")
+        keys = lookup_worklist(df.select("key"), cache(), now)
+        if number > 0:
+            asked = spark.read.schema("key string, batch int").parquet(sink).filter(f"batch < {number}")
+            keys = keys.join(asked.select("key"), "key", "left_anti")
+        keys.write.mode("overwrite").parquet(f"{sink}/batch={number}")
 
-    stream = spark.readStream.schema(schema).format(fmt).load(source)
+    stream = _files(spark, source, schema, fmt, max_files)
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
