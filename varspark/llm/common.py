@@ -3,27 +3,27 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from .. import staging
 
 #: A side of a join is broadcast only if it was counted and has no more rows than this.
 BROADCAST_ROWS = 50_000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: ``spark.checkpoint.dir``.
-
-    Only where that setting is absent (tests, a single machine) a temporary folder is made.
-    """
-    sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="varspark-")
-        sc.setCheckpointDir(path)
-    return path.rstrip("/")
+@contextmanager
+def arrow_rows(spark: SparkSession, batch: int | None) -> Iterator[None]:
+    """Rows of an Arrow batch meanwhile (``None``: as they are), where rows are large."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        if batch is not None:
+            spark.conf.set(setting, str(batch))
+        yield
+    finally:
+        spark.conf.set(setting, before)
 
 
 def stage(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
@@ -31,19 +31,21 @@ def stage(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
 
     This cuts the lineage as a checkpoint does, so that a lost executor costs a few tasks and
     not the whole job, and it keeps the columns of the result prunable.  ``batch``: rows of an Arrow batch
-    while ``df`` is computed, where rows are large.
+    while ``df`` is computed.
     """
+    with arrow_rows(df.sparkSession, batch):
+        return staging.stage(df, name)
+
+
+def bucketed(df: DataFrame, name: str, key: str, batch: int | None = None) -> DataFrame:
+    """As ``stage``, in buckets of ``key``: grouping by it needs no exchange.  A task writes a file for each of its buckets, so
+    ``key`` should have few values in a task."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/varspark/{name}-{uuid.uuid4().hex}"
-    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(setting)
-    try:
-        if batch is not None:
-            spark.conf.set(setting, str(batch))
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(setting, before)
-    return spark.read.schema(df.schema).parquet(path)
+    path = staging.scratch(spark, name)
+    title = path.rsplit("/", 1)[-1].replace("-", "_")
+    with arrow_rows(spark, batch):
+        df.write.bucketBy(min(width(spark), 10_000), key).option("path", path).saveAsTable(title)
+    return spark.table(title)
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left", most: int = BROADCAST_ROWS) -> DataFrame:
@@ -63,22 +65,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def release() -> None:
+    """Gives freed memory back: workers are kept between tasks, and what they hold counts against their executor."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def tidy(run):
-    """A function for mapInArrow that gives freed memory back when its task ends: workers are kept
-    between tasks, and what they hold counts against their executor."""
+    """A function for mapInArrow that gives freed memory back when its task ends."""
 
     def wrapped(batches):
         try:
             yield from run(batches)
         finally:
-            import ctypes
-
-            import pyarrow as pa
-
-            pa.default_memory_pool().release_unused()
-            try:
-                ctypes.CDLL(None).malloc_trim(0)
-            except AttributeError:  # another C library
-                pass
+            release()
 
     return wrapped

@@ -1,9 +1,9 @@
 """Stupid-backoff scores of documents: n-gram count tables, joined to the documents' n-grams.
 
-Texts are cut into chunks of about 8 MB.  A chunk's n-grams are exploded and counted where they are, so that
-an n-gram, however frequent, leaves a chunk once for each order.  These (n-gram, n) rows, packed by the
-range of the n-gram's hash, meet in the count tables, one range at a time; the tables' totals are joined back to
-the chunks by the same rows, and a chunk's words are scored from them and summed by document.
+Texts are cut into chunks of about 16 MB, which are staged in buckets of their numbers.  A chunk's n-grams are
+exploded and counted where they are, so that an n-gram, however frequent, leaves a chunk once.  These (n-gram, n)
+rows, packed by the range of the n-gram's hash, meet in the count tables, one range at a time; the tables' totals are
+joined back to the chunks by the same rows, and a chunk's words are scored from them and summed by document.
 """
 
 from __future__ import annotations
@@ -15,13 +15,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, tidy, width
+from .common import bucketed, release, stage, tidy, width
 from .textvec import U, mix, texts, words
 
 #: Bytes of text in a chunk (a longer text is a chunk of its own).
-CHUNK = 1 << 23
+CHUNK = 1 << 24
 _BASE = U(0x9E3779B97F4A7C15)
+#: Low bytes of the steps between hashes in order, which look random.
+_PLAIN = 5
 _CHUNKS = "chunk long, tokens long, data binary"
+_SUMS = pa.schema([(c, pa.int64()) for c in ("doc", "micro", "words", "backed")])
 _ROWS = "chunk long, k int, bucket int, n int, data binary"
 
 
@@ -129,12 +132,12 @@ def _own(order: int, buckets: int):
                     head = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
                     step = np.diff(h, prepend=h[:1])
                     step[head] = 0
-                    wide = max(1, (int(step.max()).bit_length() + 7) // 8)
-                    step = step.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :wide]
-                    few, rows = np.minimum(n, 255).astype(np.uint8), []
+                    step, few, rows = step.astype("<u8").view(np.uint8).reshape(-1, 8), np.minimum(n, 255).astype(np.uint8), []
                     for i, j in zip(head.tolist(), np.append(head[1:], len(h)).tolist()):
-                        many = n[i:j][few[i:j] == 255]
-                        data = bytes([wide]) + h[i : i + 1].tobytes() + step[i:j].tobytes() + few[i:j].tobytes() + many.astype("<i8").tobytes()
+                        many = n[i:j][few[i:j] == 255].astype("<i8")
+                        # random bytes as they are; what can be made small is
+                        high = np.concatenate([few[i:j], np.ascontiguousarray(step[i:j, _PLAIN:].T).ravel(), many.view(np.uint8)])
+                        data = h[i : i + 1].tobytes() + np.ascontiguousarray(step[i:j, :_PLAIN]).tobytes() + np.array([len(high)], "<i4").tobytes() + _squeezed(high)
                         rows.append((chunk, k, int(bucket[i]), j - i, data))
                     yield _batches(rows, _ROWS)
 
@@ -142,14 +145,16 @@ def _own(order: int, buckets: int):
 
 
 def _counted(raw: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
-    wide = raw[0]
-    step = np.zeros((n, 8), np.uint8)
-    step[:, :wide] = np.frombuffer(raw, np.uint8, n * wide, 9).reshape(n, wide)
+    at = 8 + n * _PLAIN
+    high = np.frombuffer(pa.decompress(raw[at + 4 :], int(np.frombuffer(raw, "<i4", 1, at)[0]), "zstd", asbytes=True), np.uint8)
+    step = np.empty((n, 8), np.uint8)
+    step[:, :_PLAIN] = np.frombuffer(raw, np.uint8, n * _PLAIN, 8).reshape(n, _PLAIN)
+    step[:, _PLAIN:] = high[n : n * (9 - _PLAIN)].reshape(8 - _PLAIN, n).T
     h = step.reshape(-1).view("<u8")
-    h[0] = np.frombuffer(raw, "<u8", 1, 1)[0]
-    few = np.frombuffer(raw, np.uint8, n, 9 + n * wide).astype(np.int64)
-    few[few == 255] = np.frombuffer(raw, "<i8", offset=9 + n * (wide + 1))
-    return np.cumsum(h, dtype=U), few
+    h[0] = np.frombuffer(raw, "<u8", 1, 0)[0]
+    count = high[:n].astype(np.int64)
+    count[count == 255] = high[n * (9 - _PLAIN) :].copy().view("<i8")
+    return np.cumsum(h, dtype=U), count
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], by: tuple[str, ...]) -> Iterator[tuple[tuple, list[tuple]]]:
@@ -190,33 +195,39 @@ def _table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _scored(order: int, min_count: int, backoff: float, total: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _grouped(batches, ("chunk",)):
-            ids, counts, hashes, place = _opened(rows[0][4])
+    """A chunk and the totals of its n-grams -> sums by row of its documents."""
+
+    def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        found = []
+        answers = answers.select(["k", "bucket", "data"]).sort_by([("k", "ascending"), ("bucket", "ascending")])
+        k_of = answers["k"].to_numpy()
+        for raw in chunk["data"].to_pylist():
+            ids, counts, hashes, place = _opened(raw)
             seen: list[np.ndarray] = []
             for k in range(1, order + 1):
                 h, there = grams(hashes, place, k)
                 n = np.zeros(len(h), np.int64)
-                own = [_unpacked(r[4])[0] for r in rows if r[1] == k]
+                own = [_unpacked(x.as_py())[0] for x in answers["data"].filter(pa.array(k_of == k))]
                 if own:
-                    n[there] = np.concatenate(own).astype(np.int64)[np.unique(h[there], return_inverse=True)[1]]
+                    n[there] = np.concatenate(own)[np.unique(h[there], return_inverse=True)[1]]
                 seen.append(n)
-            steps = np.zeros(len(hashes))
-            share = np.zeros(len(hashes))
+            steps, share = np.zeros(len(hashes), np.int8), np.zeros(len(hashes))
             for k in range(order, 1, -1):
                 on = (share == 0) & (place >= k - 1)
                 hit = np.flatnonzero(on & (seen[k - 1] >= min_count))
-                share[hit] = backoff ** steps[hit] * (seen[k - 1][hit] / seen[k - 2][hit - 1])
+                share[hit] = backoff ** steps[hit].astype(float) * (seen[k - 1][hit] / seen[k - 2][hit - 1])
                 steps[on] += 1
                 steps[hit] -= 1
             rest = share == 0
-            share[rest] = backoff ** steps[rest] * (seen[0][rest] / max(1, total))
+            share[rest] = backoff ** steps[rest].astype(float) * (seen[0][rest] / max(1, total))
             sums = np.zeros((2, len(ids)), np.int64)
             full = counts > 0
             if full.any():
                 head = (np.cumsum(counts) - counts)[full]
                 sums[:, full] = [np.add.reduceat(micro(share), head), np.add.reduceat((steps > 0).astype(np.int64), head)]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, sums[0], counts, sums[1])], ["doc", "micro", "words", "backed"])
+            found.append(pa.table([ids, sums[0], counts, sums[1]], _SUMS.names))
+        release()
+        return pa.concat_tables(found) if found else _SUMS.empty_table()
 
     return run
 
@@ -224,12 +235,12 @@ def _scored(order: int, min_count: int, backoff: float, total: int):
 def _own_counts(chunks: DataFrame, order: int, tokens: int) -> DataFrame:
     """The chunks' own counts, dealt by range of hashes; about a million n-grams of an order are in a range."""
     n = width(chunks.sparkSession)
-    own = chunks.mapInArrow(tidy(_own(order, max(4 * n, tokens >> 20))), _ROWS)
+    own = chunks.mapInArrow(tidy(_own(order, max(2 * n, tokens >> 20))), _ROWS)
     return own.repartition(n, "bucket").sortWithinPartitions("bucket", "k")
 
 
 def _staged(docs: DataFrame, most: int = CHUNK) -> tuple[DataFrame, int]:
-    chunks = stage(docs.mapInArrow(tidy(_chunked(most)), _CHUNKS), "lm-chunks", batch=1000)
+    chunks = bucketed(docs.mapInArrow(tidy(_chunked(most)), _CHUNKS), "lm_chunks", "chunk", batch=1000)
     return chunks, chunks.agg(F.sum("tokens")).first()[0] or 0
 
 
@@ -257,10 +268,8 @@ def backoff_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), none).alias("id"), F.col(text_col).alias("text"))
     chunks, tokens = _staged(base, chunk)
     answers = _own_counts(chunks, order, tokens).mapInArrow(tidy(_answers), _ROWS)
-    zero = F.lit(0).cast("int")
-    own = chunks.select("chunk", zero.alias("k"), zero.alias("bucket"), zero.alias("n"), "data")
-    joined = own.unionByName(answers).repartition(width(docs.sparkSession), "chunk").sortWithinPartitions("chunk", "k", "bucket")
-    parts = stage(joined.mapInArrow(tidy(_scored(order, min_count, backoff, tokens)), "doc long, micro long, words long, backed long"), "lm-scores", batch=8)
+    joined = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_scored(order, min_count, backoff, tokens), "doc long, micro long, words long, backed long")
+    parts = stage(joined, "lm-scores", batch=8)
     sums = parts.groupBy("doc").agg(*(F.sum(x).alias(x) for x in ("micro", "words", "backed")))
     log = F.col("micro") / 1e6
     return sums.select(
