@@ -270,18 +270,37 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(tidy(run), "a long, b long").distinct()
 
 
+def _with_totals(rows: DataFrame, key: str, pieces: int, **totals: tuple) -> DataFrame:
+    """``rows`` with aggregates of all rows of their key: total=(aggregate, column).  Rows of a key travel once, as lists; of a
+    key's rows, ``pieces`` lists are made, so that no list holds more than a share of a frequent key."""
+    how = {"count": (F.count, F.sum), "min": (F.min, F.min), "max": (F.max, F.max)}
+    parts = [how[f][0](F.lit(1) if c is None else F.col(c)).alias(t) for t, (f, c) in totals.items()]
+    members = F.collect_list(F.struct(*(c for c in rows.columns if c != key))).alias("__rows")
+    if pieces == 1:
+        lists = rows.groupBy(key).agg(*parts, members)
+    else:
+        first = rows.groupBy(key, F.pmod(F.xxhash64("doc"), F.lit(pieces)).alias("__piece")).agg(*parts, members)
+        whole = first.groupBy(key).agg(*(how[f][1](t).alias(t) for t, (f, _) in totals.items()))
+        lists = first.select(key, "__rows").join(whole, key)
+    return lists.select(key, *totals, F.inline("__rows"))
+
+
+#: Rows of lists for which one more piece of a frequent key is made.
+_PIECE = 1_000_000
+
+
 def _neighbourhoods(percent: int, k: int, single: bool):
-    """Sets -> (doc, scheme, segment, deletion, sig): signatures of subsets and of subsets less one
-    shingle.  ``single``: each shingle is a segment of its own, and there are no deletions."""
+    """(doc, shingles, roles, component) -> (doc, role, need, segment, deletion, sig, component): signatures of subsets and of
+    subsets less one shingle.  ``single``: each shingle is a segment of its own, and there are no deletions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column(0).to_numpy()
-            for i, raw in enumerate(b.column(1)):
+            ids, component = b.column(0).to_numpy(), b.column(3).to_numpy()
+            for i, (raw, roles) in enumerate(zip(b.column(1), b.column(2).to_pylist())):
                 h = np.frombuffer(raw.as_buffer(), U)
                 size, doc = np.array([len(h)]), np.zeros(len(h), np.int64)
                 band = int(np.searchsorted(bands(percent)[0], len(h), "right") - 1)
-                for role in (0, 1):
+                for role in sorted(roles):
                     if band < role or not len(h):
                         continue
                     need = int(needed(size, np.array([band]), role, percent)[0])
@@ -295,8 +314,8 @@ def _neighbourhoods(percent: int, k: int, single: bool):
                         deletion = np.arange(len(sig)) >= len(full)
                     n = len(sig)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, ids[i])), pa.array(np.full(n, role, np.int32)), pa.array(np.full(n, need)), pa.array(seg.astype(np.int64)), pa.array(deletion), pa.array(sig.view(np.int64))],
-                        ["doc", "role", "need", "segment", "deletion", "sig"],
+                        [pa.array(np.full(n, ids[i])), pa.array(np.full(n, role, np.int32)), pa.array(np.full(n, need)), pa.array(seg.astype(np.int64)), pa.array(deletion), pa.array(sig.view(np.int64)), pa.array(np.full(n, component[i]))],
+                        ["doc", "role", "need", "segment", "deletion", "sig", "component"],
                     )
 
     return run
@@ -306,33 +325,36 @@ def _followed(open_: DataFrame, sets: DataFrame, comp: DataFrame, percent: int,
     """Groups (hub, doc, component) that hold all similar sets of different components among those of
     ``open_`` (doc, role), which looked up too little before: by the cheapest sufficient allocation; and
     those sets for which all of it is too little."""
-    rows = join_small(sets, open_.select("doc").distinct(), "doc", "left_semi").mapInArrow(
-        tidy(_neighbourhoods(percent, k, single)), "doc long, role int, need long, segment long, deletion boolean, sig long"
-    )
-    rows = join_small(join_small(rows, open_, ["doc", "role"], "left_semi"), comp, "doc", "left")
-    rows = stage(rows.withColumn("component", F.coalesce("component", "doc")), "neighbourhoods")
+    asked = join_small(sets, open_.groupBy("doc").agg(F.collect_set("role").alias("roles")), "doc", "inner")
+    asked = join_small(asked, comp, "doc", "left").select("doc", "shingles", "roles", F.coalesce("component", "doc").alias("component"))
+    rows = stage(asked.mapInArrow(tidy(_neighbourhoods(percent, k, single)), "doc long, role int, need long, segment long, deletion boolean, sig long, component long"), "neighbourhoods")
+    pieces = 1 + rows.count() // _PIECE
     # a signature can only be shared within its scheme; one component needs no more links
-    lists = rows.groupBy("sig").agg(F.count("*").alias("n"), (F.min("component") != F.max("component")).alias("mixed"))
-    priced = rows.join(lists.filter("mixed"), "sig", "left").groupBy("doc", "role", "need", "segment")
-    priced = priced.agg(
-        F.coalesce(F.sum(F.when(~F.col("deletion"), F.col("n"))), F.lit(0)).alias("one"), F.coalesce(F.sum("n"), F.lit(0)).alias("all")
-    )
+    mixed = _with_totals(rows, "sig", pieces, n=("count", None), low=("min", "component"), high=("max", "component")).filter("low <> high").drop("low", "high")
+    mixed = stage(mixed, "mixed-lists")
+    place = ["doc", "role", "need", "segment"]
+    none = F.lit(0).cast("long")
+    costs = mixed.select(*place, F.when(~F.col("deletion"), F.col("n")).otherwise(0).alias("one"), F.col("n").alias("all"))
+    priced = costs.unionByName(rows.select(*place, none.alias("one"), none.alias("all"))).groupBy(*place).agg(F.sum("one").alias("one"), F.sum("all").alias("all"))
     units = [F.struct(F.lit(1).alias("unit"), F.col("one").alias("cost"))]
     if not single:
         units.append(F.struct(F.lit(2).alias("unit"), F.greatest("one", F.col("all") - F.col("one")).alias("cost")))
-    units = priced.select("doc", "role", "need", "segment", F.explode(F.array(*units)).alias("u")).select("*", "u.*")
+    units = priced.select(*place, F.explode(F.array(*units)).alias("u")).select("*", "u.*")
     order = Window.partitionBy("doc", "role").orderBy("cost", "segment", "unit")
-    units = stage(units.withColumn("at", F.row_number().over(order)).filter("at <= need").select("doc", "role", "need", "segment", "unit"), "allocation")
+    units = stage(units.withColumn("at", F.row_number().over(order)).filter("at <= need").select(*place, "unit"), "allocation")
     short = units.groupBy("doc", "role").agg(F.count("*").alias("n"), F.max("need").alias("need")).filter("n < need").select("doc", "role")
-    chosen = units.groupBy("doc", "role", "segment").agg(F.max("unit").alias("unit"))
-    taken = rows.join(chosen, ["doc", "role", "segment"]).filter("unit = 2 or not deletion").select("sig").distinct()
-    shared = rows.join(lists.filter("mixed").select("sig"), "sig").join(taken, "sig").select("sig", "doc", "component")
+    # what a segment's units take of its signatures
+    taken = mixed.select("doc", "role", "segment", none.cast("int").alias("unit"), F.struct("sig", "deletion").alias("s")).unionByName(
+        units.select("doc", "role", "segment", "unit", F.lit(None).cast("struct<sig:long,deletion:boolean>").alias("s"))
+    )
+    taken = taken.groupBy("doc", "role", "segment").agg(F.max("unit").alias("unit"), F.collect_list("s").alias("s"))
+    taken = taken.select("unit", F.inline("s")).filter("unit = 2 or (unit = 1 and not deletion)").select("sig").distinct()
+    both = mixed.select("sig", "doc", "component", F.lit(0).alias("use")).unionByName(taken.select("sig", F.lit(None).cast("long").alias("doc"), F.lit(None).cast("long").alias("component"), F.lit(1).alias("use")))
+    shared = _with_totals(both, "sig", pieces, used=("max", "use")).filter("used = 1 and doc is not null").select("sig", "doc", "component").distinct()
     # lists come together under their most frequent member: near copies share it in most lists
-    fame = shared.groupBy("doc").agg(F.count("*").alias("fame"))
-    shared = stage(shared.join(fame, "doc"), "shared-lists")
-    hubs = shared.groupBy("sig").agg(F.max(F.struct("fame", F.negative("doc").alias("less"))).alias("h")).select("sig", F.negative("h.less").alias("hub"))
-    group = stage(shared.join(hubs, "sig").select("hub", "doc", "component").distinct(), "hub-groups")
-    return group, short
+    shared = shared.withColumn("fame", F.count("*").over(Window.partitionBy("doc"))).withColumn("h", F.struct("fame", F.negative("doc").alias("less")))
+    group = _with_totals(stage(shared.drop("fame"), "shared-lists"), "sig", pieces, top=("max", "h"))
+    return stage(group.select(F.negative("top.less").alias("hub"), "doc", "component").distinct(), "hub-groups"), short
 
 
 def _blocks_linked(percent: int):
@@ -432,9 +454,10 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     comp = components(links).select(F.col("node").alias("doc"), "component")
 
     # sets whose short lists are too few: long lists within one component make up for it
-    member = join_small(members, comp, "doc", "left", 500_000).withColumn("component", F.coalesce("component", "doc"))
-    mixed = member.groupBy("sig").agg((F.min("component") != F.max("component")).alias("mixed"))
-    costly = member.join(mixed.filter("mixed"), "sig").groupBy("doc", "role").agg(F.count("*").alias("n"))
+    by_doc = members.groupBy("doc").agg(F.collect_list(F.struct("sig", "role")).alias("m"))  # a set's own lists
+    member = join_small(by_doc, comp, "doc", "left", 500_000).select("doc", F.coalesce("component", "doc").alias("component"), F.inline("m"))
+    member = stage(member, "jaccard-members")
+    costly = _with_totals(member, "sig", 1 + member.count() // _PIECE, low=("min", "component"), high=("max", "component")).filter("low <> high").groupBy("doc", "role").agg(F.count("*").alias("n"))
     open_ = spare.join(costly, ["doc", "role"], "left").filter(F.col("spare") < F.coalesce("n", F.lit(0))).select("doc", "role").distinct()
     # of equal sets one stands for all
     same = sets.join(classes, ["identity", "n_shingles"]).filter("doc <> first").select("doc").distinct()
