@@ -6,7 +6,7 @@ import os
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import staging
@@ -58,6 +58,20 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "left", most: in
     return big.join(small, on, how)
 
 
+def least(df: DataFrame, by: Column, most: int) -> DataFrame:
+    """The ``most`` rows with the smallest 64-bit hashes ``by``.  Rows are cut by a threshold first, so that all tasks
+    together send little more than that to the driver, however many they are."""
+    n, share = df.count(), 1.0
+    if n > 2 * most:
+        share = 1.5 * most / n
+    while share < 1:
+        some = df.filter(by <= int(-(2**63) + share * 2**64))
+        if some.count() >= most:
+            return some.orderBy(by).limit(most)
+        share *= 4
+    return df.orderBy(by).limit(most)
+
+
 def width(spark: SparkSession) -> int:
     """Partitions of an exchange: the session's ``spark.sql.shuffle.partitions``."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

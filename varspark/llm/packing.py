@@ -50,11 +50,12 @@ def cuts(n: np.ndarray, capacity: int, least_fill: float = 0.95) -> tuple[np.nda
 
 
 class _Filler:
-    """Completes sequences of each class; what is left stays pending, under k pieces a class."""
+    """Completes sequences of each class; what is left stays pending, under k pieces a class.  Ids are numbered by round (5
+    bits: each has at most half the tasks of the one before, so there are at most 23), task (22) and sequence."""
 
     def __init__(self, capacity: int, level: int):
         self.capacity, self.pending = capacity, {}
-        self.next = ((level << 22) + TaskContext.get().partitionId()) << 38
+        self.next = ((level << 22) + TaskContext.get().partitionId()) << 36
 
     def _placed(self, t: pa.Table, k: int) -> pa.Table:
         length = t["length"].to_numpy()
@@ -162,13 +163,13 @@ def pack(
     done = stage(docs.select(id_col, text_col).mapInArrow(tidy(first), schema), "pieces-0", _BATCH)
     result, level = done.filter("sequence_id is not null"), 1
     left = done.filter("sequence_id is null").drop("sequence_id", "offset")
-    tasks = 1 << 40
+    tasks = 1 << 23
     while n := -(-left.count() // _OVER):
         n = tasks = min(n, max(1, tasks // 2))  # fewer each time, whatever could be completed
         done = stage(left.repartition(n).mapInArrow(tidy(again(level, n == 1)), schema), f"pieces-{level}")
         result = result.unionByName(done.filter("sequence_id is not null"))
         left = done.filter("sequence_id is null").drop("sequence_id", "offset")
-        level = min(level + 1, 7)
+        level += 1
         if n == 1:
             break
     return result
