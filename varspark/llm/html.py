@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import least, tidy
+
 #: Pages whose texts serve the training layouts at most, and the layouts made of them.
 MOST_SAMPLE, LAYOUTS = 200, 1000
 _PATH, _WORDS, _MEASURES, _HIDDEN = 160, 32, 8, 16
@@ -427,10 +429,10 @@ def training_pages(texts: list[list[str]], n: int = LAYOUTS, seed: int = 9) -> l
 
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", most: int = MOST_SAMPLE) -> Labeller:
-    """A labeller fitted on layouts around texts of at most ``most`` pages, chosen by hash."""
-    some = pages.select(F.xxhash64(F.col(id_col), F.col(html_col)).alias("h"), F.col(html_col).alias("html")).orderBy("h", "html").limit(most)
-    texts = [[b.text for b in blocks(r["html"] or "")] for r in some.collect()]
-    return fit(training_pages(texts))
+    """A labeller fitted on layouts around texts of at most ``most`` pages, chosen by the hash of their ids."""
+    some = pages.select(F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.col(html_col).alias("html"))
+    found = sorted((r["h"], r["html"] or "") for r in least(some, F.col("h"), most).collect())
+    return fit(training_pages([[b.text for b in blocks(html)] for _, html in found]))
 
 
 def main_text(pages: DataFrame, labeller: Labeller, html_col: str = "html", least: float = 0.5) -> DataFrame:
@@ -455,4 +457,4 @@ def main_text(pages: DataFrame, labeller: Labeller, html_col: str = "html", leas
                 text = [" ".join(x.text for x, p in zip(page, ps) if p >= least) for page, ps in zip(found, labels)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(text, pa.string())], [*names, "text"])
 
-    return pages.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema) + ", text string")
+    return pages.mapInArrow(tidy(run), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema) + ", text string")
