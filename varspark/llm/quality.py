@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import tidy
+from .common import least, stage, tidy
 from .textvec import U, Texts, mix, texts
 
 BUCKETS = 1 << 15
@@ -210,11 +210,15 @@ def fold(id_col: str = "doc_id"):
 
 
 def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most: int = MOST_LABELS) -> Network:
-    """Fits the network on at most ``most`` labelled rows whose fold is not 2; fold 3 calibrates."""
-    chosen = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (fold(id_col) != 2))
-    chosen = chosen.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__label"), fold(id_col).cast("int").alias("__fold"))
-    chosen = chosen.orderBy(F.xxhash64("__id"), "__id", "__label").limit(most)  # a broadcast of at most this many rows
-    rows = docs.join(F.broadcast(chosen), docs[id_col] == chosen["__id"]).select(F.col("__id").cast("long").alias("id"), "__label", "__fold", F.col(text_col).alias("text"))
+    """Fits the network on at most ``most`` labelled documents whose fold is not 2; fold 3 calibrates.  Of rows of one id with
+    different texts or labels the least counts."""
+    known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (fold(id_col) != 2))
+    known = known.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__label"), fold(id_col).cast("int").alias("__fold"), F.xxhash64(F.col(id_col)).alias("__h"))
+    known = known.groupBy("__id").agg(*(F.min(c).alias(c) for c in ("__label", "__fold", "__h")))
+    # labels with a document: one for each id, so that the bound holds for what is fitted
+    known = stage(known.join(docs.select(F.col(id_col).alias("__id")), "__id", "left_semi"), "known-labels")
+    chosen = F.broadcast(least(known, F.col("__h"), most).drop("__h"))  # at most this many rows
+    rows = docs.join(chosen, docs[id_col] == F.col("__id")).select(F.col("__id").cast("long").alias("id"), "__label", "__fold", F.col(text_col).alias("text"))
     sent = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +227,9 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, id_col: str =
                 x, n = pooled(t, sent.value)
                 yield pa.RecordBatch.from_arrays([*(b.column(i).slice(t.first, len(t)) for i in range(3)), pa.array([r.tobytes() for r in x], pa.binary()), pa.array(n)], ["id", "label", "fold", "x", "n"])
 
-    got = rows.mapInArrow(tidy(run), "id long, label int, fold int, x binary, n long").toArrow().to_pydict()
+    own = rows.mapInArrow(tidy(run), "id long, label int, fold int, x binary, n long")
+    own = own.groupBy("id").agg(F.min(F.struct("label", "fold", "x", "n")).alias("r")).select("id", "r.*")  # repeated rows count once
+    got = own.toArrow().to_pydict()
     order = np.lexsort((np.array(got["x"], object), np.array(got["label"], int), np.array(got["id"], int))) if got["id"] else []
     x = np.array([np.frombuffer(got["x"][i], np.float32) for i in order]).reshape(-1, DIM)
     y, f, n = (np.array([got[c][i] for i in order], int) for c in ("label", "fold", "n"))
