@@ -21,10 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import join_small, stage
+from .common import join_small, least, stage
 
-#: Bounds: vectors that the cells are cut from, cells, rows of a block, queries searched together.
-SAMPLE, CELLS, BLOCK, CHUNK = 20_000, 1024, 4096, 512
+#: Bounds: vectors that the cells are cut from, rows of a block, queries searched together.  There are as many cells as
+#: blocks, as long as the sample has 8 vectors for each.
+SAMPLE, BLOCK, CHUNK = 65_536, 4096, 512
 _LEAF = 64
 
 
@@ -184,7 +185,8 @@ def nearest(
     query_id, rank (from 1), vec_id, score (inner product in double precision), the nearest first, ties to
     the smaller id.  Vectors that are null, zero, of another length than most, or with null or
     non-finite components take no part; rows without an id neither.  Repeated ids with equal
-    vectors are one row.  Copies of a vector are searched once, for any number of them.  Fewer
+    vectors are one row; an id with several different vectors is one query and one candidate, with the vector whose
+    bytes come first.  Copies of a vector are searched once, for any number of them.  Fewer
     than ``k`` candidates give as many rows; no query or an empty table gives none.
     """
     spark = vectors.sparkSession
@@ -200,7 +202,7 @@ def nearest(
             x = _matrix(b.column(1), dim) + 0.0  # no negative zeros
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in x], pa.binary())], ["id", "raw"])
 
-    rows = stage(good.mapInArrow(packed, "id long, raw binary"), "ann-rows")
+    rows = stage(good.mapInArrow(packed, "id long, raw binary").groupBy("id").agg(F.min("raw").alias("raw")), "ann-rows")
     # copies: each distinct vector with its smallest ids, gathered in two steps
     ids = rows.mapInArrow(_least_ids(k + 1), "raw binary, ids array<long>")
     merge = lambda c: F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))), 1, k + 1)
@@ -217,8 +219,8 @@ def nearest(
     if not n:
         return spark.createDataFrame([], out)
     space = Space(dim, top, m, confidence)
-    sample = ids.select("raw", F.xxhash64("raw").alias("h")).orderBy("h").limit(SAMPLE).collect()
-    cells = 1 << int(max(0, min(np.ceil(np.log2(n / BLOCK)), np.log2(CELLS))))
+    sample = least(ids.select("raw", F.xxhash64("raw").alias("h")), F.col("h"), SAMPLE).collect()
+    cells = 1 << int(max(0, min(np.ceil(np.log2(n / BLOCK)), np.log2(max(1, len(sample) / 8)))))
     space.cut(np.frombuffer(b"".join(bytes(r["raw"]) for r in sample)).reshape(-1, dim), cells)
     sent = spark.sparkContext.broadcast(space)
     salts = max(1, -(-2 * n // (cells * BLOCK)))  # blocks of a cell
