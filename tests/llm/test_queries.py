@@ -54,10 +54,8 @@ def test_op1_targets_and_takes(spark, texts):
         assert (r.size, r.source_size) == (size[i], by[s]) and r.target == pytest.approx(target[s])
         assert 0 <= r.taken <= 3 * r.size and (r.size == 0 or r.taken % r.size == 0)
         taken[s] += r.taken
-    for s in names:  # documents are taken whole: a gap is too small for any that may be taken once more
-        room = [size[i] for i, r in got.items() if texts[i][1] == s and r.taken + size[i] <= 3 * size[i] and size[i]]
-        gap = target[s] - taken[s]
-        assert gap < min(room, default=1e18) and abs(gap) <= 0.05 * target[s]
+    for s in names:  # documents are taken whole, and the smallest source has about a dozen
+        assert taken[s] == pytest.approx(target[s], rel=0.04)
     again = run(spark, "op1_pareto_mixing").select("doc_id", "taken").collect()
     assert {r.doc_id: r.taken for r in again} == {i: r.taken for i, r in got.items()}
 
