@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import join_small, stage, tidy, width
+from .common import join_small, release, stage, tidy, width
 from .components import components
 from .textvec import U, mix, shingles, texts
 
@@ -357,6 +357,10 @@ def _followed(open_: DataFrame, sets: DataFrame, comp: DataFrame, percent: int,
     return stage(group.select(F.negative("top.less").alias("hub"), "doc", "component").distinct(), "hub-groups"), short
 
 
+#: Shingles of two blocks that are compared at a time, and of a block of sets (a longer set is a block of its own).
+_SLICE, _BLOCK_ITEMS = 400_000, 500_000
+
+
 def _blocks_linked(percent: int):
     """Two blocks of sets -> a link for each pair of components that similar sets connect."""
 
@@ -367,24 +371,28 @@ def _blocks_linked(percent: int):
         size = np.array([len(x) for x in sets], np.int64)
         first, second = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         if len(first) and len(second) and (component != component[0]).any():
-            items = np.concatenate(sets)
-            owner = np.repeat(np.arange(len(sets)), size)
-            _, item, times = np.unique(items, return_inverse=True, return_counts=True)
-            kept = np.flatnonzero(times > 1)  # what one set alone holds is in no intersection
-            place = np.full(len(times), -1)
-            place[kept] = np.arange(len(kept))
-            item = place[item]
             common = np.zeros((len(first), len(second)), np.float32)
             row, column = np.full(len(sets), -1), np.full(len(sets), -1)
             row[first], column[second] = np.arange(len(first)), np.arange(len(second))
-            for a in range(0, len(kept), 4096):
-                on = np.flatnonzero((item >= a) & (item < a + 4096))
-                x, y = np.zeros((len(first), 4096), np.float32), np.zeros((len(second), 4096), np.float32)
-                i = on[row[owner[on]] >= 0]
-                x[row[owner[i]], item[i] - a] = 1
-                i = on[column[owner[on]] >= 0]
-                y[column[owner[i]], item[i] - a] = 1
-                common += x @ y.T
+            # by ranges of hashes, so that some hundred thousand are held at a time
+            slices = int(size.sum()) // _SLICE + 1
+            edges = [np.searchsorted(x, np.array([(i << 64) // slices for i in range(1, slices)], U)) for x in sets]
+            for r in range(slices):
+                parts = [x[e[r - 1] if r else 0 : e[r] if r < slices - 1 else len(x)] for x, e in zip(sets, edges)]
+                owner = np.repeat(np.arange(len(sets)), [len(x) for x in parts])
+                _, item, times = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+                kept = np.flatnonzero(times > 1)  # what one set alone holds is in no intersection
+                place = np.full(len(times), -1)
+                place[kept] = np.arange(len(kept))
+                item = place[item]
+                for a in range(0, len(kept), 2048):
+                    on = np.flatnonzero((item >= a) & (item < a + 2048))
+                    x, y = np.zeros((len(first), 2048), np.float32), np.zeros((len(second), 2048), np.float32)
+                    i = on[row[owner[on]] >= 0]
+                    x[row[owner[i]], item[i] - a] = 1
+                    i = on[column[owner[on]] >= 0]
+                    y[column[owner[i]], item[i] - a] = 1
+                    common += x @ y.T
             both = common.astype(np.int64)
             i, j = np.nonzero(100 * both >= percent * (size[first][:, None] + size[second][None, :] - both))
             i, j = first[i], second[j]
@@ -392,6 +400,7 @@ def _blocks_linked(percent: int):
             if len(i):
                 _, one = np.unique(np.stack([component[i], component[j]]), axis=1, return_index=True)
                 found = [(int(doc[p]), int(doc[q])) for p, q in zip(i[one], j[one])]
+        release()
         return pa.table({"a": pa.array([min(f) for f in found], pa.int64()), "b": pa.array([max(f) for f in found], pa.int64())})
 
     return run
@@ -400,10 +409,12 @@ def _blocks_linked(percent: int):
 def linked_groups(group: DataFrame, sets: DataFrame, percent: int, block: int = 512) -> DataFrame:
     """Links (a, b) between components within groups (hub, doc, component): one for each pair of
     components and blocks, at least.  A group of any size is compared block by block, so a task holds two
-    blocks, and pairs are never rows."""
-    sizes = group.groupBy("hub").agg(F.count("*").alias("n"), (F.min("component") != F.max("component")).alias("mixed"))
+    blocks of bounded number and length, and pairs are never rows."""
+    group = group.join(sets.select("doc", (F.octet_length("shingles") / 8).alias("items")), "doc")
+    sizes = group.groupBy("hub").agg(F.count("*").alias("n"), F.sum("items").alias("total"), (F.min("component") != F.max("component")).alias("mixed"))
     g = join_small(group, sizes.filter("mixed"), "hub", "inner", 500_000)
-    g = g.withColumn("blocks", F.ceil(F.col("n") / block)).withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")))
+    blocks = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("total") / _BLOCK_ITEMS))
+    g = g.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")))
     # each block meets itself and every other one: (low, high), as side 0, 1 or 2 (both)
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
     g = g.select("hub", "doc", "component", "own", other)
