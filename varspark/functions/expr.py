@@ -221,7 +221,7 @@ def nucleotide_groups(hgvs: Column) -> Column:
     return groups(trim_key(hgvs), _NUCLEOTIDE, 11)
 
 
-def nucleotide_change(p: Column) -> Column:
+def nucleotide_change(p: Column, with_kind: bool = True) -> Column:
     """struct(start, stop, ref, alt, kind) of ``nucleotide_groups``; nulls without a match."""
     at = lambda i: F.get(p, F.lit(i))
     up = lambda i: F.upper(at(i))
@@ -235,12 +235,13 @@ def nucleotide_change(p: Column) -> Column:
     what = F.when(sub, "sub").when(delins, "delins").when(ins, "ins").when(kind != "", kind).otherwise("=")
     on = lambda v: F.when(p.isNotNull(), v)
     stop = F.when(at(1) == "", at(0)).otherwise(at(1))
-    return F.struct(at(0).alias("start"), stop.alias("stop"), on(ref).alias("ref"), on(alt).alias("alt"), on(what).alias("kind"))
+    parts = [at(0).alias("start"), stop.alias("stop"), on(ref).alias("ref"), on(alt).alias("alt")]
+    return F.struct(*parts, *([on(what).alias("kind")] if with_kind else []))
 
 
 def parse_nucleotide(hgvs: Column) -> Column:
     """struct(start, stop, ref, alt) of a genomic or coding change; nulls if it has no such form."""
-    return once(nucleotide_groups(hgvs), nucleotide_change).dropFields("kind")
+    return once(nucleotide_groups(hgvs), lambda p: nucleotide_change(p, False))
 
 
 def protein_groups(hgvs: Column) -> Column:

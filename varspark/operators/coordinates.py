@@ -40,19 +40,22 @@ def haplotype_span(components: Column, bases: Column | None = None, bases_start:
     return F.when(whole, F.struct(lo.cast("string").alias("start"), hi.cast("string").alias("stop"), F.array_join(ref, "").alias("ref"), F.array_join(alt, "").alias("alt")))
 
 
-def _components(hgvs: Column) -> Column:
-    """The changes of ``acc:g.[a;b]`` with positions as numbers; null if there are none or one is not of known form."""
-    inner = F.regexp_extract(hgvs, r"^[^:]+:g\.\[([^\]]+)\]$", 1)
+def _with_components(long: DataFrame, column: str) -> DataFrame:
+    """``_c``: the changes of ``acc:g.[a;b]`` with positions as numbers; null if there are none or one is not of known form.  In
+    steps of their own, so that each is computed once."""
+    inner = F.regexp_extract(column, r"^[^:]+:g\.\[([^\]]+)\]$", 1)
     texts = F.filter(F.transform(F.split(inner, ";"), lambda x: F.trim(x)), lambda x: x != "")
-    parts = F.transform(texts, lambda x: parse_nucleotide(F.concat(F.lit("g."), x)))
-    typed = F.transform(parts, lambda v: F.struct(v["start"].try_cast("long").alias("s"), v["stop"].try_cast("long").alias("e"), v["ref"].alias("ref"), v["alt"].alias("alt")))
-    ok = (F.size(typed) > 0) & F.forall(typed, lambda v: v["s"].isNotNull() & v["e"].isNotNull() & (v["e"] >= v["s"]) & v["ref"].isNotNull())
-    return F.when(ok, typed)
+    parsed = F.transform(texts, lambda x: parse_nucleotide(F.concat(F.lit("g."), x)))
+    long = long.withColumn("_c", F.when(F.contains(F.col(column), F.lit(":g.[")), parsed))
+    typed = lambda v: F.struct(v["start"].try_cast("long").alias("s"), v["stop"].try_cast("long").alias("e"), v["ref"].alias("ref"), v["alt"].alias("alt"))
+    long = long.withColumn("_c", F.transform("_c", typed))
+    ok = (F.size("_c") > 0) & F.forall("_c", lambda v: v["s"].isNotNull() & v["e"].isNotNull() & (v["e"] >= v["s"]) & v["ref"].isNotNull())
+    return long.withColumn("_c", F.when(ok, F.col("_c")))
 
 
 def _genomic(chunks: DataFrame | None, size: int):
     def apply(long: DataFrame) -> DataFrame:
-        long = _parsed(long, "x", nucleotide_groups, nucleotide_change).withColumn("_c", F.when(F.contains(F.col("x"), F.lit(":g.[")), _components(F.col("x"))))
+        long = _with_components(_parsed(long, "x", nucleotide_groups, nucleotide_change), "x")
         if chunks is None:
             whole = F.when(F.col("_c").isNotNull(), haplotype_span(F.col("_c")))
             return long.withColumn("_h", whole).withColumn("_v", F.struct(*(F.coalesce(F.col(f"_v.{k}"), F.col(f"_h.{k}")).alias(k) for k in _PARTS))).drop("_h", "_c")
