@@ -157,3 +157,39 @@ def test_columns(spark):
         types = dict(run(spark, name).dtypes)
         assert set(columns.split()) <= set(types), name
         assert all(types[c] == k for c, k in kinds.items() if c in columns.split()), name
+
+
+def test_word_vectors_by_plain_loops(spark):
+    from varspark.llm import quality
+    from varspark.llm.textvec import texts as runs_of
+
+    sample = ["Some words, some MORE words! words words 12 12", "", None, "naïve 漢字 x9-y", "12 more\nsome", "a"]
+    df = spark.createDataFrame([(t,) for t in sample], "text string").repartition(3)
+    token = re.compile(r"[A-Za-z\x80-\U0010ffff]+|[0-9]+|[^\sA-Za-z0-9\x80-\U0010ffff]+")
+    sums, each = np.zeros((quality.BUCKETS, quality.DIM)), []
+    import pyarrow as pa
+
+    for t in sample:
+        (run,) = list(runs_of(pa.array([t or ""])))
+        buckets = quality.tokens(run)[1].tolist()
+        plain = token.findall(t or "")
+        marks = [sum(len(x) > 1 and x.isascii() and x.isalpha() and x.isupper() for x in plain), sum(a == b for a, b in zip(plain, plain[1:]))]
+        assert [buckets.count(quality._UPPER), buckets.count(quality._REPEAT)] == marks and len(buckets) == len(plain) + sum(marks)
+        own = [b for b in buckets if b not in (quality._UPPER, quality._REPEAT)]
+        assert len({(x, b) for x, b in zip(plain, own)}) == len(set(plain))
+        each.append(buckets)
+        for i, b in enumerate(buckets):
+            for j in (i - 1, i + 1):
+                if 0 <= j < len(buckets):
+                    for at, sign in zip(quality._AT[buckets[j]], quality._SIGN[buckets[j]]):
+                        sums[b, at] += sign
+    want = sums / np.maximum(np.sqrt((sums**2).sum(1, keepdims=True)), 1e-9)
+    for b in range(quality.BUCKETS):
+        for at, sign in zip(quality._AT[b], quality._SIGN[b]):
+            want[b, at] += sign * 0.5
+    got = quality.word_vectors(df)
+    assert np.allclose(got, want, atol=1e-5)
+    (run,) = list(runs_of(pa.array([t or "" for t in sample])))
+    x, n = quality.pooled(run, got)
+    for i, buckets in enumerate(each):
+        assert n[i] == len(buckets) and np.allclose(x[i], sum((got[b] for b in buckets), np.zeros(quality.DIM)), atol=1e-4)
