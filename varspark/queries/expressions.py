@@ -204,14 +204,18 @@ def h23(t):
 def h26(t):
     from ..sources.io import REGISTRY, registry_records
 
+    return registry_records(t.part.select(F.from_json(registry_json(), REGISTRY).alias("r")).select("r.*"), "NM_1.1")
+
+
+def registry_json():
+    """A registry document of each part."""
     p = F.col("p_partkey").cast("string")
     even = F.col("p_size") % 2 == 0
-    text = F.concat(
+    return F.concat(
         F.lit('{"@id":"http://x/CA'), p, F.lit('","externalRecords":{"ClinVarAlleles":[{"alleleId":"'), (F.col("p_partkey") * 2).cast("string"), F.lit('"}]},"genomicAlleles":[{"referenceGenome":"GRCh37","chromosome":"9","coordinates":[{"end":1,"referenceAllele":"T","allele":"C"}],"hgvs":["NC_0.0:g.0"]},{"referenceGenome":"GRCh38","chromosome":"'),
         (1 + F.col("p_partkey") % 22).cast("string"), F.lit('","coordinates":[{"start":1,"end":'), (F.col("p_partkey") + 10).cast("string"), F.lit(',"referenceAllele":"A","allele":"G"}],"hgvs":["CM1:g.1","NC_1.1:g.'), p,
         F.lit('"]}],"transcriptAlleles":[{"hgvs":["'), F.when(even, "NM_1.1").otherwise("NM_3.3"), F.lit(":c."), p, F.lit('A>G"],"proteinEffect":{"hgvs":"NP_1.1:p.X"}},{"hgvs":["NM_2.2:c.5A>G"],"MANE":{"nucleotide":{"RefSeq":{"hgvs":"NM_2.2:c.5A>G"}},"protein":{"RefSeq":{"hgvs":"NP_2.2:p.Y"}}}}]}'),
     )
-    return registry_records(t.part.select(F.from_json(text, REGISTRY).alias("r")).select("r.*"), "NM_1.1")
 
 
 @query("H27_accession_of", "select l_suppkey, tx, split_part(tx, ':', 1) as accession, tx like 'NM%' or tx like 'ENST%' as transcript, tx like 'NP%' as protein from (select distinct l_suppkey, case l_partkey % 3 when 0 then 'NM_' when 1 then 'NP_' else 'ENST' end || l_suppkey || ':x' as tx from lineitem)")
