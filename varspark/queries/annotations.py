@@ -378,3 +378,13 @@ def k4(t):
     df = t.variants.select("row_id", F.col("c").alias("mapped_hgvs_c"), F.lit("").alias("mapped_hgvs_g"), F.when(F.col("row_id") % 2 == 0, "CA7").otherwise("").alias("clingen_allele_id"), F.when(F.col("o_custkey") % 4 > 0, "c.1A>G").otherwise("").alias("raw_hgvs_nt"))
     df = df.withColumn("clingen_allele_id", F.when(F.col("raw_hgvs_nt") == "", F.regexp_replace("clingen_allele_id", "CA", "PA")).otherwise(F.col("clingen_allele_id")))
     return A.add_allele_ids(df, registry, key=["row_id"]).select("row_id", F.col("dna_clingen_allele_id").alias("ids"))
+
+
+@query("K9_consequence_keep_existing", f"""with vep as ({_VEP}), worst as (select r.hgvs, arg_min(v.consequence, case v.consequence when 'missense_variant' then 13 else 22 end) as c from ({_RECODED}) r join vep v on v.hgvs = r.genomic where r.hgvs not in (select hgvs from vep) and v.consequence is not null group by 1),
+x as (select row_id, o_custkey, slot, coalesce(v.consequence, w.c, '') as c from {slots('{variants}', s='ids')} z left join vep v on v.hgvs = s left join worst w on w.hgvs = s)
+select row_id, case when o_custkey % 3 = 0 then 'kept' when count(distinct nullif(c, '')) = 1 then max(c) else '' end as consequence, case when o_custkey % 3 = 0 then '' else '2024-01-01' end as access_date from x group by row_id, o_custkey""")
+def k9(t):
+    """Rows that have a consequence pass by; the others are annotated."""
+    df = t.variants.withColumn("vep.consequence", F.when(F.col("o_custkey") % 3 == 0, "kept").otherwise(" "))
+    out = A.annotate_consequence(df, t.sql(_VEP), t.sql(_RECODED), ["ids", "g"], keep_existing=True, access_date=F.lit("2024-01-01"), key=_ROW)
+    return out.select("row_id", *(F.col(f"`vep.{c}`").alias(c) for c in ("consequence", "access_date")))
