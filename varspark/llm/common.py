@@ -47,7 +47,9 @@ def bucketed(df: DataFrame, name: str, key: str, batch: int | None = None) -> Da
     title = path.rsplit("/", 1)[-1].replace("-", "_")
     with arrow_rows(spark, batch):
         df.write.bucketBy(min(width(spark), 10_000), key).option("path", path).saveAsTable(title)
-    return spark.table(title)
+    found = spark.table(title)
+    spark.sql(f"drop table `{title}`")  # the name only: the files stay
+    return found
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left", most: int = BROADCAST_ROWS) -> DataFrame:
