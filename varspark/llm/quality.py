@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import least, stage, tidy
+from .common import least, release, stage, tidy
 from .textvec import U, Texts, mix, texts
 
 BUCKETS = 1 << 15
@@ -119,14 +119,14 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     few = 4 * spark.sparkContext.defaultParallelism  # fewer tasks, fewer partial matrices
     parts = docs.select(text_col).coalesce(few).mapInArrow(tidy(_contexts), "block int, sums binary")
     whole = parts.repartition(BUCKETS // _BLOCK, "block").mapInArrow(tidy(_sum_blocks), "block int, sums binary")
-    c = np.zeros((BUCKETS // _BLOCK, _BLOCK * DIM))
-    for r in whole.collect():
-        c[r["block"]] = np.frombuffer(r["sums"], "<i8")
-    c = c.reshape(BUCKETS, DIM)
-    c /= np.maximum(np.sqrt((c**2).sum(1, keepdims=True)), 1e-9)
-    own = np.zeros((BUCKETS, DIM))
-    np.add.at(own, (np.arange(BUCKETS)[:, None], _AT), _SIGN * 0.5)
-    return (c + own).astype(np.float32)
+    out = np.zeros((BUCKETS, DIM), np.float32)
+    for r in whole.collect():  # block by block: the driver holds one matrix
+        c = np.frombuffer(r["sums"], "<i8").reshape(_BLOCK, DIM).astype(np.float64)
+        out[r["block"] * _BLOCK : (r["block"] + 1) * _BLOCK] = c / np.maximum(np.sqrt((c**2).sum(1, keepdims=True)), 1e-9)
+    for j in range(_NONZERO):
+        np.add.at(out, (np.arange(BUCKETS), _AT[:, j]), 0.5 * _SIGN[:, j])
+    release()
+    return out
 
 
 def pooled(t: Texts, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -264,4 +264,6 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     over.  Without labels of both kinds every score is near their share (0.5 if there are none).
     """
     vectors = word_vectors(docs, text_col)
-    return score(docs, vectors, train(docs, labels, vectors, id_col, text_col, label_col), text_col)
+    net = train(docs, labels, vectors, id_col, text_col, label_col)
+    release()
+    return score(docs, vectors, net, text_col)
