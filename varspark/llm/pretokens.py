@@ -147,14 +147,18 @@ class Encoder:
 
     def pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(code point offsets of the texts, pre-token starts, ends, id counts, ids)."""
-        if self.used > 1 << 23:
-            self._clear()
         data, offsets = code_points(texts)
         start = boundaries(data, offsets)
         if not len(start):
             z = np.zeros(0, np.int64)
             return offsets, z, z, z, np.zeros(0, np.int32)
         end = np.append(start[1:], len(data))
+        return offsets, start, end, *self.found(data, start, end)
+
+    def found(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(id counts, ids) of the pre-tokens of some code points."""
+        if self.used > 1 << 23:
+            self._clear()
         h = self._hash(data, start, end)
         slot = (h >> U(20)) & U(self.slots - 1)
         at, n = self.at[slot], self.n[slot]
@@ -167,7 +171,7 @@ class Encoder:
         n = n.astype(np.int64)
         total = int(n.sum())
         where = np.repeat(at - (np.cumsum(n) - n), n) + np.arange(total)
-        return offsets, start, end, n, self.ids[where]
+        return n, self.ids[where]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, where each text's ids start and the last end)."""

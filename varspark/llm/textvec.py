@@ -114,6 +114,15 @@ def words(t: Texts, lower: bool = False) -> Words:
     return Words(doc, mix(h + (end - start).astype(U)), start, end)
 
 
+def span_hashes(t: Texts, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The hash of the bytes from ``start`` to ``end`` of each span, as of words."""
+    n = len(t.data)
+    power, inverse = _grown(n + 1)
+    sums = np.zeros(n + 1, U)
+    np.cumsum(_BYTE[t.data] * power[:n], out=sums[1:])
+    return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(U))
+
+
 def shingles(t: Texts, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """(text number, hash), sorted and without repeats: the distinct ``k``-word shingles of each
     text, A-Z lower-cased; the whole sequence as one where there are fewer words."""
