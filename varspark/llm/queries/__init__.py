@@ -1,8 +1,8 @@
 """The registered queries of this subpackage: ``queries()`` and ``oracle_sql()``."""
 
-from . import ann, edits, fertility, html, jaccard, lines, lm, media, mixing, packing, quality
+from . import ann, edits, fertility, html, jaccard, lines, lm, media, merkle, mixing, packing, quality, resample
 
-_MODULES = (mixing, packing, media, html, quality, jaccard, edits, ann, lines, lm, fertility)
+_MODULES = (mixing, packing, media, html, quality, jaccard, edits, ann, lines, lm, fertility, resample, merkle)
 
 
 def queries() -> dict:
