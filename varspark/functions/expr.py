@@ -35,6 +35,21 @@ def has_hgvs(c: Column) -> Column:
     return ~trim_key(c).isin(NO_HGVS)
 
 
+def to_long(c: Column) -> Column:
+    """A whole number, or null.  Text of another form is set aside before the cast, whose failures cost an exception a row."""
+    return F.when(c.cast("string").rlike(r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$"), c).try_cast("long")
+
+
+def to_double(c: Column) -> Column:
+    """A number (NaN and infinity are some), or null; text without a digit is set aside before the cast."""
+    return F.when(c.cast("string").rlike("[0-9]|(?i)nan|(?i)inf"), c).try_cast("double")
+
+
+def bases(c: Column) -> Column:
+    """Bases in upper case; cheaper than ``upper``, which knows all of Unicode."""
+    return F.translate(c, "acgtn", "ACGTN")
+
+
 def first_non_blank(*cols: Column) -> Column:
     """The first trimmed value that is not empty; empty if there is none."""
     return F.coalesce(*(F.nullif(trim_key(c), F.lit("")) for c in cols), F.lit(""))
@@ -209,7 +224,7 @@ _PROTEIN = r"^([A-Za-z*]{1,3})(\d+)(?:_([A-Za-z*]{1,3})(\d+))?(.*)$"
 def groups(c: Column, pattern: str, n: int) -> Column:
     """The ``n`` groups of a pattern that spans the text, as an array, with one pass of it; null without a match."""
     parts = F.split(F.regexp_replace(c, pattern, "\u0001".join(f"${i}" for i in range(1, n + 1))), "\u0001", -1)
-    return F.when(F.size(parts) == n, parts)
+    return F.get(F.filter(F.array(parts), lambda p: F.size(p) == n), F.lit(0))  # one pass wherever it is read
 
 
 def once(c: Column, use) -> Column:
@@ -224,7 +239,7 @@ def nucleotide_groups(hgvs: Column) -> Column:
 def nucleotide_change(p: Column, with_kind: bool = True) -> Column:
     """struct(start, stop, ref, alt, kind) of ``nucleotide_groups``; nulls without a match."""
     at = lambda i: F.get(p, F.lit(i))
-    up = lambda i: F.upper(at(i))
+    up = lambda i: bases(at(i))
     sub, delins, kind, named, ins = at(2) != "", at(4) != "", at(7), up(8), at(9) != ""
     bare = named == ""
     ref = F.when(sub, up(2)).when(delins, up(5)).when(ins | (at(10) != ""), "").otherwise(named)
@@ -280,7 +295,7 @@ def spans_intron(start: Column, stop: Column) -> Column:
     """Both ends lie in one intron, from its first exon's side to its last's."""
     p = r"^([*-]?)(\d+)([+-])(\d+)$"
     a, b = ([F.regexp_extract(c, p, i) for i in (1, 2, 3)] for c in (start, stop))
-    near = F.abs(a[1].try_cast("long") - b[1].try_cast("long")) == 1
+    near = F.abs(to_long(a[1]) - to_long(b[1])) == 1
     return F.coalesce(start.rlike(p) & stop.rlike(p) & (a[0] == b[0]) & (a[2] != b[2]) & near, F.lit(False))
 
 
@@ -291,7 +306,7 @@ def snv_of(hgvs: Column, build: str = "grch38") -> Column:
 
 def snv_parts(p: Column, build: str) -> Column:
     chrom, (pos, ref, alt) = nc_to_chrom(F.get(p, F.lit(0)), build), (F.get(p, F.lit(i)) for i in (1, 2, 3))
-    return F.when(chrom.isNotNull(), F.struct(chrom.alias("chrom"), pos.try_cast("long").alias("pos"), ref.alias("ref"), alt.alias("alt")))
+    return F.when(chrom.isNotNull(), F.struct(chrom.alias("chrom"), to_long(pos).alias("pos"), ref.alias("ref"), alt.alias("alt")))
 
 
 def haplotype_components(hgvs: Column) -> Column:
@@ -305,21 +320,33 @@ def _field(i: int):
     return lambda f: F.get(f, F.lit(i))
 
 
-def spliceai_info(info: Column, alt: Column | None = None) -> Column:
-    """Largest value of each field over the entries of ``SpliceAI=``: struct(ds_ag, ds_al, ds_dg, ds_dl, dp_ag, dp_al, dp_dg, dp_dl,
-    max); null without a usable entry.  With ``alt`` (where it is not null) only that allele's entries count."""
+SPLICE_FIELDS = ("ds_ag", "ds_al", "ds_dg", "ds_dl", "dp_ag", "dp_al", "dp_dg", "dp_dl")
+
+
+def spliceai_numbers(info: Column, alt: Column | None = None) -> Column:
+    """The eight numbers of each usable entry of ``SpliceAI=`` as an array.  With ``alt`` (where it is not null) only that allele's entries count."""
     entries = F.split(F.regexp_extract(info, r"SpliceAI=([^;\s]+)", 1), ",")
     fields = F.filter(F.transform(entries, lambda e: F.split(e, r"\|", -1)), lambda f: F.size(f) >= 10)
     if alt is not None:
         fields = F.filter(fields, lambda f: alt.isNull() | (F.get(f, 0) == alt))
-    numbers = F.transform(fields, lambda f: F.transform(F.slice(f, 3, 8), lambda x: x.try_cast("double")))
-    numbers = F.filter(numbers, lambda f: F.forall(f, lambda x: x.isNotNull() & ~F.isnan(x)))
-    names = ["ds_ag", "ds_al", "ds_dg", "ds_dl", "dp_ag", "dp_al", "dp_dg", "dp_dl"]
-    best = [F.array_max(F.transform(numbers, _field(i))) for i in range(8)]
-    return F.when(F.size(numbers) > 0, F.struct(*(b.alias(n) for b, n in zip(best, names)), F.greatest(*best[:4]).alias("max")))
+    numbers = F.transform(fields, lambda f: F.transform(F.slice(f, 3, 8), to_double))
+    return F.filter(numbers, lambda f: F.forall(f, lambda x: x.isNotNull() & ~F.isnan(x)))
+
+
+def spliceai_best(numbers: Column) -> dict[str, Column]:
+    """The largest value of each field; null without an entry."""
+    return {n: F.array_max(F.transform(numbers, _field(i))) for i, n in enumerate(SPLICE_FIELDS)}
+
+
+def spliceai_info(info: Column, alt: Column | None = None) -> Column:
+    """Largest value of each field over the entries of ``SpliceAI=``: struct(ds_ag, ds_al, ds_dg, ds_dl, dp_ag, dp_al, dp_dg, dp_dl,
+    max); null without a usable entry.  With ``alt`` (where it is not null) only that allele's entries count."""
+    numbers = spliceai_numbers(info, alt)
+    best = spliceai_best(numbers)
+    return F.when(F.size(numbers) > 0, F.struct(*(b.alias(n) for n, b in best.items()), F.greatest(*(best[n] for n in SPLICE_FIELDS[:4])).alias("max")))
 
 
 def max_of_list(c: Column) -> Column:
     """The largest number of a ``;`` list, without ``.``, blanks and text."""
-    numbers = F.transform(F.split(F.coalesce(c, F.lit("")), ";"), lambda x: F.trim(x).try_cast("double"))
+    numbers = F.transform(F.split(F.coalesce(c, F.lit("")), ";"), lambda x: to_double(F.trim(x)))
     return F.array_max(F.filter(numbers, lambda x: x.isNotNull() & ~F.isnan(x)))

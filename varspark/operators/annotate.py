@@ -7,10 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import first_non_blank, fmt4, groups, is_blank, max_of_list, nc_to_chrom, normalize_caid, score_set_of, snv_of, spliceai_info, stars, strip_gene_symbol, trim_key
+from ..functions.expr import SPLICE_FIELDS, bases, first_non_blank, fmt4, groups, is_blank, max_of_list, nc_to_chrom, normalize_caid, score_set_of, snv_of, spliceai_best, spliceai_numbers, stars, strip_gene_symbol, to_long, trim_key
 from .mapping import bases_of, validate_id_prefix
 from .rank import ALLELE, argmax, frequency, max_score, number, ordered_distinct_concat, severity_rank
-from .slots import ROW, SLOT, Step, annotate, explode_slots, keyed, lookup
+from .slots import ROW, SLOT, Step, annotate, computed, explode_slots, keyed, lookup
 
 
 def allele_id_step(registry: DataFrame, c_col: str = "mapped_hgvs_c", g_col: str = "mapped_hgvs_g", out: str = "dna_clingen_allele_id", existing: str | None = None, raw_nt: str | None = None) -> Step:
@@ -74,7 +74,7 @@ def frequency_step(freq: DataFrame, mode: str = "coordinates", prefix: str = "gn
         return Step({"caid": ids_col}, lambda long: lookup(long.withColumn("caid", normalize_caid(F.col("caid"))), table, ["caid"]), values)
 
     def apply(long: DataFrame) -> DataFrame:
-        typed = long.withColumn("pos", F.col("pos").try_cast("long")).withColumn("chrom", F.regexp_replace("chrom", "^chr", ""))
+        typed = long.withColumn("pos", to_long(F.col("pos"))).withColumn("chrom", F.regexp_replace("chrom", "^chr", ""))
         return lookup(typed, table, ALLELE)
 
     return Step(dict(zip(ALLELE, coordinates)), apply, values)
@@ -91,7 +91,7 @@ def id_to_coords(df: DataFrame, ids_col: str, coordinates: dict[str, str]) -> Da
     """(caid, chrom, pos, ref, alt) from the rows' own slots, one allele for each id."""
     rows = df.withColumn(ROW, F.lit(0))  # the rows' ids are not used
     long = explode_slots(rows, caid=ids_col, **coordinates)
-    long = long.withColumn("caid", normalize_caid(F.col("caid"))).withColumn("pos", F.col("pos").try_cast("long"))
+    long = long.withColumn("caid", normalize_caid(F.col("caid"))).withColumn("pos", to_long(F.col("pos")))
     long = long.filter("caid <> '' and chrom <> '' and pos is not null and ref <> '' and alt <> ''")
     return long.groupBy("caid").agg(F.min(F.struct(*ALLELE)).alias("a")).select("caid", "a.*")
 
@@ -106,18 +106,16 @@ def hgvs_g_to_vcf(long: DataFrame, g: str = "g", build: str = "grch38", chunks:
     substitutions are in the string; those of deletions, insertions and duplications (with the base before them as anchor)
     are read from ``chunks`` and null where bases are unknown.  Other text has null chrom."""
     part = [F.get("_p", F.lit(i)) for i in range(7)]
-    start = part[1].try_cast("long")
-    stop, kind, seq, sub = F.coalesce(part[2].try_cast("long"), start), part[5], F.upper(part[6]), part[3] != ""
+    start = to_long(part[1])
+    stop, kind, seq, sub = F.coalesce(to_long(part[2]), start), part[5], bases(part[6]), part[3] != ""
     ranged = part[2] != ""
     # fixed forms: no range of a substitution, one of an insertion; bases only where something is inserted
     ok = F.when(sub, ~ranged).when(kind == "ins", ranged & (seq != "")).when(kind == "delins", seq != "").otherwise(seq == "")
-    chrom = F.when(ok, nc_to_chrom(part[0], build))
-    out = long.withColumn("_p", groups(F.col(g), _GENOMIC, 7))
-    out = out.select("*", chrom.alias("chrom"), part[0].alias("_acc"), start.alias("_start"), stop.alias("_stop"), F.when(sub, "sub").otherwise(kind).alias("_kind"), seq.alias("_seq"), F.upper(part[3]).alias("_ref"), F.upper(part[4]).alias("_alt"))
+    out = computed(long, _p=groups(F.col(g), _GENOMIC, 7))
+    out = computed(out, chrom=F.when(ok, nc_to_chrom(part[0], build)), _acc=part[0], _start=start, _stop=stop, _kind=F.when(sub, "sub").otherwise(kind), _seq=seq, _ref=bases(part[3]), _alt=bases(part[4]))
     k = F.col("_kind")
-    padded = k.isin("del", "dup")
-    pos = F.when(padded, F.col("_start") - 1).otherwise(F.col("_start"))
-    out = out.withColumn("pos", F.when(F.col("chrom").isNotNull(), pos)).withColumn("_len", F.col("_stop") - F.col("_start") + 1)
+    pos = F.when(k.isin("del", "dup"), F.col("_start") - 1).otherwise(F.col("_start"))
+    out = computed(out, pos=F.when(F.col("chrom").isNotNull(), pos), _len=F.col("_stop") - F.col("_start") + 1)
     if chunks is None:
         b = F.lit(None).cast("string")
     else:
@@ -130,29 +128,38 @@ def hgvs_g_to_vcf(long: DataFrame, g: str = "g", build: str = "grch38", chunks:
     return out.select(*(c for c in out.columns if c not in gone), F.when(F.col("chrom").isNotNull(), ref).alias("ref"), F.when(F.col("chrom").isNotNull(), alt).alias("alt"))
 
 
+def splice_places(scores: DataFrame) -> DataFrame:
+    """(chrom, pos, found): the entries of each position, best first: lowest file, bare chromosome before ``chr``, first line.  A position
+    has a handful of alleles in a file, so the lists are short; unique by position, the table joins like any other lookup."""
+    entry = F.struct("file_rank", F.col("chrom").startswith("chr").cast("int").alias("chr"), "line", F.col("ref").alias("r"), F.col("alt").alias("a"), "info")
+    places = scores.select(F.regexp_replace("chrom", "^chr", "").alias("chrom"), "pos", entry.alias("_e"))
+    return places.groupBy("chrom", "pos").agg(F.sort_array(F.collect_list("_e")).alias("found"))
+
+
 def spliceai_step(scores: DataFrame, g_col: str = "mapped_hgvs_g", build: str = "grch38", chunks: DataFrame | None = None, size: int = 0) -> Step:
     """Nine columns by slot from ``scores`` (file_rank, line, chrom, pos, ref, alt, info): the first file, bare chromosome
     before ``chr``, first line.  Alleles match exactly where they are known (entries of that allele count); deletions,
-    insertions and duplications without reference bases (``chunks`` of ``size``) match by position and allele lengths."""
-    info = scores.select(F.regexp_replace("chrom", "^chr", "").alias("chrom"), "pos", F.col("ref").alias("r"), F.col("alt").alias("a"), "info", F.struct("file_rank", F.col("chrom").startswith("chr").cast("int").alias("chr"), "line").alias("_o"))
-    k, n, m = F.col("_kind"), F.length("r"), F.length("a")
-    exact = F.col("ref").isNotNull()
-    fits = (
-        F.when(exact, (F.col("r") == F.col("ref")) & (F.col("a") == F.col("alt")))
-        .when(k == "del", (n == F.col("_len") + 1) & (m == 1)).when(k == "ins", (n == 1) & (F.col("a") == F.concat("r", "_seq")))
-        .when(k == "delins", (n == F.col("_len")) & (F.col("a") == F.col("_seq"))).when(k == "dup", (n == 1) & (m == F.col("_len") + 1))
-    )
+    insertions and duplications without reference bases (``chunks`` of ``size``) match by position and allele lengths.  Slots are joined
+    once, by position, to a table that has one row for each; which entry fits is settled within the row."""
+    table = splice_places(scores)
+    k, exact = F.col("_kind"), F.col("ref").isNotNull()
+
+    def fits(e: Column) -> Column:
+        r, a, n, m = e["r"], e["a"], F.length(e["r"]), F.length(e["a"])
+        by_shape = (
+            F.when(k == "del", (n == F.col("_len") + 1) & (m == 1)).when(k == "ins", (n == 1) & (a == F.concat(r, "_seq")))
+            .when(k == "delins", (n == F.col("_len")) & (a == F.col("_seq"))).when(k == "dup", (n == 1) & (m == F.col("_len") + 1))
+        )
+        return F.coalesce(F.when(exact, (r == F.col("ref")) & (a == F.col("alt"))).otherwise(by_shape), F.lit(False))
 
     def apply(long: DataFrame) -> DataFrame:
-        wanted = hgvs_g_to_vcf(long, "g", build, chunks, size)
-        apart = F.concat(F.lit("\u0000"), F.xxhash64(ROW, SLOT).cast("string"))  # slots without a place are dealt out
-        left = wanted.withColumn("chrom", F.coalesce("chrom", apart))
-        joined = left.join(info, (left["chrom"] == info["chrom"]) & (left["pos"] == info["pos"]) & fits, "left").drop(info["chrom"], info["pos"])
-        best = F.min_by(F.struct("info", F.when(exact, F.col("alt")).alias("alt")), "_o").alias("_hit")
-        one = joined.groupBy(ROW, SLOT).agg(*(F.first(c).alias(c) for c in long.columns if c not in (ROW, SLOT)), best)
-        return one.withColumn("_i", spliceai_info(F.col("_hit.info"), F.col("_hit.alt")))
-
-    return Step({"g": g_col}, apply, {f"spliceai.{c}": fmt4(F.col(f"_i.{f}")) for c, f in _SPLICE.items()})
+        placed = lookup(hgvs_g_to_vcf(long, "g", build, chunks, size), table, ["chrom", "pos"])
+        hit = computed(placed, _info=F.get(F.transform(F.filter("found", fits), lambda e: e["info"]), F.lit(0)))
+        hit = computed(hit, _n=F.when(F.col("_info").isNotNull(), spliceai_numbers(F.col("_info"), F.when(exact, F.col("alt")))))
+        best = computed(hit, **{f"_{f}": v for f, v in spliceai_best(F.col("_n")).items()})
+        return best.withColumn("_max", F.greatest(*(F.col(f"_{f}") for f in SPLICE_FIELDS[:4])))
+
+    return Step({"g": g_col}, apply, {f"spliceai.{c}": fmt4(F.col(f"_{f}")) for c, f in _SPLICE.items()})
 
 
 def annotate_spliceai(df: DataFrame, scores: DataFrame, g_col: str = "mapped_hgvs_g", build: str = "grch38", chunks: DataFrame | None = None, size: int = 0, key: list[str] | None = None) -> DataFrame:

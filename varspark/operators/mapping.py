@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import accession_of, append_error, has_hgvs, haplotype_components, is_blank, is_protein, is_transcript, normalize_protein, transcript_sort_key, trim_key
-from .slots import ROW, keyed
+from .slots import ROW, SLOT, keyed, settled
 from .tables import last_wins
 
 
@@ -57,6 +57,16 @@ def split_existing(df: DataFrame, col: str) -> tuple[DataFrame, DataFrame]:
     return df.filter(blank), df.filter(~blank)
 
 
+def _dealt(on: Column, key: Column, *by: str) -> Column:
+    """A join key where ``on`` holds; elsewhere text that matches nothing and differs by row, so that it gathers nowhere."""
+    return F.when(on & key.isNotNull(), key).otherwise(F.concat(F.lit("\u0000"), F.xxhash64(*by).cast("string")))
+
+
+def _hashable(df: DataFrame) -> list[str]:
+    """The columns whose values tell rows apart: all but maps."""
+    return [f"`{c}`" for c, kind in df.dtypes if "map<" not in kind]
+
+
 def read_targets(targets: DataFrame, name_col: str, order: str) -> DataFrame:
     """The last row of each name that is not blank."""
     if name_col not in targets.columns:
@@ -67,7 +77,8 @@ def read_targets(targets: DataFrame, name_col: str, order: str) -> DataFrame:
 def join_targets(df: DataFrame, targets: DataFrame, name_col: str, fill: list[str]) -> DataFrame:
     """Fills blank ``fill`` columns from the target of the row's name; other columns of the target are added."""
     renamed = targets.select(F.col(name_col).alias("_name"), *(F.col(c).alias(f"_t_{c}") for c in targets.columns if c != name_col))
-    out = df.join(renamed, trim_key(df[name_col]) == renamed["_name"], "left")
+    name = trim_key(_col(name_col))
+    out = df.withColumn("_name", _dealt(name != "", name, *_hashable(df))).join(renamed, "_name", "left")
     value = lambda c: F.coalesce(F.col(f"_t_{c}"), F.lit(""))
     more = [c for c in targets.columns if c != name_col and c not in df.columns]
     return out.select(*(F.when(is_blank(F.col(c)), value(c)).otherwise(F.col(c)).alias(c) if c in fill else F.col(c) for c in df.columns), *(value(c).alias(c) for c in more))
@@ -96,7 +107,8 @@ def best_transcripts(associations: DataFrame) -> DataFrame:
 def resolve_transcript(df: DataFrame, associations: DataFrame, p_col: str, fallback: tuple[str, ...] = ()) -> DataFrame:
     """``transcript`` and ``transcript_error`` of protein strings."""
     acc = accession_of(trim_key(F.col(p_col)))
-    rows = df.withColumn("_acc", acc).join(best_transcripts(associations).withColumnRenamed("pro_ac", "_acc"), "_acc", "left")
+    rows = df.withColumn("_acc", acc).withColumn("_key", _dealt(is_protein(F.col("_acc")), F.col("_acc"), *_hashable(df)))
+    rows = rows.join(best_transcripts(associations).withColumnRenamed("pro_ac", "_key"), "_key", "left")
     other = [F.when(is_transcript(accession_of(trim_key(F.col(c)))), accession_of(trim_key(F.col(c)))) for c in fallback]
     tx = F.coalesce(F.when(is_transcript(F.col("_acc")), F.col("_acc")), F.when(is_protein(F.col("_acc")), F.col("tx_ac")), *other)
     return rows.select(*df.columns, F.coalesce(tx, F.lit("")).alias("transcript"), F.when(tx.isNull(), F.concat(F.lit("No transcript for "), F.col(p_col))).otherwise("").alias("transcript_error"))
@@ -104,13 +116,16 @@ def resolve_transcript(df: DataFrame, associations: DataFrame, p_col: str, fallb
 
 def lookup_strand(df: DataFrame, alignments: DataFrame, tx_col: str) -> DataFrame:
     one = alignments.filter("method = 'splign'").groupBy("tx_ac").agg(F.min("strand").alias("strand"))
-    return df.join(one, df[tx_col] == one["tx_ac"], "left").drop("tx_ac").withColumn("strand", F.coalesce(F.col("strand").cast("string"), F.lit("")))
+    tx = _col(tx_col)
+    rows = df.withColumn("_tx", _dealt(~is_blank(tx), tx, *_hashable(df))).join(one.withColumnRenamed("tx_ac", "_tx"), "_tx", "left")
+    return rows.drop("_tx").withColumn("strand", F.coalesce(F.col("strand").cast("string"), F.lit("")))
 
 
 def ensembl_to_refseq(df: DataFrame, xrefs: DataFrame, tx_col: str) -> DataFrame:
     """The first ``NM_`` cross-reference of a transcript without its version; itself if there is none."""
     best = xrefs.filter(F.col("xref").startswith("NM_")).groupBy("ensembl").agg(F.min_by("xref", "ordinal").alias("_nm"))
-    out = df.withColumn("_e", F.substring_index(tx_col, ".", 1)).join(best.withColumnRenamed("ensembl", "_e"), "_e", "left")
+    bare = F.substring_index(tx_col, ".", 1)
+    out = df.withColumn("_e", _dealt(bare != "", bare, *_hashable(df))).join(best.withColumnRenamed("ensembl", "_e"), "_e", "left")
     return out.select(*df.columns, F.coalesce("_nm", tx_col).alias("refseq"))
 
 
@@ -121,8 +136,10 @@ def _no_data(hgvs: Column) -> Column:
 def join_accessioned(df: DataFrame, assays: DataFrame, registry: DataFrame, nt_col: str) -> DataFrame:
     """Strings with an accession: raw -> assay string -> registry record (hgvs, g, c, p, id).  The c. string falls back to the
     raw one, also where the registry has no record."""
-    a = df.join(assays.select(F.col("raw").alias("_raw"), "assay"), df[nt_col] == F.col("_raw"), "left")
-    r = a.join(registry.select(F.col("hgvs").alias("_h"), "g", "c", "p", "id"), F.coalesce("assay", nt_col) == F.col("_h"), "left")
+    rest, by = ~is_blank(_col(nt_col)), _hashable(df)
+    a = df.withColumn("_raw", _dealt(rest, _col(nt_col), *by)).join(assays.select(F.col("raw").alias("_raw"), "assay"), "_raw", "left")
+    a = a.withColumn("_asked", _dealt(rest, F.coalesce("assay", nt_col), *by))
+    r = a.join(registry.select(F.col("hgvs").alias("_h"), "g", "c", "p", "id"), F.col("_asked") == F.col("_h"), "left")
     found = F.col("_h").isNotNull()
     g = F.coalesce(F.col("g"), F.when(F.col("assay").startswith("NC_"), F.col("assay")), F.lit(""))
     return r.select(
@@ -134,7 +151,8 @@ def join_accessioned(df: DataFrame, assays: DataFrame, registry: DataFrame, nt_c
 def join_mapped_groups(df: DataFrame, results: DataFrame, registry: DataFrame, row_id: str) -> DataFrame:
     """Rows mapped by target sequence: the external result of the row (assay, error), then the registry by assay."""
     rows = df.join(results.select(F.col("row").alias(row_id), "assay", F.col("error").alias("_e")), row_id, "left")
-    r = rows.join(registry.select(F.col("hgvs").alias("_h"), "g", "c", "p", "id"), rows["assay"] == F.col("_h"), "left")
+    rows = rows.withColumn("_asked", _dealt(~is_blank(F.col("assay")), F.col("assay"), row_id))
+    r = rows.join(registry.select(F.col("hgvs").alias("_h"), "g", "c", "p", "id"), F.col("_asked") == F.col("_h"), "left")
     has, found = ~is_blank(F.col("assay")), F.col("_h").isNotNull()
     as_p = F.contains(F.col("assay"), F.lit(":p.")) | F.col("assay").startswith("p.")
     blank = F.lit("")
@@ -150,11 +168,6 @@ def join_mapped_groups(df: DataFrame, results: DataFrame, registry: DataFrame, r
 MAPPED = ["mapped_hgvs_g", "mapped_hgvs_c", "mapped_hgvs_p", "mapping_error", "mapping_warnings", "dna_vrs_digest", "protein_vrs_digest", "strand", "clingen_allele_id"]
 
 
-def _dealt(on: Column, key: Column, *by: str) -> Column:
-    """A join key where ``on`` holds; elsewhere text that matches nothing and differs by row, so that it gathers nowhere."""
-    return F.when(on & key.isNotNull(), key).otherwise(F.concat(F.lit("\u0000"), F.xxhash64(*by).cast("string")))
-
-
 def map_variants(
     df: DataFrame, assays: DataFrame, results: DataFrame, registry: DataFrame, alignments: DataFrame, targets: DataFrame | None = None, existing: DataFrame | None = None,
     match_cols: tuple[str, ...] = (), order: str = "line", nt: str = "raw_hgvs_nt", pro: str = "raw_hgvs_pro", sequence: str = "target_sequence", group_by: str = "target_sequence",
@@ -241,29 +254,83 @@ def lookup_worklist(keys: DataFrame, cache: DataFrame, now: Column, hit_days: in
     return keys.select(trim_key(F.col("key")).alias("key")).filter("key <> ''").distinct().join(valid, "key", "left_anti")
 
 
-def fetch_ref_bases(spans: DataFrame, chunks: DataFrame, size: int) -> DataFrame:
-    """``spans`` (accession, start, stop; 1-based, inclusive) with ``bases``; null where the reference does not cover them all.  ``chunks``:
-    (accession, chunk, seq) with ``size`` bases each."""
-    s = spans.select("accession", "start", "stop").distinct()
-    need = s.select("*", F.explode(F.sequence(F.floor((F.col("start") - 1) / size), F.floor((F.col("stop") - 1) / size))).alias("chunk"))
-    got = need.join(chunks, ["accession", "chunk"]).groupBy("accession", "start", "stop").agg(F.array_sort(F.collect_list(F.struct("chunk", "seq"))).alias("c"))
-    text = F.array_join(F.col("c.seq"), "")
-    first = (F.col("start") - 1) % size
-    bases = F.substring(text, (first + 1).cast("int"), (F.col("stop") - F.col("start") + 1).cast("int"))
-    got = got.select("accession", "start", "stop", F.when(F.length(bases) == F.col("stop") - F.col("start") + 1, bases).alias("bases"))
-    return spans.join(got, ["accession", "start", "stop"], "left")
+#: Bases of the following chunk that a chunk carries, so that a span up to one base longer lies in one chunk.
+OVERLAP = 100
+
 
+def overlapping(chunks: DataFrame, size: int, overlap: int = OVERLAP) -> DataFrame:
+    """``chunks`` (accession, chunk, seq with ``size`` bases each) with the first ``overlap`` bases (one chunk at most) of the following chunk at the
+    end of ``seq``, and with their number in ``overlap``.  Worth staging or writing as a bucketed table where many lookups follow."""
+    if "overlap" in chunks.columns:
+        return chunks
+    overlap = min(overlap, size)
+    tails = chunks.select("accession", (F.col("chunk") - 1).alias("chunk"), F.substring("seq", 1, overlap).alias("_tail"))
+    whole = chunks.select("accession", "chunk", "seq").join(tails, ["accession", "chunk"], "left")
+    seq = F.when(F.length("seq") == size, F.concat("seq", F.coalesce("_tail", F.lit("")))).otherwise(F.col("seq"))
+    return whole.select("accession", "chunk", seq.alias("seq"), F.lit(overlap).alias("overlap"))
 
-def bases_of(df: DataFrame, accession: str, start: Column, stop: Column, chunks: DataFrame, size: int) -> DataFrame:
-    """``df`` with ``bases`` of each row's span; null where the span is null or the reference does not cover it.  Spans are
-    looked up once each, and rows without one are dealt out by their content."""
-    rows = df.withColumns({"_bs": start, "_be": stop})
-    whole = F.col("_bs").isNotNull() & F.col("_be").isNotNull() & (F.col("_bs") > 0) & (F.col("_be") >= F.col("_bs"))
-    spans = rows.filter(whole).select(F.col(accession).alias("accession"), F.col("_bs").alias("start"), F.col("_be").alias("stop")).distinct()
-    got = fetch_ref_bases(spans, chunks, size).select(F.col("accession").alias("_ba"), F.col("start").alias("_bs"), F.col("stop").alias("_be"), "bases")
-    apart = F.concat(F.lit("\u0000"), F.xxhash64(*df.columns).cast("string"))
-    rows = rows.withColumn("_ba", F.when(whole, F.col(accession)).otherwise(apart)).join(got, ["_ba", "_bs", "_be"], "left")
-    return rows.drop("_ba", "_bs", "_be")
+
+def _cut(text: Column, start: Column, stop: Column, size: int) -> Column:
+    """The bases from ``start`` to ``stop`` of the text that begins with the chunk of ``start``; null if it ends before."""
+    n = (stop - start + 1).cast("int")
+    bases = F.substr(text, (F.pmod(start - 1, F.lit(size)) + 1).cast("int"), n)
+    return F.when(F.length(bases) == n, bases)
+
+
+def _chunk(p: Column, size: int) -> Column:
+    return F.floor((p - 1) / size).cast("long")
+
+
+def _long_spans(spans: DataFrame, chunks: DataFrame, size: int) -> DataFrame:
+    """(_ba, _bs, _be, bases) of spans that reach over several chunks: each span once, its chunks in order."""
+    s = spans.distinct()
+    need = s.select("*", F.explode(F.sequence(_chunk(F.col("_base_start"), size), _chunk(F.col("_base_stop"), size))).alias("chunk")).withColumnRenamed("_base_acc", "accession")
+    own = chunks.select("accession", "chunk", F.substring("seq", 1, size).alias("seq"))
+    got = need.join(own, ["accession", "chunk"]).groupBy("accession", "_base_start", "_base_stop").agg(F.array_sort(F.collect_list(F.struct("chunk", "seq"))).alias("c"), F.count("*").alias("n"))
+    whole = F.col("n") == _chunk(F.col("_base_stop"), size) - _chunk(F.col("_base_start"), size) + 1
+    return got.select(F.col("accession").alias("_base_acc"), "_base_start", "_base_stop", F.when(whole, _cut(F.array_join("c.seq", ""), F.col("_base_start"), F.col("_base_stop"), size)).alias("bases"))
+
+
+def _whole_spans(long: DataFrame, chunks: DataFrame, size: int, names: list[str]) -> DataFrame:
+    """Slots with spans over several chunks, with ``bases``: each slot is computed once, and its chunks meet by its row and number."""
+    own = chunks.select(F.col("accession").alias("_base_acc"), F.col("chunk").cast("long").alias("_base_chunk"), F.substring("seq", 1, size).alias("_base_seq"))
+    need = long.withColumn("_base_chunk", F.explode(F.sequence(_chunk(F.col("_base_start"), size), _chunk(F.col("_base_stop"), size))))
+    met = need.join(own, ["_base_acc", "_base_chunk"], "left").groupBy(ROW, SLOT).agg(
+        F.any_value(F.struct("_base_start", "_base_stop", *(_col(c) for c in names if c not in (ROW, SLOT)))).alias("_own"),
+        F.array_sort(F.collect_list(F.struct("_base_chunk", "_base_seq"))).alias("_c"), F.every(F.col("_base_seq").isNotNull()).alias("_all"),
+    )
+    bases = F.when(F.col("_all"), _cut(F.array_join("_c._base_seq", ""), F.col("_own._base_start"), F.col("_own._base_stop"), size))
+    return met.select(ROW, SLOT, *(F.col(f"_own.`{c}`") for c in names if c not in (ROW, SLOT)), bases.alias("bases"))
+
+
+def bases_of(df: DataFrame, accession: str, start: Column, stop: Column, chunks: DataFrame, size: int, overlap: int = OVERLAP) -> DataFrame:
+    """``df`` with ``bases`` of each row's span (1-based, inclusive); null where the span is null or the reference does not cover it.
+
+    ``chunks``: (accession, chunk, seq) with ``size`` bases each, or what ``overlapping`` made of them with the same ``overlap``.  A span that lies in one chunk and its overlap is
+    one equi-join by (accession, chunk), one exchange a side.  Longer spans alone are looked up once each by all their chunks.  Rows without a
+    span are dealt out by their content."""
+    table = overlapping(chunks, size, overlap)
+    whole = F.col("_base_start").isNotNull() & F.col("_base_stop").isNotNull() & (F.col("_base_start") > 0) & (F.col("_base_stop") >= F.col("_base_start")) & F.col("_base_acc").isNotNull()
+    rows = settled(df, _base_start=start.cast("long"), _base_stop=stop.cast("long"), _base_acc=_col(accession))
+    far = F.coalesce(whole & (F.col("_base_stop") - F.col("_base_start") > min(overlap, size)), F.lit(False))
+    hashed = [_col(c) for c, kind in df.dtypes if "map<" not in kind]
+    apart = F.concat(F.lit("\u0000"), F.xxhash64(*hashed).cast("string"))
+    near = rows.filter(~far).withColumn("_base_in", F.coalesce(whole, F.lit(False)))
+    near = near.withColumns({"_base_acc": F.when(F.col("_base_in"), F.col("_base_acc")).otherwise(apart), "_base_chunk": F.when(F.col("_base_in"), _chunk(F.col("_base_start"), size))})
+    right = table.select(F.col("accession").alias("_base_acc"), F.col("chunk").cast("long").alias("_base_chunk"), F.col("seq").alias("_base_seq"))
+    near = near.join(right, ["_base_acc", "_base_chunk"], "left").select(*map(_col, df.columns), _cut(F.col("_base_seq"), F.col("_base_start"), F.col("_base_stop"), size).alias("bases"))
+    long = rows.filter(far)
+    if {ROW, SLOT} <= set(df.columns):  # slots are told apart: their chunks meet by slot
+        got = _whole_spans(long, table, size, df.columns)
+    else:
+        spans = _long_spans(long.select("_base_acc", "_base_start", "_base_stop"), table, size)
+        got = long.join(spans, ["_base_acc", "_base_start", "_base_stop"], "left")
+    return near.unionByName(got.select(*map(_col, df.columns), "bases"))
+
+
+def fetch_ref_bases(spans: DataFrame, chunks: DataFrame, size: int, overlap: int = OVERLAP) -> DataFrame:
+    """``spans`` (accession, start, stop; 1-based, inclusive) with ``bases``; null where the reference does not cover them all."""
+    return bases_of(spans, "accession", F.col("start"), F.col("stop"), chunks, size, overlap)
 
 
 def compose_delins(df: DataFrame, components: str, target: str) -> DataFrame:
@@ -295,12 +362,16 @@ def rewrite_haplotypes(df: DataFrame, mapping: DataFrame, nt_col: str = "raw_hgv
     ``mapping``: (accession, target, component, mapped_c), with accession null or empty for strings without one, which are
     mapped by their target sequence (null or empty for those with one).  Every component must be mapped to a plain
     substitution, else the row is left as it is; so are rows whose bases between the components are not known."""
-    rows = keyed(df, key)
     parts = haplotype_components(F.col(nt_col))
     acc = F.regexp_extract(trim_key(F.col(nt_col)), r"^([^:]+):", 1)
     seq = trim_key(F.col(target))
+    names = [c for c in df.columns if c != orig]
+    i = names.index(nt_col)
+    shaped = lambda d, new: d.select(*map(_col, names[:i]), F.col(nt_col).alias(orig), new.alias(nt_col), *map(_col, names[i + 1 :]))
+    whole = settled(df, _is=parts.isNotNull() & ((acc != "") | (seq != "")))
+    rest = shaped(whole.filter(~F.coalesce("_is", F.lit(False))), F.col(nt_col))  # most rows: they pass by
+    rows = keyed(whole.filter("_is").drop("_is"), key)
     asked = rows.select(ROW, acc.alias("_a"), F.when(acc == "", seq).otherwise("").alias("_s"), F.posexplode(parts).alias("_i", "_x"))
-    asked = asked.filter((F.col("_a") != "") | (F.col("_s") != ""))
     blank = lambda c: F.coalesce(F.col(c), F.lit(""))
     table = mapping.select(blank("accession").alias("_a"), blank("target").alias("_s"), F.col("component").alias("_x"), "mapped_c").dropDuplicates(["_a", "_s", "_x"])
     plain = F.upper(F.regexp_extract(trim_key(F.col("mapped_c")), r"^(?:[^:]+:)?c\.(\d+[ACGTNacgtn]>[ACGTNacgtn])$", 1))
@@ -308,8 +379,6 @@ def rewrite_haplotypes(df: DataFrame, mapping: DataFrame, nt_col: str = "raw_hgv
     mapped = got.groupBy(ROW).agg(F.every(F.col("_m").isNotNull()).alias("_ok"), F.array_sort(F.collect_list(F.struct("_i", "_m"))).alias("_l"))
     found = mapped.select(ROW, F.when(F.col("_ok"), F.col("_l._m")).alias("_parts"))
     out = compose_delins(rows.join(found, ROW, "left"), "_parts", target)
-    names = [c for c in df.columns if c != orig]
-    i = names.index(nt_col)
     prefix = F.when(acc == "", "").otherwise(F.concat(acc, F.lit(":")))
-    new = F.when(F.col("composed").isNotNull(), F.concat(prefix, F.col("composed"))).otherwise(F.col(nt_col)).alias(nt_col)
-    return out.select(*map(_col, names[:i]), F.col(nt_col).alias(orig), new, *map(_col, names[i + 1 :]))
+    new = F.when(F.col("composed").isNotNull(), F.concat(prefix, F.col("composed"))).otherwise(F.col(nt_col))
+    return shaped(out, new).unionByName(rest)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.expr import to_double
+
 # Consequence terms, the most severe first.
 SEVERITY = """transcript_ablation splice_acceptor_variant splice_donor_variant stop_gained frameshift_variant stop_lost start_lost
 transcript_amplification feature_elongation feature_truncation inframe_insertion inframe_deletion missense_variant
@@ -20,7 +22,7 @@ ALLELE = ["chrom", "pos", "ref", "alt"]
 
 def number(c: Column) -> Column:
     """A number, or null for text and NaN."""
-    v = c.try_cast("double")
+    v = to_double(c)
     return F.when(~F.isnan(v), v)
 
 

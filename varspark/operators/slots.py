@@ -33,6 +33,24 @@ def keyed(df: DataFrame, key: list[str] | None = None) -> DataFrame:
     return stage(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
 
 
+def computed(df: DataFrame, **values: Column) -> DataFrame:
+    """``df`` with columns in a projection of their own: what is read more than once above it is not computed again."""
+    return df.withColumns(values)
+
+
+def spread(df: DataFrame, struct: Column, *names: str) -> DataFrame:
+    """``df`` with the fields of a struct as columns ``names``; nulls where it is null."""
+    df = df.withColumn("_spread", struct)
+    fields = df.schema["_spread"].dataType.names
+    return df.select(*(_col(c) for c in df.columns if c not in ("_spread", *names)), *(F.col(f"_spread.{f}").alias(n) for f, n in zip(fields, names)))
+
+
+def settled(df: DataFrame, **values: Column) -> DataFrame:
+    """As ``computed``, behind a border: the columns come out of a generator, below which no filter is pushed.  For branches that filter by
+    what was computed, which else repeat the whole computation within their filters."""
+    return df.select("*", F.inline(F.array(F.struct(*(v.alias(k) for k, v in values.items())))))
+
+
 def _lists(c: str) -> Column:
     return F.split(F.coalesce(_col(c), F.lit("")), r"\|", -1)
 

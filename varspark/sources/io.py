@@ -7,7 +7,7 @@ import warnings
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expr import CHROMOSOMES, dash_to_blank, registry_id, trim_key
+from ..functions.expr import CHROMOSOMES, dash_to_blank, registry_id, to_long, trim_key
 from ..operators.tables import ROW, last_wins
 
 
@@ -78,7 +78,7 @@ def prepare_revel(rows: DataFrame) -> DataFrame:
     """Columns 1, 3, 4, 5 and 8 of rows with a position on GRCh38, sorted by chromosome and position."""
     c = rows.columns
     ok = ~trim_key(F.col(c[2])).isin("", ".")
-    out = rows.filter(ok).select(F.col(c[0]).alias("chrom"), F.col(c[2]).try_cast("long").alias("pos"), F.col(c[3]).alias("ref"), F.col(c[4]).alias("alt"), F.col(c[7]).alias("score"))
+    out = rows.filter(ok).select(F.col(c[0]).alias("chrom"), to_long(F.col(c[2])).alias("pos"), F.col(c[3]).alias("ref"), F.col(c[4]).alias("alt"), F.col(c[7]).alias("score"))
     return out.repartitionByRange(chrom_rank(F.col("chrom")), "pos").sortWithinPartitions(chrom_rank(F.col("chrom")), "pos")
 
 
@@ -100,7 +100,7 @@ def read_dbnsfp(spark: SparkSession, path: str) -> DataFrame | None:
     if missing:
         warnings.warn(f"{path} has no column {', '.join(missing)}: no scores are read", stacklevel=2)
         return None
-    return df.select(*((F.col(f"`{c}`").try_cast("long") if n == "pos" else F.col(f"`{c}`")).alias(n) for c, n in names.items()))
+    return df.select(*((to_long(F.col(f"`{c}`")) if n == "pos" else F.col(f"`{c}`")).alias(n) for c, n in names.items()))
 
 
 def read_evidence(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
