@@ -29,7 +29,8 @@ _INPUT = _PATH + _WORDS + _MEASURES
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*(?:>|\Z)|\Z)"
-    r"|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    # a quote opens a value behind = only; elsewhere it belongs to a name
+    r"|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>=]+|=\s*(?:\"[^\"]*\"|'[^']*')?)*)(?:>|\Z)",
     re.S | re.I,
 )
 #: Left out with all they hold, if they are closed; of those that nest in themselves the closed ones.
@@ -67,17 +68,73 @@ def _left_out(tags: list[re.Match]) -> dict[int, int]:
     return ends
 
 
+_hashes: dict[str, int] = {}
+
+
+def _hash(word: str) -> int:
+    h = _hashes.get(word)
+    if h is None:
+        if len(_hashes) > 200_000:
+            _hashes.clear()
+        h = _hashes[word] = zlib.crc32(word.encode("utf-8", "replace"))
+    return h
+
+
+class _Open:
+    """The open tags, and which hashed words of their names, classes, ids and roles are among them: kept up at every tag, so that
+    depth costs a block nothing."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, list[int]]] = []
+        self.names: dict[str, int] = {}
+        self.counts = [0] * _PATH
+        self.mask = self.depth = 0
+
+    def push(self, name: str, words: list[str]) -> None:
+        at = [_hash(w) % _PATH for w in words]
+        for i in at:
+            self.counts[i] += 1
+            self.mask |= 1 << i
+        self.depth += len(at)
+        self.names[name] = self.names.get(name, 0) + 1
+        self.stack.append((name, at))
+
+    def pop(self) -> str:
+        name, at = self.stack.pop()
+        for i in at:
+            self.counts[i] -= 1
+            if not self.counts[i]:
+                self.mask &= ~(1 << i)
+        self.depth -= len(at)
+        self.names[name] -= 1
+        return name
+
+    def close(self, name: str) -> None:
+        """Closes the innermost open tag of that name and all within it, if there is one."""
+        if self.names.get(name):
+            while self.pop() != name:
+                pass
+
+
 @dataclass
 class Block:
-    path: tuple[str, ...]  # features of the open tags, outermost first
+    path: int  # bit i: a word of the open tags has the hash i
     text: str
     linked: int  # characters inside links
+    depth: int = 1  # words of the open tags
+
+
+def path_of(words: tuple[str, ...]) -> int:
+    out = 0
+    for w in words:
+        out |= 1 << _hash(w) % _PATH
+    return out
 
 
 def blocks(html: str) -> list[Block]:
     """The page's text blocks in order, with character references decoded and white space joined."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    open_ = _Open()
     parts: list[str] = []
     linked = in_link = at = 0
 
@@ -86,7 +143,7 @@ def blocks(html: str) -> list[Block]:
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                out.append(Block(tuple(f for _, fs in stack for f in fs), text, linked))
+                out.append(Block(open_.mask, text, linked, open_.depth))
             parts.clear()
         linked = 0
 
@@ -123,48 +180,32 @@ def blocks(html: str) -> list[Block]:
         if name in _VOID:
             continue
         if m[2]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
+            open_.close(name)
         else:
-            if name in _CLOSES_ITSELF and stack and stack[-1][0] == name:
-                stack.pop()
+            if name in _CLOSES_ITSELF and open_.stack and open_.stack[-1][0] == name:
+                open_.pop()
             words = ["t:" + name]
             if m[4]:
                 for v in _NAMED.findall(m[4]):
                     words += ["c:" + w for w in _WORD.findall("".join(v).lower())]
-            stack.append((name, tuple(words)))
+            open_.push(name, words)
     if at < len(html):
         parts.append(html[at:])
     close()
     return out
 
 
-_hashes: dict[str, int] = {}
-
-
-def _hash(word: str) -> int:
-    h = _hashes.get(word)
-    if h is None:
-        if len(_hashes) > 200_000:
-            _hashes.clear()
-        h = _hashes[word] = zlib.crc32(word.encode("utf-8", "replace"))
-    return h
-
-
 def features(page: list[Block]) -> np.ndarray:
     """One row for each block."""
     n = len(page)
     x = np.zeros((n, _INPUT), np.float32)
     for i, b in enumerate(page):
-        for f in set(b.path):
-            x[i, _hash(f) % _PATH] = 1
+        x[i, :_PATH] = np.unpackbits(np.frombuffer(b.path.to_bytes(_PATH // 8, "little"), np.uint8), bitorder="little")
         words = b.text.lower().split()
         x[i, _PATH : _PATH + _WORDS] = np.bincount([_hash(w) % _WORDS for w in words], minlength=_WORDS) / max(4, len(words))
         k = len(b.text)
         x[i, -_MEASURES:] = (
-            np.log1p(k) / 8, min(1.0, b.linked / k), sum(b.text.count(c) for c in ".,;!?") / max(1, k) * 10, float(k < 40), float(k > 160), i / n, (n - i) / n, len(b.path) / 10,
+            np.log1p(k) / 8, min(1.0, b.linked / k), sum(b.text.count(c) for c in ".,;!?") / max(1, k) * 10, float(k < 40), float(k > 160), i / n, (n - i) / n, b.depth / 10,
         )
     return x
 
