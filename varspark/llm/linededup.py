@@ -16,7 +16,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import stage, tidy, width
 
@@ -97,12 +96,27 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return seen.filter(F.col("kind") == _DROP).select("doc", "rid", "pos").unionByName(late.select("doc", "rid", "pos"))
 
 
-@F.udf(T.BinaryType(), useArrow=True)
-def _bitmap(n_lines, dropped):
-    bits = np.ones(n_lines, np.uint8)
-    if dropped is not None:
-        bits[np.asarray(dropped)] = 0
-    return zlib.compress(np.packbits(bits).tobytes())
+def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The compressed bitmap of each row from its number of lines and the positions that go."""
+    for b in batches:
+        lines, dropped = b.column("n_lines").to_pylist(), b.column("dropped")
+        at = dropped.offsets.to_numpy() if len(dropped) else np.zeros(1, np.int32)
+        gone = dropped.values.to_numpy(zero_copy_only=False) if len(dropped) else np.zeros(0, np.int32)
+        out = []
+        for i, n in enumerate(lines):
+            bits = np.ones(n, np.uint8)
+            bits[gone[at[i] : at[i + 1]]] = 0
+            out.append(zlib.compress(np.packbits(bits).tobytes()))
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("key", "rid", "n_lines", "n_dropped")), pa.array(out, pa.binary())], ["key", "rid", "n_lines", "n_dropped", "keep_bitmap"])
+
+
+def _kept_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each bitmap which lines stay, as an array of booleans."""
+    for b in batches:
+        bits = [np.unpackbits(np.frombuffer(zlib.decompress(raw), np.uint8), count=n) for raw, n in zip(b.column("keep_bitmap").to_pylist(), b.column("n_lines").to_pylist())]
+        upto = np.cumsum([0, *map(len, bits)]).astype(np.int32)
+        flat = pa.array(np.concatenate(bits).astype(bool) if bits else np.zeros(0, bool))
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("key", "rid", "n_dropped")), pa.ListArray.from_arrays(pa.array(upto), flat)], ["key", "rid", "n_dropped", "keep"])
 
 
 def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10) -> DataFrame:
@@ -121,31 +135,24 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     gone = gone.groupBy("doc", "rid").agg(F.collect_set("pos").alias("dropped"))
     base = docs.select(F.col(id_col), F.xxhash64(text_col).alias("rid"), F.size(_split(text_col)).cast("long").alias("n_lines"))
     on = (base[id_col] == gone["doc"]) & (base["rid"] == gone["rid"])
-    return base.join(gone, on, "left").select(
-        base[id_col],
-        base["rid"],
-        "n_lines",
-        F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
-        _bitmap("n_lines", "dropped").alias("keep_bitmap"),
-    )
+    dropped = F.coalesce("dropped", F.array().cast("array<int>"))
+    found = base.join(gone, on, "left").select(base[id_col].alias("key"), base["rid"], "n_lines", F.size(dropped).cast("long").alias("n_dropped"), dropped.alias("dropped"))
+    kind = docs.select(id_col).schema[0].dataType.simpleString()
+    made = found.mapInArrow(tidy(_bitmaps), f"key {kind}, rid long, n_lines long, n_dropped long, keep_bitmap binary")
+    return made.withColumnRenamed("key", id_col)
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``text_col`` reduced to the lines its bitmap keeps (joined by a line feed;
     null becomes empty), and with n_lines and n_dropped (columns of these names are replaced)."""
-    some = bitmaps.filter("n_dropped > 0").dropDuplicates([id_col, "rid"]).select(F.col(id_col).alias("__id"), F.col("rid").alias("__rid"), F.col("keep_bitmap").alias("__keep"), F.col("n_dropped").alias("__dropped"))
+    kind = bitmaps.select(id_col).schema[0].dataType.simpleString()
+    some = bitmaps.filter("n_dropped > 0").dropDuplicates([id_col, "rid"]).select(F.col(id_col).alias("key"), "rid", "n_lines", "n_dropped", "keep_bitmap")
+    some = some.mapInArrow(tidy(_kept_lines), f"key {kind}, rid long, n_dropped long, keep array<boolean>")
+    some = some.withColumnsRenamed({"key": "__id", "rid": "__rid", "keep": "__keep", "n_dropped": "__dropped"})
     kept = docs.join(some, (docs[id_col] == some["__id"]) & (F.xxhash64(docs[text_col]) == some["__rid"]), "left")
-
-    @F.udf("string", useArrow=True)
-    def reduced(text, bitmap):
-        if bitmap is None:
-            return text or ""
-        lines = (text or "").split("\n")
-        bits = np.unpackbits(np.frombuffer(zlib.decompress(bitmap), np.uint8), count=len(lines))
-        return "\n".join(x for x, keep in zip(lines, bits) if keep)
-
     whole = F.coalesce(docs[text_col], F.lit(""))
-    text = F.when(F.col("__keep").isNull(), whole).otherwise(reduced(docs[text_col], "__keep"))
+    reduced = F.array_join(F.filter(F.split(whole, "\n", -1), lambda line, i: F.get("__keep", i)), "\n")
+    text = F.when(F.col("__keep").isNull(), whole).otherwise(reduced)
     return kept.select(
         *(text.alias(c) if c == text_col else docs[c] for c in docs.columns if c not in ("n_lines", "n_dropped")),
         F.size(F.split(whole, "\n", -1)).cast("long").alias("n_lines"),
