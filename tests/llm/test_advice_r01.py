@@ -54,6 +54,45 @@ def test_blocks_lose_no_article_to_open_elements():
 
 def test_features_read_the_whole_block():
     same = "some words of one opening " * 20
-    a, b, c = (html.features([html.Block(("t:p",), same + rest, 0)])[0] for rest in ("alpha beta gamma " * 50, "delta omega kappa " * 50, "alp, bet. gamma; " * 50))
+    a, b, c = (html.features([html.Block(html.path_of(("t:p",)), same + rest, 0)])[0] for rest in ("alpha beta gamma " * 50, "delta omega kappa " * 50, "alp, bet. gamma; " * 50))
     assert (a[html._PATH : html._PATH + html._WORDS] != b[html._PATH : html._PATH + html._WORDS]).any() and c[-6] > a[-6]
     assert a[html._PATH : html._PATH + html._WORDS].sum() == pytest.approx(1)
+
+
+def test_mixed_keeps_every_column_and_row(spark):
+    """Rows of one id and text but other columns stay apart, and clashing names come through."""
+    rows = [(1, "a b c", f"x{i % 3}", i % 2, "s") for i in range(9)] + [(2, "a b c", "y", 5, "s"), (None, "q r", "n1", 1, "t"), (None, "q r", "n2", 2, "t"), (3, None, "z", 1, "t"), (4, "q r", "k", 1, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __r string, __n int, source string").repartition(3)
+    from collections import Counter
+
+    plan = docs.select("doc_id", F.xxhash64("text").alias("rid"), F.when(F.col("text").isNull(), 0).when(F.col("doc_id") == 1, F.col("__n") + 1).otherwise(3).cast("long").alias("copies"))
+    got = mixing.mixed(docs, plan)
+    assert got.columns == docs.columns
+    found = Counter(tuple(r) for r in got.collect())
+    group = [r for r in rows if r[0] == 1]
+    total = sum(r[3] + 1 for r in group)
+    assert sum(n for r, n in found.items() if r[0] == 1) == total
+    for r, k in Counter(group).items():  # each different row has its share
+        assert abs(found[r] - total * k / len(group)) < 1
+    assert {r: n for r, n in found.items() if r[0] != 1} == {r: 3 for r in rows if r[0] != 1 and r[1] is not None}
+
+
+@pytest.mark.parametrize("page,want", [
+    ('<p class="a"">First..</p><p class="b">Second.</p><p class="c"">Third.</p><p>Fourth</p>', ["First..", "Second.", "Third.", "Fourth"]),
+    ("<p title=it's>First.</p><p>Second it's here.</p><p>Third</p>", ["First.", "Second it's here.", "Third"]),
+    ('<p "a" class = "x > y" b=\'>\'>One</p><p c=">Two</p><p>Three</p>', ["One", "Two", "Three"]),
+    ("<p a=b\"c>One</p><p =\"q\">Two</p><p/>Three", ["One", "Two", "Three"]),
+])
+def test_quotes_open_values_only(page, want):
+    assert [b.text for b in html.blocks(page)] == want
+
+
+def test_depth_costs_nothing():
+    import time
+
+    start = time.perf_counter()
+    found = html.blocks('<div class="a b">x' * 20_000 + "</span></b></section>" * 20_000)
+    assert len(found) == 20_000 and time.perf_counter() - start < 2
+    assert found[-1].path == html.path_of(("t:div", "c:a", "c:b")) and found[-1].depth == 60_000
+    closed = html.blocks("<div id=a><p>one</p></div><p>two")
+    assert closed[0].path == html.path_of(("t:div", "c:a", "t:p")) and closed[1].path == html.path_of(("t:p",))

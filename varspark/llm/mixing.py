@@ -162,8 +162,20 @@ def mix(
 
 
 def mixed(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents of a mix, each as often as it is taken, with the columns of ``docs``."""
-    n = plan.groupBy(F.col(id_col).alias("__id"), F.col("rid").alias("__rid")).agg(F.sum("copies").alias("__n")).filter("__n > 0")
-    one = docs.withColumn("__r", F.xxhash64(text_col)).dropDuplicates([id_col, "__r"])
-    hit = one.join(n, one[id_col].eqNullSafe(n["__id"]) & (one["__r"] == n["__rid"]))
-    return hit.select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), "__n")).alias("__copy")).drop("__copy")
+    """The documents of a mix, each as often as it is taken, with the columns of ``docs``, whatever their names.
+
+    Rows of one id and text share what the plan takes of them: in the order of a hash of all their columns, each different row gets its
+    share, rounded so that the shares add up to the plan's copies.  Rows that are equal in every column are alike.  Null ids are one id."""
+    inside = F.to_json(F.struct(*(F.col(f"`{c}`") for c in docs.columns))) if any("map<" in k for _, k in docs.dtypes) else F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("rid"), F.xxhash64(inside).alias("h"))
+    total = plan.groupBy(F.col(id_col).alias("id"), "rid").agg(F.sum("copies").alias("n")).filter("n > 0")
+    kinds = whole.groupBy("id", "rid", "h").agg(F.count("*").alias("k"))
+    upto = Window.partitionBy("id", "rid").orderBy("h")  # different rows of one id and text: few
+    kinds = kinds.withColumns({"upto": F.sum("k").over(upto), "all": F.sum("k").over(Window.partitionBy("id", "rid"))})
+    kinds = kinds.join(total.withColumnsRenamed({"id": "t_id", "rid": "t_rid"}), F.col("id").eqNullSafe(F.col("t_id")) & (F.col("rid") == F.col("t_rid")))
+    share = F.floor(F.col("n") * F.col("upto") / F.col("all")) - F.floor(F.col("n") * (F.col("upto") - F.col("k")) / F.col("all"))
+    taken = stage(kinds.select(F.col("id").alias("t_id"), F.col("rid").alias("t_rid"), F.col("h").alias("t_h"), "k", share.cast("long").alias("copies")).filter("copies > 0"), "mix-copies")
+    hit = whole.join(taken, F.col("id").eqNullSafe(F.col("t_id")) & (F.col("rid") == F.col("t_rid")) & (F.col("h") == F.col("t_h"))).select("row", "id", "rid", "h", "k", "copies")
+    again = hit.filter("k > 1").groupBy("id", "rid", "h").agg(F.any_value("row").alias("row"), F.any_value("copies").alias("copies"))
+    once = hit.filter("k = 1").select("row", "copies").unionByName(again.select("row", "copies"))
+    return once.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")
