@@ -96,3 +96,39 @@ def test_depth_costs_nothing():
     assert found[-1].path == html.path_of(("t:div", "c:a", "c:b")) and found[-1].depth == 60_000
     closed = html.blocks("<div id=a><p>one</p></div><p>two")
     assert closed[0].path == html.path_of(("t:div", "c:a", "t:p")) and closed[1].path == html.path_of(("t:p",))
+
+
+@pytest.mark.parametrize("extra", [[1e200], [1e-200], [1e200, -1e200, 1e-200, 1e-310, 3e5, 1e160], [1e308] * 30])
+def test_neighbours_of_vectors_of_any_size(spark, extra):
+    """Huge and tiny vectors beside ordinary ones, as candidates and as queries, against brute force."""
+    from varspark.llm import ann
+
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(400)]
+    rows += [(1000 + 20 * j, (v * np.sign(rng.normal(size=16)) if j % 2 else np.full(16, v)).tolist()) for j, v in enumerate(extra)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(df, lambda i: i % 20 == 0, k=20).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    x = dict((i, np.array(v)) for i, v in rows)
+    hits = wanted = 0
+    for q in (i for i in x if i % 20 == 0):
+        with np.errstate(over="ignore", invalid="ignore"):
+            s = {i: float((x[q] * v).sum()) for i, v in x.items() if i != q}
+        s = {i: -np.inf if np.isnan(v) else v for i, v in s.items()}
+        best = sorted(s, key=lambda i: (-s[i], i))[:20]
+        assert len(got[q]) == 20 and all(v == s[i] or v == pytest.approx(s[i], rel=1e-12) for i, v in got[q])
+        keys = [(-v, i) for i, v in got[q]]
+        assert keys == sorted(keys)
+        hits += len({i for i, _ in got[q]} & set(best))
+        wanted += 20
+    assert hits >= 0.99 * wanted
+
+
+def test_all_vectors_huge_or_tiny(spark):
+    from varspark.llm import ann
+
+    rng = np.random.default_rng(6)
+    for size in (1e250, 1e-250):
+        df = spark.createDataFrame([(i, (rng.normal(size=8) * size).tolist()) for i in range(60)], "vec_id long, embedding array<double>")
+        assert ann.nearest(df, lambda i: i % 20 == 0, k=5).count() == 15

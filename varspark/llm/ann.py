@@ -26,7 +26,11 @@ from .common import join_small, least, stage
 #: Bounds: vectors that the cells are cut from, rows of a block, queries searched together.  There are as many cells as
 #: blocks, as long as the sample has 8 vectors for each.
 SAMPLE, BLOCK, CHUNK = 65_536, 4096, 512
+#: Bytes of the sample at most, and vectors whatever their length.
+SAMPLE_BYTES, _FEWEST = 64 << 20, 1024
 _LEAF = 64
+#: Powers of two above most vectors' largest components from which a vector is huge.
+_HUGE = 10
 
 
 def chi_square_quantile(p: float, df: int) -> float:
@@ -88,32 +92,85 @@ def box_distance(points: np.ndarray, box: np.ndarray) -> np.ndarray:
     return d
 
 
+def exponent(x: np.ndarray) -> np.ndarray:
+    """The power of two just above the largest component of each vector: dividing by it is exact and nothing overflows when squared."""
+    return np.frexp(np.abs(x).max(axis=-1))[1]
+
+
+def scaled(x: np.ndarray, exponents: np.ndarray) -> np.ndarray:
+    """Vectors divided by 2 to the ``exponents``."""
+    return np.ldexp(x, -exponents[:, None])
+
+
+def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The inner products of each row pair by pair, in double precision as they are; what is not a number (infinities that
+    cancel) counts as the least."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        found = (q * x).sum(-1)
+    return np.where(np.isnan(found), -np.inf, found)
+
+
 class Space:
-    """Projection and cells, all of bounded size."""
+    """Projection and cells, all of bounded size.
+
+    Vectors are seen in units of 2 to ``unit``, in which most of them have components below one.  Those with components above
+    2 to ``unit`` + ``_HUGE`` would spoil the common norm that the projection needs: they make a cell of their own, which every query scans."""
 
-    def __init__(self, dim: int, top_norm: float, m: int, confidence: float, seed: int = 17):
+    def __init__(self, dim: int, unit: int, top_norm: float, m: int, confidence: float, seed: int = 17):
         rng = np.random.Generator(np.random.PCG64(seed))
-        self.matrix, self.top, self.m = rng.normal(size=(dim + 1, m)), top_norm, m
+        self.matrix, self.unit, self.top, self.m = rng.normal(size=(dim + 1, m)), unit, top_norm, m
         self.reach = chi_square_quantile(confidence, m)
 
+    def huge(self, x: np.ndarray) -> np.ndarray:
+        return exponent(x) > self.unit + _HUGE
+
     def rows(self, x: np.ndarray) -> np.ndarray:
+        """Projections of vectors that are not huge."""
+        x = np.ldexp(x, -self.unit)
         last = np.sqrt(np.maximum(self.top**2 - (x**2).sum(1), 0))
         return np.c_[x, last] @ self.matrix
 
     def queries(self, q: np.ndarray) -> np.ndarray:
+        q = scaled(q, exponent(q))
         return (q * (self.top / np.sqrt((q**2).sum(1)))[:, None]) @ self.matrix[:-1]
 
     def distance2(self, q: np.ndarray, inner: np.ndarray) -> np.ndarray:
-        """Squared distances from inner products with the query as it was given."""
-        return np.maximum(2 * self.top**2 - 2 * self.top * inner / np.sqrt((q**2).sum(1))[:, None], 0)
+        """Squared distances, in units, from inner products with the query as it was given."""
+        e = exponent(q)
+        norm = np.sqrt((scaled(q, e) ** 2).sum(1))[:, None]
+        with np.errstate(over="ignore"):
+            inner = np.ldexp(inner, -(e[:, None] + self.unit))
+        return np.maximum(2 * self.top**2 - 2 * self.top * inner / norm, 0)
+
+    def overflows(self, q: np.ndarray) -> np.ndarray:
+        """Queries so large that inner products may be infinite, and so tie: they scan every cell."""
+        return exponent(q) + self.unit + _HUGE + int(np.ceil(np.log2(q.shape[1] + 1))) >= 1023
+
+    def scan(self, q: np.ndarray, bound: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """As ``search``, but every row is compared with every query as it is: best inner products first, ties to the smaller id."""
+        at, best = np.full((len(q), k), -1, np.int64), np.full((len(q), k), -np.inf)
+        for i in range(len(q)):
+            inner = products(q[i], x)
+            r = np.lexsort((ids, -inner))[:k]
+            at[i, : len(r)], best[i, : len(r)] = r, inner[r]
+        return at, best
 
     def cut(self, sample: np.ndarray, cells: int):
+        self.cells = cells
         self.axis, self.cuts, _, self.box = split(self.rows(sample), cells)
 
-    def search(self, q: np.ndarray, bound: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def cell_of(self, x: np.ndarray) -> np.ndarray:
+        """The cell of each vector; that of the huge ones comes last."""
+        out, huge = np.full(len(x), self.cells, np.int64), self.huge(x)
+        if not huge.all():
+            out[~huge] = leaf_of(self.rows(x[~huge]), self.axis, self.cuts)
+        return out
+
+    def search(self, q: np.ndarray, bound: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """For each query its best ``k`` rows of a block (row, or -1; and inner product), as far as the
         test asks for them.  ``bound``: an inner product of which k better ones are known (-inf if not)."""
-        p = self.rows(x)
+        e, u = exponent(q), self.unit
+        p, small, xs = self.rows(x), scaled(q, e), np.ldexp(x, -u)
         leaves = 1 << max(0, int(np.ceil(np.log2(max(1, len(x) / _LEAF)))))
         if leaves > 1:
             _, _, rows, box = split(p, leaves)
@@ -128,7 +185,7 @@ class Space:
         active = np.arange(len(q))
         for step in range(len(rows)):
             worst = np.maximum(best[active].min(1), bound[active])
-            limit = np.where(np.isfinite(worst), self.distance2(q[active], worst[:, None])[:, 0], np.inf)
+            limit = np.where(worst > -np.inf, self.distance2(q[active], np.where(worst > -np.inf, worst, 0.0)[:, None])[:, 0], np.inf)
             active = active[near[active, step] <= self.reach * limit]
             if not len(active):
                 break
@@ -139,7 +196,9 @@ class Space:
                 who, r = active[by[a:b]], rows[leaf[by[a]]]
                 if not len(r):
                     continue
-                found = np.concatenate([best[who], q[who] @ x[r].T], 1)
+                with np.errstate(over="ignore"):
+                    inner = np.ldexp(small[who] @ xs[r].T, (e[who] + u)[:, None])
+                found = np.concatenate([best[who], inner], 1)
                 ids = np.concatenate([at[who], np.broadcast_to(r, (len(who), len(r)))], 1)
                 top = np.argpartition(-found, k - 1, axis=1)[:, :k] if found.shape[1] > k else np.broadcast_to(np.arange(found.shape[1]), found.shape)
                 best[who], at[who] = np.take_along_axis(found, top, 1), np.take_along_axis(ids, top, 1)
@@ -184,7 +243,8 @@ def nearest(
     ``is_query``: a condition on ``id_col``; queries search all vectors but themselves.  Result:
     query_id, rank (from 1), vec_id, score (inner product in double precision), the nearest first, ties to
     the smaller id.  Vectors that are null, zero, of another length than most, or with null or
-    non-finite components take no part; rows without an id neither.  Repeated ids with equal
+    non-finite components take no part; rows without an id neither.  Components may be of any finite size: vectors that are a thousand times larger than most
+    are compared with every query as they are; an inner product beyond double precision is infinite, one that is not a number counts as the least.  Repeated ids with equal
     vectors are one row; an id with several different vectors is one query and one candidate, with the vector whose
     bytes come first.  Copies of a vector are searched once, for any number of them.  Fewer
     than ``k`` candidates give as many rows; no query or an empty table gives none.
@@ -209,19 +269,24 @@ def nearest(
     ids = ids.groupBy("raw", F.pmod(F.xxhash64("ids"), F.lit(64)).alias("salt")).agg(merge("ids").alias("ids")).groupBy("raw").agg(merge("ids").alias("ids"))
     ids = stage(ids.withColumn("uid", F.element_at("ids", 1)), "ann-distinct")
 
+    most = max(_FEWEST, min(SAMPLE, SAMPLE_BYTES // (8 * dim)))
+    sample = least(ids.select("raw", F.xxhash64("raw").alias("h")), F.col("h"), most).select("raw").toArrow()
+    if not sample.num_rows:
+        return spark.createDataFrame([], out)
+    sample = np.frombuffer(b"".join(sample.column(0).to_pylist())).reshape(-1, dim)
+    unit = int(np.median(exponent(sample)))
+
     def norms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 x = np.frombuffer(b"".join(b.column(0).to_pylist())).reshape(-1, dim)
-                yield pa.RecordBatch.from_arrays([pa.array([float(np.sqrt((x**2).sum(1).max()))]), pa.array([len(x)])], ["norm", "n"])
+                fit = np.ldexp(x[exponent(x) <= unit + _HUGE], -unit)
+                yield pa.RecordBatch.from_arrays([pa.array([float(np.sqrt((fit**2).sum(1).max(initial=0)))]), pa.array([len(x)])], ["norm", "n"])
 
     top, n = ids.select("raw").mapInArrow(norms, "norm double, n long").agg(F.max("norm"), F.sum("n")).first()
-    if not n:
-        return spark.createDataFrame([], out)
-    space = Space(dim, top, m, confidence)
-    sample = least(ids.select("raw", F.xxhash64("raw").alias("h")), F.col("h"), SAMPLE).collect()
+    space = Space(dim, unit, max(top, 1e-3), m, confidence)
     cells = 1 << int(max(0, min(np.ceil(np.log2(n / BLOCK)), np.log2(max(1, len(sample) / 8)))))
-    space.cut(np.frombuffer(b"".join(bytes(r["raw"]) for r in sample)).reshape(-1, dim), cells)
+    space.cut(sample[~space.huge(sample)], cells)
     sent = spark.sparkContext.broadcast(space)
     salts = max(1, -(-2 * n // (cells * BLOCK)))  # blocks of a cell
 
@@ -231,7 +296,7 @@ def nearest(
             if not b.num_rows:
                 continue
             raw = b.column(1).to_pylist()
-            cell = leaf_of(s.rows(np.frombuffer(b"".join(raw)).reshape(-1, dim)), s.axis, s.cuts)
+            cell = s.cell_of(np.frombuffer(b"".join(raw)).reshape(-1, dim))
             uid = b.column(0).to_numpy()
             block = cell * salts + (uid * 2654435761 >> 7) % salts
             yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(block), b.column(0), b.column(1)], ["cell", "block", "uid", "raw"])
@@ -260,9 +325,11 @@ def nearest(
                 continue
             q = np.frombuffer(b"".join(b.column(1).to_pylist())).reshape(-1, dim)
             bound = b.column(2).to_numpy(zero_copy_only=False)
-            limit = np.where(np.isfinite(bound), s.distance2(q, np.where(np.isfinite(bound), bound, 0.0)[:, None])[:, 0], np.inf)
+            limit = np.where(bound > -np.inf, s.distance2(q, np.where(bound > -np.inf, bound, 0.0)[:, None])[:, 0], np.inf)
             p = s.queries(q)
-            reach = box_distance(p, s.box) <= s.reach * limit[:, None]
+            reach = np.ones((len(q), s.cells + 1), bool)  # the last cell, of huge vectors, is scanned by all
+            reach[:, :-1] = box_distance(p, s.box) <= s.reach * limit[:, None]
+            reach[s.overflows(q)] = True
             reach[np.arange(len(q)), leaf_of(p, s.axis, s.cuts)] = False
             i, cell = np.nonzero(reach)
             take = pa.array(i)
@@ -278,10 +345,17 @@ def nearest(
             for uids, qs, bounds, their, xs in zip(*(b.column(i).to_pylist() for i in range(5))):
                 uid, their, bound = np.frombuffer(uids, np.int64), np.frombuffer(their, np.int64), np.frombuffer(bounds)
                 q, x = np.frombuffer(qs).reshape(-1, dim), np.frombuffer(xs).reshape(-1, dim)
-                at, best = s.search(q, bound, x, k + 1)
-                i, j = np.nonzero((at >= 0) & (best >= bound[:, None] - 1e-9))
+                plain = s.overflows(q) | s.huge(x[:1])[0]
+                at, best = np.full((len(q), k + 1), -1, np.int64), np.full((len(q), k + 1), -np.inf)
+                for who, how in ((plain, s.scan), (~plain, s.search)):
+                    if who.any():
+                        at[who], best[who] = how(q[who], bound[who], their, x, k + 1)
+                with np.errstate(over="ignore", invalid="ignore"):
+                    slack = 1e-9 * np.abs(bound) + np.ldexp(1e-9, np.minimum(exponent(q) + s.unit, 1000))
+                    least_kept = np.where(np.isfinite(bound), bound - slack, bound)
+                i, j = np.nonzero((at >= 0) & (best >= least_kept[:, None]))
                 r = at[i, j]
-                score = (q[i] * x[r]).sum(1)  # each pair alone, so equal in every block
+                score = products(q[i], x[r])  # each pair alone, so equal in every block
                 yield pa.RecordBatch.from_arrays([pa.array(uid[i]), pa.array(their[r]), pa.array(score)], ["uid", "other", "score"])
 
     def run(queries: DataFrame, name: str) -> DataFrame:
