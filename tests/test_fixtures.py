@@ -327,6 +327,70 @@ def test_frequency_cache(spark, tmp_path):
         io.write_frequency_cache(df, str(tmp_path / "f"))
 
 
+def test_frequency_cache_is_read_by_block(spark, tmp_path):
+    path = str(tmp_path / "f")
+    n = 40
+    freq = spark.range(n * 3).select(F.concat(F.lit("chr"), (F.col("id") % 3 + 1).cast("string")).alias("chrom"), (F.floor(F.col("id") / 3) * (1 << 20) + 7).alias("pos"), F.lit("A").alias("ref"), F.lit("G").alias("alt"), F.lit(5).cast("long").alias("allele_count"), F.lit(10).cast("long").alias("allele_number"), F.lit(0.5).alias("faf95_max"), F.lit("x").alias("faf95_max_ancestry"))
+    io.write_frequency_cache(freq.withColumn("chrom", F.regexp_replace("chrom", "chr", "")), path)
+    rows = spark.createDataFrame([(1, "chr2|3", f"{7 + (1 << 20)}|9"), (2, "", ""), (3, None, "x"), (4, "9", "7")], "k int, c string, p string").withColumns({"r": F.lit("A|A"), "a": F.lit("G|G")})
+    scan = io.read_frequency_cache(spark, path, A.wanted_places(rows, "c", "p"))
+    assert {(r.chrom, r.pos) for r in scan.collect()} == {("2", 7 + (1 << 20)), ("3", 7)}
+    files = scan._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().get("numFiles").get().value()
+    assert files == 2 and io.read_frequency_cache(spark, path).count() == 3 * n
+    got = {r.k: r["gnomad.v4_1.allele_count"] for r in A.annotate_frequency_from_cache(rows, path, coordinates=("c", "p", "r", "a"), key=["k"]).collect()}
+    assert got == {1: "5|", 2: "", 3: "", 4: ""} or {k: v.rstrip("|") for k, v in got.items()} == {1: "5", 2: "", 3: "", 4: ""}
+    assert io.read_frequency_cache(spark, path, A.wanted_places(rows.limit(0), "c", "p")).count() == 0
+
+
+@pytest.mark.parametrize("prepared", [False, True])
+def test_bases_across_chunks(spark, prepared):
+    """Short and long spans against the whole sequence; one exchange a side for short ones."""
+    seq = "".join("ACGT"[(i * i + i // 3) % 4] for i in range(437))
+    chunks = spark.createDataFrame([(a, k, seq[50 * k : 50 * k + 50]) for a in "xy" for k in range(9) if (a, k) != ("y", 4)], "accession string, chunk long, seq string")
+    spans = [("x", s, s + n) for s in (1, 2, 49, 50, 51, 100, 380, 437) for n in (0, 1, 19, 20, 21, 49, 50, 120)] + [("y", 195, 200), ("y", 195, 201), ("y", 150, 260), ("z", 1, 2), (None, 1, 2), ("x", None, 2), ("x", 5, 4), ("x", 0, 3)]
+    df = spark.createDataFrame(spans, "accession string, start long, stop long")
+    table = M.overlapping(chunks, 50, 20) if prepared else chunks
+    for extra in (df, df.select(F.monotonically_increasing_id().alias(S.ROW), F.lit(0).alias(S.SLOT), "*")):  # long spans with and without a slot's number
+        got = {(r.accession, r.start, r.stop): r.bases for r in M.bases_of(extra, "accession", F.col("start"), F.col("stop"), table, 50, 20).collect()}
+        assert len(got) == len(set(spans))
+        for (a, s, e), b in got.items():
+            whole = a in ("x", "y") and s is not None and 1 <= s <= e <= len(seq) and not (a == "y" and s <= 250 and e > 200)
+            assert b == (seq[s - 1 : e] if whole else None), (a, s, e)
+
+
+def test_blank_names_meet_no_key(spark):
+    """Blank keys of the mapping joins spread over all partitions."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    for k, v in {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "32"}.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(64_000).select("id", F.when(F.col("id") % 10 == 0, F.concat(F.lit("t"), (F.col("id") % 7).cast("string"))).otherwise(" ").alias("name"), F.lit("").alias("seq"))
+        targets = spark.createDataFrame([(f"t{i}", f"S{i}") for i in range(7)], "name string, seq string")
+        joined = M.join_targets(rows, targets, "name", ["seq"])
+        sizes = [r["count"] for r in joined.filter(F.trim("name") == "").groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 32 and max(sizes) < 1.3 * sum(sizes) / 32
+        assert joined.filter("seq = concat('S', substring(name, 2, 1))").count() == 6400
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_worklist_state_over_many_batches(spark, tmp_path):
+    """Each key once over many batches, and a stopped stream goes on where it was."""
+    from varspark.streaming.files import worklist_stream
+
+    source, sink, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+    cache = lambda: spark.createDataFrame([("k3", True, "2024-06-01")], "key string, found boolean, fetched_at string")
+    for part in range(2):
+        for i in range(6):
+            keys = [(f" k{(7 * part + i * 2 + j) % 15} ",) for j in range(5)] + [("",), (None,)]
+            spark.createDataFrame(keys, "key string").coalesce(1).write.mode("append").parquet(source)
+        worklist_stream(spark, source, "key string", cache, F.lit("2024-06-30"), sink, state, max_files=1).awaitTermination()
+    asked = [r.key for r in spark.read.schema("key string, batch int").parquet(sink).collect()]
+    assert len(asked) == len(set(asked)) and set(asked) == {f"k{i}" for i in range(15)} - {"k3"}
+    assert spark.read.schema("key string, batch int").parquet(sink).select("batch").distinct().count() > 3
+
+
 def test_prefix_violation_names_the_line(spark):
     df = spark.createDataFrame([(0, "CA1", "c.1A>G"), (1, "PA1", "c.1A>G")], "row int, id string, nt string")
     with pytest.raises(ValueError, match="row 3"):

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import SPLICE_FIELDS, bases, first_non_blank, fmt4, groups, is_blank, max_of_list, nc_to_chrom, normalize_caid, score_set_of, snv_of, spliceai_best, spliceai_numbers, stars, strip_gene_symbol, to_long, trim_key
-from .mapping import bases_of, validate_id_prefix
+from ..sources.io import read_frequency_cache
+from .mapping import _dealt, bases_of, validate_id_prefix
 from .rank import ALLELE, argmax, frequency, max_score, number, ordered_distinct_concat, severity_rank
 from .slots import ROW, SLOT, Step, annotate, computed, explode_slots, keyed, lookup
 
@@ -87,6 +88,18 @@ def annotate_frequency(df: DataFrame, freq: DataFrame, mode: str = "coordinates"
     return annotate(df, frequency_step(freq, mode, prefix, ids_col, coordinates), key=key)
 
 
+def wanted_places(df: DataFrame, chrom: str = COORDINATES[0], pos: str = COORDINATES[1]) -> DataFrame:
+    """(chrom, pos) of the rows' slots, for readers that open what is needed only."""
+    long = explode_slots(df.withColumn(ROW, F.lit(0)), chrom=chrom, pos=pos)
+    return long.select("chrom", to_long(F.col("pos")).alias("pos")).filter("chrom <> '' and pos is not null").distinct()
+
+
+def annotate_frequency_from_cache(df: DataFrame, path: str, prefix: str = "gnomad.v4_1", coordinates: tuple[str, ...] = COORDINATES, key: list[str] | None = None) -> DataFrame:
+    """As ``annotate_frequency`` by coordinates over a cache of ``write_frequency_cache``: of it, the blocks with the rows' places are read."""
+    freq = read_frequency_cache(df.sparkSession, path, wanted_places(df, *coordinates[:2]))
+    return annotate_frequency(df, freq, "coordinates", prefix, coordinates=coordinates, key=key)
+
+
 def id_to_coords(df: DataFrame, ids_col: str, coordinates: dict[str, str]) -> DataFrame:
     """(caid, chrom, pos, ref, alt) from the rows' own slots, one allele for each id."""
     rows = df.withColumn(ROW, F.lit(0))  # the rows' ids are not used
@@ -294,7 +307,8 @@ def annotate_calibration(df: DataFrame, calibrations: DataFrame, ranges: DataFra
     urn = trim_key(F.col(urn_col))
     score = number(trim_key(F.col(score_col).cast("string")))
     out = df.select(*(F.col(f"`{c}`") for c in names), score_set_of(urn).alias("_set"), urn.alias("_urn"), score.alias("_score"))
-    out = out.join(sets.withColumnRenamed("score_set", "_set"), "_set", "left")
+    out = out.withColumn("_asked", _dealt(F.coalesce(F.col("_set") != "", F.lit(False)), F.col("_set"), "_urn", *(f"`{c}`" for c in names if "map<" not in dict(df.dtypes)[c])))
+    out = out.join(sets.withColumnRenamed("score_set", "_asked"), "_asked", "left").drop("_asked")
     given = None if assigned is None else assigned.groupBy("calibration", "urn").agg(F.max("class_id").alias("class_id"))
     new = []
     for r, long_name in roles.items():
@@ -303,7 +317,7 @@ def annotate_calibration(df: DataFrame, calibrations: DataFrame, ranges: DataFra
         if given is not None:
             out = out.withColumn(f"_c_{r}", F.when(~p["by_range"], p["calibration"]))
             right = given.select(F.col("calibration").alias(f"_c_{r}"), F.col("urn").alias(f"_u_{r}"), F.col("class_id").alias(f"_id_{r}"))
-            out = out.withColumn(f"_u_{r}", F.when(~p["by_range"], F.col("_urn")).otherwise(F.concat(F.lit("\u0000"), F.col("_urn")))).withColumn(f"_c_{r}", F.coalesce(f"_c_{r}", F.lit("")))
+            out = out.withColumn(f"_u_{r}", F.when(~p["by_range"], F.col("_urn")).otherwise(F.concat(F.lit("\u0000"), F.col("_urn")))).withColumn(f"_c_{r}", _dealt(F.col(f"_c_{r}").isNotNull(), F.col(f"_c_{r}"), "_urn", *(f"`{c}`" for c in names if "map<" not in dict(df.dtypes)[c])))
             out = out.join(right, [f"_c_{r}", f"_u_{r}"], "left")
             label = F.when(~p["by_range"], _label_by_id(p["ids"], F.col(f"_id_{r}"))).otherwise(label)
         there = p["calibration"].isNotNull()
@@ -312,6 +326,12 @@ def annotate_calibration(df: DataFrame, calibrations: DataFrame, ranges: DataFra
     return out.select(*(F.col(f"`{c}`") for c in names), *new)
 
 
+def calibration_step(calibrations: DataFrame, ranges: DataFrame, urn_col: str, score_col: str, ns: str, site: str, assigned: DataFrame | None = None) -> Step:
+    """``annotate_calibration`` as a step of a chain: it reads the rows' own urn and score, and shares the chain's long layer without adding to it."""
+    after = lambda df: annotate_calibration(df, calibrations, ranges, urn_col, score_col, ns, site, assigned)
+    return Step({"urn": urn_col}, lambda long: long, {}, after=after)
+
+
 def consequence_step(vep: DataFrame, recoded: DataFrame, cols: list[str], ns: str = "vep", access_date: Column | None = None) -> Step:
     """Consensus of the slots' consequences: from ``vep`` (hgvs, consequence), or for strings that are not in it the most severe
     of their ``recoded`` ones (hgvs, genomic).  Slots are those of the first of ``cols`` that is not blank."""

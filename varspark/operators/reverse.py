@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import append_error, is_blank, join_slots, trim_key
+from ..functions.expr import append_error, is_blank, trim_key
 from .coordinates import coordinate_steps
-from .mapping import _dealt, classify_assay_level, resolve_transcript
-from .slots import annotate
+from .mapping import classify_assay_level, resolve_transcript
+from .slots import ROW, SLOT, Step, annotate, pack_slots, run_steps, settled
 
 G, C, P = "mapped_hgvs_g", "mapped_hgvs_c", "mapped_hgvs_p"
 #: The derived columns (names are fixed values).
@@ -34,19 +34,40 @@ def reverse_translate(
     bare = is_blank(F.col(G)) & is_blank(F.col(C)) & ~is_blank(F.col(P))
     rows = rows.withColumn("_todo", bare & given.isin("protein", "")).withColumn(level, F.coalesce(classify_assay_level(*(F.col(c) for c in (level, G, C, P))), F.lit("")))
     rows = resolve_transcript(rows, associations, P, fallback_cols).drop("transcript_error")
-    pairs = candidates.groupBy("transcript", trim_key(F.col("hgvs_p")).alias("_kp")).agg(F.array_sort(F.collect_list(F.struct("ordinal", "hgvs_c", "hgvs_g"))).alias("_l"))
-    pairs = pairs.select(F.col("transcript").alias("_kt"), "_kp", join_slots(F.col("_l.hgvs_c")).alias("_c"), join_slots(F.col("_l.hgvs_g")).alias("_g"))
-    told = errors.groupBy(F.col("transcript").alias("_kt"), trim_key(F.col("hgvs_p")).alias("_kp")).agg(F.min("error").alias("_error"))
     todo, has = F.col("_todo"), F.col("transcript") != ""
-    rows = rows.withColumns({"_kt": _dealt(todo & has, F.col("transcript"), *names), "_kp": trim_key(F.col(P))})
-    rows = rows.join(pairs, ["_kt", "_kp"], "left").join(told, ["_kt", "_kp"], "left")
-    none = F.coalesce("_c", F.lit("")).eqNullSafe("") & F.coalesce("_g", F.lit("")).eqNullSafe("")
-    message = F.when(todo & ~has, "Unable to resolve transcript accession for protein reverse translation").when(todo & ~is_blank(F.col("_error")), F.col("_error")).when(todo & none, "Reverse translation returned no candidate DNA variants")
+    rows = settled(rows, _bare=F.coalesce(todo & has, F.lit(False)))
+    keep = [c for c in names if c not in DERIVED]
+
+    # rows that ask for candidates: the candidates' own long layer is parsed, packed by pair and joined
+    steps = tuple(coordinate_steps(G, C, P, chunks, size, slot_flags=True)[:2])
+    pairs = derived_lists(candidates, steps)
+    told = errors.groupBy(F.col("transcript").alias("_kt"), trim_key(F.col("hgvs_p")).alias("_kp")).agg(F.min("error").alias("_error"))
+    asked = rows.filter("_bare").withColumns({"_kt": F.col("transcript"), "_kp": trim_key(F.col(P))})
+    asked = asked.join(pairs, ["_kt", "_kp"], "left").join(told, ["_kt", "_kp"], "left")
+    none = (F.coalesce("_c_list", F.lit("")) == "") & (F.coalesce("_g_list", F.lit("")) == "")
+    message = F.when(~is_blank(F.col("_error")), F.col("_error")).when(none, "Reverse translation returned no candidate DNA variants")
     error = F.coalesce("reverse_translation_error", F.lit(""))
-    new = {
-        C: F.when(todo & has, F.coalesce("_c", F.lit(""))).otherwise(F.coalesce(C, F.lit(""))), G: F.when(todo & has, F.coalesce("_g", F.lit(""))).otherwise(F.coalesce(G, F.lit(""))),
-        "reverse_translation_error": F.when(message.isNotNull(), append_error(error, message)).otherwise(error),
-    }
-    rows = rows.select(*(new[c].alias(c) if c in new else F.col(f"`{c}`") for c in names if c not in DERIVED))
-    steps = coordinate_steps(G, C, P, chunks, size, slot_flags=True)[:2]
-    return annotate(rows, *steps, key=key)
+    new = {C: F.coalesce("_c_list", F.lit("")), G: F.coalesce("_g_list", F.lit("")), "reverse_translation_error": F.when(message.isNotNull(), append_error(error, message)).otherwise(error)}
+    made = [c for s in steps for c in s.values]
+    asked = asked.select(*(new[c].alias(c) if c in new else F.col(f"`{c}`") for c in keep), *(F.coalesce(f"_d_{c}", F.lit("")).alias(c) for c in made))
+
+    # the others have lists of their own, or none
+    rest = rows.filter("not _bare")
+    lost = F.when(todo, append_error(error, F.lit("Unable to resolve transcript accession for protein reverse translation"))).otherwise(error)
+    new = {C: F.coalesce(C, F.lit("")), G: F.coalesce(G, F.lit("")), "reverse_translation_error": lost}
+    rest = annotate(rest.select(*(new[c].alias(c) if c in new else F.col(f"`{c}`") for c in keep)), *steps, key=key)
+    return asked.unionByName(rest.select(*asked.columns))
+
+
+def derived_lists(candidates: DataFrame, steps: tuple[Step, ...]) -> DataFrame:
+    """(_kt, _kp, _c_list, _g_list, _d_*): for each pair of transcript and p. string its candidates in order, and what ``steps`` make of them.  A
+    candidate is parsed once, however many rows share its pair, and no list is packed to be split again."""
+    long = candidates.select(
+        F.struct("transcript", trim_key(F.col("hgvs_p")).alias("hgvs_p")).alias(ROW), F.struct("ordinal", "hgvs_c", "hgvs_g").alias(SLOT),
+        trim_key(F.col("hgvs_c")).alias("_c_in"), trim_key(F.col("hgvs_g")).alias("_g_in"), "hgvs_c", "hgvs_g",
+    )
+    one = F.lit(1)  # lists are as long as the pair has candidates
+    long, at, _, _ = run_steps(long, steps, {C: "_c_in", G: "_g_in"}, {C: one, G: one})
+    made = {f"_d_{c}": at[c] for s in steps for c in s.values}
+    packed = pack_slots(long, {"_c_list": "hgvs_c", "_g_list": "hgvs_g", **made})
+    return packed.select(F.col(f"{ROW}.transcript").alias("_kt"), F.col(f"{ROW}.hgvs_p").alias("_kp"), *(c for c in packed.columns if c != ROW))

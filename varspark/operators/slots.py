@@ -109,6 +109,23 @@ class Step:
     after: Callable[[DataFrame], DataFrame] | None = None
 
 
+def run_steps(long: DataFrame, steps: tuple[Step, ...], at: dict[str, str], size: dict[str, Column]) -> tuple[DataFrame, dict[str, str], dict[str, Column], dict[str, Column]]:
+    """Runs steps over a long layer.  ``at``: its column for each list column, ``size``: the list's number of slots; both come back with what
+    the steps have made, besides the aggregates for the row."""
+    totals: dict[str, Column] = {}
+    for i, s in enumerate(steps):
+        base = long.columns
+        found = s.apply(long.withColumns({k: F.col(at[c]) for k, c in s.lists.items()}))
+        values = {c: (F.col(v) if isinstance(v, str) else v).alias(f"_v{i}_{j}") for j, (c, v) in enumerate(s.values.items())}
+        sums = {c: F.col(v).alias(f"_w{i}_{j}") for j, (c, (v, _)) in enumerate(s.row_values.items())}
+        long = found.select(*base, *values.values(), *sums.values())
+        by = [size[s.lists[k]] for k in (s.sized_by or s.lists)]
+        size = size | dict.fromkeys(values, F.greatest(*by) if len(by) > 1 else by[0])
+        at = at | {c: f"_v{i}_{j}" for j, c in enumerate(values)}
+        totals |= {c: how(F.col(f"_w{i}_{j}")) for j, (c, (_, how)) in enumerate(s.row_values.items())}
+    return long, at, size, totals
+
+
 def annotate(df: DataFrame, *steps: Step, key: list[str] | None = None) -> DataFrame:
     """Runs steps over one long layer: lists are exploded once and packed once, however many steps there are.
 
@@ -128,17 +145,7 @@ def annotate(df: DataFrame, *steps: Step, key: list[str] | None = None) -> DataF
     split = split.select("*", *(F.size(k).alias(f"_n{i}") for i, k in enumerate(read.values())))
     long = split.select(ROW, *size.values(), F.posexplode(F.arrays_zip(*read.values())).alias(SLOT, "_s"))
     long = long.select(ROW, SLOT, *size.values(), *(trim_key(F.col("_s").getField(k)).alias(k) for k in read.values()))
-    at, totals = dict(read), {}
-    for i, s in enumerate(steps):
-        base = long.columns
-        found = s.apply(long.withColumns({k: F.col(at[c]) for k, c in s.lists.items()}))
-        values = {c: (F.col(v) if isinstance(v, str) else v).alias(f"_v{i}_{j}") for j, (c, v) in enumerate(s.values.items())}
-        sums = {c: F.col(v).alias(f"_w{i}_{j}") for j, (c, (v, _)) in enumerate(s.row_values.items())}
-        long = found.select(*base, *values.values(), *sums.values())
-        by = [size[s.lists[k]] for k in (s.sized_by or s.lists)]
-        size |= dict.fromkeys(values, F.greatest(*by) if len(by) > 1 else by[0])
-        at |= {c: f"_v{i}_{j}" for j, c in enumerate(values)}
-        totals |= {c: how(F.col(f"_w{i}_{j}")) for j, (c, (_, how)) in enumerate(s.row_values.items())}
+    long, at, size, totals = run_steps(long, steps, dict(read), size)
     lists = [c for s in steps for c in s.values]
     packed = pack_slots(long, {c: at[c] for c in lists}, totals, {c: size[c] for c in lists})
     out = attach(rows, packed.select(ROW, *(_col(c) for s in steps for c in (*s.values, *s.row_values))))

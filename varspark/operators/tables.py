@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import is_blank, trim_key
 from ..staging import stage
+from .slots import settled
 
 ROW = "_row_id"
 
@@ -147,34 +148,55 @@ def slice_rows(df: DataFrame, skip: int = 0, limit: int | None = None, row_id: s
     return out if limit is None else out.filter(_col(row_id) < skip + limit)
 
 
+#: Rows that the driver gets to choose range borders from, for each partition of an exchange.
+SAMPLES_A_PARTITION = 20
+
+
+def range_borders(df: DataFrame, order: str, parts: int) -> list:
+    """At most ``parts`` - 1 values of ``order``, in order, that cut ``df`` into ranges of about equal size: from the values with the smallest
+    hashes, so that every evaluation finds the same.  The driver gets ``SAMPLES_A_PARTITION`` values for each range, about."""
+    values = df.select(_col(order).alias("v")).filter("v is not null")
+    n, most = values.count(), parts * SAMPLES_A_PARTITION
+    share = min(1.0, most / max(1, n))
+    some = values if share == 1.0 else values.filter(F.xxhash64("v") <= int(-(2**63) + share * (2**64 - 1)))
+    found = sorted(r.v for r in some.orderBy(F.xxhash64("v")).limit(2 * most).collect())
+    return sorted({found[i * len(found) // parts] for i in range(1, parts)}) if found else []
+
+
+def range_of(value: Column, borders: list, kind) -> Column:
+    """How many of the sorted ``borders`` are not above ``value``, by bisection; 0 for null."""
+    if not borders:
+        return F.lit(0)
+    sorted_borders = F.array(*(F.lit(b).cast(kind) for b in borders))
+    steps = [1 << k for k in range(len(borders).bit_length() - 1, -1, -1)]
+    higher = lambda lo, step: F.when(F.coalesce(F.get(sorted_borders, lo + step - 1) <= value, F.lit(False)), lo + step).otherwise(lo)
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), higher)
+
+
 def contiguous_runs(df: DataFrame, key: str, order: str, within: list[str] | None = None) -> DataFrame:
     """Number of the run of equal keys that a row belongs to, from 1 (``run``), over the whole table or ``within`` groups.
 
-    Rows are sorted by range and staged; a run's first row is marked within its partition, the borders of partitions are
-    compared by a row each, and marks are summed by partition, so that no task holds a group.  Null keys are equal."""
+    Rows are dealt into ranges of ``order`` (and by group) in one exchange; a range's runs are numbered within it.  Its first and last key and its
+    number of runs, read from the key columns alone, tell the next ranges where to go on, so that no task holds a group.  Null keys
+    are equal; rows of equal order stand in the order of their keys."""
     within = within or []
-    same = lambda a, b: reduce(lambda x, y: x & y, (a[f"_g{i}"].eqNullSafe(b[f"_g{i}"]) for i in range(len(within))), F.lit(True))
-    s = _sorted(df, [*within, order], "runs")
-    s = s.withColumn("_part", F.shiftright("_at", 33)).withColumn("_s", F.struct(_col(key).alias("_k"), *(_col(c).alias(f"_g{i}") for i, c in enumerate(within))))
-    w = Window.partitionBy("_part").orderBy("_at")
-    s = s.withColumn("_prev", F.lag("_s").over(w)).withColumn("_first", F.row_number().over(w) == 1)
-    ends = s.groupBy("_part").agg(F.max_by("_s", "_at").alias("_last"))
-    ends = ends.select(F.lead("_part").over(Window.orderBy("_part")).alias("_part"), "_last").filter("_part is not null")
-    # a row for each partition of one exchange: bounded, and so broadcast
-    s = s.join(F.broadcast(ends), "_part", "left").withColumn("_prev", F.when(F.col("_first"), F.col("_last")).otherwise(F.col("_prev")))
-    p, c = F.col("_prev"), F.col("_s")
-    start = p.isNull() | ~same(p, c)  # of a group
-    s = s.withColumn("_new", (start | ~p["_k"].eqNullSafe(c["_k"])).cast("long")).withColumn("_start", start)
-    s = stage(s.drop("_prev", "_first", "_last"), "run-marks")
-    up = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
-    s = s.withColumn("_run", F.sum("_new").over(up)).withColumn("_off", F.max(F.when(F.col("_start"), F.col("_run") - 1)).over(up))
-    parts = s.groupBy("_part").agg(F.sum("_new").alias("_n"), F.max("_off").alias("_o"))
-    before = _before(parts.select("_part", "_n")).join(parts.select("_part", "_o"), "_part")
-    carry = F.last(F.col("_before") + F.col("_o"), ignorenulls=True).over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    before = before.select("_part", "_before", carry.alias("_carry"))
-    out = s.join(F.broadcast(before), "_part")
-    begin = F.coalesce(F.col("_before") + F.col("_off"), F.col("_carry"), F.lit(0))
-    return out.select(*(_col(c) for c in df.columns if c != "run"), (F.col("_before") + F.col("_run") - begin).alias("run"))
+    rows = settled(df.drop("run"), _range=range_of(_col(order), range_borders(df, order, max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))), df.schema[order].dataType))
+    part = [*within, "_range"]
+    in_order = Window.partitionBy(*map(_col, part)).orderBy(_col(order), F.struct(_col(key)))
+    marked = lambda d: d.withColumns({"_new": F.when(F.lag(F.lit(True)).over(in_order).isNull(), 0).when(_col(key).eqNullSafe(F.lag(_col(key)).over(in_order)), 0).otherwise(1)})
+    narrow = marked(rows.select(*map(_col, dict.fromkeys([*part, key, order]))))
+    at = F.struct(_col(order), F.struct(_col(key)).alias("_k"))
+    ends = narrow.groupBy(*map(_col, part)).agg(F.min(at)["_k"].alias("_first"), F.max(at)["_k"].alias("_last"), F.sum("_new").alias("_n"))
+    groups = Window.partitionBy(*map(_col, within)) if within else Window.partitionBy()
+    ranges = groups.orderBy("_range")  # a row for each range of a group
+    before = F.lag("_last").over(ranges)
+    ends = ends.withColumn("_opens", (~before.eqNullSafe(F.col("_first"))).cast("int")).withColumn("_n", F.col("_n") + F.col("_opens"))
+    ends = ends.withColumns({"_before": F.coalesce(F.sum("_n").over(ranges.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
+    right = ends.select(*(_col(c).alias(f"_g{i}") for i, c in enumerate(part)), "_opens", "_before")
+    up = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    runs = marked(rows).withColumn("_run", F.sum("_new").over(up))
+    out = runs.join(right, reduce(lambda a, b: a & b, (_col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(part))))
+    return out.select(*(_col(c) for c in df.columns if c != "run"), (F.col("_before") + F.col("_opens") + F.col("_run")).alias("run"))
 
 
 def group_rows(df: DataFrame, group: str, sequence: str, order: str) -> DataFrame:

@@ -122,7 +122,7 @@ def a12(t):
 def a15(t):
     path = scratch(t.spark, "cache")
     io.write_frequency_cache(t.sql(_FREQUENCIES), path)
-    return io.read_frequency_table(t.spark, path).withColumn("chrom", F.col("chrom").cast("string"))
+    return io.read_frequency_cache(t.spark, path)
 
 
 @query("A13_read_calibrations", """select 's' || n_nationkey as score_set, r_regionkey as ordinal, 'u' || n_nationkey || '-' || r_regionkey as calibration, n_name as title, r_regionkey = 1 as "primary", n_nationkey % 2 = 0 as investigator,

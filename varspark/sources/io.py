@@ -141,6 +141,8 @@ def read_registry(spark: SparkSession, path: str, transcript: str | None = None)
 def read_frequency_table(spark: SparkSession, path: str) -> DataFrame:
     """A frequency table by ``caid`` (in either case) if it has that column, else by allele."""
     df = spark.read.parquet(path)
+    if {"chrom", "block"} <= set(df.columns):
+        return read_frequency_cache(spark, path)
     caid = next((c for c in df.columns if c.lower() == "caid"), None)
     if caid:
         return df.withColumnRenamed(caid, "caid")
@@ -149,10 +151,38 @@ def read_frequency_table(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
+#: Positions of one folder of a frequency cache, and folders that a reader names one by one at most (all of a human genome are about 3,100).
+CACHE_BLOCK, MOST_BLOCKS = 1 << 20, 8192
+
+
+def _block(pos: Column) -> Column:
+    return F.floor(pos / CACHE_BLOCK).cast("long")
+
+
 def write_frequency_cache(df: DataFrame, path: str, refresh: bool = False) -> None:
-    """By chromosome, sorted by position within files, so that row groups can be skipped."""
-    out = df.repartitionByRange("chrom", "pos").sortWithinPartitions("chrom", "pos")
-    out.write.partitionBy("chrom").parquet(path, mode="overwrite" if refresh else "errorifexists")
+    """By chromosome and block of positions, sorted by position within files: readers open the blocks they need only."""
+    out = df.withColumn("block", _block(F.col("pos"))).repartitionByRange("chrom", "pos").sortWithinPartitions("chrom", "pos")
+    out.write.partitionBy("chrom", "block").parquet(path, mode="overwrite" if refresh else "errorifexists")
+
+
+def read_frequency_cache(spark: SparkSession, path: str, wanted: DataFrame | None = None) -> DataFrame:
+    """A frequency cache; with ``wanted`` (chrom, pos) only the blocks that hold one of these places, by partition pruning.  The driver gets
+    the wanted blocks' names, up to ``MOST_BLOCKS``; of a table that needs more everything is read."""
+    df = spark.read.parquet(path)
+    df = df.withColumn("chrom", F.col("chrom").cast("string"))
+    if wanted is None or "block" not in df.columns:
+        return df.drop("block")
+    blocks = wanted.select(F.regexp_replace(F.col("chrom").cast("string"), "^chr", "").alias("chrom"), _block(F.col("pos")).alias("block")).filter("chrom <> '' and block is not null").distinct()
+    found = blocks.limit(MOST_BLOCKS + 1).collect()
+    if len(found) > MOST_BLOCKS:
+        return df.drop("block")
+    by: dict[str, list[int]] = {}
+    for r in found:
+        by.setdefault(r.chrom, []).append(r.block)
+    some = F.lit(False)
+    for chrom, numbers in by.items():
+        some = some | (F.col("chrom").isin(chrom, f"chr{chrom}") & F.col("block").isin(sorted(numbers)))
+    return df.filter(some).drop("block")
 
 
 CALIBRATIONS = "score_set string, calibrations array<struct<urn:string,title:string,`primary`:boolean,investigatorProvided:boolean,researchUseOnly:boolean,functionalClassifications:array<struct<id:int,label:string,range:array<double>,inclusiveLowerBound:boolean,inclusiveUpperBound:boolean>>>>"

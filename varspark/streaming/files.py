@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.expr import trim_key
 from ..operators.mapping import lookup_worklist
 from ..plans.pipeline import pipeline
 
@@ -30,17 +32,17 @@ def annotate_stream(spark: SparkSession, source: str, schema: str, sink: str, st
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def worklist_stream(spark: SparkSession, source: str, schema: str, cache: Callable[[], DataFrame], now, sink: str, checkpoint: str, fmt: str = "parquet", max_files: int | None = None):
-    """The keys of each batch that neither the cache holds at that time nor an earlier batch has asked for.
+def worklist_stream(spark: SparkSession, source: str, schema: str, cache: Callable[[], DataFrame], now, sink: str, checkpoint: str, fmt: str = "parquet", max_files: int | None = None, again: str = "1 day"):
+    """The keys of each batch that the cache does not hold at that time and that did not arrive before.
 
-    A batch that is run again replaces its own folder and looks only at those before it."""
+    Keys that arrived are kept in the stream's state until ``again`` has passed since their arrival, then a key may be asked for once more (a
+    miss holds for a day in the cache).  So a batch looks up its own keys, however many came before, and a batch that is run
+    again meets the state as it was and replaces its own folder."""
 
     def batch(df: DataFrame, number: int) -> None:
-        keys = lookup_worklist(df.select("key"), cache(), now)
-        if number > 0:
-            asked = spark.read.schema("key string, batch int").parquet(sink).filter(f"batch < {number}")
-            keys = keys.join(asked.select("key"), "key", "left_anti")
-        keys.write.mode("overwrite").parquet(f"{sink}/batch={number}")
+        lookup_worklist(df.select("key"), cache(), now).write.mode("overwrite").parquet(f"{sink}/batch={number}")
 
     stream = _files(spark, source, schema, fmt, max_files)
-    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    keys = stream.select(trim_key(F.col("key")).alias("key"), F.current_timestamp().alias("_arrived")).filter("key <> ''")
+    fresh = keys.withWatermark("_arrived", again).dropDuplicatesWithinWatermark(["key"])
+    return fresh.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
