@@ -395,3 +395,28 @@ def test_prefix_violation_names_the_line(spark):
     df = spark.createDataFrame([(0, "CA1", "c.1A>G"), (1, "PA1", "c.1A>G")], "row int, id string, nt string")
     with pytest.raises(ValueError, match="row 3"):
         M.validate_id_prefix(df, "id", "nt", "row")
+
+
+def test_earlier_results_of_several_tables(spark):
+    first = spark.createDataFrame([(5, "c.1A>G", "", "G1"), (6, "c.2A>G", "", "")], "line int, nt string, pro string, mapped_hgvs_g string")
+    bare = spark.createDataFrame([(1, "c.1A>G", "wrong")], "line int, nt string, mapped_hgvs_g string")  # no pro: passed over
+    last = spark.createDataFrame([("c.1A>G", "", "late", "c", 1), ("c.2A>G", "", "G2", "c", 2)], "nt string, pro string, mapped_hgvs_g string, mapped_hgvs_c string, line int")
+    mapped = ("mapped_hgvs_g", "mapped_hgvs_c")
+    old = M.earlier_results([bare, first, last], "line", ["nt", "pro"], mapped)
+    hit, rest = M.reuse_existing(spark.createDataFrame([(" c.1A>G", ""), ("c.2A>G", None), ("c.3A>G", "")], "nt string, pro string"), old, "_order", "nt", "pro", mapped=mapped)
+    assert rows(hit, "nt", *mapped) == [(" c.1A>G", "G1", ""), ("c.2A>G", "G2", "c")] and rest.count() == 1
+    assert M.earlier_results([bare], "line", ["nt", "pro"], mapped) is None
+
+
+def test_short_spans_take_one_exchange_a_side(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        chunks = spark.range(50).select(F.lit("x").alias("accession"), F.col("id").alias("chunk"), F.repeat(F.lit("A"), 200).alias("seq"), F.lit(100).alias("overlap"))
+        df = spark.range(1000).select(F.concat(F.lit("x"), F.lit("")).alias("accession"), (F.col("id") + 1).alias("a"), (F.col("id") + 5).alias("b"))
+        found = M.bases_of(df, "accession", F.col("a"), F.col("b"), chunks, 100)
+        plan = found._jdf.queryExecution().optimizedPlan().children().head()  # the short spans' branch of the union
+        assert found.filter("bases = 'AAAAA'").count() == 1000
+        assert plan.toString().count("Join") == 1 and "Aggregate" not in plan.toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,6 +86,19 @@ def join_targets(df: DataFrame, targets: DataFrame, name_col: str, fill: list[st
     return out.select(*(F.when(is_blank(F.col(c)), value(c)).otherwise(F.col(c)).alias(c) if c in fill else F.col(c) for c in df.columns), *(value(c).alias(c) for c in more))
 
 
+def earlier_results(tables: list[DataFrame], order: str, keys: list[str], mapped: tuple[str, ...]) -> DataFrame | None:
+    """Several earlier results as one table for ``reuse_existing``, in their order (column ``_order``): tables that lack one of the ``keys`` columns are
+    passed over, columns of ``mapped`` that one lacks are empty there.  None if no table is left."""
+    usable = [(i, d) for i, d in enumerate(tables) if set(keys) <= set(d.columns)]
+    if not usable:
+        return None
+    one = lambda i, d: d.select(
+        F.struct(F.lit(i).alias("table"), _col(order).cast("long").alias("line")).alias("_order"), *(_col(k).cast("string").alias(k) for k in keys),
+        *((_col(c) if c in d.columns else F.lit("")).cast("string").alias(c) for c in mapped if c not in keys),
+    )
+    return reduce(DataFrame.unionByName, (one(i, d) for i, d in usable))
+
+
 def reuse_existing(df: DataFrame, prior: DataFrame, order: str, nt: str, pro: str, extra: tuple[str, ...] = (), mapped: tuple[str, ...] = ("mapped_hgvs_g", "mapped_hgvs_c", "mapped_hgvs_p", "mapping_error"), useful: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """(rows with the first earlier result of their key, rows still to do).  Earlier rows count if one of ``useful`` (all of
     ``mapped`` by default) is not blank."""
@@ -169,14 +184,14 @@ MAPPED = ["mapped_hgvs_g", "mapped_hgvs_c", "mapped_hgvs_p", "mapping_error", "m
 
 
 def map_variants(
-    df: DataFrame, assays: DataFrame, results: DataFrame, registry: DataFrame, alignments: DataFrame, targets: DataFrame | None = None, existing: DataFrame | None = None,
+    df: DataFrame, assays: DataFrame, results: DataFrame, registry: DataFrame, alignments: DataFrame, targets: DataFrame | None = None, existing: DataFrame | list[DataFrame] | None = None,
     match_cols: tuple[str, ...] = (), order: str = "line", nt: str = "raw_hgvs_nt", pro: str = "raw_hgvs_pro", sequence: str = "target_sequence", group_by: str = "target_sequence",
     target_name: str = "target_name", drop: tuple[str, ...] = (),
 ) -> DataFrame:
     """Each row with its mapped g., c. and p. strings, error, warnings, digests, strand and allele id; one row for each of ``df``.
 
     Blank cells are filled from ``targets`` (unique by ``target_name``); one-letter protein strings are spelled out; rows with an
-    earlier result in ``existing`` (first by ``order``, same strings and ``match_cols``) take it.  Strings with an accession go by
+    earlier result in ``existing`` (one table or several, first by table and ``order``, same strings and ``match_cols``) take it.  Strings with an accession go by
     ``assays`` (raw, assay) to ``registry`` (hgvs, g, c, p, id), their strand by ``alignments`` (tx_ac, strand, method).  Others need
     a target sequence and take ``results`` of the external mapper, unique by (target, nt, pro) with assay, error,
     dna_vrs_digest, protein_vrs_digest and strand; ``target`` is ``group_by`` or else the sequence.  Rows without a usable
@@ -190,6 +205,8 @@ def map_variants(
     rows = rows.withColumn(pro, spelled)
     names = [c for c in rows.columns if c not in MAPPED and c not in wanted]
     done = None
+    if isinstance(existing, list):
+        existing, order = earlier_results(existing, order, [nt, pro, *match_cols], tuple(MAPPED)), "_order"
     if existing is not None:
         old = existing.withColumns({c: F.lit("") for c in MAPPED if c not in existing.columns})
         done, rows = reuse_existing(rows, old, order, nt, pro, match_cols, tuple(MAPPED), useful=tuple(MAPPED[:4]))
@@ -356,6 +373,14 @@ def compose_delins(df: DataFrame, components: str, target: str) -> DataFrame:
     return rows.withColumn("composed", F.when(known & (ref != alt), F.concat(where, F.lit("delins"), alt))).drop("_t", "_s", "_lo", "_hi", "_alt", "_ref")
 
 
+def haplotype_worklist(df: DataFrame, nt_col: str = "raw_hgvs_nt", target: str = "target_sequence") -> DataFrame:
+    """(accession, target, component), each once: what ``rewrite_haplotypes`` looks up in its mapping, for an external mapper.  Strings with an
+    accession have no target, strings without one need it."""
+    acc = F.regexp_extract(trim_key(_col(nt_col)), r"^([^:]+):", 1)
+    asked = df.select(acc.alias("accession"), F.when(acc == "", trim_key(_col(target))).otherwise("").alias("target"), F.explode(haplotype_components(_col(nt_col))).alias("component"))
+    return asked.filter((F.col("accession") != "") | (F.col("target") != "")).distinct()
+
+
 def rewrite_haplotypes(df: DataFrame, mapping: DataFrame, nt_col: str = "raw_hgvs_nt", target: str = "target_sequence", orig: str = "orig_raw_hgvs_nt", key: list[str] | None = None) -> DataFrame:
     """Intra-codon haplotypes become one delins; the original string is kept before them in ``orig``.
 

@@ -1,6 +1,6 @@
 """Registered queries: one for each operator, with the same result as SQL."""
 
-from . import annotations, expressions, sources, utilities  # noqa: F401
+from . import annotations, entrypoints, expressions, sources, utilities  # noqa: F401
 from .base import ORACLE_SQL, QUERIES
 
 

@@ -148,10 +148,13 @@ one as (select distinct o.row_id, o.slot, o.o, h.panel, h.uuid from once o join
 _HIT = _HIT.replace("@E", _EVIDENCE).replace("@S", slots(f"({_EKEYS})", s_h="hgvs_col", s_v="variation_col", s_i="caid_col"))
 
 
-def _evidence(t):
+def evidence_records(t):
     e = t.sql(_EVIDENCE)
-    e = e.select("record", "uuid", "panel", F.when(F.col("p_size") < 30, F.array("expression")).otherwise(F.array().cast("array<string>")).alias("hgvs"), F.when(F.col("p_size") < 35, F.col("variation_id")).otherwise("").alias("variation_id"), F.when(F.col("p_size") < 40, F.col("caid")).otherwise("").alias("caid"))
-    return A.annotate_evidence(t.sql(_EKEYS), e, "hgvs_col", "variation_col", "caid_col", ["panel", "uuid"], key=_ROW)
+    return e.select("record", "uuid", "panel", F.when(F.col("p_size") < 30, F.array("expression")).otherwise(F.array().cast("array<string>")).alias("hgvs"), F.when(F.col("p_size") < 35, F.col("variation_id")).otherwise("").alias("variation_id"), F.when(F.col("p_size") < 40, F.col("caid")).otherwise("").alias("caid"))
+
+
+def _evidence(t):
+    return A.annotate_evidence(t.sql(_EKEYS), evidence_records(t), "hgvs_col", "variation_col", "caid_col", ["panel", "uuid"], key=_ROW)
 
 
 @query("C13_annotate_evidence", _HIT + f""", merged as (select row_id, slot, string_agg(uuid, ' | ' order by o) as uuids from one group by 1, 2)

@@ -118,6 +118,13 @@ def a12(t):
     return io.read_frequency_table(t.spark, path)
 
 
+@query("A12_frequency_table_by_allele", "select (1 + p_partkey % 22)::varchar as chrom, p_partkey as pos, 'A' as ref, 'G' as alt, p_size as allele_count from part")
+def a12_alleles(t):
+    path = scratch(t.spark, "frequency")
+    t.sql("select named_struct('contig', 'chr' || cast(1 + p_partkey % 22 as string), 'position', p_partkey) as locus, array('A', 'G') as alleles, p_size as allele_count from {part}").write.parquet(path)
+    return io.read_frequency_table(t.spark, path)
+
+
 @query("A15_write_frequency_cache", "select (1 + p_partkey % 22)::varchar as chrom, p_partkey as pos, 'A' as ref, 'G' as alt, p_size as allele_count from part")
 def a15(t):
     path = scratch(t.spark, "cache")
