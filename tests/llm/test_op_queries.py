@@ -60,6 +60,26 @@ def test_op1_targets_and_takes(spark, texts):
     assert {r.doc_id: r.taken for r in again} == {i: r.taken for i, r in got.items()}
 
 
+def test_op1_draw(spark):
+    """Whole expected copies are certain; beyond, documents are drawn by the Pareto order of their odds until one does not fit."""
+    u = (F.xxhash64(F.lit(1), "doc_id", F.xxhash64("text")).bitwiseAND((1 << 52) - 1) + 0.5) / float(1 << 52)
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", u.alias("u"))
+    by = defaultdict(list)
+    for r in run(spark, "op1_pareto_mixing").filter("size > 0").join(docs, "doc_id").collect():
+        whole = int(r.expected)
+        assert whole <= r.copies <= whole + 1 and r.expected <= 3
+        by[r.source].append(r)
+    for own in by.values():
+        assert sum(r.expected * r["size"] for r in own) == pytest.approx(own[0].target, rel=1e-6)  # in expectation the target
+        gap = own[0].target - sum(int(r.expected) * r["size"] for r in own)
+        odds = lambda r: (r.u / (1 - r.u)) / ((r.expected % 1) / (1 - r.expected % 1))
+        for r in sorted((r for r in own if r.expected % 1 > 0), key=odds):
+            if r.copies == int(r.expected):
+                assert r["size"] > gap  # the first one that is passed over is too long for what is left
+                break
+            gap -= r["size"]
+
+
 def test_op2_each_id_in_one_place(spark, texts):
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -96,16 +116,45 @@ def test_op3_payloads(spark, texts):
         assert by_text.setdefault(raw, (r.media_bytes, r.media_sha256, r.feature)) == (r.media_bytes, r.media_sha256, r.feature)
 
 
+class Independent(__import__("html.parser").parser.HTMLParser):
+    """All text of a page outside scripts and styles, by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.parts, self.skip = [], 0
+
+    def handle_starttag(self, tag, attrs):
+        self.skip += tag in ("script", "style")
+        if tag not in ("a", "b", "i", "em", "strong", "span", "small", "code", "u", "sub", "sup", "mark"):
+            self.parts.append(" ")
+
+    def handle_endtag(self, tag):
+        self.skip -= tag in ("script", "style") and self.skip > 0
+        if tag not in ("a", "b", "i", "em", "strong", "span", "small", "code", "u", "sub", "sup", "mark"):
+            self.parts.append(" ")
+
+    def handle_data(self, data):
+        if not self.skip:
+            self.parts.append(data)
+
+
 def test_op4_every_page(spark):
+    """What is kept stands in the page in this order, as an independent parser reads it, and is a good part of it."""
     pages = {r.page_id: r for r in spark.read.parquet(f"{DATA}/pages.parquet").collect()}
     got = run(spark, "op4_block_labeller").collect()
     assert len(got) == len(pages)
+    kept = all_ = 0
     for r in got:
         p = pages[r.page_id]
-        assert r.url == p.url and r.text is not None and r.n_chars == len(r.text)
-        assert r.text == " ".join(r.text.split()) or " " in r.text
-        assert "<" not in r.text or "&lt;" in p.html or "<" in p.html
-    assert sum(r.n_chars > 0 for r in got) >= 0.95 * len(got)
+        assert r.url == p.url and r.n_chars == len(r.text) and r.text == " ".join(r.text.split())
+        reader = Independent()
+        reader.feed(p.html or "")
+        reader.close()
+        words = iter(" ".join("".join(reader.parts).split()).split(" "))
+        lost = [w for w in r.text.split() if not any(w == x for x in words)]
+        assert not lost, (r.page_id, lost[:5])
+        kept, all_ = kept + len(r.text), all_ + len("".join(reader.parts))
+    assert sum(r.n_chars > 0 for r in got) >= 0.95 * len(got) and 0.2 * all_ < kept < 0.95 * all_
 
 
 def test_op5_held_out(spark, texts):
@@ -120,8 +169,23 @@ def test_op5_held_out(spark, texts):
 
 
 def test_op7_counts(spark, texts):
+    """Counts before and after the three edits, against whole encodings."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    enc = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    enc.encode_special_tokens = True
+    count = lambda t: len(enc.encode(t, add_special_tokens=False).ids)
     got = run(spark, "op7_edit_aware_counts").collect()
-    assert len(got) == len(texts) and {r.doc_id for r in got} == texts.keys()
+    assert {r.doc_id for r in got} == texts.keys()
+    for r in got:
+        t = texts[r.doc_id][0]
+        n, after = len(t), t
+        for at, delete, insert in ((int(n / 2), 7, ""), (int(n * 3 / 4), 3, " it's 42"), (0, 0, "Note: ")):
+            at = min(at, len(after))
+            after = after[:at] + insert + after[at + delete :]
+        assert (r.n_tokens_before, r.n_tokens_after, r.n_edits, r.n_chars_after) == (count(t), count(after), 3, len(after))
+        assert r.reencoded_chars < len(after) + 200
 
 
 def test_op8_ranks_and_recall(spark):
