@@ -440,7 +440,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     n = width(spark)
     base = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     index = base.mapInArrow(tidy(_index(percent, k, n)), "bucket int, kind int, n int, role int, data binary")
-    found = stage(index.repartition(n, "bucket").mapInArrow(tidy(_lists), _FOUND), "jaccard-lists", _BATCH)
+    # each bucket is a partition of its own: none is empty, none holds two
+    found = stage(index.repartitionById(n, F.col("bucket")).mapInArrow(tidy(_lists), _FOUND), "jaccard-lists", _BATCH)
 
     sets = found.filter(F.col("kind") == _SET).select(F.col("a").alias("doc"), F.col("b").alias("n_shingles"), F.col("c").alias("identity"), F.col("d").alias("spare0"), F.col("e").alias("spare1"))
     classes = sets.filter("n_shingles > 0").groupBy("identity", "n_shingles").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
