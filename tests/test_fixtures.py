@@ -420,3 +420,22 @@ def test_short_spans_take_one_exchange_a_side(spark):
         assert plan.toString().count("Join") == 1 and "Aggregate" not in plan.toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_fmt4_is_the_format(spark):
+    import random
+
+    rng = random.Random(3)
+    values = [0.0, -0.0, 0.00005, -0.00005, -0.00004, 0.12345, 0.99995, 1e8, -1e8, 1e12, 123456.78905, -0.0001, -0.00011, 2.5e-5, 1.00005, float("inf"), float("-inf"), float("nan"), None, 1e-300]
+    values += [rng.uniform(-1, 1) for _ in range(3000)] + [rng.randint(-10**6, 10**6) / 10**rng.randint(1, 6) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = df.select("v", X.fmt4(F.col("v")).alias("a"), F.format_string("%.4f", "v").alias("b")).collect()
+    assert all(r.a == (None if r.v is None else r.b) for r in got)
+
+
+def test_casts_without_exceptions(spark):
+    values = ["5", " 7 ", "+3", "-2", "", " ", ".", "x", "1.5", "1e3", "NaN", "-inf", "Infinity", "12345678901234567890123", "0x1", "1d", None, "\t4\n"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    for ours, kind in ((X.to_long, "long"), (X.to_double, "double")):
+        for r in df.select("v", ours(F.col("v")).alias("a"), F.col("v").try_cast(kind).alias("b")).collect():
+            assert str(r.a) == str(r.b), (kind, r.v)

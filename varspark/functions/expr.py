@@ -183,8 +183,12 @@ def dash_to_blank(c: Column) -> Column:
 
 
 def fmt4(c: Column) -> Column:
-    """Four decimals; null stays null."""
-    return F.when(c.isNotNull(), F.format_string("%.4f", c))
+    """Four decimals; null stays null.  Ordinary values go by a decimal, which is much cheaper than a format; the format takes what has no
+    such decimal and what is written with the sign of a zero."""
+    v = c.cast("double")
+    plain = ((v > 0) | (v <= -0.0001)) & (F.abs(v) < 1e9)
+    zero = F.when(v.cast("string") == "-0.0", "-0.0000").otherwise("0.0000")
+    return F.when(plain, v.cast("decimal(14,4)").cast("string")).when(v == 0, zero).when(v.isNotNull(), F.format_string("%.4f", v))
 
 
 # --- HGVS ------------------------------------------------------------------------------------
@@ -335,7 +339,8 @@ def spliceai_numbers(info: Column, alt: Column | None = None) -> Column:
 
 def spliceai_best(numbers: Column) -> dict[str, Column]:
     """The largest value of each field; null without an entry."""
-    return {n: F.array_max(F.transform(numbers, _field(i))) for i, n in enumerate(SPLICE_FIELDS)}
+    one, alone = F.get(numbers, F.lit(0)), F.size(numbers) == 1  # as a rule there is one
+    return {n: F.when(alone, F.get(one, F.lit(i))).otherwise(F.array_max(F.transform(numbers, _field(i)))) for i, n in enumerate(SPLICE_FIELDS)}
 
 
 def spliceai_info(info: Column, alt: Column | None = None) -> Column:
