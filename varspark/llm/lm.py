@@ -4,6 +4,9 @@ Texts are cut into chunks of about 16 MB, which are staged in buckets of their n
 exploded and counted where they are, so that an n-gram, however frequent, leaves a chunk once.  These (n-gram, n)
 rows, packed by the range of the n-gram's hash, meet in the count tables, one range at a time; the tables' totals are
 joined back to the chunks by the same rows, and a chunk's words are scored from them and summed by document.
+
+Both joins run within tasks, by numpy over packed rows: Spark deals out and sorts the rows, no n-gram is a row of its own.  ``ngram_counts``
+gives the same count tables as plain rows, for other uses; ``backoff_scores`` does not go through it.
 """
 
 from __future__ import annotations
