@@ -270,9 +270,10 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(tidy(run), "a long, b long").distinct()
 
 
-def _with_totals(rows: DataFrame, key: str, pieces: int, **totals: tuple) -> DataFrame:
+def _with_totals(rows: DataFrame, key: str, pieces: int, once: list[str] | None = None, **totals: tuple) -> DataFrame:
     """``rows`` with aggregates of all rows of their key: total=(aggregate, column).  Rows of a key travel once, as lists; of a
-    key's rows, ``pieces`` lists are made, so that no list holds more than a share of a frequent key."""
+    key's rows, ``pieces`` lists are made, so that no list holds more than a share of a frequent key.  With ``once`` the key does not matter: of
+    lists with equal totals that agree in these columns one is left, and lists are dealt out evenly, whatever their keys."""
     how = {"count": (F.count, F.sum), "min": (F.min, F.min), "max": (F.max, F.max)}
     parts = [how[f][0](F.lit(1) if c is None else F.col(c)).alias(t) for t, (f, c) in totals.items()]
     members = F.collect_list(F.struct(*(c for c in rows.columns if c != key))).alias("__rows")
@@ -282,6 +283,9 @@ def _with_totals(rows: DataFrame, key: str, pieces: int, **totals: tuple) -> Dat
         first = rows.groupBy(key, F.pmod(F.xxhash64("doc"), F.lit(pieces)).alias("__piece")).agg(*parts, members)
         whole = first.groupBy(key).agg(*(how[f][1](t).alias(t) for t, (f, _) in totals.items()))
         lists = first.select(key, "__rows").join(whole, key)
+    if once:
+        kept = F.array_sort(F.transform("__rows", lambda r: F.struct(*(r[c].alias(c) for c in once))))
+        return lists.select(*totals, kept.alias("__rows")).distinct().select(*totals, F.inline("__rows"))
     return lists.select(key, *totals, F.inline("__rows"))
 
 
@@ -353,7 +357,7 @@ def _followed(open_: DataFrame, sets: DataFrame, comp: DataFrame, percent: int,
     shared = _with_totals(both, "sig", pieces, used=("max", "use")).filter("used = 1 and doc is not null").select("sig", "doc", "component").distinct()
     # lists come together under their most frequent member: near copies share it in most lists
     shared = shared.withColumn("fame", F.count("*").over(Window.partitionBy("doc"))).withColumn("h", F.struct("fame", F.negative("doc").alias("less")))
-    group = _with_totals(stage(shared.drop("fame"), "shared-lists"), "sig", pieces, top=("max", "h"))
+    group = _with_totals(stage(shared.drop("fame"), "shared-lists"), "sig", pieces, once=["doc", "component"], top=("max", "h"))
     return stage(group.select(F.negative("top.less").alias("hub"), "doc", "component").distinct(), "hub-groups"), short
 
 
