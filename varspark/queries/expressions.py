@@ -71,7 +71,9 @@ _SEQ = "substr('ACGTTGCA', cast(1 + ({x} * 7 + 2) % 8 as int), 1)"
 
 
 def _chunks(t):
-    return _sequences(t.sql("select distinct 'A' || cast(s_suppkey % 5 as string) as accession from {supplier}"))
+    """Reference bases for five accessions, as many chunks as the customers of orders reach."""
+    last = t.orders.agg(F.max("o_custkey")).first()[0] or 0
+    return _sequences(t.sql("select distinct 'A' || cast(s_suppkey % 5 as string) as accession from {supplier}"), last // 100 + 5)
 
 
 def genome(t, accessions: list[str]):
@@ -80,7 +82,7 @@ def genome(t, accessions: list[str]):
     return _sequences(t.region.filter("r_regionkey = 0").select(names), t.part.agg(F.max("p_partkey")).first()[0] // 100 + 5)
 
 
-def _sequences(acc, most: int = 29):
+def _sequences(acc, most: int):
     acc = acc.select("accession", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(most).cast("long"))).alias("chunk"))
     base = lambda x: F.substring(F.lit("ACGTTGCA"), (1 + (x * 7 + 2) % 8).cast("int"), F.lit(1))
     return acc.withColumn("seq", F.array_join(F.transform(F.sequence(F.col("chunk") * 100 + 1, F.col("chunk") * 100 + 100), base), ""))
