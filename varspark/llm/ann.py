@@ -8,8 +8,10 @@ distance is so large that a nearer vector would have fallen inside it with proba
 ``confidence``.
 
 A kd-tree over a bounded sample cuts the projected space into cells; rows of a cell are dealt
-into blocks of bounded size.  A query first searches its own cell; its k-th distance then tells
-which other cells the test still reaches.
+into blocks of bounded size, and blocks of neighbouring cells make a part.  A query first searches its
+own cell; its k-th distance then tells which other cells the test still reaches.  It goes once to
+each part with such cells and keeps its best rows there from block to block, so that what is moved is a
+vector for each part and not a block for each group of queries.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from .common import join_small, least, stage
 #: Bounds: vectors that the cells are cut from, rows of a block, queries searched together.  There are as many cells as
 #: blocks, as long as the sample has 8 vectors for each.
 SAMPLE, BLOCK, CHUNK = 65_536, 4096, 512
+#: Parts at least (if there are as many blocks), and bytes of a part's vectors, or of the queries that meet them, at most.
+PARTS, PART_BYTES = 32, 16 << 20
 #: Bytes of the sample at most, and vectors whatever their length.
 SAMPLE_BYTES, _FEWEST = 64 << 20, 1024
 _LEAF = 64
@@ -166,11 +170,9 @@ class Space:
             out[~huge] = leaf_of(self.rows(x[~huge]), self.axis, self.cuts)
         return out
 
-    def search(self, q: np.ndarray, bound: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """For each query its best ``k`` rows of a block (row, or -1; and inner product), as far as the
-        test asks for them.  ``bound``: an inner product of which k better ones are known (-inf if not)."""
-        e, u = exponent(q), self.unit
-        p, small, xs = self.rows(x), scaled(q, e), np.ldexp(x, -u)
+    def tree(self, x: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        """A block's kd-tree: the rows of its leaves, and their boxes."""
+        p = self.rows(x)
         leaves = 1 << max(0, int(np.ceil(np.log2(max(1, len(x) / _LEAF)))))
         if leaves > 1:
             _, _, rows, box = split(p, leaves)
@@ -178,6 +180,14 @@ class Space:
             rows, box = [np.arange(len(x))], np.full((1, 2, self.m), np.inf) * np.array([-1, 1])[None, :, None]
         for i, r in enumerate(rows):  # tight boxes
             box[i] = (p[r].min(0), p[r].max(0)) if len(r) else (np.full(self.m, np.inf), np.full(self.m, np.inf))
+        return rows, box
+
+    def search(self, q: np.ndarray, bound: np.ndarray, tree: tuple[list[np.ndarray], np.ndarray], x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each query its best ``k`` rows of a block (row, or -1; and inner product), as far as the
+        test asks for them.  ``bound``: an inner product of which k better ones are known (-inf if not)."""
+        e, u = exponent(q), self.unit
+        small, xs = scaled(q, e), np.ldexp(x, -u)
+        rows, box = tree
         far = box_distance(self.queries(q), np.where(np.isfinite(box), box, 1e18))
         order = np.argsort(far, axis=1)
         near = np.take_along_axis(far, order, 1)
@@ -256,10 +266,14 @@ def nearest(
         return spark.createDataFrame([], out)
     dim = sizes["n"]
     good = usable(vectors, id_col, vector_col, dim)
+    kind = np.dtype(np.float32 if vectors.schema[vector_col].dataType.elementType.simpleString() == "float" else np.float64)
+
+    def unpacked(raw: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(raw), kind).reshape(-1, dim).astype(np.float64)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = _matrix(b.column(1), dim) + 0.0  # no negative zeros
+            x = (_matrix(b.column(1), dim) + 0.0).astype(kind)  # no negative zeros
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in x], pa.binary())], ["id", "raw"])
 
     rows = stage(good.mapInArrow(packed, "id long, raw binary").groupBy("id").agg(F.min("raw").alias("raw")), "ann-rows")
@@ -273,104 +287,131 @@ def nearest(
     sample = least(ids.select("raw", F.xxhash64("raw").alias("h")), F.col("h"), most).select("raw").toArrow()
     if not sample.num_rows:
         return spark.createDataFrame([], out)
-    sample = np.frombuffer(b"".join(sample.column(0).to_pylist())).reshape(-1, dim)
+    sample = unpacked(sample.column(0).to_pylist())
     unit = int(np.median(exponent(sample)))
 
     def norms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                x = np.frombuffer(b"".join(b.column(0).to_pylist())).reshape(-1, dim)
+                x = unpacked(b.column(0).to_pylist())
                 fit = np.ldexp(x[exponent(x) <= unit + _HUGE], -unit)
-                yield pa.RecordBatch.from_arrays([pa.array([float(np.sqrt((fit**2).sum(1).max(initial=0)))]), pa.array([len(x)])], ["norm", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([float(np.sqrt((fit**2).sum(1).max(initial=0)))]), pa.array([len(x)]), pa.array([len(x) - len(fit)])], ["norm", "n", "huge"])
 
-    top, n = ids.select("raw").mapInArrow(norms, "norm double, n long").agg(F.max("norm"), F.sum("n")).first()
+    top, n, n_huge = ids.select("raw").mapInArrow(norms, "norm double, n long, huge long").agg(F.max("norm"), F.sum("n"), F.sum("huge")).first()
     space = Space(dim, unit, max(top, 1e-3), m, confidence)
     cells = 1 << int(max(0, min(np.ceil(np.log2(n / BLOCK)), np.log2(max(1, len(sample) / 8)))))
     space.cut(sample[~space.huge(sample)], cells)
     sent = spark.sparkContext.broadcast(space)
-    salts = max(1, -(-2 * n // (cells * BLOCK)))  # blocks of a cell
+    salts = max(1, -(-2 * n // (cells * BLOCK)))  # blocks of a cell, and those of the huge vectors behind them
+    n_blocks = cells * salts + -(-2 * n_huge // BLOCK)
+    n_parts = min(n_blocks, max(PARTS, -(-n * dim * kind.itemsize // PART_BYTES)))
+    edges = -(-np.arange(n_parts + 1) * n_blocks // n_parts)  # the first block of each part
+    from_cell, to_cell = np.minimum(edges[:-1] // salts, cells), np.minimum((edges[1:] - 1) // salts, cells)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = sent.value
         for b in batches:
             if not b.num_rows:
                 continue
-            raw = b.column(1).to_pylist()
-            cell = s.cell_of(np.frombuffer(b"".join(raw)).reshape(-1, dim))
-            uid = b.column(0).to_numpy()
-            block = cell * salts + (uid * 2654435761 >> 7) % salts
-            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(block), b.column(0), b.column(1)], ["cell", "block", "uid", "raw"])
-
-    def joined(table: pa.Table) -> pa.Table:
-        t = table.sort_by("uid")
-        return pa.table({"cell": [t["cell"][0].as_py()], "block": [t["block"][0].as_py()], "ids": [t["uid"].to_numpy().tobytes()], "xs": [b"".join(t["raw"].to_pylist())]}, pa.schema([("cell", pa.int64()), ("block", pa.int64()), ("ids", pa.binary()), ("xs", pa.binary())]))
-
-    blocks = ids.select("uid", "raw").mapInArrow(placed, "cell long, block long, uid long, raw binary")
-    blocks = stage(blocks.groupBy("block").applyInArrow(joined, "cell long, block long, ids binary, xs binary"), "ann-blocks")
-    asked = rows.filter(is_query(F.col("id")))
-    asked = stage(asked.join(ids.select("raw", "uid"), "raw").select("id", "uid", "raw"), "ann-queries")
-
-    def own_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = sent.value
-        for b in batches:
-            if b.num_rows:
-                q = np.frombuffer(b"".join(b.column(1).to_pylist())).reshape(-1, dim)
-                cell = leaf_of(s.queries(q), s.axis, s.cuts)
-                yield pa.RecordBatch.from_arrays([pa.array(cell), b.column(0), b.column(1), pa.array(np.full(len(q), -np.inf))], ["cell", "uid", "raw", "bound"])
+            cell = s.cell_of(unpacked(b.column(1).to_pylist()))
+            dealt = b.column(0).to_numpy() * 2654435761 >> 7
+            block = cell * salts + dealt % np.where(cell < cells, salts, max(1, n_blocks - cells * salts))
+            part = block * n_parts // n_blocks
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(cell), pa.array(block), b.column(0), b.column(1)], ["part", "cell", "block", "uid", "raw"])
 
-    def other_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = sent.value
-        for b in batches:
-            if not b.num_rows:
-                continue
-            q = np.frombuffer(b"".join(b.column(1).to_pylist())).reshape(-1, dim)
-            bound = b.column(2).to_numpy(zero_copy_only=False)
-            limit = np.where(bound > -np.inf, s.distance2(q, np.where(bound > -np.inf, bound, 0.0)[:, None])[:, 0], np.inf)
-            p = s.queries(q)
-            reach = np.ones((len(q), s.cells + 1), bool)  # the last cell, of huge vectors, is scanned by all
-            reach[:, :-1] = box_distance(p, s.box) <= s.reach * limit[:, None]
-            reach[s.overflows(q)] = True
-            reach[np.arange(len(q)), leaf_of(p, s.axis, s.cuts)] = False
-            i, cell = np.nonzero(reach)
-            take = pa.array(i)
-            yield pa.RecordBatch.from_arrays([pa.array(cell), b.column(0).take(take), b.column(1).take(take), pa.array(bound[i])], ["cell", "uid", "raw", "bound"])
-
-    def together(table: pa.Table) -> pa.Table:
-        t = table.sort_by("uid")
-        return pa.table({"cell": [t["cell"][0].as_py()], "uids": [t["uid"].to_numpy().tobytes()], "qs": [b"".join(t["raw"].to_pylist())], "bounds": [t["bound"].to_numpy().tobytes()]}, pa.schema([("cell", pa.int64()), ("uids", pa.binary()), ("qs", pa.binary()), ("bounds", pa.binary())]))
-
-    def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = sent.value
-        for b in batches:
-            for uids, qs, bounds, their, xs in zip(*(b.column(i).to_pylist() for i in range(5))):
-                uid, their, bound = np.frombuffer(uids, np.int64), np.frombuffer(their, np.int64), np.frombuffer(bounds)
-                q, x = np.frombuffer(qs).reshape(-1, dim), np.frombuffer(xs).reshape(-1, dim)
-                plain = s.overflows(q) | s.huge(x[:1])[0]
-                at, best = np.full((len(q), k + 1), -1, np.int64), np.full((len(q), k + 1), -np.inf)
-                for who, how in ((plain, s.scan), (~plain, s.search)):
-                    if who.any():
-                        at[who], best[who] = how(q[who], bound[who], their, x, k + 1)
-                with np.errstate(over="ignore", invalid="ignore"):
-                    slack = 1e-9 * np.abs(bound) + np.ldexp(1e-9, np.minimum(exponent(q) + s.unit, 1000))
-                    least_kept = np.where(np.isfinite(bound), bound - slack, bound)
-                i, j = np.nonzero((at >= 0) & (best >= least_kept[:, None]))
-                r = at[i, j]
-                score = products(q[i], x[r])  # each pair alone, so equal in every block
-                yield pa.RecordBatch.from_arrays([pa.array(uid[i]), pa.array(their[r]), pa.array(score)], ["uid", "other", "score"])
-
-    def run(queries: DataFrame, name: str) -> DataFrame:
-        spread = F.pmod(F.xxhash64("uid"), F.lit(max(1, -(-n // CHUNK // 8))))
-        chunks = queries.groupBy("cell", spread.alias("chunk")).applyInArrow(lambda t: together(t), "cell long, uids binary, qs binary, bounds binary")
-        both = stage(chunks, f"ann-chunks-{name}").join(blocks, "cell").select("uids", "qs", "bounds", "ids", "xs")
-        both = both.repartition(max(8, min(4096, 4 * spark.sparkContext.defaultParallelism)))
-        return stage(both.mapInArrow(searched, "uid long, other long, score double"), f"ann-found-{name}")
+    places = stage(ids.select("uid", "raw").mapInArrow(placed, "part long, cell long, block long, uid long, raw binary"), "ann-places")
+    asked = rows.filter(is_query(F.col("id")))
+    asked = stage(join_small(ids.select("raw", "uid"), asked, "raw", "inner").select("id", "uid", "raw"), "ann-queries")
+    distinct = stage(asked.dropDuplicates(["uid"]).select("uid", "raw"), "ann-asked")
+    n_chunks = max(1, -(-distinct.count() * dim * kind.itemsize // PART_BYTES))
+    if n_chunks > 1:
+        places = places.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))))
+    else:
+        places = places.withColumn("chunk", F.lit(0))
+
+    def reached(s: Space, q: np.ndarray, bound: np.ndarray, box: np.ndarray) -> np.ndarray:
+        """Which cells of these boxes each query still has to search."""
+        limit = np.where(bound > -np.inf, s.distance2(q, np.where(bound > -np.inf, bound, 0.0)[:, None])[:, 0], np.inf)
+        return (box_distance(s.queries(q), box) <= s.reach * limit[:, None]) | s.overflows(q)[:, None]
+
+    def to_parts(own: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            s = sent.value
+            for whole in batches:
+                for at in range(0, whole.num_rows, CHUNK):
+                    b = whole.slice(at, CHUNK)
+                    q = unpacked(b.column(1).to_pylist())
+                    home, each = leaf_of(s.queries(q), s.axis, s.cuts), np.arange(len(q))
+                    cell = np.zeros((len(q), cells + 1), bool)
+                    if own:
+                        cell[each, home] = True
+                    else:
+                        cell[:, :-1] = reached(s, q, b.column(2).to_numpy(zero_copy_only=False), s.box)
+                        cell[:, -1] = True  # huge vectors are scanned by all
+                        cell[each, home] = False
+                    upto = np.c_[np.zeros(len(q), np.int64), cell.cumsum(1)]
+                    i, part = np.nonzero(upto[:, to_cell + 1] > upto[:, from_cell])
+                    take = pa.array(i)
+                    yield pa.RecordBatch.from_arrays([pa.array(part), *(c.take(take) for c in b.columns)], ["part", "uid", "raw", "bound"])
+
+        return run
+
+    def searched(own: bool):
+        none = np.iinfo(np.int64).max
+
+        def run(vectors: pa.Table, queries: pa.Table) -> pa.Table:
+            s, found = sent.value, []
+            if vectors.num_rows and queries.num_rows:
+                vectors = vectors.sort_by([("block", "ascending"), ("uid", "ascending")])
+                blocks, their, raw = vectors["block"].to_numpy(), vectors["uid"].to_numpy(), vectors["raw"]
+                queries = queries.sort_by("uid")
+                uid, q, least_known = queries["uid"].to_numpy(), unpacked(queries["raw"].to_pylist()), queries["bound"].to_numpy().copy()
+                home, wide = leaf_of(s.queries(q), s.axis, s.cuts), s.overflows(q)
+                top, ids_ = np.full((len(q), k + 1), -np.inf), np.full((len(q), k + 1), none)
+                edge = np.flatnonzero(np.r_[True, np.diff(blocks) != 0, True])
+                for a, z in zip(edge[:-1], edge[1:]):
+                    cell, x, other = int(vectors["cell"][a].as_py()), unpacked(raw.slice(a, z - a).to_pylist()), their[a:z]
+                    tree = None if cell == cells else s.tree(x)
+                    for at in range(0, len(q), CHUNK):
+                        who = np.arange(at, min(at + CHUNK, len(q)))
+                        who = who[(home[who] == cell) == own]
+                        if not own and cell < cells and len(who):
+                            who = who[reached(s, q[who], least_known[who], s.box[cell : cell + 1])[:, 0]]
+                        for who, plain in ((who[wide[who] | (tree is None)], True), (who[~wide[who] & (tree is not None)], False)):
+                            if not len(who):
+                                continue
+                            bound = least_known[who]
+                            row, best = s.scan(q[who], bound, other, x, k + 1) if plain else s.search(q[who], bound, tree, x, k + 1)
+                            with np.errstate(over="ignore", invalid="ignore"):
+                                slack = 1e-9 * np.abs(bound) + np.ldexp(1e-9, np.minimum(exponent(q[who]) + s.unit, 1000))
+                                kept = np.where(np.isfinite(bound), bound - slack, bound)
+                            i, j = np.nonzero((row >= 0) & (best >= kept[:, None]))
+                            score, new = np.full(row.shape, -np.inf), np.full(row.shape, none)
+                            score[i, j] = products(q[who[i]], x[row[i, j]])  # each pair alone, so equal in every block
+                            new[i, j] = other[row[i, j]]
+                            score, new = np.c_[top[who], score], np.c_[ids_[who], new]
+                            first = np.lexsort((new, -score), axis=-1)[:, : k + 1]
+                            top[who], ids_[who] = np.take_along_axis(score, first, 1), np.take_along_axis(new, first, 1)
+                            full = ids_[who, k] != none
+                            least_known[who] = np.where(full, np.maximum(bound, top[who, k]), bound)
+                i, j = np.nonzero(ids_ != none)
+                found = [uid[i], ids_[i, j], top[i, j]]
+            kinds = [pa.int64(), pa.int64(), pa.float64()]
+            return pa.table([pa.array(c, t) for c, t in zip(found or [[]] * 3, kinds)], ["uid", "other", "score"])
+
+        return run
+
+    def run(queries: DataFrame, own: bool, name: str) -> DataFrame:
+        chunk = F.pmod(F.xxhash64("uid"), F.lit(n_chunks)).cast("int")
+        sent_to = queries.mapInArrow(to_parts(own), "part long, uid long, raw binary, bound double").withColumn("chunk", chunk)
+        both = [d.repartition(4 * n_parts * n_chunks, "part", "chunk").groupBy("part", "chunk") for d in (places, sent_to)]
+        return stage(both[0].cogroup(both[1]).applyInArrow(searched(own), "uid long, other long, score double"), f"ann-found-{name}")
 
     best_first = Window.partitionBy("uid").orderBy(F.desc("score"), "other")
-    distinct = asked.dropDuplicates(["uid"]).select("uid", "raw")
-    first = run(distinct.mapInArrow(own_cell, "cell long, uid long, raw binary, bound double"), "own")
+    first = run(distinct.withColumn("bound", F.lit(float("-inf"))), True, "own")
     bound = first.withColumn("at", F.row_number().over(best_first)).filter(F.col("at") == k + 1).select("uid", F.col("score").alias("bound"))
     known = distinct.join(bound, "uid", "left").select("uid", "raw", F.coalesce("bound", F.lit(float("-inf"))).alias("bound"))
-    second = run(known.mapInArrow(other_cells, "cell long, uid long, raw binary, bound double"), "others")
+    second = run(known, False, "others")
     found = first.unionByName(second).withColumn("at", F.row_number().over(best_first)).filter(F.col("at") <= k + 1)
     # the copies of what was found, and then each query without itself
     copies = join_small(found.select("uid", "other", "score"), ids.select(F.col("uid").alias("other"), "ids"), "other", "inner", 0)
