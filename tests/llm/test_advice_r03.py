@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from varspark.llm import ann
+from varspark.llm import ann, gif
 
 
 def test_nearest_moves_vectors_in_proportion(spark, monkeypatch):
@@ -19,3 +19,23 @@ def test_nearest_moves_vectors_in_proportion(spark, monkeypatch):
         assert ann.nearest(df, lambda i: i % 20 == 0, k=5).count() == n // 20 * 5
         sizes.append(moved() - before)
     assert sizes[1] < 2.6 * sizes[0] and sizes[1] < 20 * x.astype(np.float32).nbytes
+
+
+@pytest.mark.parametrize("data", [b" " * 192, b"abracadabra " * 4000, bytes(range(256)) * 300, np.random.default_rng(2).bytes(192 * 200)])
+def test_gif_is_stored_by_lzw(data):
+    """What is stored by default is compressed by a growing table of words, and read by it."""
+    samples = data[: len(data) // 192 * 192]
+    media = gif.write_gif(samples)
+    stream = gif.lzw_compress(samples)
+    assert gif._blocks(stream) in media
+    groups = list(gif._groups(stream, 8))
+    assert max(c for g in groups for c in g) > 257  # words, not samples alone
+    assert b"".join(w for g in groups for w in gif._words(g, 8)) == samples
+    assert b"".join(f.samples.tobytes() for f in gif.read_gif(media)) == samples
+
+
+def test_gif_query_stores_words(spark):
+    from varspark.llm.queries import queries
+
+    rows = queries()["op3_gif_media"](spark, "/root/testdata/sf0.001").select("payload_bytes", "media_bytes").collect()
+    assert sum(r.media_bytes - 800 for r in rows) < 0.8 * sum(r.payload_bytes for r in rows)

@@ -14,6 +14,7 @@ from .common import tidy
 from .textvec import texts
 
 _GREY = bytes(v for i in range(256) for v in (i, i, i))
+_ROOTS = [bytes([i]) for i in range(256)]
 _FRAMES = "array<struct<frame:int,delay_ms:int,left:int,top:int,width:int,height:int,samples:binary,histogram:array<int>>>"
 
 
@@ -44,53 +45,47 @@ def lzw_literal(samples: np.ndarray) -> bytes:
 
 
 def lzw_compress(samples: bytes) -> bytes:
-    """An LZW stream with growing codes: smaller, but one step a sample."""
-    bits = n_bits = 0
-    out = bytearray()
-    table: dict[bytes, int] = {}
-    width = 9
-
-    def put(code):
-        nonlocal bits, n_bits
-        bits |= code << n_bits
-        n_bits += width
-        while n_bits >= 8:
-            out.append(bits & 255)
-            bits >>= 8
-            n_bits -= 8
-
-    def reset():
-        nonlocal width
-        table.clear()
-        table.update((bytes([i]), i) for i in range(256))
-        width = 9
-
-    reset()
-    put(256)
-    w = b""
-    for i in range(len(samples)):
-        x = samples[i : i + 1]
-        if w + x in table:
-            w += x
+    """An LZW stream with growing codes; the table is cleared when it is full."""
+    if not samples:
+        return _growing_bits(np.array([256, 257]))
+    # codes are held eight bits up, so that a sample behind one is a key
+    clear, full = 256 << 8, 4096 << 8
+    codes = [clear]
+    put, table, free = codes.append, {}, 258 << 8
+    get = table.get
+    rest = iter(samples)
+    known = next(rest) << 8
+    for x in rest:
+        if longer := get(known | x):
+            known = longer
             continue
-        put(table[w])
-        code = len(table) + 2
-        if code < 4096:
-            table[w + x] = code
-            if code == 1 << width:
-                width += 1
+        put(known)
+        if free < full:
+            table[known | x] = free
+            free += 256
         else:
-            put(256)
-            reset()
-        w = x
-    if w:
-        put(table[w])
-        if len(table) + 2 == 1 << width and width < 12:
-            width += 1
-    put(257)
-    if n_bits:
-        out.append(bits & 255)
-    return bytes(out)
+            put(clear)
+            table.clear()
+            free = 258 << 8
+        known = x << 8
+    codes += (known, 257 << 8)
+    return _growing_bits(np.array(codes) >> 8)
+
+
+def _widths(roots: int, n: int) -> np.ndarray:
+    """Bits of the first ``n`` codes behind a clear code, by the number of roots."""
+    filled = roots + np.arange(1, n + 1)
+    return np.minimum(12, np.frexp(filled)[1])
+
+
+def _growing_bits(codes: np.ndarray) -> bytes:
+    """8-bit LZW codes as a stream, lowest bits first, each as wide as the table needs there."""
+    at = np.arange(len(codes))
+    clear = np.maximum.accumulate(np.where(codes == 256, at, 0))
+    behind = at - np.r_[0, clear[:-1]]  # codes since the clear code before each
+    width = np.where(behind > 0, _widths(256, int(behind.max()) + 1)[behind - 1], 9)
+    bit = np.arange(12)
+    return np.packbits((codes[:, None] >> bit & 1).astype(np.uint8)[bit < width[:, None]], bitorder="little").tobytes()
 
 
 def _blocks(data: bytes) -> bytes:
@@ -102,9 +97,9 @@ def _blocks(data: bytes) -> bytes:
     return a.tobytes() + (bytes([len(rest)]) + rest if rest else b"") + b"\0"
 
 
-def write_gif(samples: bytes, width: int = 192, rows: int = 4096, delay_ms: int = 100, compress: bool = False) -> bytes:
+def write_gif(samples: bytes, width: int = 192, rows: int = 4096, delay_ms: int = 100, compress: bool = True) -> bytes:
     """A GIF89a whose grey palette shows each sample as it is; ``samples`` fills whole rows, and
-    each ``rows`` rows are a frame of their own."""
+    each ``rows`` rows are a frame of their own.  ``compress=False`` writes literal codes."""
     data = np.frombuffer(samples, np.uint8)
     if not len(data) or len(data) % width:
         raise ValueError("samples must fill whole rows")
@@ -146,39 +141,64 @@ def _literal(data: bytes, n: int) -> np.ndarray | None:
     return c.astype(np.uint8) if len(c) == n else None
 
 
+def _groups(data: bytes, min_size: int) -> Iterator[list[int]]:
+    """The codes between clear codes, up to the stop code or the end of ``data``."""
+    clear, at, bits = 1 << min_size, 0, 8 * len(data)
+    raw = np.frombuffer(data + b"\0\0", np.uint8).astype(np.int64)
+    group: list[int] = []
+    step = 512
+    while True:
+        width = _widths(clear, len(group) + step)[len(group) :]
+        ends = at + np.cumsum(width)
+        m = int(np.searchsorted(ends, bits, "right"))
+        width, begin = width[:m], ends[:m] - width[:m]
+        byte = begin >> 3
+        codes = (raw[byte] | raw[byte + 1] << 8 | raw[byte + 2] << 16) >> (begin & 7) & ((1 << width) - 1)
+        special = np.flatnonzero((codes == clear) | (codes == clear + 1))
+        last = int(special[0]) if len(special) else m
+        group += codes[:last].tolist()
+        if last < m:
+            yield group
+            if codes[last] != clear:
+                return
+            group, at, step = [], int(ends[last]), 512
+        elif m < step:
+            yield group
+            return
+        else:
+            at, step = int(ends[-1]), 4096
+
+
+def _words(codes: list[int], min_size: int) -> list[bytes]:
+    """What the codes of a group stand for; codes that nothing has defined yet repeat the word before with its first sample."""
+    if not codes:
+        return []
+    table = [*_ROOTS[: 1 << min_size], b"", b""]
+    top = len(table)
+    before = table[codes[0]] if codes[0] < top else b"\0"
+    words = [before]
+    emit, define = words.append, table.append
+    for code in codes[1:]:
+        word = table[code] if code < top else before + before[:1]
+        if top < 4096:
+            define(before + word[:1])
+            top += 1
+        emit(word)
+        before = word
+    return words
+
+
 def lzw_decode(data: bytes, min_size: int, n: int) -> np.ndarray:
     """The first ``n`` samples of an LZW code stream (missing ones are 0)."""
     if min_size == 8 and (fast := _literal(data, n)) is not None:
         return fast
-    clear, stop = 1 << min_size, (1 << min_size) + 1
-    roots = [bytes([i]) for i in range(clear)] + [b"", b""]
-    table, width, before = list(roots), min_size + 1, None
-    out, bits, n_bits, size = [], 0, 0, 0
-    for byte in data:
-        bits |= byte << n_bits
-        n_bits += 8
-        while n_bits >= width:
-            code = bits & ((1 << width) - 1)
-            bits >>= width
-            n_bits -= width
-            if code == clear:
-                table, width, before = list(roots), min_size + 1, None
-                continue
-            if code == stop or size >= n:
-                n_bits = -1
-                break
-            if before is None:
-                word = table[code] if code < len(table) else b"\0"
-            else:
-                word = table[code] if code < len(table) else before + before[:1]
-                if len(table) < 4096:
-                    table.append(before + word[:1])
-                    if len(table) == 1 << width and width < 12:
-                        width += 1
-            before = word
-            out.append(word)
-            size += len(word)
-        if n_bits < 0:
+    out: list[bytes] = []
+    size = 0
+    for codes in _groups(data, min_size):
+        words = _words(codes, min_size)
+        out += words
+        size += sum(map(len, words))
+        if size >= n:
             break
     got = np.frombuffer(b"".join(out)[:n], np.uint8)
     return got if len(got) == n else np.concatenate([got, np.zeros(n - len(got), np.uint8)])
