@@ -346,9 +346,13 @@ def spliceai_best(numbers: Column) -> dict[str, Column]:
 def spliceai_info(info: Column, alt: Column | None = None) -> Column:
     """Largest value of each field over the entries of ``SpliceAI=``: struct(ds_ag, ds_al, ds_dg, ds_dl, dp_ag, dp_al, dp_dg, dp_dl,
     max); null without a usable entry.  With ``alt`` (where it is not null) only that allele's entries count."""
-    numbers = spliceai_numbers(info, alt)
-    best = spliceai_best(numbers)
-    return F.when(F.size(numbers) > 0, F.struct(*(b.alias(n) for n, b in best.items()), F.greatest(*(best[n] for n in SPLICE_FIELDS[:4])).alias("max")))
+
+    def found(numbers: Column) -> Column:
+        best = spliceai_best(numbers)
+        return F.when(F.size(numbers) > 0, F.struct(*(b.alias(n) for n, b in best.items()), F.greatest(*(best[n] for n in SPLICE_FIELDS[:4])).alias("max")))
+
+    # a list of one, so that the entries are parsed once and read by all fields
+    return F.get(F.transform(F.array(spliceai_numbers(info, alt)), found), F.lit(0))
 
 
 def max_of_list(c: Column) -> Column:

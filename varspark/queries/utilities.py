@@ -197,7 +197,9 @@ def d4(t):
     size = F.col("p_size")
     entry = lambda a, dp: F.concat_ws("|", F.lit("A"), F.lit("G1"), a, F.lit("0.2"), F.lit("0.3"), F.lit("0.4"), dp, F.lit("6"), F.lit("7"), F.lit("8"))
     info = F.concat(F.lit("X=1;SpliceAI="), entry((size / 100).cast("string"), (size - 30).cast("string")), F.lit(","), entry(F.lit("0.1"), F.lit("-5")), F.lit(",bad|1;Y=2"))
-    return t.part.select("p_partkey", X.spliceai_info(info).alias("i")).select("p_partkey", "i.ds_ag", "i.ds_al", "i.dp_ag", "i.max")
+    # a small file has few row groups: its rows are dealt out before they are parsed
+    rows = t.part.repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
+    return rows.select("p_partkey", X.spliceai_info(info).alias("i")).select("p_partkey", "i.ds_ag", "i.ds_al", "i.dp_ag", "i.max")
 
 
 _TYPES = "select user_id, case event_type when 'click' then 'missense_variant' when 'view' then 'synonymous_variant' when 'purchase' then 'stop_gained' else '' end as term, event_id from {events}"
