@@ -386,7 +386,8 @@ def rewrite_haplotypes(df: DataFrame, mapping: DataFrame, nt_col: str = "raw_hgv
 
     ``mapping``: (accession, target, component, mapped_c), with accession null or empty for strings without one, which are
     mapped by their target sequence (null or empty for those with one).  Every component must be mapped to a plain
-    substitution, else the row is left as it is; so are rows whose bases between the components are not known."""
+    substitution, else the row is left as it is; so are rows whose bases between the components are not known.  Rows need no
+    ``key``: they are joined by their strings."""
     parts = haplotype_components(F.col(nt_col))
     acc = F.regexp_extract(trim_key(F.col(nt_col)), r"^([^:]+):", 1)
     seq = trim_key(F.col(target))
@@ -395,15 +396,18 @@ def rewrite_haplotypes(df: DataFrame, mapping: DataFrame, nt_col: str = "raw_hgv
     shaped = lambda d, new: d.select(*map(_col, names[:i]), F.col(nt_col).alias(orig), new.alias(nt_col), *map(_col, names[i + 1 :]))
     whole = settled(df, _is=parts.isNotNull() & ((acc != "") | (seq != "")))
     rest = shaped(whole.filter(~F.coalesce("_is", F.lit(False))), F.col(nt_col))  # most rows: they pass by
-    rows = keyed(whole.filter("_is").drop("_is"), key)
-    asked = rows.select(ROW, acc.alias("_a"), F.when(acc == "", seq).otherwise("").alias("_s"), F.posexplode(parts).alias("_i", "_x"))
+    rows = whole.filter("_is").drop("_is")
+    # the new string follows from the old one and the target: each such pair is looked up and composed once, however many rows have it
+    pairs = rows.select(_col(nt_col), _col(target)).distinct().withColumn(ROW, F.struct(_col(nt_col), _col(target)))
+    asked = pairs.select(ROW, acc.alias("_a"), F.when(acc == "", seq).otherwise("").alias("_s"), F.posexplode(parts).alias("_i", "_x"))
     blank = lambda c: F.coalesce(F.col(c), F.lit(""))
     table = mapping.select(blank("accession").alias("_a"), blank("target").alias("_s"), F.col("component").alias("_x"), "mapped_c").dropDuplicates(["_a", "_s", "_x"])
     plain = F.upper(F.regexp_extract(trim_key(F.col("mapped_c")), r"^(?:[^:]+:)?c\.(\d+[ACGTNacgtn]>[ACGTNacgtn])$", 1))
     got = asked.join(table, ["_a", "_s", "_x"], "left").withColumn("_m", F.nullif(plain, F.lit("")))
     mapped = got.groupBy(ROW).agg(F.every(F.col("_m").isNotNull()).alias("_ok"), F.array_sort(F.collect_list(F.struct("_i", "_m"))).alias("_l"))
-    found = mapped.select(ROW, F.when(F.col("_ok"), F.col("_l._m")).alias("_parts"))
-    out = compose_delins(rows.join(found, ROW, "left"), "_parts", target)
+    found = mapped.filter("_ok").select(F.col(ROW).getField(nt_col).alias(nt_col), F.col(ROW).getField(target).alias(target), F.col("_l._m").alias("_parts"))
     prefix = F.when(acc == "", "").otherwise(F.concat(acc, F.lit(":")))
-    new = F.when(F.col("composed").isNotNull(), F.concat(prefix, F.col("composed"))).otherwise(F.col(nt_col))
-    return shaped(out, new).unionByName(rest)
+    made = compose_delins(found, "_parts", target).filter(F.col("composed").isNotNull())
+    made = made.select(_col(nt_col).alias("_old"), _col(target).alias("_of"), F.concat(prefix, F.col("composed")).alias("_new"))
+    out = rows.join(made, _col(nt_col).eqNullSafe(F.col("_old")) & _col(target).eqNullSafe(F.col("_of")), "left")
+    return shaped(out, F.coalesce("_new", F.col(nt_col))).unionByName(rest)
