@@ -4,9 +4,10 @@ Sets whose sizes fall in one band, or in two neighbouring ones, share a scheme:
 shingle into one of its segments.  Similar sets differ in at most H shingles, so of any H + 1
 segments that are not empty in one of them, at least one is equal in both.  Each set is indexed
 by the signatures of its segments' subsets.  What to look up is allocated by cost: a segment with
-a short list is looked up as it is; a frequent one is left out while H + 1 others remain.  Sets
-that are left short of segments get one-deletion neighbourhoods, which count for two, and again
-the cheapest that suffice.  All candidates are verified on their whole sets.
+a short list is looked up as it is; a frequent one is left out while H + 1 others remain.  Of sets
+that are left short of segments the frequent lists are followed where few such sets are in them; the
+rest get one-deletion neighbourhoods, which count for two, and again the cheapest that suffice.
+All candidates are verified on their whole sets.
 
 Equal sets are one class from the start.  Links within a large group of near copies are found from its
 first member and from neighbours in order; a list whose members are in one component already
@@ -355,10 +356,46 @@ def _followed(open_: DataFrame, sets: DataFrame, comp: DataFrame, percent: int,
     taken = taken.select("unit", F.inline("s")).filter("unit = 2 or (unit = 1 and not deletion)").select("sig").distinct()
     both = mixed.select("sig", "doc", "component", F.lit(0).alias("use")).unionByName(taken.select("sig", F.lit(None).cast("long").alias("doc"), F.lit(None).cast("long").alias("component"), F.lit(1).alias("use")))
     shared = _with_totals(both, "sig", pieces, used=("max", "use")).filter("used = 1 and doc is not null").select("sig", "doc", "component").distinct()
-    # lists come together under their most frequent member: near copies share it in most lists
+    return _by_hub(shared, pieces), short
+
+
+def _by_hub(shared: DataFrame, pieces: int) -> DataFrame:
+    """(sig, doc, component) -> (hub, doc, component): lists come together under their most frequent member; near copies share it in most lists."""
     shared = shared.withColumn("fame", F.count("*").over(Window.partitionBy("doc"))).withColumn("h", F.struct("fame", F.negative("doc").alias("less")))
     group = _with_totals(stage(shared.drop("fame"), "shared-lists"), "sig", pieces, once=["doc", "component"], top=("max", "h"))
-    return stage(group.select(F.negative("top.less").alias("hub"), "doc", "component").distinct(), "hub-groups"), short
+    return stage(group.select(F.negative("top.less").alias("hub"), "doc", "component").distinct(), "hub-groups")
+
+
+def _between(pairs: DataFrame, ends: DataFrame) -> DataFrame:
+    """The pairs (a, b) of which both are in ``ends`` (doc, component), in different components."""
+    for x in "ab":
+        pairs = join_small(pairs, ends.select(F.col("doc").alias(x), F.col("component").alias(f"in_{x}")), x, "inner", 500_000)
+    return pairs.filter("in_a <> in_b").select("a", "b")
+
+
+#: A set is followed through its long lists as they are while those it needs have up to so many open sets each.
+_FOLLOWED = 64
+
+
+def _few_lists(mixed: DataFrame, open_: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``mixed`` (sig, doc, component, role): the long lists of several components; ``open_`` (doc, role, spare): the sets that are in more of
+    these than they can do without.  Similar sets of which one is not open are found already, so that only open members count.  Any so many as are more
+    than ``spare`` of a set's lists hold each of its links that no short list holds: the shortest are followed.  Result: groups (hub, doc, component) of what these lists hold, and the
+    (doc, role) that are left: those that need a list of more than ``_FOLLOWED`` open sets, and those with fewer lists than they need."""
+    among = mixed.join(open_, ["doc", "role"])
+    rows = stage(among, "open-members")
+    pieces = 1 + rows.count() // _PIECE
+    rows = _with_totals(rows, "sig", pieces, n=("count", None), low=("min", "component"), high=("max", "component")).filter("low <> high")
+    own = Window.partitionBy("doc", "role")
+    rows = rows.withColumn("at", F.row_number().over(own.orderBy("n", "sig"))).withColumn("wanted", F.count("*").over(own) - F.col("spare"))
+    rows = rows.withColumn("most", F.max(F.when(F.col("at") <= F.col("wanted"), F.col("n"))).over(own))
+    rows = stage(rows.select("sig", "doc", "role", "component", "spare", "most", (F.col("at") <= F.col("wanted")).alias("asked")), "open-lists")
+    # a set without rows here is in no list with another component
+    far = rows.filter((F.col("spare") < 0) | (F.col("most") > _FOLLOWED)).select("doc", "role").distinct()
+    far = far.unionByName(open_.filter("spare < 0").select("doc", "role")).distinct()
+    use = rows.withColumn("use", (F.col("asked") & (F.col("spare") >= 0) & (F.col("most") <= _FOLLOWED)).cast("int"))
+    shared = _with_totals(use.select("sig", "doc", "component", "use"), "sig", pieces, used=("max", "use")).filter("used = 1").select("sig", "doc", "component").distinct()
+    return _by_hub(shared, pieces), far
 
 
 #: Shingles of two blocks that are compared at a time, and of a block of sets (a longer set is a block of its own).
@@ -463,7 +500,10 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         pairs = pairs.withColumn("role", role.cast("int")).join(own, [x, "role"]).drop("role")
     enough = [(F.col(f"least_{x}") < 1) | (F.col("short") >= F.col(f"least_{x}")) for x in "ab"]
     likely = (F.col("least_a") >= 1) | (F.col("least_b") >= 1) | (F.col("short") + F.col("near") > F.greatest(F.lit(0), F.least("spare_a", "spare_b")))
-    pairs = stage(pairs.filter(enough[0] & enough[1] & likely).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-pairs")
+    # the others share a short list, but may be similar only if both are open below
+    pairs = pairs.filter(enough[0] & enough[1] & (likely | (F.col("short") > 0))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), likely.alias("likely"))
+    pairs = stage(pairs.groupBy("a", "b").agg(F.max("likely").alias("likely")), "jaccard-pairs")
+    pairs, doubtful = pairs.filter("likely").select("a", "b"), pairs.filter("not likely").select("a", "b")
     in_pairs = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
     shingle_sets = stage(sets_of(docs, in_pairs, id_col, text_col, k), "jaccard-sets", _BATCH)
     links = stage(verified(pairs, shingle_sets, percent), "jaccard-links", _BATCH)
@@ -473,17 +513,24 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     by_doc = members.groupBy("doc").agg(F.collect_list(F.struct("sig", "role")).alias("m"))  # a set's own lists
     member = join_small(by_doc, comp, "doc", "left", 500_000).select("doc", F.coalesce("component", "doc").alias("component"), F.inline("m"))
     member = stage(member, "jaccard-members")
-    costly = _with_totals(member, "sig", 1 + member.count() // _PIECE, low=("min", "component"), high=("max", "component")).filter("low <> high").groupBy("doc", "role").agg(F.count("*").alias("n"))
-    open_ = spare.join(costly, ["doc", "role"], "left").filter(F.col("spare") < F.coalesce("n", F.lit(0))).select("doc", "role").distinct()
+    mixed = _with_totals(member, "sig", 1 + member.count() // _PIECE, low=("min", "component"), high=("max", "component")).filter("low <> high")
+    mixed = stage(mixed.select("sig", "doc", "component", "role"), "jaccard-mixed")
+    costly = mixed.groupBy("doc", "role").agg(F.count("*").alias("n"))
+    open_ = spare.join(costly, ["doc", "role"], "left").filter(F.col("spare") < F.coalesce("n", F.lit(0))).groupBy("doc", "role").agg(F.min("spare").alias("spare"))
     # of equal sets one stands for all
     same = sets.join(classes, ["identity", "n_shingles"]).filter("doc <> first").select("doc").distinct()
     open_ = stage(join_small(open_, same, "doc", "left_anti", 500_000), "jaccard-open")
     more = []
-    for single in (False, True):
+    for level in ("lists", "deletions", "shingles"):
         if not open_.limit(1).count():
             break
-        open_sets = stage(sets_of(docs, open_.select("doc").distinct(), id_col, text_col, k), "jaccard-sets", _BATCH)
-        extra, open_ = _followed(open_, open_sets, comp, percent, k, single)
+        if level == "lists":
+            open_sets = stage(sets_of(docs, open_.select("doc").distinct(), id_col, text_col, k), "jaccard-sets", _BATCH)
+            ends = join_small(open_.select("doc").distinct(), comp, "doc", "left", 500_000).select("doc", F.coalesce("component", "doc").alias("component"))
+            more.append(stage(verified(_between(doubtful, ends), open_sets, percent), "jaccard-links", _BATCH))
+            extra, open_ = _few_lists(mixed, open_)
+        else:
+            extra, open_ = _followed(open_, open_sets, comp, percent, k, level == "shingles")
         more.append(stage(linked_groups(extra, open_sets, percent), "jaccard-links", _BATCH))
     for x in more:
         links = links.unionByName(x)
