@@ -5,6 +5,7 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -72,10 +73,11 @@ def lzw_compress(samples: bytes) -> bytes:
     return _growing_bits(np.array(codes) >> 8)
 
 
-def _widths(roots: int, n: int) -> np.ndarray:
-    """Bits of the first ``n`` codes behind a clear code, by the number of roots."""
-    filled = roots + np.arange(1, n + 1)
-    return np.minimum(12, np.frexp(filled)[1])
+@lru_cache
+def _layout(roots: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bits of the codes behind a clear code, by the number of roots, until they stay at 12; and the bits before each, and before the next."""
+    width = np.minimum(12, np.frexp(roots + np.arange(1, 4097))[1]).astype(np.int64)
+    return width, np.r_[0, np.cumsum(width)]
 
 
 def _growing_bits(codes: np.ndarray) -> bytes:
@@ -83,9 +85,13 @@ def _growing_bits(codes: np.ndarray) -> bytes:
     at = np.arange(len(codes))
     clear = np.maximum.accumulate(np.where(codes == 256, at, 0))
     behind = at - np.r_[0, clear[:-1]]  # codes since the clear code before each
-    width = np.where(behind > 0, _widths(256, int(behind.max()) + 1)[behind - 1], 9)
-    bit = np.arange(12)
-    return np.packbits((codes[:, None] >> bit & 1).astype(np.uint8)[bit < width[:, None]], bitorder="little").tobytes()
+    width = np.where(behind > 0, _layout(256)[0][np.minimum(behind, 4096) - 1], 9)
+    end = np.cumsum(width)
+    begin = end - width
+    # a code lies in up to three bytes; no bit is another's, so that sums put them together
+    byte, bits = begin >> 3, codes << (begin & 7)
+    n = -(-int(end[-1]) // 8)
+    return sum(np.bincount(byte + i, bits >> 8 * i & 255, n + 2) for i in range(3))[:n].astype(np.uint8).tobytes()
 
 
 def _blocks(data: bytes) -> bytes:
@@ -141,37 +147,35 @@ def _literal(data: bytes, n: int) -> np.ndarray | None:
     return c.astype(np.uint8) if len(c) == n else None
 
 
-def _groups(data: bytes, min_size: int) -> Iterator[list[int]]:
+def _groups(data: bytes, min_size: int) -> Iterator[np.ndarray]:
     """The codes between clear codes, up to the stop code or the end of ``data``."""
     clear, at, bits = 1 << min_size, 0, 8 * len(data)
     raw = np.frombuffer(data + b"\0\0", np.uint8).astype(np.int64)
-    group: list[int] = []
-    step = 512
+    raw = raw[:-2] | raw[1:-1] << 8 | raw[2:] << 16
+    width, ends = _layout(clear)
+    group: list[np.ndarray] = []
     while True:
-        width = _widths(clear, len(group) + step)[len(group) :]
-        ends = at + np.cumsum(width)
-        m = int(np.searchsorted(ends, bits, "right"))
-        width, begin = width[:m], ends[:m] - width[:m]
-        byte = begin >> 3
-        codes = (raw[byte] | raw[byte + 1] << 8 | raw[byte + 2] << 16) >> (begin & 7) & ((1 << width) - 1)
+        if group:  # a table that was not cleared when it was full
+            width, ends = np.full(4096, 12), 12 * np.arange(4097)
+        m = int(np.searchsorted(ends, bits - at, "right")) - 1
+        begin = at + ends[:m]
+        codes = raw[begin >> 3] >> (begin & 7) & ((1 << width[:m]) - 1)
         special = np.flatnonzero((codes == clear) | (codes == clear + 1))
         last = int(special[0]) if len(special) else m
-        group += codes[:last].tolist()
-        if last < m:
-            yield group
-            if codes[last] != clear:
-                return
-            group, at, step = [], int(ends[last]), 512
-        elif m < step:
-            yield group
+        group.append(codes[:last])
+        if last == m == 4096:
+            at += int(ends[-1])
+            continue
+        yield np.concatenate(group)
+        if last == m or codes[last] != clear:
             return
-        else:
-            at, step = int(ends[-1]), 4096
+        group, at = [], at + int(ends[last + 1])
+        width, ends = _layout(clear)
 
 
 def _words(codes: list[int], min_size: int) -> list[bytes]:
-    """What the codes of a group stand for; codes that nothing has defined yet repeat the word before with its first sample."""
-    if not codes:
+    """The words of a group's codes one by one, the plain form of ``_samples``; codes that nothing has defined yet repeat the word before with its first sample."""
+    if not len(codes):
         return []
     table = [*_ROOTS[: 1 << min_size], b"", b""]
     top = len(table)
@@ -188,19 +192,45 @@ def _words(codes: list[int], min_size: int) -> list[bytes]:
     return words
 
 
+def _samples(codes: np.ndarray, min_size: int, most: int) -> np.ndarray:
+    """What the codes of a group stand for, at least the first ``most`` samples of it.  A code that is no sample stands for a word before and the
+    sample behind that: for what was written from there on.  One that nothing has defined yet repeats the word before with its first sample."""
+    roots, place = 1 << min_size, np.arange(len(codes))
+    if not len(codes):
+        return np.zeros(0, np.uint8)
+    literal = codes < roots
+    literal[:1] = True
+    from_ = np.where(literal, place, np.minimum(codes - roots - 2, place - 1))  # the word that each repeats
+    # its length is the number of words that lead to a sample; steps are doubled
+    size, to = (~literal).astype(np.int64), from_
+    while not literal[to].all():
+        size, to = size + size[to], to[to]
+    start = np.cumsum(size + 1) - size - 1
+    n = int(np.searchsorted(start, most))  # words that are needed
+    start, size, from_, literal, codes = start[:n], size[:n] + 1, from_[:n], literal[:n], codes[:n]
+    total = int(size.sum())
+    known = np.zeros(total, np.uint8)
+    known[start[literal]] = np.where(codes[literal] < roots, codes[literal], 0)
+    to = np.arange(total) - np.repeat(start - start[from_], size)
+    while True:  # each sample is that of an earlier place, down to one that a code says
+        next_ = to[to]
+        if (next_ == to).all():
+            return known[to]
+        to = next_
+
+
 def lzw_decode(data: bytes, min_size: int, n: int) -> np.ndarray:
     """The first ``n`` samples of an LZW code stream (missing ones are 0)."""
     if min_size == 8 and (fast := _literal(data, n)) is not None:
         return fast
-    out: list[bytes] = []
+    out = [np.zeros(0, np.uint8)]
     size = 0
     for codes in _groups(data, min_size):
-        words = _words(codes, min_size)
-        out += words
-        size += sum(map(len, words))
+        out.append(_samples(codes, min_size, n - size))
+        size += len(out[-1])
         if size >= n:
             break
-    got = np.frombuffer(b"".join(out)[:n], np.uint8)
+    got = np.concatenate(out)[:n]
     return got if len(got) == n else np.concatenate([got, np.zeros(n - len(got), np.uint8)])
 
 
@@ -212,6 +242,7 @@ class Frame:
     top: int
     samples: np.ndarray  # palette indices of the frame's own rectangle
     colours: np.ndarray  # the whole screen after drawing: height, width, RGBA
+    histogram: np.ndarray  # of these colours
 
 
 def _unblock(data: bytes, at: int) -> tuple[bytes, int]:
@@ -267,9 +298,16 @@ def read_gif(data: bytes) -> Iterator[Frame]:
         if palette is not None:
             table[: len(palette), :3] = palette
         table[:, 3] = 255
-        drawn = np.ones(seen.shape, bool) if clear is None else seen != clear
-        box[drawn] = table[seen[drawn]]
-        yield Frame(number, delay * 10, left, top, samples, screen.copy())
+        if clear is None:
+            box[:] = table.view(np.uint32)[seen].view(np.uint8).reshape(box.shape)
+        else:
+            drawn = seen != clear
+            box[drawn] = table[seen[drawn]]
+        if clear is None and box.shape == screen.shape:  # nothing else is to be seen: colours are counted by their indices
+            counts = np.bincount(np.where(table[:, 3] > 0, _bins(table), 64), np.bincount(seen.ravel(), minlength=256), 65)[:64].astype(np.int64)
+        else:
+            counts = histogram(screen)
+        yield Frame(number, delay * 10, left, top, samples, screen.copy(), counts)
         if disposal == 2:
             box[:] = 0
         elif disposal == 3:
@@ -277,11 +315,16 @@ def read_gif(data: bytes) -> Iterator[Frame]:
         number, delay, disposal, clear = number + 1, 0, 0, None
 
 
+def _bins(colours: np.ndarray) -> np.ndarray:
+    """The colour of 64 for each RGBA row."""
+    c = colours >> 6
+    return c[:, 0] * 16 + c[:, 1] * 4 + c[:, 2]
+
+
 def histogram(colours: np.ndarray) -> np.ndarray:
     """Counts of 64 colours: two bits each of red, green and blue; undrawn pixels don't count."""
     c = colours.reshape(-1, 4)
-    c = c[c[:, 3] > 0] >> 6
-    return np.bincount(c[:, 0] * 16 + c[:, 1] * 4 + c[:, 2], minlength=64)
+    return np.bincount(_bins(c[c[:, 3] > 0]), minlength=64)
 
 
 # --- columns ---------------------------------------------------------------------------------
@@ -322,7 +365,7 @@ def gif_frames(df: DataFrame, media_col: str = "media") -> DataFrame:
                 part = b.slice(t.first, len(t))
                 found = [
                     None if x is None else [
-                        {"frame": f.number, "delay_ms": f.delay_ms, "left": f.left, "top": f.top, "width": f.samples.shape[1], "height": f.samples.shape[0], "samples": f.samples.tobytes(), "histogram": histogram(f.colours)}
+                        {"frame": f.number, "delay_ms": f.delay_ms, "left": f.left, "top": f.top, "width": f.samples.shape[1], "height": f.samples.shape[0], "samples": f.samples.tobytes(), "histogram": f.histogram}
                         for f in read_gif(x)
                     ]
                     for x in part.column(at).to_pylist()
