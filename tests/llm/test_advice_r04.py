@@ -5,7 +5,7 @@ import time
 import numpy as np
 import pytest
 
-from varspark.llm import gif
+from varspark.llm import gif, jaccard
 
 
 @pytest.mark.parametrize("min_size", [2, 5, 8])
@@ -36,3 +36,31 @@ def test_gif_reading_is_cheaper_than_writing():
     assert read < 0.8 * min(seconds(lambda: gif.write_gif(payload)) for _ in range(3))
     for f in gif.read_gif(media):
         assert (f.histogram == gif.histogram(f.colours)).all() and f.histogram.sum() == f.colours[..., 0].size
+
+
+def test_jaccard_of_one_passage_makes_no_neighbourhoods(spark, monkeypatch):
+    """Many texts around one passage are compared through their lists: no signature of theirs becomes a row, and links equal brute force."""
+    rng = __import__("random").Random(3)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    passage = [word() for _ in range(66)]
+    texts = []
+    for i in range(150):
+        if i % 10 == 9:
+            w = list(rng.choice(texts))
+            w[rng.randrange(66, len(w))] = word()
+        else:
+            w = passage + [word() for _ in range(rng.randrange(12, 16))]
+        texts.append(w)
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in texts]
+    reach = list(range(len(sets)))
+    linked = [(j, i) for i, x in enumerate(sets) for j in range(i) if 100 * len(x & sets[j]) >= 80 * len(x | sets[j])]
+    for _ in reach:
+        for j, i in linked:
+            reach[i] = reach[j] = min(reach[i], reach[j])
+    made = []
+    stage = jaccard.stage
+    monkeypatch.setattr(jaccard, "stage", lambda df, name, *a: made.append(name) or stage(df, name, *a))
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in jaccard.similar_documents(df).collect()}
+    assert got == dict(enumerate(reach))
+    assert "open-lists" in made and "neighbourhoods" not in made

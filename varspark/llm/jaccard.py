@@ -373,8 +373,9 @@ def _between(pairs: DataFrame, ends: DataFrame) -> DataFrame:
     return pairs.filter("in_a <> in_b").select("a", "b")
 
 
-#: A set is followed through its long lists as they are while those it needs have up to so many open sets each.
-_FOLLOWED = 64
+#: A set is followed through its long lists as they are while those it needs have up to so many open sets each: some 2000
+#: comparisons within blocks cost less than a row for each segment and shingle of the set, and their lists.
+_FOLLOWED = 2048
 
 
 def _few_lists(mixed: DataFrame, open_: DataFrame) -> tuple[DataFrame, DataFrame]:
