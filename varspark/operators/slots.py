@@ -78,10 +78,9 @@ def pack_slots(long: DataFrame, values: Mapping[str, Column | str], row_values:
 def attach(df: DataFrame, packed: DataFrame) -> DataFrame:
     """``df`` with the packed columns of its rows; columns of these names are replaced in place."""
     new = [c for c in packed.columns if c != ROW]
-    short = packed.select(ROW, *(_col(c).alias(f"_new{i}") for i, c in enumerate(new)))
-    at = {c: F.col(f"_new{i}").alias(c) for i, c in enumerate(new)}
-    joined = df.join(short, ROW, "left")
-    return joined.select(*(at.get(c, _col(c)) for c in df.columns), *(v for c, v in at.items() if c not in df.columns))
+    made = {c: f"_new{i}" for i, c in enumerate(new)}
+    short = packed.select(ROW, *(_col(c).alias(n) for c, n in made.items()))
+    return _in_place(df.join(short, ROW, "left"), df.columns, made)
 
 
 def lookup(long: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
@@ -126,20 +125,18 @@ def run_steps(long: DataFrame, steps: tuple[Step, ...], at: dict[str, str], size
     return long, at, size, totals
 
 
-def annotate(df: DataFrame, *steps: Step, key: list[str] | None = None) -> DataFrame:
-    """Runs steps over one long layer: lists are exploded once and packed once, however many steps there are.
-
-    ``key``: columns that identify a row; without them (and without a row id) the rows are staged with one.  A
-    null or empty list is one empty slot; repeated rows stay apart unless ``key`` makes them one."""
-    rows = keyed(df, key)
-    for s in steps:
-        rows = s.before(rows) if s.before else rows
-    read, made = {}, set()  # list column -> its name in the long layer; lists that steps make
+def _list_columns(steps: tuple[Step, ...]) -> list[str]:
+    """The list columns that steps read of the rows: all but those that an earlier step makes."""
+    read, made = [], set()
     for s in steps:
-        for c in s.lists.values():
-            if c not in made:
-                read.setdefault(c, f"_l{len(read)}")
+        read += [c for c in s.lists.values() if c not in made and c not in read]
         made |= set(s.values)
+    return read
+
+
+def _annotated(rows: DataFrame, steps: tuple[Step, ...]) -> DataFrame:
+    """(row id, what ``steps`` make): the rows' lists exploded once and packed once."""
+    read = {c: f"_l{i}" for i, c in enumerate(_list_columns(steps))}  # list column -> its name in the long layer
     size = {c: F.col(f"_n{i}") for i, c in enumerate(read)}
     split = rows.select(ROW, *(_lists(c).alias(k) for c, k in read.items()))
     split = split.select("*", *(F.size(k).alias(f"_n{i}") for i, k in enumerate(read.values())))
@@ -148,10 +145,41 @@ def annotate(df: DataFrame, *steps: Step, key: list[str] | None = None) -> DataF
     long, at, size, totals = run_steps(long, steps, dict(read), size)
     lists = [c for s in steps for c in s.values]
     packed = pack_slots(long, {c: at[c] for c in lists}, totals, {c: size[c] for c in lists})
-    out = attach(rows, packed.select(ROW, *(_col(c) for s in steps for c in (*s.values, *s.row_values))))
+    return packed.select(ROW, *(_col(c) for s in steps for c in (*s.values, *s.row_values)))
+
+
+def _annotated_by_lists(rows: DataFrame, steps: tuple[Step, ...]) -> DataFrame:
+    """``rows`` with what ``steps`` make, which run once for each distinct combination of lists; rows are joined by their lists.  The
+    combinations are staged with a number each, and so is what was made of them: its size is known when the join is planned."""
+    read = _list_columns(steps)
+    text = {f"_k{i}": F.coalesce(_col(c), F.lit("")) for i, c in enumerate(read)}
+    asked = keyed(rows.select(*(v.alias(c) for v, c in zip(text.values(), read))).distinct())
+    found = _annotated(asked, steps)
+    made = {c: f"_new{i}" for i, c in enumerate(found.columns[1:])}
+    found = asked.select(ROW, *(_col(c).alias(k) for c, k in zip(read, text))).join(found.select(ROW, *(_col(c).alias(n) for c, n in made.items())), ROW).drop(ROW)
+    return _in_place(rows.withColumns(text).join(stage(found, "lists"), [*text], "left"), rows.columns, made)
+
+
+def _in_place(joined: DataFrame, columns: list[str], made: Mapping[str, str]) -> DataFrame:
+    """``columns`` of ``joined``, and ``made`` (column -> its name there) at their places or after them."""
+    return joined.select(*(F.col(made[c]).alias(c) if c in made else _col(c) for c in columns), *(F.col(n).alias(c) for c, n in made.items() if c not in columns))
+
+
+def annotate(df: DataFrame, *steps: Step, key: list[str] | None = None, by_lists: bool = False) -> DataFrame:
+    """Runs steps over one long layer: lists are exploded once and packed once, however many steps there are.
+
+    ``key``: columns that identify a row; without them (and without a row id) the rows are staged with one.  A
+    null or empty list is one empty slot; repeated rows stay apart unless ``key`` makes them one.  ``by_lists``: for tables whose
+    rows share their lists; each combination of lists is annotated once, and rows need neither key nor id."""
+    rows = df if by_lists else keyed(df, key)
+    for s in steps:
+        rows = s.before(rows) if s.before else rows
+    layer = tuple(s for s in steps if s.values or s.row_values)  # the others work on the wide rows alone
+    if layer:
+        rows = _annotated_by_lists(rows, layer) if by_lists else attach(rows, _annotated(rows, layer))
     for s in steps:
-        out = s.after(out) if s.after else out
-    return out if ROW in df.columns else out.drop(ROW)
+        rows = s.after(rows) if s.after else rows
+    return rows if by_lists or ROW in df.columns else rows.drop(ROW)
 
 
 #: Columns that hold candidate lists, besides those with these prefixes (fixed values).

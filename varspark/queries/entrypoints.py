@@ -145,6 +145,6 @@ def k15_all(t):
         A.evidence_step(evidence_records(t), "hgvs_col", "variation_col", "caid_col", ["panel", "uuid"]), A.consequence_step(t.sql(_VEP), t.sql(_RECODED), ["ids", "mapped_hgvs_g"], access_date=F.lit("2024-01-01")),
         A.calibration_step(_calibrations(t), t.sql(_RANGES), "urn", "score", "m", "http://x"),
     ]
-    out = pipeline(rows.join(keys, "row_id"), steps, key=_ROW)
+    out = pipeline(rows.join(keys, "row_id"), steps, by_lists=True)
     names = {"gnomad.v4_1.allele_count": "ac", "clinvar.202601.variation_id": "variation_id", "revel.score": "revel", "spliceai.ds_ag": "ds_ag", "spliceai.max_delta_score": "ds_max", "clingen_evidence_repository.uuid": "uuids", "vep.consequence": "consequence", "vep.error": "error", "m.primary_calibration.urn": "calibration"}
     return out.select("row_id", *(F.col(f"`{k}`").alias(v) for k, v in names.items()))
