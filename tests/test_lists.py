@@ -39,7 +39,7 @@ def test_a_step_without_lists_of_its_own_needs_no_long_layer(spark):
     assert out.collect() == [(1, "x|y", "x|y")]
 
 
-@pytest.mark.parametrize("name, table", [("K15_all_annotators", "orders")])
+@pytest.mark.parametrize("name, table", [("K5_coordinates_refseq", "lineitem"), ("K15_all_annotators", "orders")])
 def test_queries_annotate_each_combination_once(spark, name, table):
     before = len(staging._staged)
     queries()[name](spark, DATA)

@@ -116,8 +116,8 @@ def coordinate_steps(g: str = "mapped_hgvs_g", c: str = "mapped_hgvs_c", p: str
     ]
 
 
-def add_coordinates(df: DataFrame, g: str = "mapped_hgvs_g", c: str = "mapped_hgvs_c", p: str = "mapped_hgvs_p", chunks: DataFrame | None = None, size: int = 0, key: list[str] | None = None) -> DataFrame:
-    return annotate(df, *coordinate_steps(g, c, p, chunks, size), key=key)
+def add_coordinates(df: DataFrame, g: str = "mapped_hgvs_g", c: str = "mapped_hgvs_c", p: str = "mapped_hgvs_p", chunks: DataFrame | None = None, size: int = 0, key: list[str] | None = None, by_lists: bool = False) -> DataFrame:
+    return annotate(df, *coordinate_steps(g, c, p, chunks, size), key=key, by_lists=by_lists)
 
 
 def vcf_anchor(alleles: DataFrame, chunks: DataFrame, size: int) -> DataFrame:

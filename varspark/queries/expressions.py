@@ -282,7 +282,7 @@ def k5(t):
     p = lambda i=0: f"cast(p + {i} as string)"
     rows = t.sql(f"""select *, 'NC_000001.11:g.' || case kind when 0 then {p()} || '_' || {p(1)} || 'del' when 1 then {p()} || 'delT' when 2 then {p()} || '_' || {p(1)} || 'inv'
       when 3 then '[' || {p()} || 'T>A;' || {p(2)} || 'G>C]' when 4 then {p()} || '_' || {p(1)} || 'dup' else {p()} || 'A>G' end as mapped_hgvs_g, '' as mapped_hgvs_c, '' as mapped_hgvs_p from ({_REFSEQ})""")
-    out = C.add_coordinates(rows, chunks=genome(t, ["NC_000001.11"]), size=100)
+    out = C.add_coordinates(rows, chunks=genome(t, ["NC_000001.11"]), size=100, by_lists=True)
     return out.select(*_COLS, *(F.col(f"mapped_hgvs_g_{c}").alias(c) for c in ("chromosome", "start", "stop", "ref", "alt")))
 
 
