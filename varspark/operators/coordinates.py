@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import accession_of, chromosome_of, nucleotide_change, nucleotide_groups, parse_nucleotide, protein_change, protein_groups, reverse_complement, spans_intron, to_long, touches_intron
 from .mapping import bases_of, fetch_ref_bases
-from .slots import Step, annotate, computed, spread
+from .slots import Step, annotate, computed, settled, spread
 
 _PARTS = ("start", "stop", "ref", "alt")
 
@@ -103,7 +103,7 @@ def coordinate_steps(g: str = "mapped_hgvs_g", c: str = "mapped_hgvs_c", p: str
     def coding(long: DataFrame) -> DataFrame:
         long = _parsed(long, "x", nucleotide_groups, nucleotide_change)
         start, stop = F.col("_start"), F.col("_stop")
-        return computed(long, _touches=touches_intron(start, stop), _spans=spans_intron(start, stop))
+        return settled(long, _touches=touches_intron(start, stop), _spans=spans_intron(start, stop))  # a method of its own: longer ones stay uncompiled
 
     some = lambda flag: F.coalesce(F.bool_or(flag), F.lit(False)).cast("string")
     flags = {"touches_intronic_region": "_touches", "spans_intron": "_spans"}

@@ -19,14 +19,15 @@ DERIVED = [
 
 def reverse_translate(
     df: DataFrame, associations: DataFrame, candidates: DataFrame, errors: DataFrame, fallback_cols: tuple[str, ...] = (), level: str = "assayed_variant_level",
-    chunks: DataFrame | None = None, size: int = 0, key: list[str] | None = None,
+    chunks: DataFrame | None = None, size: int = 0, key: list[str] | None = None, by_lists: bool = False,
 ) -> DataFrame:
     """Protein rows without DNA strings get the candidate lists of their (transcript, p. string), and all rows the level,
     twelve columns derived from their lists, ``reverse_translation_error`` and ``reverse_translation_warnings``.
 
     ``associations``: (pro_ac, tx_ac); ``candidates``: (transcript, hgvs_p, ordinal, hgvs_c, hgvs_g); ``errors``: (transcript, hgvs_p,
     error), the least text of a pair counts.  A row without a transcript or without candidates gets an error after those it
-    has.  Flags of introns are by slot, empty for empty slots.  One row for each of ``df``; null cells are empty."""
+    has.  Flags of introns are by slot, empty for empty slots.  One row for each of ``df``; null cells are empty.
+    ``by_lists``: rows with lists of their own share them (``annotate``)."""
     blanks = {c: F.lit("") for c in (G, C, P, level, "reverse_translation_error", "reverse_translation_warnings") if c not in df.columns}
     names = [*df.columns, *blanks]
     rows = df.withColumns(blanks)
@@ -55,7 +56,7 @@ def reverse_translate(
     rest = rows.filter("not _bare")
     lost = F.when(todo, append_error(error, F.lit("Unable to resolve transcript accession for protein reverse translation"))).otherwise(error)
     new = {C: F.coalesce(C, F.lit("")), G: F.coalesce(G, F.lit("")), "reverse_translation_error": lost}
-    rest = annotate(rest.select(*(new[c].alias(c) if c in new else F.col(f"`{c}`") for c in keep)), *steps, key=key)
+    rest = annotate(rest.select(*(new[c].alias(c) if c in new else F.col(f"`{c}`") for c in keep)), *steps, key=key, by_lists=by_lists)
     return asked.unionByName(rest.select(*asked.columns))
 
 

@@ -68,7 +68,8 @@ def pack_slots(long: DataFrame, values: Mapping[str, Column | str], row_values:
     with one of ``sizes`` only so many slots are kept."""
     named = {k: F.col(v) if isinstance(v, str) else v for k, v in values.items()}
     row_values, sizes = row_values or {}, sizes or {}
-    packed = F.array_sort(F.collect_list(F.struct(SLOT, *(v.cast("string").alias(f"v{i}") for i, v in enumerate(named.values())))))
+    # not array_sort, which makes an ordering for every comparison
+    packed = F.sort_array(F.collect_list(F.struct(SLOT, *(v.cast("string").alias(f"v{i}") for i, v in enumerate(named.values())))))
     rows = long.groupBy(ROW).agg(packed.alias("_p"), *(F.max(v).alias(f"_n{k}") for k, v in sizes.items()), *(v.alias(f"_r{i}") for i, v in enumerate(row_values.values())))
     part = lambda k, c: F.slice(c, 1, F.col(f"`_n{k}`")) if k in sizes else c
     lists = (join_slots(part(k, F.col(f"_p.v{i}"))).alias(k) for i, k in enumerate(named))

@@ -309,7 +309,7 @@ def k3(t):
     cand = t.sql(one)
     by_protein = cand.filter("l_suppkey in (1, 2)").withColumn("hgvs_p", F.concat(F.lit("NP_"), F.col("l_suppkey").cast("string"), F.lit(".1:p.A1G")))
     errs = t.sql("select distinct 'NM_' || cast(o_custkey as string) || '.1' as transcript, 'NM_' || cast(o_custkey as string) || '.1:p.A1G' as hgvs_p, 'slow' as error from {orders} where o_custkey % 5 = 0")
-    out = reverse_translate(t.sql(_LEVELS), assoc, cand.unionByName(by_protein).drop("l_suppkey"), errs, key=["o_orderkey"])
+    out = reverse_translate(t.sql(_LEVELS), assoc, cand.unionByName(by_protein).drop("l_suppkey"), errs, by_lists=True)
     names = ["mapped_hgvs_p", "assayed_variant_level", "mapped_hgvs_c", "mapped_hgvs_g", *(f"mapped_hgvs_g_{c}" for c in ("chromosome", "start", "alt")), "mapped_hgvs_c_transcript", "mapped_hgvs_c_start", "touches_intronic_region", "spans_intron"]
     return out.select("o_orderkey", *names, F.col("reverse_translation_error").alias("error"), F.col("reverse_translation_warnings").alias("warnings"))
 
